@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mixspark.llm import bpe, packing, tokencount
+from mixspark.llm import bpe, neardup, packing, quality, shard, tokencount
 from mixspark.llm.common import documents
 
 
@@ -15,15 +15,27 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_roundtrip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir))
+
+
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard.document_shards(documents(spark, sf_dir), 24)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op5_token_counts, op8_packing)
+    f.__name__: f for f in (op1_byte_bpe, op2_minhash, op3_hilbert_shards, op5_token_counts, op7_quality, op8_packing)
 }
 ORACLES: dict[str, str] = {}
