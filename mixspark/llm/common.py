@@ -10,6 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that a function of a batch gets at once.
+SLICE = 500
+
 #: ASCII separators between words: space, and tab to carriage return.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -51,12 +54,13 @@ def release(*tables: DataFrame) -> None:
 
 
 def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of one batch; batches are independent."""
+    """``mapInArrow`` with a function of a few hundred rows at a time, which bounds memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := rows(batch)) is not None and out.num_rows:
-                yield out
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                if (out := rows(whole.slice(at, SLICE))) is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

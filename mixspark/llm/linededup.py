@@ -1,12 +1,15 @@
 """Line deduplication by pairwise alignment.
 
-Documents overlap where they share a rare line: one with enough words that it
-does not recur by chance, by the hash of the whole line. Each such line leads
-from the first document (smallest id) that holds it, in a star, to every later
-one; so a line that many documents hold gives one pair for each of them and needs
-no cap. Each distinct pair is aligned with patience diff on the hashes of all its
-lines. Runs of aligned lines that hold a rare line are common blocks; they are
-deleted from the later document. The first holder of a line always keeps it.
+Documents overlap where they share a rare line, by the hash of the whole line. A
+line is rare if it has at least ``RARE_WORDS`` words and at most ``RARE_DOCS``
+documents hold it; a line of ``LONG_WORDS`` words or more is too long to recur by
+chance and counts however many hold it. Shorter lines that more documents hold are
+boilerplate, which does not make two documents overlap. Each rare line leads from
+the first document (smallest id) that holds it, in a star, to every later one: a
+line that n documents hold gives n - 1 pairs, so no cap is needed. Each distinct
+pair is aligned with patience diff on the hashes of all its lines. Runs of aligned
+lines that hold a shared rare line are common blocks; they are deleted from the
+later document. The first holder of a rare line always keeps it.
 
 Only hashes of lines move to the alignment, at most once for each pair; the texts
 move once, for the deletion.
@@ -30,8 +33,8 @@ from pyspark.sql import functions as F
 
 from mixspark.llm.common import arrow_map, batch, materialise, texts
 
-#: Words from which a line counts as rare.
-RARE_WORDS = 5
+#: Least words of a rare line, most documents that hold it; words from which a line counts however many hold it.
+RARE_WORDS, RARE_DOCS, LONG_WORDS = 5, 64, 20
 
 
 def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -82,41 +85,48 @@ def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return blocks
 
 
-def line_table(source: DataFrame, rare_words: int) -> DataFrame:
-    """doc_id, hashes of all lines, and which of them are rare; one row per id."""
+def line_table(source: DataFrame, rare_words: int = RARE_WORDS, long_words: int = LONG_WORDS) -> DataFrame:
+    """doc_id, hashes of all lines, and of each line 0 (short), 1 or 2 (long)."""
     lines = F.split(F.col("text"), "\n", -1)
-    rare = lambda x: F.regexp_like(x, F.lit(rf"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{{rare_words - 1}}}[^\x20\x09-\x0D]"))
-    return source.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.transform(lines, lambda x: F.xxhash64(x)).alias("lines"), F.transform(lines, rare).alias("rare")).where(F.exists("rare", lambda x: x))
+    words = lambda x, n: F.regexp_like(x, F.lit(rf"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{{n - 1}}}[^\x20\x09-\x0D]"))
+    kind = lambda x: F.when(~words(x, rare_words), 0).when(words(x, long_words), 2).otherwise(1)
+    table = source.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.transform(lines, lambda x: F.xxhash64(x)).alias("lines"), F.transform(lines, kind).alias("kinds"))
+    return table.where(F.exists("kinds", lambda x: x > 0))
 
 
-def common_blocks(source: DataFrame, rare_words: int = RARE_WORDS) -> DataFrame:
+def common_blocks(source: DataFrame, rare_docs: int = RARE_DOCS) -> DataFrame:
     """(doc_id, removed): numbers of the lines that go, for documents that lose any."""
-    table = materialise(line_table(source, rare_words), "lines")
-    table = table.groupBy("doc_id").agg(F.min(F.struct("lines", "rare")).alias("x")).select("doc_id", "x.*") if table.groupBy("doc_id").count().where("count > 1").take(1) else table
-    held = table.select("doc_id", F.explode(F.array_distinct(F.expr("filter(lines, (h, i) -> rare[i])"))).alias("h"))
-    first = held.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first")
-    pairs = materialise(held.join(first, "h").where("doc_id <> first").select("doc_id", "first").distinct(), "overlaps")
+    table = materialise(line_table(source), "lines")
+    if table.groupBy("doc_id").count().where("count > 1").take(1):
+        table = table.groupBy("doc_id").agg(F.min(F.struct("lines", "kinds")).alias("x")).select("doc_id", "x.*")
+    spots = F.array_distinct(F.expr("filter(transform(lines, (h, i) -> struct(h, kinds[i] AS kind)), x -> x.kind > 0)"))
+    held = table.select("doc_id", F.inline(spots))
+    first = held.groupBy("h", "kind").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where(f"n > 1 AND (kind = 2 OR n <= {rare_docs})").select("h", "first")
+    first = materialise(first, "first-holders")  # written first, so that the join can split a hot line
+    pairs = held.join(first, "h").where("doc_id <> first").groupBy("doc_id", "first").agg(F.collect_set("h").alias("shared"))
     earlier = table.select(F.col("doc_id").alias("first"), F.col("lines").alias("first_lines"))
     types = {"doc_id": pa.int64(), "removed": pa.list_(pa.int32())}
 
     def rows(got: pa.RecordBatch) -> pa.RecordBatch | None:
         out: dict[str, list] = {"doc_id": [], "removed": []}
-        for doc, lines, rare, other in zip(*(got.column(c).to_pylist() for c in ("doc_id", "lines", "rare", "first_lines")), strict=True):
-            gone = [k for _, j, n in patience_blocks(other, lines) if any(rare[j : j + n]) for k in range(j, j + n)]
+        for doc, lines, other, shared in zip(*(got.column(c).to_pylist() for c in ("doc_id", "lines", "first_lines", "shared")), strict=True):
+            proof = set(shared)
+            gone = [k for _, j, n in patience_blocks(other, lines) if not proof.isdisjoint(lines[j : j + n]) for k in range(j, j + n)]
             if gone:
                 out["doc_id"].append(doc)
                 out["removed"].append(np.asarray(gone, np.int32))
         return batch(types, out)
 
-    aligned = arrow_map(pairs.join(earlier, "first").join(table, "doc_id").select("doc_id", "lines", "rare", "first_lines"), rows, "doc_id long, removed array<int>")
+    both = materialise(pairs, "overlaps").join(earlier, "first").join(table, "doc_id").select("doc_id", "lines", "first_lines", "shared")
+    aligned = arrow_map(both, rows, "doc_id long, removed array<int>")
     return aligned.select("doc_id", F.explode("removed").alias("k")).groupBy("doc_id").agg(F.array_sort(F.collect_set("k")).alias("removed"))
 
 
-def dedup_lines(df: DataFrame, rare_words: int = RARE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(df: DataFrame, rare_docs: int = RARE_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text without the common blocks, n_lines, n_removed for every row."""
     source = texts(df, id_col, text_col)
-    gone = materialise(common_blocks(source, rare_words), "common-blocks")
+    gone = materialise(common_blocks(source, rare_docs), "common-blocks")
     lines = F.split(F.col("text"), "\n", -1)
-    flags = F.expr("filter(split(text, '\\n', -1), (x, i) -> NOT array_contains(removed, i))")
-    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(flags, "\n"))
+    left = F.expr("filter(split(text, '\\n', -1), (x, i) -> NOT array_contains(removed, i))")
+    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     return source.join(gone, "doc_id", "left").select("doc_id", kept.alias("text"), F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"))

@@ -138,10 +138,12 @@ def near_duplicates(df: DataFrame, per_cent: int = 75, id_col: str = "doc_id", t
     signed = materialise(signatures(source), "signatures")
     whole = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     first = whole.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    first = materialise(first, "first-of-class")
     member = materialise(whole.join(first, ["k1", "k2", "n_shingles"]).select("doc_id", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")), "classes")
 
     items = member.where("bands IS NOT NULL").select("rep", F.posexplode("bands").alias("band", "key"))
     shared = items.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = materialise(shared, "shared-buckets")  # written first, so that the join can split a hot bucket
     bucketed = materialise(items.join(shared, ["band", "key"]), "buckets")
     wanted = bucketed.select(F.col("rep").alias("doc_id")).distinct()
     candidates = materialise(source.join(wanted, "doc_id"), "candidates")
@@ -153,6 +155,7 @@ def near_duplicates(df: DataFrame, per_cent: int = 75, id_col: str = "doc_id", t
             placed = bucketed.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
         by = F.col("rep") if turn == 0 else F.xxhash64("rep", "band", F.lit(turn))
         centre = placed.groupBy("band", "key").agg(F.min(F.struct(by.alias("by"), F.col("rep").alias("rep"), F.col("comp").alias("comp"))).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band", "key", F.col("c.rep").alias("b"), F.col("c.comp").alias("b_comp"))
+        centre = materialise(centre, "centres")
         pairs = placed.join(centre, ["band", "key"]).where("comp <> b_comp").select(F.col("rep").alias("a"), "b").distinct()
         if rejected is not None:
             pairs = pairs.join(rejected, ["a", "b"], "left_anti")

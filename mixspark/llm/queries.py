@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mixspark.llm import bpe, neardup, packing, quality, shard, tokencount
+from mixspark.llm import bpe, linededup, neardup, packing, quality, shard, suffix, tokencount
 from mixspark.llm.common import documents
 
 
@@ -23,6 +24,11 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.document_shards(documents(spark, sf_dir), 24)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -35,7 +41,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(documents(spark, sf_dir), "all", columns=("kept_sha256",))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op2_minhash, op3_hilbert_shards, op5_token_counts, op7_quality, op8_packing)
+    f.__name__: f for f in (op1_byte_bpe, op2_minhash, op3_hilbert_shards, op4_line_dedup, op5_token_counts, op7_quality, op8_packing, op10_suffix_dedup)
 }
 ORACLES: dict[str, str] = {}
