@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows that a function of a batch gets at once.
 SLICE = 500
@@ -53,7 +54,7 @@ def release(*tables: DataFrame) -> None:
             target.getFileSystem(jsc.hadoopConfiguration()).delete(target, True)
 
 
-def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with a function of a few hundred rows at a time, which bounds memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -122,11 +122,19 @@ def common_blocks(source: DataFrame, rare_docs: int = RARE_DOCS) -> DataFrame:
     return aligned.select("doc_id", F.explode("removed").alias("k")).groupBy("doc_id").agg(F.array_sort(F.collect_set("k")).alias("removed"))
 
 
+def without_blocks(df: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with the lines of ``gone`` cut from its texts, and columns _n_lines, _n_removed."""
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
+    text = F.col(text_col).cast("string")
+    lines = F.split(text, "\n", -1)
+    left = F.filter(lines, lambda x, i: ~F.array_contains("_removed", i))
+    kept = F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(left, "\n"))
+    counts = [F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("_n_lines"), F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("_n_removed")]
+    return df.join(gone, df[id_col] == gone["_id"], "left").select(*[kept.alias(c) if c == text_col else F.col(c) for c in df.columns], *counts)
+
+
 def dedup_lines(df: DataFrame, rare_docs: int = RARE_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text without the common blocks, n_lines, n_removed for every row."""
     source = texts(df, id_col, text_col)
     gone = materialise(common_blocks(source, rare_docs), "common-blocks")
-    lines = F.split(F.col("text"), "\n", -1)
-    left = F.expr("filter(split(text, '\\n', -1), (x, i) -> NOT array_contains(removed, i))")
-    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return source.join(gone, "doc_id", "left").select("doc_id", kept.alias("text"), F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"))
+    return without_blocks(source, gone).withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})

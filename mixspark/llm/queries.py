@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixspark.llm import bpe, linededup, neardup, packing, quality, shard, suffix, tokencount
+from mixspark.llm import bpe, linededup, neardup, packing, quality, shard, suffix, tokencount, topk, toxicity
 from mixspark.llm.common import documents
 
 
@@ -33,6 +33,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 20, 20)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -41,11 +45,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.toxicity(docs, machine).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(documents(spark, sf_dir), "all", columns=("kept_sha256",))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op2_minhash, op3_hilbert_shards, op4_line_dedup, op5_token_counts, op7_quality, op8_packing, op10_suffix_dedup)
+    f.__name__: f for f in (op1_byte_bpe, op2_minhash, op3_hilbert_shards, op4_line_dedup, op5_token_counts, op6_top_k, op7_quality, op8_packing, op9_toxicity, op10_suffix_dedup)
 }
 ORACLES: dict[str, str] = {}

@@ -205,17 +205,17 @@ def repeated_spans(source: DataFrame, mode: str = "all", length: int = LENGTH, g
     # The text of one member of each class that has company in its file.
     lone = classes.where("n_classes > 1 OR own")
     spots = lone.groupBy("row").agg(F.collect_list(F.struct("file", "content", "doc_id", "first", "n", "n_classes")).alias("spots"))
-    cut = {"file": pa.int64(), "content": pa.int64(), "doc_id": pa.int64(), "row": pa.int64(), "first": pa.int32(), "n": pa.int32(), "n_classes": pa.int64(), "body": pa.binary()}
+    piece_types = {"file": pa.int64(), "content": pa.int64(), "doc_id": pa.int64(), "row": pa.int64(), "first": pa.int32(), "n": pa.int32(), "n_classes": pa.int64(), "body": pa.binary()}
 
     def bodies(got: pa.RecordBatch) -> pa.RecordBatch:
-        out: dict[str, list] = {k: [] for k in cut}
+        out: dict[str, list] = {k: [] for k in piece_types}
         for row, raw, spots in zip(got.column("row").to_pylist(), got.column("raw").to_pylist(), got.column("spots").to_pylist(), strict=True):
             for s in spots:
                 out["row"].append(row)
                 out["body"].append(raw[s["first"] : s["first"] + s["n"] + length - 1])
                 for k in ("file", "content", "doc_id", "first", "n", "n_classes"):
                     out[k].append(s[k])
-        return batch(cut, out)
+        return batch(piece_types, out)
 
     fetched = materialise(arrow_map(source.select("row", "raw").join(spots, "row"), bodies, "file long, content long, doc_id long, row long, first int, n int, n_classes long, body binary"), "segment-texts")
 
@@ -313,37 +313,65 @@ def snap(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(df: DataFrame, mode: str = "all", length: int = LENGTH, columns: tuple[str, ...] = ("kept",), id_col: str = "doc_id", text_col: str = "text", full_file: int = FULL_FILE) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and of ``columns``: kept (text; ``later`` mode, whole characters), kept_sha256, spans."""
-    source = df.select(F.col(id_col).alias("doc_id"), F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "UTF-8").alias("raw"))
-    # Ids name rows unless some repeat; then equal ids are told apart by number.
-    if source.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").take(1):
-        numbered = Window.partitionBy("doc_id").orderBy(F.xxhash64("raw"))
-        source = source.withColumn("row", F.xxhash64("doc_id", F.row_number().over(numbered)))
-    else:
-        source = source.withColumn("row", F.col("doc_id"))
-    source = source.select("row", "doc_id", "raw")
-    gone = materialise(repeated_spans(source, mode, length, full_file=full_file), "spans")
-    fields = {"kept": (pa.string(), "string"), "kept_sha256": (pa.string(), "string"), "spans": (pa.list_(pa.list_(pa.int32())), "array<array<int>>")}
+def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``df`` with columns _row (names the row), _id and _raw (the text's bytes).
+
+    Ids name rows unless some repeat; then equal ids are told apart by number.
+    """
+    raw = F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "UTF-8")
+    with_raw = df.withColumn("_id", F.col(id_col).cast("long")).withColumn("_raw", raw)
+    if df.groupBy(id_col).count().where(f"count > 1 OR {id_col} IS NULL").take(1):
+        order = Window.partitionBy("_id").orderBy(F.xxhash64("_raw"))
+        return with_raw.withColumn("_row", F.xxhash64("_id", F.row_number().over(order)))
+    return with_raw.withColumn("_row", F.col("_id"))
+
+
+def _spans(rows: DataFrame, mode: str, length: int, full_file: int) -> DataFrame:
+    source = rows.select(F.col("_row").alias("row"), F.col("_id").alias("doc_id"), F.col("_raw").alias("raw"))
+    return materialise(repeated_spans(source, mode, length, full_file=full_file).withColumnsRenamed({"row": "_row", "spans": "_spans"}), "spans")
+
+
+def cut(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
+    ends = [0, *(x for s in spans for x in s), len(raw)]
+    return b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
+
+
+def remove_repeats(df: DataFrame, mode: str = "all", length: int = LENGTH, columns: tuple[str, ...] = ("spans",), id_col: str = "doc_id", text_col: str = "text", full_file: int = FULL_FILE) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and of ``columns``: spans, kept_bytes, kept_sha256."""
+    source = numbered(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text").drop("text")
+    gone = _spans(source, mode, length, full_file)
+    fields = {"kept_bytes": (pa.binary(), "binary"), "kept_sha256": (pa.string(), "string"), "spans": (pa.list_(pa.list_(pa.int32())), "array<array<int>>")}
     types = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64()} | {c: fields[c][0] for c in columns}
 
     def rows(got: pa.RecordBatch) -> pa.RecordBatch:
         out: dict[str, list] = {k: [] for k in (*types, *fields)}
         for i in range(got.num_rows):
-            raw, spans = got.column("raw")[i].as_py(), merge_spans(got.column("spans")[i].as_py())
-            if "kept" in columns:
-                spans = snap(raw, spans)
-            ends = [0, *(x for s in spans for x in s), len(raw)]
-            kept = b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
+            raw, spans = got.column("_raw")[i].as_py(), merge_spans(got.column("_spans")[i].as_py())
+            kept = cut(raw, spans)
             out["n_bytes"].append(len(raw))
             out["n_removed"].append(len(raw) - len(kept))
             out["n_spans"].append(len(spans))
-            if "kept" in columns:
-                out["kept"].append(kept.decode())
-            if "kept_sha256" in columns:
-                out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-            if "spans" in columns:
-                out["spans"].append([list(s) for s in spans])
-        return batch(types, out | {"doc_id": got.column("doc_id")})
-
-    return arrow_map(source.join(gone, "row", "left").select("doc_id", "raw", "spans"), rows, "doc_id long, n_bytes long, n_removed long, n_spans long" + "".join(f", {c} {fields[c][1]}" for c in columns))
+            out["kept_bytes"].append(kept)
+            out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+            out["spans"].append([list(s) for s in spans])
+        return batch(types, out | {"doc_id": got.column("_id")})
+
+    return arrow_map(source.join(gone, "_row", "left").select("_id", "_raw", "_spans"), rows, "doc_id long, n_bytes long, n_removed long, n_spans long" + "".join(f", {c} {fields[c][1]}" for c in columns))
+
+
+def dedup_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", full_file: int = FULL_FILE) -> DataFrame:
+    """The rows of ``df``, all columns, without later copies in the texts (whole characters go)."""
+    source = numbered(df, id_col, text_col)
+    joined = source.drop("_raw", "_id").join(_spans(source, "later", length, full_file), "_row", "left").select(*df.columns, "_spans")
+
+    def rows(got: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for i in range(got.num_rows):
+            text, spans = got.column(text_col)[i].as_py(), got.column("_spans")[i].as_py()
+            if spans:
+                raw = text.encode()
+                text = cut(raw, snap(raw, merge_spans(spans))).decode()
+            out.append(text)
+        return got.drop_columns(["_spans"]).set_column(got.schema.get_field_index(text_col), text_col, pa.array(out, pa.string()))
+
+    return arrow_map(joined, rows, df.schema)
