@@ -13,13 +13,18 @@ table gives no pieces; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,35 +33,100 @@ from tokenizers import Tokenizer
 from mixspark.llm.common import batch, materialise, texts
 
 #: Distinct words whose ids a Python worker remembers (a speed matter only).
-WORDS_KEPT = 400_000
+WORDS_KEPT = 800_000
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark spreads the work, not the tokenizer
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters by which byte-level vocabularies write bytes: printable ones as themselves, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+class RankedWords:
+    """A merge table with word ends as a rank table, for common Latin words.
+
+    A word end becomes byte 0xFF, which UTF-8 never holds, joined to the last byte
+    before anything else. Merging by ranks gives what merging by listed pairs does
+    as long as every token in the table is what its own bytes merge to; tokens that
+    are not can never come up and are left out.
+    """
+
+    END = b"\xff"
+
+    def __init__(self, model: dict, pattern: str):
+        letters, suffix, vocab = byte_letters(), model["end_of_word_suffix"], model["vocab"]
+        pairs = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b]) + self.END: 256 + b for b in range(256) if b != 255}
+        self.ids = {b: vocab[c] for c, b in letters.items()} | {256 + b: vocab[c + suffix] for c, b in letters.items()}
+        for (left, right), i in pairs.items():
+            token = left + right
+            ends = token.endswith(suffix)
+            body = token[: -len(suffix)] if ends else token
+            if self._merged([*body[:-1], body[-1] + suffix * ends], pairs) == [token]:
+                ranks[bytes(letters[c] for c in body) + self.END * ends] = 512 + i
+                self.ids[512 + i] = vocab[token]
+        self.core = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})
+        self.parts = regex.compile(pattern)
+        self.common = regex.compile("[!-~\u00a1-\u00ac\u00ae-\u024f]+")
+
+    @staticmethod
+    def _merged(symbols: list[str], pairs: dict) -> list[str]:
+        while len(symbols) > 1:
+            rank, at = min((pairs.get(p, len(pairs)), i) for i, p in enumerate(zip(symbols, symbols[1:], strict=False)))
+            if rank == len(pairs):
+                break
+            symbols = [*symbols[:at], symbols[at] + symbols[at + 1], *symbols[at + 2 :]]
+        return symbols
+
+    def encode(self, word: str) -> bytes | None:
+        """None: not a word of this kind."""
+        if not self.common.fullmatch(word):
+            return None
+        if not word.isascii():
+            word = "".join(c.lower() for c in unicodedata.normalize("NFC", word))
+        out: list[int] = []
+        for part in self.parts.findall(word.lower() if word.isascii() else word):
+            out += self.core._encode_single_piece(part.encode() + self.END)
+        return array("I", map(self.ids.__getitem__, out)).tobytes()
+
+
 class WordCache:
     """Ids of whole texts by a tokenizer that drops white space between words.
 
-    Such a tokenizer treats each stretch between ASCII spaces and line feeds by
-    itself, so a stretch is encoded once and its ids are looked up after that.
+    Such a tokenizer treats each stretch between spaces and line feeds by itself,
+    so a stretch is encoded once and its ids are looked up after that. Common words
+    are merged by a rank table, all others by the tokenizer itself.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        steps = spec["pre_tokenizer"].get("pretokenizers", [{}])
+        plain = [n["type"] for n in spec["normalizer"].get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] and spec["model"].get("end_of_word_suffix") and steps[0].get("invert")
+        self.ranked = RankedWords(spec["model"], steps[0]["pattern"]["Regex"]) if plain else None
 
     def encode(self, texts_: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts_]
         known = self.known
-        new = list({w for words in split for w in words if w not in known})
+        new = {w for words in split for w in words if w not in known}
         if len(known) + len(new) > WORDS_KEPT:
             known.clear()
-            new = list({w for words in split for w in words})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = np.asarray(got.ids, "<u4").tobytes()
+            new = {w for words in split for w in words}
+        rest = []
+        for word in new:
+            got = self.ranked.encode(word) if self.ranked else None
+            if got is None:
+                rest.append(word)
+            else:
+                known[word] = got
+        for word, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            known[word] = np.asarray(got.ids, "<u4").tobytes()
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
