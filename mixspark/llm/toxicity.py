@@ -20,7 +20,7 @@ table of fixed size, looked up once for each distinct word of a task.
 Defined cases: a null or empty text has no words and gets the score of no evidence;
 whole texts of any length count; words of any length count in overlapping parts;
 label rows that are null or match no document are left out; without labels of both
-kinds every score is 0; repeated rows repeat; an empty table gives an empty table;
+kinds, or without a word that tells them apart, every score is 0; repeated rows repeat; an empty table gives an empty table;
 labels, language, source and id never enter a score; other columns are ignored.
 """
 
@@ -170,7 +170,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
 
 
 def fit(all_texts: list[str], toxic: np.ndarray) -> Machine | None:
-    """All of training; deterministic. None without documents of both kinds."""
+    """All of training; deterministic. None without documents of both kinds or a word that tells them apart."""
     if not toxic.any() or toxic.all():
         return None
     words = [sorted({normal(w) for w in t.split() + spelled(t)} - {""}) for t in all_texts]
@@ -192,7 +192,7 @@ def fit(all_texts: list[str], toxic: np.ndarray) -> Machine | None:
     ranked = sorted(((surprise(w), w) for w in bad if bad[w] > 2), reverse=True)
     marked = [w for s, w in ranked[: LANDMARKS * 2 // 3] if s > 12]
     if not marked:
-        return Machine(np.zeros(TABLE), -1.0, np.array([0.0] * (4 + len(STEPS)) + [math.log(toxic.mean() / (1 - toxic.mean()))]))
+        return None
     clean = [w for w, _ in sorted(good.items(), key=lambda x: (-x[1], x[0])) if w not in marked and len(w) > 1]
     landmarks = marked + clean[: LANDMARKS - len(marked)]
 
@@ -266,10 +266,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine |
     """Fit on at most ``sample`` toxic and twice as many clean labelled documents, none held out."""
     usable = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     by = [F.xxhash64("doc_id"), F.col("doc_id")]
+    whole = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = usable.where("toxic = 1").orderBy(*by).limit(sample).union(usable.where("toxic = 0").orderBy(*by).limit(2 * sample))
     got = texts(docs).where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").collect()  # at most 3 * sample ids
     got = sorted(got, key=lambda r: (r.doc_id, r.text))
-    return fit([r.text for r in got], np.array([r.toxic == 1 for r in got], bool))
+    toxic = np.array([r.toxic == 1 for r in got], bool)
+    machine = fit([r.text for r in got], toxic)
+    if machine:  # the sample has more toxic rows than the labels do
+        machine.curve[-1] += math.log(whole[1] / whole[0]) - math.log(toxic.mean() / (1 - toxic.mean()))
+    return machine
 
 
 def toxicity(docs: DataFrame, machine: Machine | None, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
