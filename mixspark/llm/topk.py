@@ -42,9 +42,9 @@ CELL_BLOCKS, CELL_QUERIES = 16, 4096
 def whole_vectors(df: DataFrame, scale: int, id_col: str, vec_col: str) -> DataFrame:
     """vec_id and floor(scale * x) of each component, as whole doubles."""
     fine = ~F.exists(F.col(vec_col), lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
-    # floor() gives a long, which can't hold every double: whole doubles stay exact
-    down = lambda x: F.expr("0D") + (lambda y: F.when(F.abs(y) < 2.0**62, F.floor(y).cast("double")).otherwise(y))(F.lit(float(scale)) * x.cast("double"))
-    return df.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & fine).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(F.col(vec_col), down).alias("v"))
+    # floor() gives a long; doubles from 2**52 on are whole as they are
+    down = lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+    return df.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & fine).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(F.col(vec_col), lambda x: down(F.lit(float(scale)) * x.cast("double"))).alias("v"))
 
 
 def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
