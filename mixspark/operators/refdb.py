@@ -112,7 +112,7 @@ def sequence_to_species(sequences: DataFrame, seq2tax: DataFrame) -> DataFrame:
 def carriers(sequences: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """md5, tax_id, its ranks and first place, for sequences of species with a genus; ``sequences``: ord, seq_id, seq."""
     rows = sequences.select("ord", "seq_id", F.element_at(F.split("seq_id", ":"), 1).alias("tax_id"), expr.sequence_md5(F.col("seq")).alias("md5"))
-    known = taxonomy.where(F.trim("genus") != "").withColumn("genus_key", expr.strip_suffix(F.col("genus")))
+    known = taxonomy.where(F.trim("genus") != "").select("tax_id", "species", "genus", "family", "phylum", expr.strip_suffix(F.col("genus")).alias("genus_key"))
     return rows.join(known, "tax_id")
 
 

@@ -177,9 +177,18 @@ def sample_clashes(paths: DataFrame) -> DataFrame:
     return discovered_samples(paths).where(F.size("paths") > 1)
 
 
+def listed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths below a folder of any file system that Spark knows; empty files too, which its readers skip."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found, paths = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True), []
+    while found.hasNext():
+        paths.append((found.next().getPath().toString(),))
+    return spark.createDataFrame(paths, "path string")
+
+
 def discover(spark: SparkSession, folder: str) -> DataFrame:
     """Samples of a folder; clashing or bad names are an error that lists the files."""
-    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    paths = listed_files(spark, folder)
     clash = sample_clashes(paths).limit(20).collect()
     if clash:
         raise ValueError("samples with more than one file: " + "; ".join(f"{r.sample}: {', '.join(r.paths)}" for r in clash))
