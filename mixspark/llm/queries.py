@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mixspark.llm import bpe, linededup, neardup, packing, quality, shard, suffix, tokencount, topk, toxicity
 from mixspark.llm.common import documents
+from mixspark.llm.oracles import ORACLES
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,4 +59,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_byte_bpe, op2_minhash, op3_hilbert_shards, op4_line_dedup, op5_token_counts, op6_top_k, op7_quality, op8_packing, op9_toxicity, op10_suffix_dedup)
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
