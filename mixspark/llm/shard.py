@@ -93,11 +93,9 @@ def hilbert_shards(df: DataFrame, dims: Mapping[str, Column], n_shards: int, tie
     ranked = placed.join(F.broadcast(offsets.withColumnRenamed("piece", "_piece")), [*[placed[c].eqNullSafe(offsets[c]) for c in levels], F.pmod("_part", F.col("pieces")) == F.col("_piece")]).drop(*[offsets[c] for c in levels])
     row = F.row_number().over(Window.partitionBy(*levels, "_piece").orderBy(*tie))
     rank = (F.col("before") + row - 1).cast("long")
-    shard = F.floor(rank * n_shards / F.col("total"))
-    exact = F.expr(f"CAST((_rank * {n_shards}) DIV total AS INT)")
+    shard = F.expr(f"CAST((_rank * {n_shards}) DIV total AS INT)")
     first = F.expr(f"(shard * total + {n_shards} - 1) DIV {n_shards}")
-    del shard
-    return ranked.withColumn("_rank", rank).withColumn("shard", exact).withColumn("slot", F.col("_rank") - first).select(*df.columns, "shard", "slot")
+    return ranked.withColumn("_rank", rank).withColumn("shard", shard).withColumn("slot", F.col("_rank") - first).select(*df.columns, "shard", "slot")
 
 
 def document_shards(df: DataFrame, n_shards: int = 24) -> DataFrame:

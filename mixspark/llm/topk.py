@@ -126,7 +126,6 @@ def build_index(vectors: DataFrame, d: int, top: float, pivots: np.ndarray) -> D
 
 
 def _search(vectors: DataFrame, d: int, k: int, every: int) -> DataFrame:
-    spark = vectors.sparkSession
     top = float(vectors.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0])
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
     pivots = choose_pivots(lift(np.array([r.v for r in sample], float), top), PIVOTS)
@@ -181,7 +180,6 @@ def _search(vectors: DataFrame, d: int, k: int, every: int) -> DataFrame:
     right = queries.withColumn("h", spread(F.col("query_part"), sides)).withColumn("g", each(parts))
     found = left.groupBy("g", "h").cogroup(right.groupBy("g", "h")).applyInArrow(cell, "query_id long, vec_id long, score long")
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    del spark
     return ranked.where(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")
 
 
