@@ -40,9 +40,9 @@ from mixspark.llm.common import arrow_map, batch, texts
 from mixspark.llm.neardup import mix
 
 #: Toxic rows that train at most; clean ones are twice as many.
-SAMPLE = 2500
+SAMPLE = 1500
 SPAN, DECAY, TABLE = 6, 0.7, 1 << 16
-LANDMARKS, PART, WORDS_KEPT = 96, 32, 500_000
+LANDMARKS, PART, WORDS_KEPT = 96, 32, 400_000
 #: Word values that are counted in a document.
 STEPS = (-0.5, 0.0, 0.4, 0.8)
 
@@ -173,7 +173,9 @@ def fit(all_texts: list[str], toxic: np.ndarray) -> Machine | None:
     """All of training; deterministic. None without documents of both kinds or a word that tells them apart."""
     if not toxic.any() or toxic.all():
         return None
-    words = [sorted({normal(w) for w in t.split() + spelled(t)} - {""}) for t in all_texts]
+    one: dict[str, str] = {}  # a word that many documents hold is kept once
+    words = [sorted({one.setdefault(v, v) for v in map(normal, (*t.split(), *spelled(t)))} - {""}) for t in all_texts]
+    del one
     fits = np.arange(len(all_texts)) % 5 < 3  # the others fit the curve
     bad, good = Counter(), Counter()
     for w, y, use in zip(words, toxic, fits, strict=True):
@@ -251,7 +253,8 @@ def fit(all_texts: list[str], toxic: np.ndarray) -> Machine | None:
         positive = sorted({*marked, *firm, *bent(sorted({*marked, *firm}))})
         hard = sorted(good, key=lambda v: (-value.get(v, -1.0), v))
         negative = sorted({*negative, *[v for v in hard[:2000] if bad[v] / n_bad <= 3 * good[v] / n_good]})
-    evidence = machine.evidence(all_texts)
+    del words, vocabulary, value, hard, bad, good, base
+    evidence = np.vstack([machine.evidence(all_texts[i : i + 200]) for i in range(0, len(all_texts), 200)])
     held = ~fits if (toxic & ~fits).any() and (~toxic & ~fits).any() else np.ones(len(all_texts), bool)
     machine.curve = logistic(evidence[held], toxic[held].astype(float))
     machine.known = {}
