@@ -2,10 +2,13 @@
 
 Three paths give the same numbers:
 
-* ``grouped``: one sample a task, arrays of the sample's scores (the default);
-* ``distributed``: reads stay spread over the cluster, each iteration sums the
+* samples of at most ``ONE_TASK`` scores: one sample a task, as arrays;
+* larger ones: reads stay spread over the cluster in blocks, each iteration sums the
   responsibilities of a species in tasks and moves one number a species and task;
 * the steps as DataFrame operations, one iteration each, for plans and checks.
+
+So no task ever holds more than ``ONE_TASK`` scores or one block, however large a
+sample is; the driver holds a few numbers a species of one sample at a time.
 """
 
 from __future__ import annotations
@@ -23,11 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mixspark.functions.special import digamma, digamma_column, log_gamma
+from mixspark.operators.graph import shared_folder, written
 
 #: Outer rounds of pruning; iterations between two looks at the bound; slack of a falling bound.
 MAX_PRUNES, BOUND_EVERY, SLACK = 10, 100, 1e-9
 #: Inner iterations of EM and the change in frequencies that ends them.
 EM_INNER, EM_CHANGE = 20, 5e-4
+#: Most scores of a sample that one task estimates (some 100 MB as arrays).
+ONE_TASK = 2_000_000
 
 
 @dataclass
@@ -75,6 +81,21 @@ class Scores:
         sizes = np.diff(self.start)
         return np.repeat(per_read, sizes[sizes > 0])
 
+    @property
+    def n_reads(self) -> int:
+        return len(self.start) - 1
+
+    def em_sums(self, freq: np.ndarray) -> tuple[np.ndarray, float]:
+        """Responsibilities summed by species, and the log likelihood; species at 0 stay out."""
+        with np.errstate(divide="ignore"):
+            x = self.score + np.log(freq)[self.species]
+        top = self.by_read(np.maximum, x)
+        live = np.isfinite(top)
+        y = np.exp(x - self.spread(np.where(live, top, 0.0)))
+        total = self.by_read(np.add, y)
+        column = np.bincount(self.species, y / self.spread(np.where(live, total, 1.0)), len(freq))
+        return column, float((top[live] + np.log(total[live])).sum())
+
 
 def responsibilities(scores: Scores, weight: np.ndarray) -> np.ndarray:
     """Softmax over each read's species of score plus the species' log weight."""
@@ -185,20 +206,13 @@ def fit_vb(scores: Scores, min_abundance: float = 0.001, alpha_prior: float = 1.
     return estimate
 
 
-def em_round(scores: Scores, freq: np.ndarray) -> tuple[np.ndarray, float]:
-    """Updated frequencies and the log likelihood of the old ones; species at 0 stay out."""
-    with np.errstate(divide="ignore"):
-        weight = np.log(freq)
-    x = scores.score + weight[scores.species]
-    top = scores.by_read(np.maximum, x)
-    live = np.isfinite(top)
-    y = np.exp(x - scores.spread(np.where(live, top, 0.0)))
-    total = scores.by_read(np.add, y)
-    column = np.bincount(scores.species, y / scores.spread(np.where(live, total, 1.0)), len(freq))
-    return column / max(column.sum(), 1e-300), float((top[live] + np.log(total[live])).sum())
+def em_round(scores: Scores | Spread, freq: np.ndarray) -> tuple[np.ndarray, float]:
+    """Updated frequencies and the log likelihood of the old ones."""
+    column, value = scores.em_sums(freq)
+    return column / max(column.sum(), 1e-300), value
 
 
-def em_inner(scores: Scores, freq: np.ndarray, iterations: int = EM_INNER, change: float = EM_CHANGE) -> np.ndarray:
+def em_inner(scores: Scores | Spread, freq: np.ndarray, iterations: int = EM_INNER, change: float = EM_CHANGE) -> np.ndarray:
     for _ in range(iterations):
         new, _ = em_round(scores, freq)
         moved, freq = np.abs(new - freq).sum(), new
@@ -207,13 +221,11 @@ def em_inner(scores: Scores, freq: np.ndarray, iterations: int = EM_INNER, chang
     return freq
 
 
-def fit_em(scores: Scores, min_abundance: float = 0.001, gain: float = 1e-4, n_start: int | None = None) -> Estimate:
+def em_frequencies(scores: Scores | Spread, min_abundance: float, gain: float, n_start: int | None) -> np.ndarray:
     """Repeat inner loops until the likelihood gains less than ``gain``; cut at the floor, then at the minimum."""
-    n_reads = len(scores.start) - 1
-    if not n_reads:
+    if not scores.n_reads:
         raise ValueError("no reads to estimate from")
     freq, last = np.full(scores.n_species, 1 / (n_start or max(scores.n_species, 1))), -np.inf
-    has = np.diff(scores.start) > 0
     while scores.n_scored:
         freq = em_inner(scores, freq)
         _, value = em_round(scores, freq)
@@ -227,11 +239,18 @@ def fit_em(scores: Scores, min_abundance: float = 0.001, gain: float = 1e-4, n_s
         kept = np.where(freq >= least, freq, 0.0)
         return em_inner(scores, kept / kept.sum()) if kept.any() else kept
 
-    least = (10 if n_reads > 1000 else 1) / n_reads
+    least = (10 if scores.n_reads > 1000 else 1) / scores.n_reads
     freq = cut(least)
     if min_abundance > least and freq.any():
         tighter = cut(min_abundance)
         freq = tighter if tighter.any() else freq
+    return freq
+
+
+def fit_em(scores: Scores, min_abundance: float = 0.001, gain: float = 1e-4, n_start: int | None = None) -> Estimate:
+    """Expectation-maximisation of one sample in memory."""
+    freq = em_frequencies(scores, min_abundance, gain, n_start)
+    has = np.diff(scores.start) > 0
     names = np.nonzero(freq > 0)[0]
     if not len(names):
         return Estimate(below_detection=int(has.sum()))
@@ -242,17 +261,25 @@ def fit_em(scores: Scores, min_abundance: float = 0.001, gain: float = 1e-4, n_s
     return estimate
 
 
+def table_rows(tax_ids: np.ndarray, rows: dict[int, int] | None) -> np.ndarray:
+    """A number for each species; those of one output row share it."""
+    row = np.array([rows.get(int(t), -i - 1) if rows else i for i, t in enumerate(tax_ids)], np.int64)
+    return np.unique(row, return_inverse=True)[1]
+
+
+def summed_reads(read: np.ndarray, of: np.ndarray, phi: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Expected and shared reads of each species, from responsibilities of reported ones."""
+    if not len(read):
+        return np.zeros(len(row)), np.zeros(len(row))
+    phi = phi / np.bincount(read, phi)[read]
+    _, key = np.unique(read * (row.max() + 1) + row[of], return_inverse=True)
+    share = np.bincount(key, phi)[key]
+    return np.bincount(of, phi, len(row)), np.bincount(of, np.where(share <= 0.99, phi, 0.0), len(row))
+
+
 def frames_of(estimate: Estimate, sample: str, tax_ids: np.ndarray, rows: dict | None) -> pd.DataFrame:
     """A row per reported species with its expected and shared reads."""
-    read, of, phi = estimate.read, estimate.of, estimate.phi
-    total = np.bincount(read, phi, int(read.max()) + 1 if len(read) else 0)
-    phi = phi / total[read] if len(read) else phi
-    row = np.array([rows.get(int(t), -i - 1) if rows else i for i, t in enumerate(tax_ids)], np.int64)
-    row = np.unique(row, return_inverse=True)[1]
-    key = read * (row.max(initial=0) + 1) + row[of] if len(read) else read
-    share = pd.Series(phi).groupby(key).transform("sum").to_numpy() if len(read) else phi
-    expected = np.bincount(of, phi, len(tax_ids))
-    shared = np.bincount(of, np.where(share <= 0.99, phi, 0.0), len(tax_ids))
+    expected, shared = summed_reads(estimate.read, estimate.of, estimate.phi, table_rows(tax_ids, rows))
     s = estimate.species
     alpha = np.full(len(s), np.nan) if estimate.alpha is None else estimate.alpha
     return pd.DataFrame({"sample": sample, "tax_id": tax_ids[s], "abundance": estimate.abundance, "expected_reads": expected[s], "shared_reads": shared[s], "alpha": alpha, "below_detection": estimate.below_detection})
@@ -261,98 +288,182 @@ def frames_of(estimate: Estimate, sample: str, tax_ids: np.ndarray, rows: dict |
 ESTIMATE_SCHEMA = "sample string, tax_id long, abundance double, expected_reads double, shared_reads double, alpha double, below_detection long"
 
 
-def estimate_abundances(read_scores: DataFrame, estimator: str = "vb", row_keys: DataFrame | None = None, **options) -> DataFrame:
-    """One sample a task: a row per reported species, and one with a null tax_id if none is reported.
+def estimate_abundances(read_scores: DataFrame, estimator: str = "vb", row_keys: DataFrame | None = None, one_task: int = ONE_TASK, **options) -> DataFrame:
+    """A row per sample and reported species, and one with a null tax_id if none is reported.
 
     ``row_keys`` (tax_id, row_key) says which species share a row of the output
-    table; reads split only within a row do not count as shared.
+    table; reads split only within a row do not count as shared. Samples of more
+    than ``one_task`` scores stay spread over the cluster.
     """
     if estimator not in ("vb", "em"):
         raise ValueError("estimator must be 'vb' or 'em'")
     fit: Callable[..., Estimate] = fit_vb if estimator == "vb" else fit_em
-    keyed = read_scores.select("sample", "read", "tax_id", "log_score", F.lit(None).cast("long").alias("row_key"))
-    if row_keys is not None:
-        keyed = keyed.drop("row_key").join(row_keys.select("tax_id", F.col("row_key").cast("long").alias("row_key")), "tax_id", "left").select("sample", "read", "tax_id", "log_score", "row_key")
+    scores = written(read_scores.select("sample", "read", "tax_id", "log_score"), "read-scores")
+    large = [r.sample for r in scores.groupBy("sample").agg(F.count("*").alias("n")).where(F.col("n") > one_task).select("sample").collect()]
+    keys = None if row_keys is None else row_keys.select("tax_id", F.col("row_key").cast("long").alias("row_key"))
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         tax_ids, species = np.unique(pdf["tax_id"].to_numpy(np.int64), return_inverse=True)
         read = pd.factorize(pdf["read"], sort=True)[0]
-        scores = Scores.of(read, species, pdf["log_score"].to_numpy(float), len(tax_ids), int(read.max()) + 1)
+        held = Scores.of(read, species, pdf["log_score"].to_numpy(float), len(tax_ids), int(read.max()) + 1)
         known = pdf.dropna(subset=["row_key"]).drop_duplicates("tax_id")
         rows = {int(t): int(k) for t, k in zip(known["tax_id"], known["row_key"], strict=True)}
-        estimate = fit(scores, **options)
+        estimate = fit(held, **options)
         out = frames_of(estimate, str(pdf["sample"].iloc[0]), tax_ids, rows)
         if not len(out):
             out = pd.DataFrame([{"sample": str(pdf["sample"].iloc[0]), "below_detection": estimate.below_detection}])
         return out.reindex(columns=[c.split()[0] for c in ESTIMATE_SCHEMA.split(", ")]).astype({"tax_id": "Int64"})
 
-    return keyed.groupBy("sample").applyInPandas(kernel, ESTIMATE_SCHEMA)
+    small = scores.where(~F.col("sample").isin(large)) if large else scores
+    small = small.withColumn("row_key", F.lit(None).cast("long")) if keys is None else small.join(keys, "tax_id", "left").select(*scores.columns, "row_key")
+    out = small.groupBy("sample").applyInPandas(kernel, ESTIMATE_SCHEMA)
+    if large:
+        blocks = read_blocks(scores.where(F.col("sample").isin(large)))
+        found = [x for s in sorted(large) for x in spread_rows(Spread(blocks, s), estimator, keys, options)]
+        out = out.unionByName(read_scores.sparkSession.createDataFrame(found, ESTIMATE_SCHEMA))
+    return out
 
 
-# -- distributed path -------------------------------------------------------
+# -- samples that stay spread over the cluster --------------------------------
 
+BLOCKS = "sample string, start array<long>, tax_ids array<long>, score array<double>"
 
-def fit_vb_distributed(read_scores: DataFrame, alpha_prior: float = 1.0, tolerance: float = 1e-7, max_iterations: int = 1000, min_abundance: float = 0.001) -> DataFrame:
-    """The variational estimator with reads spread over tasks: sample, tax_id, abundance, alpha.
 
-    Reads are written once as arrays; in each iteration tasks hold the species'
-    weights (one number per sample and species) and return partial sums.
-    """
-    reads = read_scores.groupBy("sample", "read").agg(F.sort_array(F.collect_list(F.struct("tax_id", "log_score"))).alias("hits")).persist()
-    counts = {r.sample: r.n for r in reads.groupBy("sample").agg(F.count("*").alias("n")).collect()}
-    species = {s: np.empty(0, np.int64) for s in counts}
-    for r in read_scores.groupBy("sample").agg(F.sort_array(F.collect_set("tax_id")).alias("t")).collect():
-        species[r.sample] = np.array(r.t, np.int64)
+def read_blocks(scores: DataFrame) -> DataFrame:
+    """Rows of some thousand reads of one sample as flat arrays, in a table of the shared folder by sample."""
+    reads = scores.groupBy("sample", "read").agg(F.collect_list(F.struct("tax_id", "log_score")).alias("hits"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            names, which = np.unique(got.column("sample").to_numpy(zero_copy_only=False), return_inverse=True)
+            out: dict[str, list] = {"sample": names.tolist(), "start": [], "tax_ids": [], "score": []}
+            for k in range(len(names)):
+                hits = got.column("hits").take(pa.array(np.nonzero(which == k)[0]))
+                read, flat = np.repeat(np.arange(len(hits)), np.diff(hits.offsets.to_numpy())), hits.flatten()
+                held = Scores.of(read, flat.field("tax_id").to_numpy(), flat.field("log_score").to_numpy(zero_copy_only=False), 0, len(hits))
+                out["start"].append(held.start)
+                out["tax_ids"].append(held.species)
+                out["score"].append(held.score)
+            yield pa.RecordBatch.from_arrays([pa.array(out["sample"], pa.string()), pa.array(out["start"], pa.list_(pa.int64())), pa.array(out["tax_ids"], pa.list_(pa.int64())), pa.array(out["score"], pa.list_(pa.float64()))], names=list(out))
+
+    path = shared_folder(scores.sparkSession, "read-blocks")
+    reads.mapInArrow(pack, BLOCKS).write.partitionBy("sample").parquet(path)
+    return scores.sparkSession.read.schema(BLOCKS).parquet(path)
+
+
+class Spread:
+    """A sample whose reads stay in blocks: the sums of ``Scores``, each by one job over the blocks."""
+
+    def __init__(self, blocks: DataFrame, sample: str):
+        self.sample, self.blocks = sample, blocks.where(F.col("sample") == sample).persist()
+        self.tax_ids = np.array(sorted(r.t for r in self.blocks.select(F.explode("tax_ids").alias("t")).distinct().collect()), np.int64)
+        self.n_species = len(self.tax_ids)
+        got = self.sums(lambda x: np.array([x.n_reads, x.n_scored], float), 2)
+        self.n_reads, self.n_scored = int(got[0]), int(got[1])
+
+    def sums(self, of: Callable[[Scores], np.ndarray], size: int) -> np.ndarray:
+        """The sum over all blocks of a vector; a task sends one number a slot."""
+        tax_ids = self.tax_ids
 
-    def sums(weights: dict[str, dict[int, float]]) -> dict[str, dict[int, float]]:
         def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total: dict[tuple[str, int], float] = {}
+            total = np.zeros(size)
             for got in batches:
-                for sample, hits in zip(got.column("sample").to_pylist(), got.column("hits").to_pylist(), strict=True):
-                    w = weights.get(sample, {})
-                    live = [(h["tax_id"], h["log_score"] + w[h["tax_id"]]) for h in hits if h["tax_id"] in w]
-                    if live:
-                        top = max(x for _, x in live)
-                        each = [(t, math.exp(x - top)) for t, x in live]
-                        whole = sum(x for _, x in each)
-                        for t, x in each:
-                            total[sample, t] = total.get((sample, t), 0.0) + x / whole
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.int64()), pa.array(list(total.values()), pa.float64())], names=["sample", "tax_id", "phi"])
-
-        out: dict[str, dict[int, float]] = {}
-        for r in reads.mapInArrow(part, "sample string, tax_id long, phi double").groupBy("sample", "tax_id").agg(F.sum("phi").alias("phi")).collect():
-            out.setdefault(r.sample, {})[r.tax_id] = r.phi
+                for i in range(got.num_rows):
+                    start, species, score = (got.column(c)[i].values.to_numpy() for c in ("start", "tax_ids", "score"))
+                    total += of(Scores(start, np.searchsorted(tax_ids, species), score, len(tax_ids)))
+            slots = np.nonzero(total)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(total[slots])], names=["slot", "x"])
+
+        out = np.zeros(size)
+        for r in self.blocks.select("start", "tax_ids", "score").mapInArrow(part, "slot long, x double").groupBy("slot").agg(F.sum("x").alias("x")).collect():
+            out[r.slot] = r.x
         return out
 
-    prior = {s: alpha_prior / len(t) for s, t in species.items()}
-    alpha = {s: np.full(len(t), prior[s] + counts[s] / len(t)) for s, t in species.items()}
-    prunes, done = dict.fromkeys(counts, 0), set()
-    steps = dict.fromkeys(counts, 0)
-    while len(done) < len(counts):
-        open_ = [s for s in counts if s not in done]
-        got = sums({s: dict(zip(species[s].tolist(), expected_log(alpha[s]).tolist(), strict=True)) for s in open_})
-        for s in open_:
-            new = prior[s] + np.array([got.get(s, {}).get(int(t), 0.0) for t in species[s]])
-            moved = np.abs(new / new.sum() - alpha[s] / alpha[s].sum()).max()
-            alpha[s], steps[s] = new, steps[s] + 1
-            if moved < tolerance or steps[s] >= max_iterations:
-                mean = new / new.sum()
-                keep = np.nonzero(mean >= floor_of(counts[s], min_abundance))[0]
-                keep = keep if len(keep) else np.array([int(mean.argmax())])
-                if len(keep) == len(mean) or prunes[s] == MAX_PRUNES:
-                    done.add(s)
-                    continue
-                fresh = alpha_prior / len(keep)
-                alpha[s], species[s] = fresh + (new - prior[s])[keep], species[s][keep]
-                prior[s], steps[s], prunes[s] = fresh, 0, prunes[s] + 1
-    reads.unpersist()
-    rows = []
-    for s in counts:
-        mean = alpha[s] / alpha[s].sum()
-        keep = np.nonzero(mean >= min_abundance)[0] if min_abundance > 0 else np.arange(len(mean))
-        keep = keep if len(keep) else np.arange(len(mean))
-        rows += [(s, int(t), float(m), float(a)) for t, m, a in zip(species[s][keep], mean[keep] / mean[keep].sum(), alpha[s][keep], strict=True)]
-    return read_scores.sparkSession.createDataFrame(rows, "sample string, tax_id long, abundance double, alpha double")
+    def phi_sums(self, weight: np.ndarray) -> np.ndarray:
+        return self.sums(lambda x: np.bincount(x.species, responsibilities(x, weight), x.n_species), self.n_species)
+
+    def em_sums(self, freq: np.ndarray) -> tuple[np.ndarray, float]:
+        got = self.sums(lambda x: np.append(*x.em_sums(freq)), self.n_species + 1)
+        return got[:-1], float(got[-1])
+
+    def summary(self, weight: np.ndarray, reported: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Expected and shared reads of each species and the number of scored reads without a reported one."""
+
+        def of(x: Scores) -> np.ndarray:
+            phi, read = responsibilities(x, weight), x.read
+            mine = np.isin(x.species, reported) & (phi > 0)
+            held = np.bincount(read[mine], phi[mine], x.n_reads)
+            below = np.count_nonzero((np.diff(x.start) > 0) & (held == 0))
+            return np.concatenate((*summed_reads(read[mine], x.species[mine], phi[mine], row), [below]))
+
+        got, n = self.sums(of, 2 * self.n_species + 1), self.n_species
+        return got[:n], got[n : 2 * n], round(got[-1])
+
+
+def vb_spread(scores: Spread, min_abundance: float = 0.001, alpha_prior: float = 1.0, tolerance: float = 1e-7, max_iterations: int = 1000) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``fit_vb`` (the bound apart): live species, their means, alpha, and all log weights of the last step."""
+    tau = floor_of(scores.n_reads, min_abundance)
+    names, prior, alpha, mean, weight = np.arange(scores.n_species), 0.0, None, np.empty(0), np.empty(0)
+    for prunes in range(MAX_PRUNES + 1 if len(names) else 0):
+        before, prior = prior, alpha_prior / len(names)
+        alpha = np.full(len(names), prior + scores.n_scored / len(names)) if alpha is None else prior + (alpha - before)
+        mean = alpha / alpha.sum()
+        for _ in range(max_iterations):
+            weight = np.full(scores.n_species, -np.inf)
+            weight[names] = expected_log(alpha)
+            alpha = prior + scores.phi_sums(weight)[names]
+            last, mean = mean, alpha / alpha.sum()
+            if np.abs(mean - last).max() < tolerance:
+                break
+        keep = np.nonzero(mean >= tau)[0]
+        keep = keep if len(keep) else np.array([int(mean.argmax())])
+        if len(keep) == len(names):
+            break
+        if prunes == MAX_PRUNES:
+            warnings.warn("species are still below the detection floor after the last round", stacklevel=2)
+            break
+        alpha, names = alpha[keep], names[keep]
+    return names, mean, alpha, weight
+
+
+def spread_rows(scores: Spread, estimator: str, keys: DataFrame | None, options: dict) -> list[tuple]:
+    """The rows of ``ESTIMATE_SCHEMA`` of one spread sample."""
+    if estimator == "vb":
+        names, full, alpha, weight = vb_spread(scores, **options)
+        least = options.get("min_abundance", 0.001)
+        keep = np.nonzero(full >= least)[0]
+        keep = keep if len(keep) else np.arange(len(full))
+    else:
+        freq = em_frequencies(scores, options.get("min_abundance", 0.001), options.get("gain", 1e-4), options.get("n_start"))
+        names, alpha = np.nonzero(freq > 0)[0], None
+        full, keep = freq[names], np.arange(len(names))
+        with np.errstate(divide="ignore"):
+            weight = np.log(freq)
+    if not len(keep):
+        scores.blocks.unpersist()
+        return [(scores.sample, None, None, None, None, None, scores.n_scored)]
+    known = None if keys is None else {r.tax_id: r.row_key for r in keys.join(F.broadcast(keys.sparkSession.createDataFrame([(int(t),) for t in scores.tax_ids], "tax_id long")), "tax_id", "left_semi").where("row_key IS NOT NULL").collect()}
+    reported = names[keep]
+    expected, shared, below = scores.summary(weight, reported, table_rows(scores.tax_ids, known))
+    scores.blocks.unpersist()
+    abundance = full[keep] / full[keep].sum()
+    return [(scores.sample, int(scores.tax_ids[s]), float(a), float(expected[s]), float(shared[s]), None if alpha is None else float(alpha[k]), below) for s, a, k in zip(reported, abundance, keep, strict=True)]
+
+
+def fit_vb_distributed(read_scores: DataFrame, **options) -> DataFrame:
+    """The variational estimator with every sample spread over tasks: sample, tax_id, abundance, alpha."""
+    return estimate_abundances(read_scores, one_task=0, **options).where("tax_id IS NOT NULL").select("sample", "tax_id", "abundance", "alpha")
+
+
+def em_rounds(read_scores: DataFrame, rounds: int) -> DataFrame:
+    """Frequencies after a fixed number of rounds from even ones, every sample spread over tasks."""
+    blocks, out = read_blocks(read_scores), []
+    for sample in sorted(r.sample for r in blocks.select("sample").distinct().collect()):
+        scores = Spread(blocks, sample)
+        freq = em_inner(scores, np.full(scores.n_species, 1 / scores.n_species), rounds, 0.0)
+        scores.blocks.unpersist()
+        out += [(sample, int(t), float(f)) for t, f in zip(scores.tax_ids, freq, strict=True)]
+    return read_scores.sparkSession.createDataFrame(out, "sample string, tax_id long, freq double")
 
 
 # -- steps as DataFrame operations ------------------------------------------

@@ -3,22 +3,53 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Deepest walk up a taxonomy tree; beyond it the tree has a loop.
 MAX_DEPTH = 60
 
 
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` in the cluster's shared folder; only where none is set, in one of our own."""
-    spark = df.sparkSession
+def shared_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; only where none is set, one of our own."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path for a table in the shared folder."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, which cuts the lineage."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shared_checkpoint(df: DataFrame) -> DataFrame:
+    """``checkpoint()`` in the cluster's shared folder."""
+    shared_root(df.sparkSession)
     return df.checkpoint()
 
 
+def numbered(df: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """``df`` with a column ``name``: 1, 2, ... in the order of ``by``, without one task that sees all rows.
+
+    Ranges of the order are numbered side by side; the counts of those before, one
+    number a range, are added. ``by`` should order the rows totally.
+    """
+    ranged = written(df.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*by))
+    return ranged.join(F.broadcast(before), "_part").withColumn(name, place + F.col("_before")).drop("_part", "_before")
+
+
 def linked_groups(links: DataFrame) -> DataFrame:
     """``links``: columns a, b of one comparable type. Returns (node, group): the smallest node reachable.
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixspark.functions import expr
-from mixspark.operators.graph import MAX_DEPTH, ancestors, linked_groups
+from mixspark.operators.graph import MAX_DEPTH, ancestors, linked_groups, numbered
 from mixspark.schema import HIGHER_RANKS, RANKS
 
 
@@ -22,7 +22,7 @@ def parsed_headers(sequences: DataFrame, merge_suffixes: bool = False) -> DataFr
 def species_ids(parsed: DataFrame) -> DataFrame:
     """Ids 1..n in alphabetical order over all species, each with its first lineage. One row a species."""
     first = parsed.groupBy("species").agg(F.min(F.struct("ord", *HIGHER_RANKS)).alias("x")).select("species", *[f"x.{r}" for r in HIGHER_RANKS])
-    return first.withColumn("tax_id", F.row_number().over(Window.orderBy("species")).cast("string"))
+    return numbered(first, [F.col("species")], "tax_id").withColumn("tax_id", F.col("tax_id").cast("string"))
 
 
 def dedup_within_species(rows: DataFrame, min_length: int = 900) -> DataFrame:
@@ -34,7 +34,7 @@ def dedup_within_species(rows: DataFrame, min_length: int = 900) -> DataFrame:
 
 def number_sequences(rows: DataFrame, db_name: str) -> DataFrame:
     """seq_id 'taxid:db:n' in file order. Only (ord, tax_id) pass the numbering; sequences are joined after."""
-    n = rows.select("ord", "tax_id").withColumn("n", F.row_number().over(Window.orderBy("ord")))
+    n = numbered(rows.select("ord", "tax_id"), [F.col("ord"), F.col("tax_id")], "n")
     return rows.join(n, ["ord", "tax_id"]).withColumn("seq_id", F.concat_ws(":", "tax_id", F.lit(db_name), F.col("n").cast("string")))
 
 
@@ -73,8 +73,7 @@ def unique_sequences(rows: DataFrame) -> DataFrame:
 
 def reduced_fasta(unique: DataFrame, db_name: str) -> DataFrame:
     """Records numbered by sequence, then tax_id, in order of first sight."""
-    n = F.row_number().over(Window.orderBy("seq_ord", "tax_ord"))
-    order = unique.select("seq_ord", "tax_ord", n.alias("n"))
+    order = numbered(unique.select("seq_ord", "tax_ord"), [F.col("seq_ord"), F.col("tax_ord")], "n")
     out = unique.join(order, ["seq_ord", "tax_ord"])
     return out.select("n", F.concat_ws(":", "tax_id", F.lit(db_name), F.col("n").cast("string")).alias("seq_id"), "tax_id", F.array_join("descriptions", "; ").alias("description"), "seq")
 
@@ -126,8 +125,7 @@ def identical_groups(carried: DataFrame) -> DataFrame:
     names = shared.groupBy("tax_id", "species", "genus").agg(expr.joined_set(F.collect_set("other")).alias("identical_16s_species"))
     placed = names.join(groups.withColumnRenamed("node", "tax_id"), "tax_id")
     sizes = placed.groupBy("group").agg(F.count("*").alias("group_size"), F.min("species").alias("first"))
-    order = Window.orderBy(F.desc("group_size"), "first", "group")
-    labels = sizes.withColumn("label", F.concat(F.lit("G"), F.row_number().over(order).cast("string")))
+    labels = numbered(sizes, [F.desc("group_size"), F.col("first"), F.col("group")], "n").withColumn("label", F.concat(F.lit("G"), F.col("n").cast("string"))).drop("n")
     return placed.join(labels, "group").select("tax_id", "species", "genus", F.col("label").alias("group"), "group_size", "identical_16s_species")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from mixspark.functions import expr, special
 from mixspark.operators import assemble, consolidate, estimate, refdb, scoring
+from mixspark.operators.graph import numbered
 from mixspark.plans import api, proxies
 from mixspark.schema import HIGHER_RANKS, RANKS
 from mixspark.sources import readers
@@ -86,16 +87,8 @@ def em_step(spark, sf):
 
 @query
 def em_fixed20(spark, sf):
-    """Twenty rounds in each sample's task."""
-
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        tax_ids, species = np.unique(pdf["tax_id"], return_inverse=True)
-        read = pd.factorize(pdf["read"], sort=True)[0]
-        scores = estimate.Scores.of(read, species, pdf["log_score"].to_numpy(float), len(tax_ids), int(read.max()) + 1)
-        freq = estimate.em_inner(scores, np.full(len(tax_ids), 1 / len(tax_ids)), 20, 0.0)
-        return pd.DataFrame({"sample": pdf["sample"].iloc[0], "tax_id": tax_ids, "freq": freq.round(5)})
-
-    return _scores(spark, sf).groupBy("sample").applyInPandas(kernel, "sample string, tax_id long, freq double")
+    """Twenty rounds over the whole table."""
+    return rounded(estimate.em_rounds(_scores(spark, sf), 20), 5, "freq")
 
 
 @query
@@ -315,8 +308,7 @@ def ranked_ancestor(spark, sf):
 def taxonomy_sorted(spark, sf):
     """Numbers by value before text."""
     rows = proxies.taxonomy(spark, sf).select(F.when(F.col("tax_id").cast("long") % 6 == 1, F.concat(F.lit("x"), "tax_id")).otherwise(F.col("tax_id")).alias("tax_id"), "species")
-    place = F.row_number().over(Window.orderBy(*expr.tax_id_order(F.col("tax_id"))))
-    return rows.select("tax_id", "species", place.cast("long").alias("place"))
+    return numbered(rows, [*expr.tax_id_order(F.col("tax_id"))], "place").withColumn("place", F.col("place").cast("long"))
 
 
 @query

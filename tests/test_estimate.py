@@ -83,6 +83,32 @@ def test_three_paths(spark):
     assert abs(bound - estimate.bound(scores, phi, estimate.updated_alpha(scores, phi, 1 / 8), 1 / 8)) < 1e-6
 
 
+@pytest.mark.parametrize("estimator", ["vb", "em"])
+@pytest.mark.parametrize("least", [0.0, 0.001, 0.05])
+def test_spread_sample_equals_one_task(spark, estimator, least):
+    case = simulated(7, 1200, 12)
+    rows = [("s", f"r{r}", int(t) + 40, float(x)) for r, t, x in zip(*case[:3], strict=True)]
+    rows += [("s", "r1", 41, -90.0), ("s", "none", 42, float("-inf")), ("s", "odd", 99, -7.0), ("small", "a", 41, -1.0)]
+    frame = spark.createDataFrame(rows, "sample string, read string, tax_id long, log_score double")
+    keys = spark.createDataFrame([(40, 1), (41, 1), (42, 2)], "tax_id long, row_key long")
+    one = estimate.estimate_abundances(frame, estimator, keys, min_abundance=least).collect()
+    spread = estimate.estimate_abundances(frame, estimator, keys, one_task=1, min_abundance=least).collect()
+    want, got = ({(r.sample, r.tax_id): r for r in x} for x in (one, spread))
+    assert want.keys() == got.keys() and len(one) == len(want) == len(spread)
+    for k, w in want.items():
+        assert got[k].below_detection == w.below_detection
+        for c in ("abundance", "expected_reads", "shared_reads", "alpha"):
+            a, b = w[c], got[k][c]
+            assert (b is None or math.isnan(b)) if a is None or math.isnan(a) else abs(a - b) < 1e-6
+
+
+def test_spread_sample_without_a_species(spark):
+    rows = [("s", f"r{t}-{k}", t, -1.0) for t in range(300) for k in range(4)]
+    frame = spark.createDataFrame(rows, "sample string, read string, tax_id long, log_score double")
+    one, spread = (estimate.estimate_abundances(frame, "em", one_task=n).collect() for n in (10_000, 10))
+    assert [(r.tax_id, r.below_detection) for r in one] == [(r.tax_id, r.below_detection) for r in spread] == [(None, 1200)]
+
+
 def certain(counts):
     species = np.repeat(np.array(list(counts)), list(counts.values()))
     n = len(species)
