@@ -9,7 +9,8 @@ members to one centre, so a bucket of n classes gives n - 1 candidates, never
 all pairs. Every candidate is confirmed on the two full sets. Further rounds draw
 other centres in those buckets that still hold more than one component, and look
 only at members outside the centre's component: a link that one centre does not
-show is found from another band's centre or a later round's.
+show is found from another band's centre or a later round's. Rounds end with the
+first that finds no link; at least one follows the first.
 
 Defined cases: a null or empty text, or one without words, has no shingles and is
 linked with nothing; a document without an id takes no part and is not kept;
@@ -20,6 +21,7 @@ empty table; other columns are ignored.
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -32,8 +34,6 @@ from mixspark.llm.components import connected_components
 
 SHINGLE, BANDS, ROWS = 5, 32, 4
 BINS = BANDS * ROWS
-#: Rounds of stars after the first; each draws other centres.
-MORE_ROUNDS = 2
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -149,7 +149,7 @@ def near_duplicates(df: DataFrame, per_cent: int = 75, id_col: str = "doc_id", t
     candidates = materialise(source.join(wanted, "doc_id"), "candidates")
 
     edges = rejected = roots = None
-    for turn in range(1 + MORE_ROUNDS):
+    for turn in count():
         placed = bucketed.withColumn("comp", F.col("rep"))
         if roots is not None:
             placed = bucketed.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")

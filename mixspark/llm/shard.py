@@ -24,6 +24,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mixspark.llm.common import materialise
+
 BITS = 4
 #: Pieces that the fullest cells are split into, over all cells; least rows of a piece.
 PIECES, PIECE_ROWS = 4096, 1000
@@ -70,7 +72,9 @@ def _xor_all(columns: list[Column]) -> Column:
 def quantised(df: DataFrame, dims: Mapping[str, Column], bits: int = BITS) -> DataFrame:
     """``df`` with a level 0 to 2**bits - 1 for each dimension, in columns q_<name>."""
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    cuts = df.select(*[F.percentile_approx(c, shares, 10_000).alias(f"cuts_{k}") for k, c in dims.items()])
+    # Approximate quantiles depend on the order of merging, so they are written once:
+    # both readings of the levels, and retried tasks, then see the same cuts.
+    cuts = materialise(df.select(*[F.percentile_approx(c, shares, 10_000).alias(f"cuts_{k}") for k, c in dims.items()]), "level-cuts")
     joined = df.crossJoin(F.broadcast(cuts))  # one row, 15 numbers a dimension
     level = lambda k, c: F.coalesce(F.size(F.filter(F.col(f"cuts_{k}"), lambda cut: cut < c)), F.lit(0))
     return joined.select(*df.columns, *[F.when(c.isNull() | F.col(f"cuts_{k}").isNull(), F.lit(0)).otherwise(level(k, c)).alias(f"q_{k}") for k, c in dims.items()])
