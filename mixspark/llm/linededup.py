@@ -1,15 +1,16 @@
 """Line deduplication by pairwise alignment.
 
 Documents overlap where they share a rare line, by the hash of the whole line. A
-line is rare if it has at least ``RARE_WORDS`` words and at most ``RARE_DOCS``
-documents hold it; a line of ``LONG_WORDS`` words or more is too long to recur by
-chance and counts however many hold it. Shorter lines that more documents hold are
-boilerplate, which does not make two documents overlap. Each rare line leads from
-the first document (smallest id) that holds it, in a star, to every later one: a
-line that n documents hold gives n - 1 pairs, so no cap is needed. Each distinct
-pair is aligned with patience diff on the hashes of all its lines. Runs of aligned
-lines that hold a shared rare line are common blocks; they are deleted from the
-later document. The first holder of a rare line always keeps it.
+line is rare if it has at least ``RARE_WORDS`` words, however many documents hold
+it. Each rare line leads from the first document (smallest id) that holds it, in a
+star, to every later one: a line that n documents hold gives n - 1 pairs, so no cap
+is needed. Each distinct pair is aligned with patience diff on the hashes of all its
+lines. Runs of aligned lines that hold a shared rare line are common blocks; they
+are deleted from the later document. The first holder of a rare line always keeps it.
+
+Only what a block says can make it boilerplate, which stays: a block of less than
+``BLOCK_WORDS`` words that is not the whole later document and whose shared lines
+are all held by more than ``RARE_DOCS`` documents.
 
 Only hashes of lines move to the alignment, at most once for each pair; the texts
 move once, for the deletion.
@@ -33,9 +34,12 @@ from pyspark.sql import functions as F
 
 from mixspark.llm.common import arrow_map, batch, materialise, texts
 
-#: Least words of a rare line, most documents that hold it; words from which a line counts however many hold it.
+#: Least words of a rare line, most documents that prove a block by such a line alone, words of a long line.
 RARE_WORDS, RARE_DOCS, LONG_WORDS = 5, 64, 20
 
+#: Words from which a common block goes however many documents hold its lines.
+BLOCK_WORDS = 8
+
 
 def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     """Aligned runs (start in a, start in b, length), in order and disjoint.
@@ -85,39 +89,44 @@ def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return blocks
 
 
-def line_table(source: DataFrame, rare_words: int = RARE_WORDS, long_words: int = LONG_WORDS) -> DataFrame:
-    """doc_id, hashes of all lines, and of each line 0 (short), 1 or 2 (long)."""
+def line_table(source: DataFrame) -> DataFrame:
+    """doc_id, hashes of all lines, and the number of words of each (from BLOCK_WORDS on, that number)."""
     lines = F.split(F.col("text"), "\n", -1)
     words = lambda x, n: F.regexp_like(x, F.lit(rf"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{{n - 1}}}[^\x20\x09-\x0D]"))
-    kind = lambda x: F.when(~words(x, rare_words), 0).when(words(x, long_words), 2).otherwise(1)
-    table = source.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.transform(lines, lambda x: F.xxhash64(x)).alias("lines"), F.transform(lines, kind).alias("kinds"))
-    return table.where(F.exists("kinds", lambda x: x > 0))
+    count = lambda x: F.coalesce(*[F.when(words(x, n), n) for n in range(BLOCK_WORDS, 0, -1)], F.lit(0))
+    table = source.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.transform(lines, lambda x: F.xxhash64(x)).alias("lines"), F.transform(lines, count).alias("words"))
+    return table.where(F.exists("words", lambda n: n >= RARE_WORDS))
 
 
 def common_blocks(source: DataFrame, rare_docs: int = RARE_DOCS) -> DataFrame:
     """(doc_id, removed): numbers of the lines that go, for documents that lose any."""
     table = materialise(line_table(source), "lines")
     if table.groupBy("doc_id").count().where("count > 1").take(1):
-        table = table.groupBy("doc_id").agg(F.min(F.struct("lines", "kinds")).alias("x")).select("doc_id", "x.*")
-    spots = F.array_distinct(F.expr("filter(transform(lines, (h, i) -> struct(h, kinds[i] AS kind)), x -> x.kind > 0)"))
+        table = table.groupBy("doc_id").agg(F.min(F.struct("lines", "words")).alias("x")).select("doc_id", "x.*")
+    spots = F.array_distinct(F.expr(f"filter(transform(lines, (h, i) -> struct(h, words[i] AS n_words)), x -> x.n_words >= {RARE_WORDS})"))
     held = table.select("doc_id", F.inline(spots))
-    first = held.groupBy("h", "kind").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where(f"n > 1 AND (kind = 2 OR n <= {rare_docs})").select("h", "first")
+    first = held.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first", F.expr(f"n <= {rare_docs}").alias("few"))
     first = materialise(first, "first-holders")  # written first, so that the join can split a hot line
-    pairs = held.join(first, "h").where("doc_id <> first").groupBy("doc_id", "first").agg(F.collect_set("h").alias("shared"))
+    pairs = held.join(first, "h").where("doc_id <> first").groupBy("doc_id", "first").agg(F.collect_set("h").alias("shared"), F.collect_set(F.when(F.col("few"), F.col("h"))).alias("few"))
     earlier = table.select(F.col("doc_id").alias("first"), F.col("lines").alias("first_lines"))
     types = {"doc_id": pa.int64(), "removed": pa.list_(pa.int32())}
 
     def rows(got: pa.RecordBatch) -> pa.RecordBatch | None:
         out: dict[str, list] = {"doc_id": [], "removed": []}
-        for doc, lines, other, shared in zip(*(got.column(c).to_pylist() for c in ("doc_id", "lines", "first_lines", "shared")), strict=True):
-            proof = set(shared)
-            gone = [k for _, j, n in patience_blocks(other, lines) if not proof.isdisjoint(lines[j : j + n]) for k in range(j, j + n)]
+        for doc, lines, words, other, shared, few in zip(*(got.column(c).to_pylist() for c in ("doc_id", "lines", "words", "first_lines", "shared", "few")), strict=True):
+            proof, alone = set(shared), set(few)
+
+            def goes(j: int, n: int) -> bool:
+                block = lines[j : j + n]
+                return not proof.isdisjoint(block) and (n == len(lines) or sum(words[j : j + n]) >= BLOCK_WORDS or not alone.isdisjoint(block))
+
+            gone = [k for _, j, n in patience_blocks(other, lines) if goes(j, n) for k in range(j, j + n)]
             if gone:
                 out["doc_id"].append(doc)
                 out["removed"].append(np.asarray(gone, np.int32))
         return batch(types, out)
 
-    both = materialise(pairs, "overlaps").join(earlier, "first").join(table, "doc_id").select("doc_id", "lines", "first_lines", "shared")
+    both = materialise(pairs, "overlaps").join(earlier, "first").join(table, "doc_id").select("doc_id", "lines", "words", "first_lines", "shared", "few")
     aligned = arrow_map(both, rows, "doc_id long, removed array<int>")
     return aligned.select("doc_id", F.explode("removed").alias("k")).groupBy("doc_id").agg(F.array_sort(F.collect_set("k")).alias("removed"))
 

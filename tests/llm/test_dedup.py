@@ -123,3 +123,17 @@ def test_lines_that_many_hold(spark):
     got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(table(spark, docs)).collect()}
     assert all(got[i] == 0 for i in range(80))
     assert got[100] == 0 and all(got[i] == 1 for i in range(101, 190))
+
+
+def test_short_lines_of_many_copies(spark):
+    """Copies and wrapped passages of short lines go when more than RARE_DOCS documents hold them, too."""
+    passage = prose(random.Random(2), 60).split()
+    wrapped = "\n".join(" ".join(passage[k : k + 12]) for k in range(0, 60, 12))
+    docs = {i: f"own words {i} are here to stay\n{wrapped}\nown tail {i}" for i in range(70)}
+    docs |= {i: "a small text of six words" for i in range(100, 170)}
+    docs |= {i: f"first words {i} of this one\nthis licence line has ten words and stands all alone\nlast words {i} of it" for i in range(200, 270)}
+    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(table(spark, docs)).collect()}
+    assert all(got[i] == 0 for i in (0, 100, 200))
+    assert {got[i] for i in range(1, 70)} == {5}
+    assert {got[i] for i in range(101, 170)} == {1}
+    assert {got[i] for i in range(201, 270)} == {1}
