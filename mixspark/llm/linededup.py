@@ -5,8 +5,10 @@ line is rare if it has at least ``RARE_WORDS`` words, however many documents hol
 it. Each rare line leads from the first document (smallest id) that holds it, in a
 star, to every later one: a line that n documents hold gives n - 1 pairs, so no cap
 is needed. Each distinct pair is aligned with patience diff on the hashes of all its
-lines. Runs of aligned lines that hold a shared rare line are common blocks; they
-are deleted from the later document. The first holder of a rare line always keeps it.
+lines. A shared rare line of the later document that this leaves over (repeated on a
+side, or in another order) is laid beside the first holder's line with the same
+neighbour, and grows to a run with the equal lines around it. Runs of aligned lines
+that hold a shared rare line are common blocks; they are deleted from the later document. The first holder of a rare line always keeps it.
 
 Only what a block says can make it boilerplate, which stays: a block of less than
 ``BLOCK_WORDS`` words that is not the whole later document and whose shared lines
@@ -89,6 +91,47 @@ def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return blocks
 
 
+def blocks_left_over(a: list[int], b: list[int], blocks: list[tuple[int, int, int]], shared: set[int]) -> list[tuple[int, int, int]]:
+    """Runs as above, disjoint in b, for the lines of ``shared`` that ``blocks`` leave over in b; lines of a count again.
+
+    Each is laid beside one line of a: one with the same next line, else with the
+    same line before, else the first. Time grows with both lengths only.
+    """
+    done = bytearray(len(b))
+    for _, j, n in blocks:
+        done[j : j + n] = bytes([1]) * n
+    left = [j for j, h in enumerate(b) if not done[j] and h in shared]
+    if not left:
+        return []
+    at: dict[int, int] = {}
+    with_next: dict[tuple[int, int], int] = {}
+    with_last: dict[tuple[int, int], int] = {}
+    for i, h in enumerate(a):
+        if h in shared:
+            at.setdefault(h, i)
+            if i + 1 < len(a):
+                with_next.setdefault((h, a[i + 1]), i)
+            if i:
+                with_last.setdefault((h, a[i - 1]), i)
+    found = []
+    for j in left:
+        if done[j] or b[j] not in at:
+            continue
+        i = with_next.get((b[j], b[j + 1])) if j + 1 < len(b) else None
+        if i is None and j:
+            i = with_last.get((b[j], b[j - 1]))
+        if i is None:
+            i = at[b[j]]
+        back, on = 0, 1
+        while back < min(i, j) and not done[j - back - 1] and a[i - back - 1] == b[j - back - 1]:
+            back += 1
+        while i + on < len(a) and j + on < len(b) and not done[j + on] and a[i + on] == b[j + on]:
+            on += 1
+        done[j - back : j + on] = bytes([1]) * (back + on)
+        found.append((i - back, j - back, back + on))
+    return found
+
+
 def line_table(source: DataFrame) -> DataFrame:
     """doc_id, hashes of all lines, and the number of words of each (from BLOCK_WORDS on, that number)."""
     lines = F.split(F.col("text"), "\n", -1)
@@ -120,7 +163,9 @@ def common_blocks(source: DataFrame, rare_docs: int = RARE_DOCS) -> DataFrame:
                 block = lines[j : j + n]
                 return not proof.isdisjoint(block) and (n == len(lines) or sum(words[j : j + n]) >= BLOCK_WORDS or not alone.isdisjoint(block))
 
-            gone = [k for _, j, n in patience_blocks(other, lines) if goes(j, n) for k in range(j, j + n)]
+            blocks = patience_blocks(other, lines)
+            blocks += blocks_left_over(other, lines, blocks, proof)
+            gone = [k for _, j, n in blocks if goes(j, n) for k in range(j, j + n)]
             if gone:
                 out["doc_id"].append(doc)
                 out["removed"].append(np.asarray(gone, np.int32))
@@ -139,6 +184,7 @@ def without_blocks(df: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_
     left = F.filter(lines, lambda x, i: ~F.array_contains("_removed", i))
     kept = F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(left, "\n"))
     counts = [F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("_n_lines"), F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("_n_removed")]
+    gone = gone.hint("shuffle_hash")  # as large inputs join anyway: documents that lose lines grow with the input
     return df.join(gone, df[id_col] == gone["_id"], "left").select(*[kept.alias(c) if c == text_col else F.col(c) for c in df.columns], *counts)
 
 

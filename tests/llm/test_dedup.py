@@ -137,3 +137,32 @@ def test_short_lines_of_many_copies(spark):
     assert {got[i] for i in range(1, 70)} == {5}
     assert {got[i] for i in range(101, 170)} == {1}
     assert {got[i] for i in range(201, 270)} == {1}
+
+
+def test_repeated_and_moved_lines(spark):
+    """Shared lines go however often either side has them and in whatever order."""
+    x, y, z = (f"{name} line of a passage that is long enough to count" for name in ("first", "second", "third"))
+    docs = {
+        1: f"one\n{x}\nmiddle one\n{x}\nend one\n{y}\n\n{z}\nlast one",
+        2: f"two\n{x}\nleft two",  # twice in the first holder only
+        3: f"three\n{y}\nthen\n{y}\nleft three",  # twice in the later document only
+        4: f"four\n{x}\nthen\n{x}\nleft\n{x}\nfour",  # on both sides
+        5: f"five\n{z}\nmoved\n{y}\nleft\n{x}\nfive",  # in another order
+        6: f"six\n{y}\n\n{z}\nleft\n{y}\n\n{z}\nsix",  # a whole run twice
+    }
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(table(spark, docs)).collect()}
+    assert got[1] == docs[1]
+    assert [got[i] for i in range(2, 7)] == ["two\nleft two", "three\nthen\nleft three", "four\nthen\nleft\nfour", "five\nmoved\nleft\nfive", "six\nleft\nsix"]
+
+
+def test_blocks_left_over():
+    rng = random.Random(8)
+    for _ in range(300):
+        a, b = ([rng.randrange(12) for _ in range(rng.randrange(25))] for _ in range(2))
+        shared = set(a) & set(b) & set(range(8))
+        blocks = linededup.patience_blocks(a, b)
+        seen = [k for _, j, n in blocks for k in range(j, j + n)]
+        for i, j, n in linededup.blocks_left_over(a, b, blocks, shared):
+            assert a[i : i + n] == b[j : j + n] and n > 0
+            seen += range(j, j + n)
+        assert len(seen) == len(set(seen)) and {j for j, h in enumerate(b) if h in shared} <= set(seen)
