@@ -5,12 +5,16 @@ fewer words the whole sequence). One permutation is cut into bins; an empty bin
 takes the value of the first filled bin in its own random order (optimal
 densification). Rows of bins make bands; documents with an equal band share a
 bucket. Equal sets are one class from the start. In each bucket a star joins all
-members to one centre, so a bucket of n classes gives n - 1 candidates, never
-all pairs. Every candidate is confirmed on the two full sets. Further rounds draw
-other centres in those buckets that still hold more than one component, and look
-only at members outside the centre's component: a link that one centre does not
-show is found from another band's centre or a later round's. Rounds end with the
-first that finds no link; at least one follows the first.
+members to one centre, the one that shares most buckets with others. Every candidate
+is confirmed on the two full sets. Further rounds look only into buckets that still
+hold more than one component: centres are members outside the bucket's largest
+component, the first by shared buckets and a share of the others that grows
+``GROWTH``-fold a round, and each meets the members outside its own component. A
+bucket ends with one component, or when all members outside its largest component
+have been centres, that is when each pair of its members is linked by a path or has
+been confirmed to be none; so every link inside a bucket is found. Pairs grow with
+the square only in buckets whose members are not linked. Sets whose sizes alone rule
+a link out make no pair.
 
 Defined cases: a null or empty text, or one without words, has no shingles and is
 linked with nothing; a document without an id takes no part and is not kept;
@@ -35,6 +39,9 @@ from mixspark.llm.components import connected_components
 SHINGLE, BANDS, ROWS = 5, 32, 4
 BINS = BANDS * ROWS
 
+#: By how much the number of centres in a bucket grows from round to round.
+GROWTH = 16
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
@@ -139,33 +146,47 @@ def near_duplicates(df: DataFrame, per_cent: int = 75, id_col: str = "doc_id", t
     whole = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     first = whole.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     first = materialise(first, "first-of-class")
-    member = materialise(whole.join(first, ["k1", "k2", "n_shingles"]).select("doc_id", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")), "classes")
+    member = materialise(whole.join(first, ["k1", "k2", "n_shingles"]).select("doc_id", "rep", "n_shingles", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")), "classes")
 
-    items = member.where("bands IS NOT NULL").select("rep", F.posexplode("bands").alias("band", "key"))
-    shared = items.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    items = member.where("bands IS NOT NULL").select("rep", "n_shingles", F.posexplode("bands").alias("band", "key"))
+    shared = items.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     shared = materialise(shared, "shared-buckets")  # written first, so that the join can split a hot bucket
     bucketed = materialise(items.join(shared, ["band", "key"]), "buckets")
-    wanted = bucketed.select(F.col("rep").alias("doc_id")).distinct()
-    candidates = materialise(source.join(wanted, "doc_id"), "candidates")
+    known = materialise(bucketed.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
+    candidates = materialise(source.join(known.select(F.col("rep").alias("doc_id")), "doc_id"), "candidates")
 
-    edges = rejected = roots = None
+    edges = rejected = None
+    roots = known.select(F.col("rep").alias("node"), F.col("rep").alias("root")).where("false")
     for turn in count():
-        placed = bucketed.withColumn("comp", F.col("rep"))
-        if roots is not None:
-            placed = bucketed.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
-        by = F.col("rep") if turn == 0 else F.xxhash64("rep", "band", F.lit(turn))
-        centre = placed.groupBy("band", "key").agg(F.min(F.struct(by.alias("by"), F.col("rep").alias("rep"), F.col("comp").alias("comp"))).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band", "key", F.col("c.rep").alias("b"), F.col("c.comp").alias("b_comp"))
-        centre = materialise(centre, "centres")
-        pairs = placed.join(centre, ["band", "key"]).where("comp <> b_comp").select(F.col("rep").alias("a"), "b").distinct()
+        # Buckets drawn in full by the round before are complete.
+        open_ = bucketed.where(F.col("n") > GROWTH ** (turn - 1)) if turn > 1 else bucketed
+        state = known.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "weight", F.coalesce("root", "rep").alias("comp"))
+        placed = open_.join(state, "rep")
+        part = placed.groupBy("band", "key", "comp").agg(F.count("*").alias("of_comp"), F.max(F.struct("weight", "rep")).alias("best"))
+        # In the first round each member is a component; the best of all is the centre.
+        chief = part.groupBy("band", "key").agg(F.max_by("comp", F.struct("of_comp", "comp")).alias("largest"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band", "key", "largest")
+        chief = materialise(chief, "largest-components")
+        if turn and not chief.take(1):
+            break
+        outside = placed.join(chief, ["band", "key"])
+        if turn:
+            outside = outside.where("comp <> largest")
+            drawn = F.pmod(F.xxhash64("rep", "band"), F.col("n")) < GROWTH**turn
+        else:
+            drawn = F.lit(False)
+        best = outside.groupBy("band", "key").agg(F.max(F.struct("weight", "rep", "comp", "n_shingles")).alias("c")).select("band", "key", "c.rep", "c.comp", "c.n_shingles")
+        centre = best.union(outside.where(drawn).select("band", "key", "rep", "comp", "n_shingles")).distinct()
+        centre = materialise(centre.select("band", "key", F.col("rep").alias("c"), F.col("comp").alias("c_comp"), F.col("n_shingles").alias("c_size")), "centres")
+        alike = F.lit(100) * F.least("n_shingles", "c_size") >= F.lit(per_cent) * F.greatest("n_shingles", "c_size")
+        pairs = placed.join(centre, ["band", "key"]).where(F.col("comp") != F.col("c_comp")).where(alike).select(F.greatest("rep", "c").alias("a"), F.least("rep", "c").alias("b")).distinct()
         if rejected is not None:
             pairs = pairs.join(rejected, ["a", "b"], "left_anti")
         checked = materialise(confirm(materialise(pairs, "pairs"), candidates, per_cent), "confirmed")
         linked, failed = checked.where("linked").select("a", "b"), checked.where("NOT linked").select("a", "b")
-        if turn and not linked.take(1):
-            break
-        edges = linked if edges is None else edges.union(linked)
         rejected = failed if rejected is None else rejected.union(failed)
-        roots = connected_components(edges)
+        if linked.take(1):
+            edges = linked if edges is None else edges.union(linked)
+            roots = connected_components(edges)
     release(bucketed, candidates)
     classed = member.select("doc_id", "rep").distinct().join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("class_root")).groupBy("doc_id").agg(F.min("class_root").alias("class_root"))
     out = signed.select("doc_id", "n_shingles").join(classed, "doc_id", "left")

@@ -166,3 +166,20 @@ def test_blocks_left_over():
             assert a[i : i + n] == b[j : j + n] and n > 0
             seen += range(j, j + n)
         assert len(seen) == len(set(seen)) and {j for j, h in enumerate(b) if h in shared} <= set(seen)
+
+
+def test_many_edits_of_one_original(spark):
+    """Each edit is linked with the original only, which is not the smallest id; none may be lost."""
+    rng = random.Random(12)
+    w, docs = prose(rng, 400).split(), {}
+    for i in range(600):
+        edit = w[:]
+        for k in rng.sample(range(5, 390, 6), 10):
+            edit[k] = f"new{i}x{k}"
+        docs[i] = " ".join(edit)
+    docs[900] = " ".join(w)
+    sets = {k: brute.shingles(t) for k, t in docs.items()}
+    assert all(100 * len(s & sets[900]) >= 75 * len(s | sets[900]) for s in sets.values())
+    assert 100 * len(sets[0] & sets[1]) < 70 * len(sets[0] | sets[1])
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(table(spark, docs)).collect()}
+    assert set(got.values()) == {0}
