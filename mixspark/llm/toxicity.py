@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mixspark.llm.common import arrow_map, batch, texts
+from mixspark.llm.common import SLICE, arrow_map, batch, bounded_batches, texts
 from mixspark.llm.neardup import mix
 
 #: Toxic rows that train at most; clean ones are twice as many.
@@ -295,10 +295,10 @@ def toxicity(docs: DataFrame, machine: Machine | None, threshold: float = 0.3, i
 def reject_toxic(df: DataFrame, machine: Machine | None, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, that are not predicted toxic."""
 
-    def rows(got: pa.RecordBatch) -> pa.RecordBatch:
-        if not machine:
-            return got
-        score = machine.scores([t or "" for t in got.column(text_col).to_pylist()])
-        return got.filter(pa.array(score < threshold))
+    @F.arrow_udf("boolean")
+    def clean(all_texts: pa.Array) -> pa.Array:
+        out = [machine.scores([t or "" for t in all_texts.slice(at, SLICE).to_pylist()]) < threshold for at in range(0, len(all_texts), SLICE)]
+        return pa.array(np.concatenate(out) if out else [], pa.bool_())
 
-    return arrow_map(df, rows, df.schema)
+    bounded_batches(df.sparkSession)
+    return df.where(clean(F.col(text_col).cast("string"))) if machine else df
