@@ -1,27 +1,24 @@
 """Line deduplication by pairwise alignment.
 
-Documents overlap where they share a rare line, by the hash of the whole line. A
-line is rare if it has at least ``RARE_WORDS`` words, however many documents hold
-it. Each rare line leads from the first document (smallest id) that holds it, in a
-star, to every later one: a line that n documents hold gives n - 1 pairs, so no cap
-is needed. Each distinct pair is aligned with patience diff on the hashes of all its
-lines. A shared rare line of the later document that this leaves over (repeated on a
-side, or in another order) is laid beside the first holder's line with the same
-neighbour, and grows to a run with the equal lines around it. Runs of aligned lines
-that hold a shared rare line are common blocks; they are deleted from the later document. The first holder of a rare line always keeps it.
-
-Only what a block says can make it boilerplate, which stays: a block of less than
-``BLOCK_WORDS`` words that is not the whole later document and whose shared lines
-are all held by more than ``RARE_DOCS`` documents.
+Documents overlap where they share a line, by the hash of the whole line, that says
+enough to be rare: at least ``RARE_WORDS`` words. What a line says decides, never how
+many documents hold it. Each such line leads from the first document (smallest id)
+that holds it, in a star, to every later one: a line that n documents hold gives
+n - 1 pairs, so no cap is needed. Each distinct pair is aligned with patience diff on
+the hashes of all its lines. A shared rare line of the later document that this
+leaves over (repeated on a side, or in another order) is laid beside the first
+holder's line with the same neighbour, and grows to a run with the equal lines around
+it. Runs of aligned lines that hold a shared rare line are common blocks; they are
+deleted from the later document. The first holder of a rare line always keeps it.
 
 Only hashes of lines move to the alignment, at most once for each pair; the texts
 move once, for the deletion.
 
 Defined cases: a null text stays null; an empty text has one empty line and stays;
-texts of any length are aligned whole; rows with equal ids are one document of the
-first row's lines (the smallest line hashes); a null id takes no part; lines are
-what stands between line feeds; an empty table gives an empty table; other columns
-are ignored.
+texts of any length are aligned whole; rows with equal ids are documents of their
+own, and of equal rows one stays; null ids come first; lines are what stands between
+line feeds; an empty table gives an empty table; other columns, whatever their names,
+are left alone.
 """
 
 from __future__ import annotations
@@ -34,13 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixspark.llm.common import arrow_map, batch, materialise, texts
+from mixspark.llm.common import arrow_map, batch, materialise, named, restored
 
-#: Least words of a rare line, most documents that prove a block by such a line alone, words of a long line.
-RARE_WORDS, RARE_DOCS, LONG_WORDS = 5, 64, 20
-
-#: Words from which a common block goes however many documents hold its lines.
-BLOCK_WORDS = 8
+#: Least words of a rare line.
+RARE_WORDS = 5
 
 
 def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -133,63 +127,58 @@ def blocks_left_over(a: list[int], b: list[int], blocks: list[tuple[int, int, in
 
 
 def line_table(source: DataFrame) -> DataFrame:
-    """doc_id, hashes of all lines, and the number of words of each (from BLOCK_WORDS on, that number)."""
+    """row, doc_id, hashes of all lines, and whether each has the words to be rare."""
     lines = F.split(F.col("text"), "\n", -1)
-    words = lambda x, n: F.regexp_like(x, F.lit(rf"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{{n - 1}}}[^\x20\x09-\x0D]"))
-    count = lambda x: F.coalesce(*[F.when(words(x, n), n) for n in range(BLOCK_WORDS, 0, -1)], F.lit(0))
-    table = source.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.transform(lines, lambda x: F.xxhash64(x)).alias("lines"), F.transform(lines, count).alias("words"))
-    return table.where(F.exists("words", lambda n: n >= RARE_WORDS))
+    rare = lambda x: F.regexp_like(x, F.lit(rf"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{{RARE_WORDS - 1}}}[^\x20\x09-\x0D]"))
+    table = source.where("text IS NOT NULL").select("row", "doc_id", F.transform(lines, lambda x: F.xxhash64(x)).alias("lines"), F.transform(lines, rare).alias("rare"))
+    return table.where(F.exists("rare", lambda x: x))
 
 
-def common_blocks(source: DataFrame, rare_docs: int = RARE_DOCS) -> DataFrame:
-    """(doc_id, removed): numbers of the lines that go, for documents that lose any."""
+def common_blocks(source: DataFrame) -> DataFrame:
+    """(row, removed): numbers of the lines that go, for rows that lose any. ``source``: row, doc_id, text; rows are distinct."""
     table = materialise(line_table(source), "lines")
-    if table.groupBy("doc_id").count().where("count > 1").take(1):
-        table = table.groupBy("doc_id").agg(F.min(F.struct("lines", "words")).alias("x")).select("doc_id", "x.*")
-    spots = F.array_distinct(F.expr(f"filter(transform(lines, (h, i) -> struct(h, words[i] AS n_words)), x -> x.n_words >= {RARE_WORDS})"))
-    held = table.select("doc_id", F.inline(spots))
-    first = held.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first", F.expr(f"n <= {rare_docs}").alias("few"))
+    spots = F.array_distinct(F.expr("filter(transform(lines, (h, i) -> IF(rare[i], h, NULL)), h -> h IS NOT NULL)"))
+    held = table.select("row", "doc_id", F.explode(spots).alias("h"))
+    first = held.groupBy("h").agg(F.min(F.struct("doc_id", "row")).alias("at"), F.count("*").alias("n")).where("n > 1").select("h", F.col("at.row").alias("first"))
     first = materialise(first, "first-holders")  # written first, so that the join can split a hot line
-    pairs = held.join(first, "h").where("doc_id <> first").groupBy("doc_id", "first").agg(F.collect_set("h").alias("shared"), F.collect_set(F.when(F.col("few"), F.col("h"))).alias("few"))
-    earlier = table.select(F.col("doc_id").alias("first"), F.col("lines").alias("first_lines"))
-    types = {"doc_id": pa.int64(), "removed": pa.list_(pa.int32())}
+    pairs = held.join(first, "h").where("row <> first").groupBy("row", "first").agg(F.collect_set("h").alias("shared"))
+    earlier = table.select(F.col("row").alias("first"), F.col("lines").alias("first_lines"))
+    types = {"row": pa.int64(), "removed": pa.list_(pa.int32())}
 
     def rows(got: pa.RecordBatch) -> pa.RecordBatch | None:
-        out: dict[str, list] = {"doc_id": [], "removed": []}
-        for doc, lines, words, other, shared, few in zip(*(got.column(c).to_pylist() for c in ("doc_id", "lines", "words", "first_lines", "shared", "few")), strict=True):
-            proof, alone = set(shared), set(few)
-
-            def goes(j: int, n: int) -> bool:
-                block = lines[j : j + n]
-                return not proof.isdisjoint(block) and (n == len(lines) or sum(words[j : j + n]) >= BLOCK_WORDS or not alone.isdisjoint(block))
-
+        out: dict[str, list] = {"row": [], "removed": []}
+        for row, lines, other, shared in zip(*(got.column(c).to_pylist() for c in ("row", "lines", "first_lines", "shared")), strict=True):
+            proof = set(shared)
             blocks = patience_blocks(other, lines)
             blocks += blocks_left_over(other, lines, blocks, proof)
-            gone = [k for _, j, n in blocks if goes(j, n) for k in range(j, j + n)]
+            gone = [k for _, j, n in blocks if not proof.isdisjoint(lines[j : j + n]) for k in range(j, j + n)]
             if gone:
-                out["doc_id"].append(doc)
+                out["row"].append(row)
                 out["removed"].append(np.asarray(gone, np.int32))
         return batch(types, out)
 
-    both = materialise(pairs, "overlaps").join(earlier, "first").join(table, "doc_id").select("doc_id", "lines", "words", "first_lines", "shared", "few")
-    aligned = arrow_map(both, rows, "doc_id long, removed array<int>")
-    return aligned.select("doc_id", F.explode("removed").alias("k")).groupBy("doc_id").agg(F.array_sort(F.collect_set("k")).alias("removed"))
+    both = materialise(pairs, "overlaps").join(earlier, "first").join(table, "row").select("row", "lines", "first_lines", "shared")
+    aligned = arrow_map(both, rows, "row long, removed array<int>")
+    return aligned.select("row", F.explode("removed").alias("k")).groupBy("row").agg(F.array_sort(F.collect_set("k")).alias("removed"))
 
 
-def without_blocks(df: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with the lines of ``gone`` cut from its texts, and columns _n_lines, _n_removed."""
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
-    text = F.col(text_col).cast("string")
-    lines = F.split(text, "\n", -1)
-    left = F.filter(lines, lambda x, i: ~F.array_contains("_removed", i))
-    kept = F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(left, "\n"))
-    counts = [F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("_n_lines"), F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("_n_removed")]
-    gone = gone.hint("shuffle_hash")  # as large inputs join anyway: documents that lose lines grow with the input
-    return df.join(gone, df[id_col] == gone["_id"], "left").select(*[kept.alias(c) if c == text_col else F.col(c) for c in df.columns], *counts)
+def _cut(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """payload (all columns of ``df``), its text without the common blocks, n_lines, n_removed."""
+    source = named(df, id_col).withColumn("text", F.col("payload").getField(text_col).cast("string"))
+    gone = materialise(common_blocks(source), "common-blocks").hint("shuffle_hash")  # as large inputs join anyway: documents that lose lines grow with the input
+    lines = F.split("text", "\n", -1)
+    left = F.filter(lines, lambda x, i: ~F.array_contains("removed", i))
+    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    counts = [F.coalesce(F.size(c), F.lit(0)).cast("long").alias(k) for k, c in (("n_lines", lines), ("n_removed", F.col("removed")))]
+    return source.join(gone, "row", "left").select("payload", kept.alias("text"), *counts)
 
 
-def dedup_lines(df: DataFrame, rare_docs: int = RARE_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text without the common blocks, n_lines, n_removed for every row."""
-    source = texts(df, id_col, text_col)
-    gone = materialise(common_blocks(source, rare_docs), "common-blocks")
-    return without_blocks(source, gone).withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
+    return _cut(df.select(id_col, text_col), id_col, text_col).select(F.col("payload").getField(id_col).alias("doc_id"), "text", "n_lines", "n_removed")
+
+
+def drop_common_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, without the common blocks; a row that loses its last word goes."""
+    left = _cut(df, id_col, text_col).where(r"n_removed = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
+    return restored(left, df.columns, **{text_col: F.col("text")})
