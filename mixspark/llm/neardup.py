@@ -5,27 +5,30 @@ fewer words the whole sequence). One permutation is cut into bins; an empty bin
 takes the value of the first filled bin in its own random order (optimal
 densification). Rows of bins make bands; documents with an equal band share a
 bucket. Equal sets are one class from the start. In each bucket a star joins all
-members to one centre, the one that shares most buckets with others. Every candidate
-is confirmed on the two full sets. Further rounds look only into buckets that still
-hold more than one component: centres are members outside the bucket's largest
-component, the first by shared buckets and a share of the others that grows
-``GROWTH``-fold a round, and each meets the members outside its own component. A
-bucket ends with one component, or when all members outside its largest component
-have been centres, that is when each pair of its members is linked by a path or has
-been confirmed to be none; so every link inside a bucket is found. Pairs grow with
-the square only in buckets whose members are not linked. Sets whose sizes alone rule
-a link out make no pair.
+members to one centre, the one that shares most buckets with others, so a bucket of
+n members gives n - 1 candidate edges; each is confirmed on the two full sets.
+
+A star can miss links between two members that are both unlike the centre. So each
+bucket that then still holds more than one component is searched to the end: members
+outside its largest component meet all members of other components, in cells of at
+most two times ``BLOCK`` members. A cell counts common shingles for many members at
+once over its own inverted index and gives only links, no pairs. Every link inside a
+bucket is found; a link is missed only if its two documents share no band (5e-6 at a
+similarity of 0.75). The counting (not the rows moved within a cell) grows with the
+square of the unlinked members of a bucket. Sets whose sizes alone rule a link out
+are not compared.
 
 Defined cases: a null or empty text, or one without words, has no shingles and is
 linked with nothing; a document without an id takes no part and is not kept;
+rows with equal ids count as one document whose links are those of each row;
 repeated rows fall into one class; whole texts count; an empty table gives an
 empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -33,14 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixspark.llm.common import arrow_map, batch, materialise, release, texts
+from mixspark.llm.common import arrow_map, batch, bounded_batches, materialise, release, slices, texts
 from mixspark.llm.components import connected_components
 
 SHINGLE, BANDS, ROWS = 5, 32, 4
 BINS = BANDS * ROWS
 
-#: By how much the number of centres in a bucket grows from round to round.
-GROWTH = 16
+#: Members of a bucket in one block; a cell holds two.
+BLOCK = 1024
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -139,7 +142,66 @@ def confirm(pairs: DataFrame, candidates: DataFrame, per_cent: int) -> DataFrame
     return arrow_map(pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text"), rows, "a long, b long, linked boolean")
 
 
-def near_duplicates(df: DataFrame, per_cent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cell_links(sets: list[np.ndarray], comp: np.ndarray, block: np.ndarray, outside: np.ndarray, per_cent: int) -> list[tuple[int, int]]:
+    """Linked pairs of a cell, by place: of two components, one member outside the largest, of both blocks if there are two."""
+    size = np.array([len(s) for s in sets], np.int64)
+    shingle, which = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    by_shingle = np.argsort(which, kind="stable")
+    holders, start = owner[by_shingle], np.searchsorted(which[by_shingle], np.arange(len(shingle) + 1))
+    first, two_blocks, out = np.cumsum(size) - size, block.min() != block.max(), []
+    for i in np.nonzero(outside)[0].tolist():
+        other = (comp != comp[i]) & (100 * np.minimum(size, size[i]) >= per_cent * np.maximum(size, size[i]))
+        other &= ~outside | (np.arange(len(sets)) < i)  # of two outside members the later one looks
+        if two_blocks:
+            other &= block != block[i]
+        if not other.any():
+            continue
+        mine = which[first[i] : first[i] + size[i]]
+        lo, n = start[mine], start[mine + 1] - start[mine]
+        common = np.bincount(holders[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())], minlength=len(sets))
+        linked = other & (common > 0) & (100 * common >= per_cent * (size + size[i] - common))
+        out += [(i, j) for j in np.nonzero(linked)[0].tolist()]
+    return out
+
+
+def links_within(members: DataFrame, candidates: DataFrame, per_cent: int, block: int) -> DataFrame:
+    """(a, b): all links between components within open buckets. ``members``: band, key, n, rep, comp, largest."""
+    blocks = F.ceil(F.col("n") / block)
+    own = F.pmod(F.xxhash64("rep"), blocks)
+    dealt = members.select("band", "key", "rep", "comp", (F.col("comp") != F.col("largest")).alias("outside"), own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+    cells = dealt.select("band", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "rep", "comp", "outside")
+    whole = cells.join(candidates.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    keys = ["band", "key", "x", "y"]
+    types = {"a": pa.int64(), "b": pa.int64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def links() -> pa.RecordBatch:
+            rep, comp, own, outside, sets = (list(x) for x in zip(*held, strict=True))
+            found = cell_links(sets, np.array(comp), np.array(own), np.array(outside), per_cent) if len(set(comp)) > 1 else []
+            return batch(types, {"a": [max(rep[i], rep[j]) for i, j in found], "b": [min(rep[i], rep[j]) for i, j in found]})
+
+        for whole_batch in batches:
+            for got in slices(whole_batch):
+                sets = shingle_sets(got.column("text").to_pylist())
+                places = zip(*(got.column(k).to_pylist() for k in keys), strict=True)
+                for place, row in zip(places, zip(*(got.column(k).to_pylist() for k in ("rep", "comp", "own", "outside")), sets, strict=True), strict=True):
+                    if place != now:
+                        if held:
+                            yield links()
+                        now, held = place, []
+                    held.append(row)
+        if held:
+            yield links()
+
+    bounded_batches(members.sparkSession)
+    found = whole.repartition(*keys).sortWithinPartitions(*keys, "rep").select(*keys, "rep", "comp", "own", "outside", "text").mapInArrow(run, "a long, b long")
+    return found.distinct()
+
+
+def near_duplicates(df: DataFrame, per_cent: int = 75, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``df``."""
     source = texts(df, id_col, text_col)
     signed = materialise(signatures(source), "signatures")
@@ -155,38 +217,28 @@ def near_duplicates(df: DataFrame, per_cent: int = 75, id_col: str = "doc_id", t
     known = materialise(bucketed.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
     candidates = materialise(source.join(known.select(F.col("rep").alias("doc_id")), "doc_id"), "candidates")
 
-    edges = rejected = None
-    roots = known.select(F.col("rep").alias("node"), F.col("rep").alias("root")).where("false")
-    for turn in count():
-        # Buckets drawn in full by the round before are complete.
-        open_ = bucketed.where(F.col("n") > GROWTH ** (turn - 1)) if turn > 1 else bucketed
-        state = known.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "weight", F.coalesce("root", "rep").alias("comp"))
-        placed = open_.join(state, "rep")
-        part = placed.groupBy("band", "key", "comp").agg(F.count("*").alias("of_comp"), F.max(F.struct("weight", "rep")).alias("best"))
-        # In the first round each member is a component; the best of all is the centre.
-        chief = part.groupBy("band", "key").agg(F.max_by("comp", F.struct("of_comp", "comp")).alias("largest"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band", "key", "largest")
-        chief = materialise(chief, "largest-components")
-        if turn and not chief.take(1):
-            break
-        outside = placed.join(chief, ["band", "key"])
-        if turn:
-            outside = outside.where("comp <> largest")
-            drawn = F.pmod(F.xxhash64("rep", "band"), F.col("n")) < GROWTH**turn
-        else:
-            drawn = F.lit(False)
-        best = outside.groupBy("band", "key").agg(F.max(F.struct("weight", "rep", "comp", "n_shingles")).alias("c")).select("band", "key", "c.rep", "c.comp", "c.n_shingles")
-        centre = best.union(outside.where(drawn).select("band", "key", "rep", "comp", "n_shingles")).distinct()
-        centre = materialise(centre.select("band", "key", F.col("rep").alias("c"), F.col("comp").alias("c_comp"), F.col("n_shingles").alias("c_size")), "centres")
-        alike = F.lit(100) * F.least("n_shingles", "c_size") >= F.lit(per_cent) * F.greatest("n_shingles", "c_size")
-        pairs = placed.join(centre, ["band", "key"]).where(F.col("comp") != F.col("c_comp")).where(alike).select(F.greatest("rep", "c").alias("a"), F.least("rep", "c").alias("b")).distinct()
-        if rejected is not None:
-            pairs = pairs.join(rejected, ["a", "b"], "left_anti")
-        checked = materialise(confirm(materialise(pairs, "pairs"), candidates, per_cent), "confirmed")
-        linked, failed = checked.where("linked").select("a", "b"), checked.where("NOT linked").select("a", "b")
-        rejected = failed if rejected is None else rejected.union(failed)
-        if linked.take(1):
-            edges = linked if edges is None else edges.union(linked)
-            roots = connected_components(edges)
+    # A star in each bucket, from the member that shares most buckets.
+    weighed = bucketed.join(known, "rep")
+    centre = weighed.groupBy("band", "key").agg(F.max(F.struct("weight", "rep", "n_shingles")).alias("c")).select("band", "key", F.col("c.rep").alias("c"), F.col("c.n_shingles").alias("c_size"))
+    centre = materialise(centre, "centres")
+    alike = F.lit(100) * F.least("n_shingles", "c_size") >= F.lit(per_cent) * F.greatest("n_shingles", "c_size")
+    pairs = bucketed.join(centre, ["band", "key"]).where(F.col("rep") != F.col("c")).where(alike).select(F.greatest("rep", "c").alias("a"), F.least("rep", "c").alias("b")).distinct()
+    links = confirm(materialise(pairs, "pairs"), candidates, per_cent).where("linked").select("a", "b")
+    several = member.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b < most").select("doc_id", "b")
+    if several.take(1):  # an id with different texts links their classes
+        links = links.unionByName(member.join(several, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct())
+    edges = materialise(links, "star-links")
+    roots = connected_components(edges)
+
+    # Buckets that still hold more than one component.
+    state = known.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("root", "rep").alias("comp"))
+    placed = bucketed.join(state, "rep")
+    part = placed.groupBy("band", "key", "comp").agg(F.count("*").alias("of_comp"))
+    open_ = part.groupBy("band", "key").agg(F.max_by("comp", F.struct("of_comp", "comp")).alias("largest"), F.count("*").alias("comps")).where("comps > 1").select("band", "key", "largest")
+    open_ = materialise(open_, "open-buckets")
+    more = materialise(links_within(placed.join(open_, ["band", "key"]).select("band", "key", "n", "rep", "comp", "largest"), candidates, per_cent, block), "more-links")
+    if more.take(1):
+        roots = connected_components(edges.union(more))
     release(bucketed, candidates)
     classed = member.select("doc_id", "rep").distinct().join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("class_root")).groupBy("doc_id").agg(F.min("class_root").alias("class_root"))
     out = signed.select("doc_id", "n_shingles").join(classed, "doc_id", "left")
