@@ -57,6 +57,48 @@ def repeats(raws, mode, length=200):
     return out
 
 
+def common_subsequence(a, b):
+    """Pairs (i, j) of a longest common subsequence, by the table of all prefixes."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    i = j = 0
+    out = []
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
+def line_dedup(docs, least=5):
+    """Of {id: text} the texts without runs of aligned lines that hold a line of ``least`` words of the first holder."""
+    lines = {k: v.split("\n") for k, v in docs.items()}
+    first, gone = {}, {k: set() for k in docs}
+    for k in sorted(lines):
+        for x in lines[k]:
+            if len(words(x)) >= least:
+                first.setdefault(x, k)
+    for k, mine in lines.items():
+        for other in {first[x] for x in mine if first.get(x, k) != k}:
+            shared = {x for x in mine if first.get(x) == other}
+            run, last = [], (-2, -2)
+            for i, j in [*common_subsequence(lines[other], mine), (-9, -9)]:
+                if (i, j) != (last[0] + 1, last[1] + 1):
+                    if any(mine[x] in shared for x in run):
+                        gone[k].update(run)
+                    run = []
+                run.append(j)
+                last = (i, j)
+            gone[k].update(j for j, x in enumerate(mine) if x in shared)
+    return {k: "\n".join(x for j, x in enumerate(v) if j not in gone[k]) for k, v in lines.items()}
+
+
 def measures(text):
     w = words(text)
     windows = Counter(zip(w, w[1:], w[2:], strict=False))

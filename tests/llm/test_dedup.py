@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from mixspark.llm import linededup, neardup, suffix
@@ -47,11 +48,12 @@ def test_near_duplicates_in_a_chain(spark):
 
 
 @pytest.mark.parametrize("mode", ["all", "later"])
-@pytest.mark.parametrize("full_file", [2000, 2])
-def test_repeats(spark, mode, full_file):
+@pytest.mark.parametrize("part_bytes", [suffix.PART, 400])
+def test_repeats(spark, mode, part_bytes):
+    """A small part makes files large: their strings are counted by the shuffle."""
     docs = corpus(2)
     want = brute.repeats({k: v.encode() for k, v in docs.items()}, mode)
-    got = suffix.remove_repeats(table(spark, docs), mode, columns=("kept_bytes", "kept_sha256", "spans"), full_file=full_file).collect()
+    got = suffix.remove_repeats(table(spark, docs), mode, columns=("kept_bytes", "kept_sha256", "spans"), part_bytes=part_bytes).collect()
     for r in got:
         assert bytes(r.kept_bytes) == want[r.doc_id], r.doc_id
         assert r.kept_sha256 == hashlib.sha256(want[r.doc_id]).hexdigest()
@@ -65,23 +67,41 @@ def test_repeats_keep_whole_characters(spark):
     assert len(got[2]) < 20 and set(got[1] + got[2]) <= set("éab")
 
 
-def test_longest_previous_factor():
+def test_previous_factors():
+    """Against the definition; what is shorter than half the length may come out shorter still."""
     rng = random.Random(3)
-    for raw in (b"", b"a", b"aaaaaa", b"abcabcabcx", bytes(rng.choice(b"ab") for _ in range(120))):
-        want = [max((next((k for k in range(len(raw) - i) if raw[i + k] != raw[j + k]), len(raw) - i) for j in range(i)), default=0) for i in range(len(raw))]
-        assert suffix.longest_previous_factor(raw).tolist() == want
+    for _ in range(200):
+        length, letters = rng.choice([1, 3, 7, 8, 9, 16, 20, 33, 50]), rng.choice([b"a", b"ab", b"abc", bytes([0, 97, 255])])
+        raw = bytes(rng.choice(letters) for _ in range(rng.randint(length, 150)))
+        starts = [i for i in range(len(raw) - length + 1) if rng.random() < 0.8]
+        got = suffix.previous_factors(suffix.SuffixOrder(np.frombuffer(raw, np.uint8), length), np.array(starts, np.int64)).tolist()
+        for i, g in zip(starts, got, strict=True):
+            want = max((next((k for k in range(length) if raw[i + k] != raw[j + k]), length) for j in starts if j < i), default=0)
+            assert g == want or g < want < max(length / 2, 1)
 
 
 def test_suffix_ranks_are_in_order():
-    import numpy as np
-
     rng = random.Random(4)
     raw = bytes(rng.choice([0, 97, 98, 255]) for _ in range(400))
-    for length in (3, 7, 20):
-        rank = suffix.suffix_ranks(np.frombuffer(raw, np.uint8), length)
+    for length in (3, 7, 8, 20):
+        rank = suffix.SuffixOrder(np.frombuffer(raw, np.uint8), length).rank
         strings = [raw[i : i + length] for i in range(len(raw) - length + 1)]
-        order = {s: k for k, s in enumerate(sorted(set(strings)))}
-        assert rank[: len(strings)].tolist() == [order[s] for s in strings] and (rank[len(strings) :] == -1).all()
+        order = {r: strings[i] for i, r in enumerate(rank[: len(strings)].tolist())}
+        assert [order[r] for r in sorted(order)] == sorted(set(strings))
+
+
+def test_nearest_smaller():
+    rng = random.Random(5)
+    for n in (0, 1, 2, 50):
+        x = rng.sample(range(100), n)
+        want = [max((j for j in range(i) if x[j] < x[i]), default=-1) for i in range(n)]
+        assert suffix.nearest_smaller(np.array(x, np.int64)).tolist() == want
+
+
+def test_long_stretches_are_cut():
+    files, first, n, own = suffix.segments(b"ab " * 3000, stretch=1000)
+    assert n.max() <= 1000 and n.sum() == 9000 - 199 and own.all()
+    assert (first == np.cumsum(n) - n).all() and len(files) == len(n)
 
 
 def test_patience_blocks():
@@ -117,26 +137,37 @@ def test_line_dedup(spark):
     assert got[9].text == docs[9] and got[10].text == docs[10]
 
 
-def test_lines_that_many_hold(spark):
-    boiler, passage = "all rights of this page are reserved", "passage " + prose(random.Random(1), 25)
-    docs = {i: f"own words {i} are here to stay\n{boiler}" for i in range(80)} | {i: f"other words {i} stand here instead\n{passage}" for i in range(100, 190)}
-    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(table(spark, docs)).collect()}
-    assert all(got[i] == 0 for i in range(80))
-    assert got[100] == 0 and all(got[i] == 1 for i in range(101, 190))
-
-
-def test_short_lines_of_many_copies(spark):
-    """Copies and wrapped passages of short lines go when more than RARE_DOCS documents hold them, too."""
+@pytest.mark.parametrize("holders", [3, 70, 700])
+def test_lines_that_many_hold(spark, holders):
+    """Copies, wrapped passages and short lines go from all later documents, however many hold them."""
     passage = prose(random.Random(2), 60).split()
     wrapped = "\n".join(" ".join(passage[k : k + 12]) for k in range(0, 60, 12))
-    docs = {i: f"own words {i} are here to stay\n{wrapped}\nown tail {i}" for i in range(70)}
-    docs |= {i: "a small text of six words" for i in range(100, 170)}
-    docs |= {i: f"first words {i} of this one\nthis licence line has ten words and stands all alone\nlast words {i} of it" for i in range(200, 270)}
+    docs = {i: f"own words {i} are here to stay\n{wrapped}\nown tail {i}" for i in range(holders)}
+    docs |= {1000 + i: "a small text of six words" for i in range(holders)}
+    docs |= {2000 + i: f"first words {i} of this one\nthese are just five words\nonly four words here" for i in range(holders)}
     got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(table(spark, docs)).collect()}
-    assert all(got[i] == 0 for i in (0, 100, 200))
-    assert {got[i] for i in range(1, 70)} == {5}
-    assert {got[i] for i in range(101, 170)} == {1}
-    assert {got[i] for i in range(201, 270)} == {1}
+    assert all(got[i] == 0 for i in (0, 1000, 2000))
+    assert {got[i] for i in range(1, holders)} == {5}
+    assert {got[i] for i in range(1001, 1000 + holders)} == {1}
+    assert {got[i] for i in range(2001, 2000 + holders)} == {2}  # the short line stands beside the shared one
+
+
+def test_equal_ids_are_documents_of_their_own(spark):
+    rows = [(1, "shared line of quite enough words"), (2, "shared line of quite enough words"), (2, "a text that shares nothing at all"), (None, "null ids have their own words too"), (None, "null ids have their own words too")]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, ""), (0, rows[3][1]), (1, rows[0][1]), (2, ""), (2, rows[2][1])]
+
+
+def test_alignment_against_a_longest_common_subsequence(spark):
+    """Where lines stand once and in order, the common blocks are those of a longest common subsequence."""
+    rng = random.Random(7)
+    pool = [prose(rng, rng.choice([2, 3, 6, 9])) for _ in range(40)]
+    docs = {}
+    for i in range(12):
+        lines = [pool[k] if rng.random() < 0.6 else prose(rng, 6) for k in sorted(rng.sample(range(40), 14))]
+        docs[i] = "\n".join(lines)
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(table(spark, docs)).collect()}
+    assert got == brute.line_dedup(docs)
 
 
 def test_repeated_and_moved_lines(spark):

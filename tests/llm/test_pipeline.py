@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from mixspark.llm import linededup, toxicity
+from mixspark.llm import toxicity
 from tests.llm import brute
 from tests.llm.data import corpus, prose, table
 
@@ -31,25 +31,8 @@ def folder(spark, tmp_path):
 
 
 def plain_lines(docs):
-    """Star pairs through the first holder of each rare line, aligned one by one."""
-    lines = {k: v.split("\n") for k, v in docs.items()}
-    holders = {}
-    for k in sorted(lines):
-        for x in set(lines[k]):
-            if len(brute.words(x)) >= linededup.RARE_WORDS:
-                holders.setdefault(x, []).append(k)
-    pairs = {}
-    for x, ks in holders.items():
-        if len(ks) > 1 and (len(ks) <= linededup.RARE_DOCS or len(brute.words(x)) >= linededup.LONG_WORDS):
-            for k in ks[1:]:
-                pairs.setdefault((k, ks[0]), set()).add(x)
-    gone = {}
-    for (k, first), shared in pairs.items():
-        for _, j, n in linededup.patience_blocks(lines[first], lines[k]):
-            if shared & set(lines[k][j : j + n]):
-                gone.setdefault(k, set()).update(range(j, j + n))
-    out = {k: "\n".join(x for i, x in enumerate(v) if i not in gone.get(k, ())) for k, v in lines.items()}
-    return {k: v for k, v in out.items() if k not in gone or brute.words(v)}
+    out = brute.line_dedup(docs)
+    return {k: v for k, v in out.items() if v == docs[k] or brute.words(v)}
 
 
 def test_stages_and_run(spark, folder):
