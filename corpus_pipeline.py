@@ -32,9 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = materialise(linededup.common_blocks(docs.select("doc_id", "text")), "common-blocks")
-    left = linededup.without_blocks(docs, gone).where(r"_n_removed = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return linededup.drop_common_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
