@@ -18,20 +18,25 @@ CODES, COMPLEMENTS = "ACGTURYKMBDHVacgturykmbdhv", "TGCAAYRMKVHDBtgcaayrmkvhdb"
 LINEAGE_PREFIXES = {"superkingdom": "d__", "phylum": "p__", "class": "c__", "order": "o__", "family": "f__", "genus": "g__", "species": "s__"}
 
 
-def cigar_sum(cigar: Column, op: str) -> Column:
-    """Total length of one CIGAR operation; 0 for a null or empty CIGAR."""
-    runs = F.regexp_extract_all(F.coalesce(cigar, F.lit("")), F.lit(rf"(\d+){op}"), F.lit(1))
-    return F.aggregate(runs, F.lit(0).cast("long"), lambda total, n: total + n.cast("long"))
+def cigar_totals(cigar: Column) -> Column:
+    """Struct of the total lengths of the operations M, I, D and S, in one pass; zeros for a null or empty CIGAR."""
+    runs = F.regexp_extract_all(F.coalesce(cigar, F.lit("")), F.lit(r"\d+[MIDS]"), F.lit(0))
+    none = F.struct(*[F.lit(0).cast("long").alias(op) for op in "MIDS"])
 
+    def add(totals: Column, run: Column) -> Column:
+        size = F.substring(run, F.lit(1), F.length(run) - 1).cast("long")
+        return F.struct(*[(totals[op] + F.when(F.endswith(run, F.lit(op)), size).otherwise(0)).alias(op) for op in "MIDS"])
 
-def cigar_counts(cigar: Column, nm: Column) -> dict[str, Column]:
-    """Inserted, deleted, clipped and substituted bases, and the aligned length.
+    return F.aggregate(runs, none, add)
+
+
+def cigar_counts(totals: Column, nm: Column) -> dict[str, Column]:
+    """Inserted, deleted, clipped and substituted bases, and the aligned length, from ``cigar_totals``.
 
     A missing NM counts as 0, so substitutions can come out negative.
     """
-    i, d, s = cigar_sum(cigar, "I"), cigar_sum(cigar, "D"), cigar_sum(cigar, "S")
     edits = F.coalesce(nm, F.lit(0)).cast("long")
-    return {"n_ins": i, "n_del": d, "n_clip": s, "n_sub": edits - i - d, "aligned": cigar_sum(cigar, "M") + i + d + s}
+    return {"n_ins": totals["I"], "n_del": totals["D"], "n_clip": totals["S"], "n_sub": edits - totals["I"] - totals["D"], "aligned": totals["M"] + totals["I"] + totals["D"] + totals["S"]}
 
 
 def is_primary(flag: Column) -> Column:

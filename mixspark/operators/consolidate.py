@@ -1,4 +1,4 @@
-"""Tables across samples: consolidated matrices, collapse and combination by rank."""
+"""Tables across samples: consolidated matrices, collapse and combination by rank. Writers put rows in order."""
 
 from __future__ import annotations
 
@@ -31,7 +31,7 @@ def _matrix(rows: DataFrame, samples: list[str], metric: str, zero) -> DataFrame
     """Species by sample; the unassigned row is always there. Samples are columns, so their list must be known."""
     own = rows.select("species", "sample", metric)
     blank = rows.sparkSession.createDataFrame([(UNASSIGNED, s, zero) for s in samples], own.select("species", "sample", F.col(metric)).schema)
-    return own.unionByName(blank).groupBy("species").pivot("sample", samples).agg(F.sum(metric)).na.fill(zero).orderBy(*species_order())
+    return own.unionByName(blank).groupBy("species").pivot("sample", samples).agg(F.sum(metric)).na.fill(zero)
 
 
 def otu_abundance(tables: DataFrame, samples: list[str]) -> DataFrame:
@@ -54,7 +54,7 @@ def modal_lineages(tables: DataFrame) -> DataFrame:
     best = tally.groupBy("species").agg(F.min(F.struct((-F.col("n")).alias("n"), "seen", *HIGHER_RANKS)).alias("x")).select("species", *[f"x.{r}" for r in HIGHER_RANKS])
     found = rows.where(F.col("species") == BELOW_DETECTION).select("species").distinct()
     places = found.union(rows.sparkSession.createDataFrame([(UNASSIGNED,)], "species string"))
-    return best.unionByName(places.select("species", *[F.lit("").alias(r) for r in HIGHER_RANKS])).orderBy(*species_order())
+    return best.unionByName(places.select("species", *[F.lit("").alias(r) for r in HIGHER_RANKS]))
 
 
 def sample_metadata(tables: DataFrame) -> DataFrame:
@@ -72,13 +72,13 @@ def sample_metadata(tables: DataFrame) -> DataFrame:
 
 
 def collapse(table: DataFrame, rank: str) -> DataFrame:
-    """Sums of abundance (and counts, as doubles) by a rank and all above it; null ranks are a group, sorted last."""
+    """Sums of abundance (and counts, as doubles) by a rank and all above it; null ranks are a group."""
     ranks = check_rank(rank)
     zero = lambda c: F.when(F.col(c).cast("string") == "-", F.lit(0.0)).otherwise(F.col(c).cast("double"))
     metrics = ["abundance"] + ["estimated_counts"] * ("estimated_counts" in table.columns)
     by = ["sample"] * ("sample" in table.columns) + ranks
     clean = [F.when(F.col(r) == "-", "0").otherwise(F.col(r)).alias(r) for r in ranks]
-    return table.select(*by[: len(by) - len(ranks)], *clean, *[zero(m).alias(m) for m in metrics]).groupBy(*by).agg(*[F.sum(m).alias(m) for m in metrics]).orderBy(*[F.col(b).asc_nulls_last() for b in by])
+    return table.select(*by[: len(by) - len(ranks)], *clean, *[zero(m).alias(m) for m in metrics]).groupBy(*by).agg(*[F.sum(m).alias(m) for m in metrics])
 
 
 def combine(tables: DataFrame, rank: str, samples: list[str], counts: bool = False, split: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
@@ -94,7 +94,6 @@ def combine(tables: DataFrame, rank: str, samples: list[str], counts: bool = Fal
     wide = rows.groupBy(*there).pivot("sample", samples).agg(F.sum(metric)).na.fill(0.0)
     if counts:
         wide = wide.select(*there, *[F.bround(f"`{s}`", 0).cast("long").alias(s) for s in samples])
-    wide = wide.orderBy(*there)
     return (wide.select(*there), wide.select(rank, *[f"`{s}`" for s in samples])) if split else wide
 
 

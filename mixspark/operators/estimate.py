@@ -4,11 +4,12 @@ Three paths give the same numbers:
 
 * samples of at most ``ONE_TASK`` scores: one sample a task, as arrays;
 * larger ones: reads stay spread over the cluster in blocks, each iteration sums the
-  responsibilities of a species in tasks and moves one number a species and task;
+  responsibilities of a species in tasks and moves one number a species and task, and
+  several such samples run side by side;
 * the steps as DataFrame operations, one iteration each, for plans and checks.
 
 So no task ever holds more than ``ONE_TASK`` scores or one block, however large a
-sample is; the driver holds a few numbers a species of one sample at a time.
+sample is; the driver holds a few numbers a species of ``SIDE_BY_SIDE`` samples at a time.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from __future__ import annotations
 import math
 import warnings
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +35,8 @@ from mixspark.operators.graph import shared_folder, written
 MAX_PRUNES, BOUND_EVERY, SLACK = 10, 100, 1e-9
 #: Inner iterations of EM and the change in frequencies that ends them.
 EM_INNER, EM_CHANGE = 20, 5e-4
-#: Most scores of a sample that one task estimates (some 100 MB as arrays).
-ONE_TASK = 2_000_000
+#: Most scores of a sample that one task estimates (some 100 MB as arrays); larger samples estimated at once.
+ONE_TASK, SIDE_BY_SIDE = 2_000_000, 8
 
 
 @dataclass
@@ -114,14 +117,33 @@ def updated_alpha(scores: Scores, phi: np.ndarray, prior: float) -> np.ndarray:
     return prior + np.bincount(scores.species, phi, scores.n_species)
 
 
-def bound(scores: Scores, phi: np.ndarray, alpha: np.ndarray, prior: float) -> float:
-    """Evidence lower bound of one state."""
-    e = expected_log(alpha)
+def bound_of_reads(scores: Scores, phi: np.ndarray, e: np.ndarray) -> float:
+    """The part of the bound that is summed over reads."""
     live = phi > 0
-    reads = float((phi[live] * (scores.score[live] + e[scores.species[live]] - np.log(phi[live]))).sum())
+    return float((phi[live] * (scores.score[live] + e[scores.species[live]] - np.log(phi[live]))).sum())
+
+
+def bound_of_weights(alpha: np.ndarray, prior: float) -> float:
+    """The part of the bound that only species enter."""
     s = len(alpha)
     gamma = math.lgamma(prior * s) - s * math.lgamma(prior) - math.lgamma(float(alpha.sum())) + float(log_gamma(alpha).sum())
-    return reads + gamma + float(((prior - alpha) * e).sum())
+    return gamma + float(((prior - alpha) * expected_log(alpha)).sum())
+
+
+def bound(scores: Scores, phi: np.ndarray, alpha: np.ndarray, prior: float) -> float:
+    """Evidence lower bound of one state."""
+    return bound_of_reads(scores, phi, expected_log(alpha)) + bound_of_weights(alpha, prior)
+
+
+def checked_bound(value: float, last: float) -> float:
+    """``value``, with a warning if it fell by more than rounding explains."""
+    if value < last - SLACK * abs(last):
+        warnings.warn(f"the bound fell from {last} to {value}", stacklevel=3)
+    return value
+
+
+def bound_is_due(step: int, done: bool, max_iterations: int) -> bool:
+    return step == 1 or step % BOUND_EVERY == 0 or done or step == max_iterations
 
 
 def converge(scores: Scores, alpha: np.ndarray, prior: float, tolerance: float, max_iterations: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -135,11 +157,8 @@ def converge(scores: Scores, alpha: np.ndarray, prior: float, tolerance: float,
         now = alpha / alpha.sum()
         done = np.abs(now - mean).max(initial=0) < tolerance
         mean = now
-        if step == 1 or step % BOUND_EVERY == 0 or done or step == max_iterations:
-            value = bound(scores, phi, alpha, prior)
-            if value < last - SLACK * abs(last):
-                warnings.warn(f"the bound fell from {last} to {value}", stacklevel=2)
-            last = value
+        if bound_is_due(step, done, max_iterations):
+            last = checked_bound(bound(scores, phi, alpha, prior), last)
         if done:
             break
     return alpha, phi, step
@@ -153,7 +172,7 @@ class Estimate:
     abundance: np.ndarray = field(default_factory=lambda: np.empty(0))
     alpha: np.ndarray | None = None
     below_detection: int = 0
-    #: (read, species, phi) of the reported species, before renormalising
+    #: (read, species, phi) of the reported species, as shares of all survivors
     read: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     of: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     phi: np.ndarray = field(default_factory=lambda: np.empty(0))
@@ -221,8 +240,12 @@ def em_inner(scores: Scores | Spread, freq: np.ndarray, iterations: int = EM_INN
     return freq
 
 
-def em_frequencies(scores: Scores | Spread, min_abundance: float, gain: float, n_start: int | None) -> np.ndarray:
-    """Repeat inner loops until the likelihood gains less than ``gain``; cut at the floor, then at the minimum."""
+def em_frequencies(scores: Scores | Spread, min_abundance: float, gain: float, n_start: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Frequencies of the species that survive the floor, and of those that are reported.
+
+    Inner loops are repeated until the likelihood gains less than ``gain``; then the
+    cut at the floor and, if it is higher and leaves any, at the minimum, each refitted.
+    """
     if not scores.n_reads:
         raise ValueError("no reads to estimate from")
     freq, last = np.full(scores.n_species, 1 / (n_start or max(scores.n_species, 1))), -np.inf
@@ -241,24 +264,22 @@ def em_frequencies(scores: Scores | Spread, min_abundance: float, gain: float, n
 
     least = (10 if scores.n_reads > 1000 else 1) / scores.n_reads
     freq = cut(least)
-    if min_abundance > least and freq.any():
-        tighter = cut(min_abundance)
-        freq = tighter if tighter.any() else freq
-    return freq
+    tighter = cut(min_abundance) if min_abundance > least and freq.any() else freq
+    return freq, tighter if tighter.any() else freq
 
 
 def fit_em(scores: Scores, min_abundance: float = 0.001, gain: float = 1e-4, n_start: int | None = None) -> Estimate:
-    """Expectation-maximisation of one sample in memory."""
-    freq = em_frequencies(scores, min_abundance, gain, n_start)
+    """Expectation-maximisation of one sample in memory; reads are shared out among all survivors of the floor."""
+    full, freq = em_frequencies(scores, min_abundance, gain, n_start)
     has = np.diff(scores.start) > 0
-    names = np.nonzero(freq > 0)[0]
+    names, reported = np.nonzero(full > 0)[0], np.nonzero(freq > 0)[0]
     if not len(names):
         return Estimate(below_detection=int(has.sum()))
-    mine = scores.only(names)
-    phi = responsibilities(mine, np.log(freq[names]))
-    estimate = _report(mine, names, freq[names], phi, 0.0, None)
-    estimate.below_detection += int(np.count_nonzero(has & (np.diff(mine.start) == 0)))
-    return estimate
+    alive = scores.only(names)
+    phi = responsibilities(alive, np.log(full[names]))
+    live = np.isin(names[alive.species], reported) & (phi > 0)
+    below = np.count_nonzero(has & (np.diff(scores.only(reported).start) == 0))
+    return Estimate(reported, freq[reported] / freq[reported].sum(), None, int(below), alive.read[live], names[alive.species[live]], phi[live])
 
 
 def table_rows(tax_ids: np.ndarray, rows: dict[int, int] | None) -> np.ndarray:
@@ -268,12 +289,16 @@ def table_rows(tax_ids: np.ndarray, rows: dict[int, int] | None) -> np.ndarray:
 
 
 def summed_reads(read: np.ndarray, of: np.ndarray, phi: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Expected and shared reads of each species, from responsibilities of reported ones."""
+    """Expected and shared reads of each species, from responsibilities of reported ones.
+
+    What a read gives to species that are not reported counts for nobody; only whether
+    it is split is judged by its shares among the reported ones.
+    """
     if not len(read):
         return np.zeros(len(row)), np.zeros(len(row))
-    phi = phi / np.bincount(read, phi)[read]
+    even = phi / np.bincount(read, phi)[read]
     _, key = np.unique(read * (row.max() + 1) + row[of], return_inverse=True)
-    share = np.bincount(key, phi)[key]
+    share = np.bincount(key, even)[key]
     return np.bincount(of, phi, len(row)), np.bincount(of, np.where(share <= 0.99, phi, 0.0), len(row))
 
 
@@ -288,17 +313,19 @@ def frames_of(estimate: Estimate, sample: str, tax_ids: np.ndarray, rows: dict |
 ESTIMATE_SCHEMA = "sample string, tax_id long, abundance double, expected_reads double, shared_reads double, alpha double, below_detection long"
 
 
-def estimate_abundances(read_scores: DataFrame, estimator: str = "vb", row_keys: DataFrame | None = None, one_task: int = ONE_TASK, **options) -> DataFrame:
+def estimate_abundances(read_scores: DataFrame, estimator: str = "vb", row_keys: DataFrame | None = None, one_task: int = ONE_TASK, stored: bool = False, **options) -> DataFrame:
     """A row per sample and reported species, and one with a null tax_id if none is reported.
 
     ``row_keys`` (tax_id, row_key) says which species share a row of the output
     table; reads split only within a row do not count as shared. Samples of more
-    than ``one_task`` scores stay spread over the cluster.
+    than ``one_task`` scores stay spread over the cluster. ``stored``: the scores are
+    a written table already, else they are written once.
     """
     if estimator not in ("vb", "em"):
         raise ValueError("estimator must be 'vb' or 'em'")
     fit: Callable[..., Estimate] = fit_vb if estimator == "vb" else fit_em
-    scores = written(read_scores.select("sample", "read", "tax_id", "log_score"), "read-scores")
+    scores = read_scores.select("sample", "read", "tax_id", "log_score")
+    scores = scores if stored else written(scores, "read-scores")
     large = [r.sample for r in scores.groupBy("sample").agg(F.count("*").alias("n")).where(F.col("n") > one_task).select("sample").collect()]
     keys = None if row_keys is None else row_keys.select("tax_id", F.col("row_key").cast("long").alias("row_key"))
 
@@ -319,7 +346,7 @@ def estimate_abundances(read_scores: DataFrame, estimator: str = "vb", row_keys:
     out = small.groupBy("sample").applyInPandas(kernel, ESTIMATE_SCHEMA)
     if large:
         blocks = read_blocks(scores.where(F.col("sample").isin(large)))
-        found = [x for s in sorted(large) for x in spread_rows(Spread(blocks, s), estimator, keys, options)]
+        found = side_by_side(blocks, large, lambda spread: spread_rows(spread, estimator, keys, options))
         out = out.unionByName(read_scores.sparkSession.createDataFrame(found, ESTIMATE_SCHEMA))
     return out
 
@@ -382,38 +409,50 @@ class Spread:
     def phi_sums(self, weight: np.ndarray) -> np.ndarray:
         return self.sums(lambda x: np.bincount(x.species, responsibilities(x, weight), x.n_species), self.n_species)
 
+    def bound_of_reads(self, weight: np.ndarray, e: np.ndarray) -> float:
+        return float(self.sums(lambda x: np.array([bound_of_reads(x, responsibilities(x, weight), e)]), 1)[0])
+
     def em_sums(self, freq: np.ndarray) -> tuple[np.ndarray, float]:
         got = self.sums(lambda x: np.append(*x.em_sums(freq)), self.n_species + 1)
         return got[:-1], float(got[-1])
 
-    def summary(self, weight: np.ndarray, reported: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """Expected and shared reads of each species and the number of scored reads without a reported one."""
+    def summary(self, weight: np.ndarray, reported: np.ndarray, row: np.ndarray, by_candidate: bool) -> tuple[np.ndarray, np.ndarray, int]:
+        """Expected and shared reads of each species and the number of scored reads without a reported one.
+
+        ``by_candidate``: a reported candidate is enough; else the read must give it a share.
+        """
 
         def of(x: Scores) -> np.ndarray:
             phi, read = responsibilities(x, weight), x.read
-            mine = np.isin(x.species, reported) & (phi > 0)
-            held = np.bincount(read[mine], phi[mine], x.n_reads)
+            mine = np.isin(x.species, reported)
+            live = mine & (phi > 0)
+            held = np.bincount(read[mine], None if by_candidate else phi[mine], x.n_reads)
             below = np.count_nonzero((np.diff(x.start) > 0) & (held == 0))
-            return np.concatenate((*summed_reads(read[mine], x.species[mine], phi[mine], row), [below]))
+            return np.concatenate((*summed_reads(read[live], x.species[live], phi[live], row), [below]))
 
         got, n = self.sums(of, 2 * self.n_species + 1), self.n_species
         return got[:n], got[n : 2 * n], round(got[-1])
 
 
 def vb_spread(scores: Spread, min_abundance: float = 0.001, alpha_prior: float = 1.0, tolerance: float = 1e-7, max_iterations: int = 1000) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """As ``fit_vb`` (the bound apart): live species, their means, alpha, and all log weights of the last step."""
+    """As ``fit_vb``: live species, their means, alpha, and all log weights of the last step."""
     tau = floor_of(scores.n_reads, min_abundance)
     names, prior, alpha, mean, weight = np.arange(scores.n_species), 0.0, None, np.empty(0), np.empty(0)
     for prunes in range(MAX_PRUNES + 1 if len(names) else 0):
         before, prior = prior, alpha_prior / len(names)
         alpha = np.full(len(names), prior + scores.n_scored / len(names)) if alpha is None else prior + (alpha - before)
-        mean = alpha / alpha.sum()
-        for _ in range(max_iterations):
+        mean, value = alpha / alpha.sum(), -np.inf
+        for step in range(1, max_iterations + 1):
             weight = np.full(scores.n_species, -np.inf)
             weight[names] = expected_log(alpha)
             alpha = prior + scores.phi_sums(weight)[names]
             last, mean = mean, alpha / alpha.sum()
-            if np.abs(mean - last).max() < tolerance:
+            done = np.abs(mean - last).max() < tolerance
+            if bound_is_due(step, done, max_iterations):
+                e = np.zeros(scores.n_species)
+                e[names] = expected_log(alpha)
+                value = checked_bound(scores.bound_of_reads(weight, e) + bound_of_weights(alpha, prior), value)
+            if done:
                 break
         keep = np.nonzero(mean >= tau)[0]
         keep = keep if len(keep) else np.array([int(mean.argmax())])
@@ -434,22 +473,34 @@ def spread_rows(scores: Spread, estimator: str, keys: DataFrame | None, options:
         keep = np.nonzero(full >= least)[0]
         keep = keep if len(keep) else np.arange(len(full))
     else:
-        freq = em_frequencies(scores, options.get("min_abundance", 0.001), options.get("gain", 1e-4), options.get("n_start"))
+        survivors, freq = em_frequencies(scores, options.get("min_abundance", 0.001), options.get("gain", 1e-4), options.get("n_start"))
         names, alpha = np.nonzero(freq > 0)[0], None
         full, keep = freq[names], np.arange(len(names))
         with np.errstate(divide="ignore"):
-            weight = np.log(freq)
+            weight = np.log(survivors)
     if not len(keep):
-        scores.blocks.unpersist()
         return [(scores.sample, None, None, None, None, None, scores.n_scored)]
     known = None if keys is None else {r.tax_id: r.row_key for r in keys.join(F.broadcast(keys.sparkSession.createDataFrame([(int(t),) for t in scores.tax_ids], "tax_id long")), "tax_id", "left_semi").where("row_key IS NOT NULL").collect()}
     reported = names[keep]
-    expected, shared, below = scores.summary(weight, reported, table_rows(scores.tax_ids, known))
-    scores.blocks.unpersist()
+    expected, shared, below = scores.summary(weight, reported, table_rows(scores.tax_ids, known), estimator == "em")
     abundance = full[keep] / full[keep].sum()
     return [(scores.sample, int(scores.tax_ids[s]), float(a), float(expected[s]), float(shared[s]), None if alpha is None else float(alpha[k]), below) for s, a, k in zip(reported, abundance, keep, strict=True)]
 
 
+def side_by_side(blocks: DataFrame, samples: list[str], of: Callable[[Spread], list[tuple]]) -> list[tuple]:
+    """Rows of all spread samples: a thread of the driver each, so that their jobs share the cluster."""
+
+    def one(sample: str) -> list[tuple]:
+        scores = Spread(blocks, sample)
+        try:
+            return of(scores)
+        finally:
+            scores.blocks.unpersist()
+
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as threads:
+        return [row for rows in threads.map(inheritable_thread_target(blocks.sparkSession)(one), sorted(samples)) for row in rows]
+
+
 def fit_vb_distributed(read_scores: DataFrame, **options) -> DataFrame:
     """The variational estimator with every sample spread over tasks: sample, tax_id, abundance, alpha."""
     return estimate_abundances(read_scores, one_task=0, **options).where("tax_id IS NOT NULL").select("sample", "tax_id", "abundance", "alpha")
@@ -457,12 +508,13 @@ def fit_vb_distributed(read_scores: DataFrame, **options) -> DataFrame:
 
 def em_rounds(read_scores: DataFrame, rounds: int) -> DataFrame:
     """Frequencies after a fixed number of rounds from even ones, every sample spread over tasks."""
-    blocks, out = read_blocks(read_scores), []
-    for sample in sorted(r.sample for r in blocks.select("sample").distinct().collect()):
-        scores = Spread(blocks, sample)
+    blocks = read_blocks(read_scores)
+
+    def frequencies(scores: Spread) -> list[tuple]:
         freq = em_inner(scores, np.full(scores.n_species, 1 / scores.n_species), rounds, 0.0)
-        scores.blocks.unpersist()
-        out += [(sample, int(t), float(f)) for t, f in zip(scores.tax_ids, freq, strict=True)]
+        return [(scores.sample, int(t), float(f)) for t, f in zip(scores.tax_ids, freq, strict=True)]
+
+    out = side_by_side(blocks, [r.sample for r in blocks.select("sample").distinct().collect()], frequencies)
     return read_scores.sparkSession.createDataFrame(out, "sample string, tax_id long, freq double")
 
 
@@ -511,11 +563,12 @@ def read_summary(phi: DataFrame, row_keys: DataFrame | None = None, most: float
     """Expected and shared reads of each reported species, relationally.
 
     ``phi``: sample, read, tax_id, phi of reported species. A read counts as shared
-    for a species if the row it belongs to holds at most ``most`` of the read.
+    for a species if the row it belongs to holds at most ``most`` of what the read
+    gives to reported species.
     """
     keyed = phi.withColumn("row_key", F.col("tax_id")) if row_keys is None else phi.join(row_keys, "tax_id", "left").withColumn("row_key", F.coalesce("row_key", F.col("tax_id")))
-    even = keyed.withColumn("phi", F.col("phi") / F.sum("phi").over(Window.partitionBy("sample", "read")))
-    share = F.sum("phi").over(Window.partitionBy("sample", "read", "row_key"))
+    even = keyed.withColumn("even", F.col("phi") / F.sum("phi").over(Window.partitionBy("sample", "read")))
+    share = F.sum("even").over(Window.partitionBy("sample", "read", "row_key"))
     return even.withColumn("share", share).groupBy("sample", "tax_id").agg(F.sum("phi").alias("expected_reads"), F.sum(F.when(F.col("share") <= most, F.col("phi")).otherwise(0.0)).alias("shared_reads"))
 
 

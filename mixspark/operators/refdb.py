@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixspark.functions import expr
-from mixspark.operators.graph import MAX_DEPTH, ancestors, linked_groups, numbered
+from mixspark.operators.graph import MAX_DEPTH, ancestors, linked_groups, numbered, written
 from mixspark.schema import HIGHER_RANKS, RANKS
 
 
@@ -97,9 +97,9 @@ def ranked_ancestor(ids: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def direct_taxonomy(listed: DataFrame, used: DataFrame) -> DataFrame:
-    """The listed rows whose id is used, in file order, all columns kept; the first column is the id."""
+    """The listed rows whose id is used, all columns kept (``ord`` too, the file order); the first column is the id."""
     first = next(c for c in listed.columns if c != "ord")
-    return listed.withColumnRenamed(first, "tax_id").join(used.select("tax_id").distinct(), "tax_id", "left_semi").orderBy("ord")
+    return listed.withColumnRenamed(first, "tax_id").join(used.select("tax_id").distinct(), "tax_id", "left_semi")
 
 
 def sequence_to_species(sequences: DataFrame, seq2tax: DataFrame) -> DataFrame:
@@ -116,13 +116,18 @@ def carriers(sequences: DataFrame, taxonomy: DataFrame) -> DataFrame:
 
 
 def identical_groups(carried: DataFrame) -> DataFrame:
-    """Species of one genus linked by shared sequences: tax_id, species, genus, group, group_size, identical_16s_species."""
+    """Species of one genus linked by shared sequences: tax_id, species, genus, group, group_size, identical_16s_species.
+
+    Links are stars through a sequence's smallest id. The names of a sequence's species
+    are gathered once and joined back, as each of them is to list the others.
+    """
     own = carried.groupBy("md5", "genus_key", "tax_id").agg(F.min("species").alias("species"), F.min("genus").alias("genus"))
-    other = own.select("md5", "genus_key", F.col("tax_id").alias("other_id"), F.col("species").alias("other"))
-    # a star through the smallest id links all; the pairs are needed for the names anyway
-    shared = own.join(other, ["md5", "genus_key"]).where("tax_id <> other_id")
-    groups = linked_groups(shared.select(F.col("tax_id").alias("a"), F.col("other_id").alias("b")))
-    names = shared.groupBy("tax_id", "species", "genus").agg(expr.joined_set(F.collect_set("other")).alias("identical_16s_species"))
+    held = own.groupBy("md5", "genus_key").agg(F.min("tax_id").alias("first"), F.array_sort(F.collect_list(F.struct("tax_id", "species"))).alias("holders")).where(F.size("holders") > 1)
+    held = written(held, "shared-sequences")  # read for the links and for the names
+    placed = own.join(held, ["md5", "genus_key"])
+    groups = linked_groups(placed.where("tax_id <> first").select(F.col("tax_id").alias("a"), F.col("first").alias("b")))
+    others = F.filter(F.flatten(F.collect_set("holders")), lambda x: x["tax_id"] != F.col("tax_id"))
+    names = placed.groupBy("tax_id", "species", "genus").agg(expr.joined_set(F.transform(others, lambda x: x["species"])).alias("identical_16s_species"))
     placed = names.join(groups.withColumnRenamed("node", "tax_id"), "tax_id")
     sizes = placed.groupBy("group").agg(F.count("*").alias("group_size"), F.min("species").alias("first"))
     labels = numbered(sizes, [F.desc("group_size"), F.col("first"), F.col("group")], "n").withColumn("label", F.concat(F.lit("G"), F.col("n").cast("string"))).drop("n")

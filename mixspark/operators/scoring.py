@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixspark.functions import expr
@@ -10,11 +10,12 @@ from mixspark.functions import expr
 OPS = ["n_ins", "n_del", "n_clip", "n_sub"]
 
 
-def with_counts(alignments: DataFrame) -> DataFrame:
-    """sample, read, flag, tax_id, the four operation counts and the aligned length."""
-    counts = expr.cigar_counts(F.col("cigar"), F.col("nm"))
+def with_counts(alignments: DataFrame, *others: str) -> DataFrame:
+    """sample, read, flag, tax_id, the four operation counts and the aligned length; each CIGAR is parsed once."""
     ref = F.when(expr.is_mapped(F.col("flag")), expr.tax_id_of(F.col("ref")))
-    return alignments.select("sample", "read", "flag", ref.alias("tax_id"), *[c.alias(n) for n, c in counts.items()])
+    parsed = alignments.select("sample", "read", "flag", ref.alias("tax_id"), "nm", expr.cigar_totals(F.col("cigar")).alias("totals"), *others)
+    counts = expr.cigar_counts(F.col("totals"), F.col("nm"))
+    return parsed.select("sample", "read", "flag", "tax_id", *[c.alias(n) for n, c in counts.items()], *others)
 
 
 def error_profile(counted: DataFrame) -> DataFrame:
@@ -38,18 +39,25 @@ def alignment_score() -> Column:
 
 
 def scored_alignments(counted: DataFrame) -> DataFrame:
-    """Every record with its score. The profile has a row per sample; the longest length comes by read.
+    """Every record with its score. The profile has a row per sample; the longest length is a window by read.
 
-    A sample without primary alignments has no profile, so all its records are skipped.
+    The window's shuffle also serves what is grouped by read after it. A sample
+    without primary alignments has no profile, so all its records are skipped.
     """
     profile = error_profile(counted).select("sample", *[f"ln_{o}" for o in OPS], F.lit(True).alias("_profile"))
-    joined = counted.join(longest_alignments(counted), ["sample", "read"]).join(profile, "sample", "left").withColumn("_profile", F.coalesce("_profile", F.lit(False)))
+    longest = counted.withColumn("longest", F.max("aligned").over(Window.partitionBy("sample", "read")))
+    joined = longest.join(profile, "sample", "left").withColumn("_profile", F.coalesce("_profile", F.lit(False)))
     return joined.select("sample", "read", "tax_id", alignment_score().alias("score"))
 
 
+def best_scores(scored: DataFrame) -> DataFrame:
+    """Best score of each (read, species), null where all its records are skipped."""
+    return scored.groupBy("sample", "read", "tax_id").agg(F.max("score").alias("score"))
+
+
 def read_scores(scored: DataFrame) -> DataFrame:
-    """Best score of each (read, species)."""
-    return scored.where("score IS NOT NULL").groupBy("sample", "read", "tax_id").agg(F.max("score").alias("log_score"))
+    """Best score of each (read, species) that has one."""
+    return best_scores(scored.where("score IS NOT NULL")).withColumnRenamed("score", "log_score")
 
 
 def read_counts(scored: DataFrame, samples: DataFrame | None = None) -> DataFrame:

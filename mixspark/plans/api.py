@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixspark.operators import assemble, consolidate, estimate, refdb, scoring
+from mixspark.operators.graph import written
 
 
 def abundance(alignments: DataFrame, taxonomy: DataFrame, identical: DataFrame | None = None, samples: DataFrame | None = None, estimator: str = "vb", keep_counts: bool = True, credible_intervals: bool = False, binomial_names: bool = False, **options) -> DataFrame:
@@ -18,15 +19,18 @@ def abundance(alignments: DataFrame, taxonomy: DataFrame, identical: DataFrame |
         raise ValueError("intervals need the variational estimator")
     if not 0 <= options.get("min_abundance", 0.001) < 1:
         raise ValueError("min_abundance must be at least 0 and below 1")
-    scored = scoring.scored_alignments(scoring.with_counts(alignments))
-    scores = scoring.read_scores(scored)
-    counts = scoring.read_counts(scored, samples if samples is not None else alignments.select("sample"))
+    # One row a (read, species), written once: scores, counts and row keys come from it.
+    best = written(scoring.best_scores(scoring.scored_alignments(written(scoring.with_counts(alignments), "counted"))), "best-scores")
+    scores = best.where("score IS NOT NULL").withColumnRenamed("score", "log_score")
+    counts = scoring.read_counts(best, samples if samples is not None else best.select("sample"))
     keys = assemble.row_keys(scores.select("tax_id"), taxonomy, binomial_names)
-    estimates = estimate.estimate_abundances(scores, estimator, keys, **options)
+    estimates = estimate.estimate_abundances(scores, estimator, keys, stored=True, **options)
     return assemble.sample_tables(estimates, counts, taxonomy, identical, keep_counts, credible_intervals, binomial_names)
 
 
 def consolidated(tables: DataFrame) -> dict[str, DataFrame | None]:
+    """The four tables across samples; the given ones are written once, as each output reads them."""
+    tables = written(tables, "sample-tables")
     samples = consolidate.sample_names(tables)
     return {
         "otu_abundance": consolidate.otu_abundance(tables, samples),

@@ -15,8 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw alignment records; orders without lines are unmapped reads."""
+def alignments(spark: SparkSession, sf_dir: str, skewed: bool = False) -> DataFrame:
+    """Raw alignment records; orders without lines are unmapped reads.
+
+    ``skewed``: ten species in place of one a supplier, the first with a third of all
+    records and the last with a twentieth, so that the estimators have some to prune.
+    """
+    species = F.floor(F.pow(F.col("l_suppkey") % 100, 2) / 1000) if skewed else F.col("l_suppkey")
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     whole = lambda c: F.round(c).cast("long")
     ins, dele = whole(F.col("l_discount") * 100), whole(F.col("l_tax") * 100)
@@ -28,7 +33,7 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_orderkey") * 8 + number).cast("long").alias("ord"),
         F.col("l_orderkey").cast("string").alias("read"),
         F.when(number == 1, 0).when(number < 5, 256).otherwise(2048).alias("flag"),
-        F.concat_ws(":", F.col("l_suppkey").cast("string"), F.lit("db"), number.cast("string")).alias("ref"),
+        F.concat_ws(":", species.cast("string"), F.lit("db"), number.cast("string")).alias("ref"),
         F.concat(clip.cast("string"), F.lit("S"), length.cast("string"), F.lit("M"), ins.cast("string"), F.lit("I"), dele.cast("string"), F.lit("D")).alias("cigar"),
         (ins + dele + sub).alias("nm"),
     )

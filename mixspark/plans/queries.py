@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from mixspark.functions import expr, special
 from mixspark.operators import assemble, consolidate, estimate, refdb, scoring
-from mixspark.operators.graph import numbered
-from mixspark.plans import api, proxies
+from mixspark.operators.graph import numbered, shared_folder, written
+from mixspark.plans import api, commands, proxies
 from mixspark.schema import HIGHER_RANKS, RANKS
-from mixspark.sources import readers
+from mixspark.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+#: Least share of a species where the skewed ones are estimated; options that carry the estimators to their fixed points.
+LEAST_SHARE, FITTED = 0.05, {"vb": {"tolerance": 1e-13}, "em": {"gain": 1e-13}}
+
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[f.__name__] = f
@@ -28,12 +31,17 @@ def _counted(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.with_counts(proxies.alignments(spark, sf))
 
 
-def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.scored_alignments(_counted(spark, sf))
+def _scored(spark: SparkSession, sf: str, skewed: bool = False) -> DataFrame:
+    return scoring.scored_alignments(scoring.with_counts(proxies.alignments(spark, sf, skewed)))
+
+
+def _scores(spark: SparkSession, sf: str, skewed: bool = False) -> DataFrame:
+    return scoring.read_scores(_scored(spark, sf, skewed))
 
 
-def _scores(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.read_scores(_scored(spark, sf))
+def _pruned(spark: SparkSession, sf: str, estimator: str) -> DataFrame:
+    """Estimates over species of skewed shares, at a minimum that some do not reach."""
+    return estimate.estimate_abundances(_scores(spark, sf, skewed=True), estimator, min_abundance=LEAST_SHARE, **FITTED[estimator])
 
 
 def _tables(spark: SparkSession, sf: str, binomial: bool = True) -> DataFrame:
@@ -46,8 +54,8 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 @query
 def cigar_counts(spark, sf):
-    c = expr.cigar_counts(F.col("cigar"), F.col("nm"))
-    return proxies.alignments(spark, sf).select("ord", *[v.alias(k) for k, v in c.items()])
+    counted = scoring.with_counts(proxies.alignments(spark, sf), "ord")
+    return counted.select("ord", *scoring.OPS, "aligned")
 
 
 @query
@@ -91,10 +99,27 @@ def em_fixed20(spark, sf):
     return rounded(estimate.em_rounds(_scores(spark, sf), 20), 5, "freq")
 
 
+def _summary(estimates: DataFrame) -> DataFrame:
+    got = estimates.select("sample", "tax_id", "abundance", "expected_reads", "shared_reads", "below_detection")
+    return rounded(got, 4, "abundance").withColumns({c: F.round(c, 1) for c in ("expected_reads", "shared_reads")})
+
+
 @query
 def em_full(spark, sf):
-    got = estimate.estimate_abundances(_scores(spark, sf), "em")
-    return rounded(got.select("sample", "tax_id", "abundance", "expected_reads", "shared_reads", "below_detection"), 4, "abundance", "expected_reads", "shared_reads")
+    return _summary(estimate.estimate_abundances(_scores(spark, sf), "em", **FITTED["em"]))
+
+
+@query
+def em_pruned(spark, sf):
+    """Survivors of the floor share out the reads; those above the minimum are refitted and reported."""
+    return _summary(_pruned(spark, sf, "em"))
+
+
+@query
+def vb_pruned(spark, sf):
+    """Rounds of pruning; alpha too."""
+    got = _pruned(spark, sf, "vb")
+    return _summary(got).join(got.select("sample", "tax_id", F.round("alpha", 2).alias("alpha")), ["sample", "tax_id"])
 
 
 @query
@@ -122,6 +147,15 @@ def elbo(spark, sf):
     return rounded(estimate.evidence_bound(scores, state), 2, "elbo")
 
 
+@query
+def elbo_at_fit(spark, sf):
+    """The bound of one more step from where the estimator ended."""
+    scores = written(_scores(spark, sf), "read-scores")
+    fitted = estimate.estimate_abundances(scores, "vb", stored=True, min_abundance=0.0, **FITTED["vb"])
+    sizes = fitted.groupBy("sample").agg((F.lit(1.0) / F.count("*")).alias("prior"))
+    return rounded(estimate.evidence_bound(scores, fitted.join(sizes, "sample").select("sample", "tax_id", "prior", "alpha")), 2, "elbo")
+
+
 @query
 def read_summary(spark, sf):
     """From the responsibilities of the first variational step."""
@@ -130,6 +164,16 @@ def read_summary(spark, sf):
     return rounded(estimate.read_summary(phi), 4, "expected_reads", "shared_reads")
 
 
+@query
+def read_summary_at_fit(spark, sf):
+    """From the responsibilities of all species at the fit; those below the least share are not reported."""
+    scores = written(_scores(spark, sf, skewed=True), "read-scores")
+    fitted = estimate.estimate_abundances(scores, "vb", stored=True, min_abundance=0.0, **FITTED["vb"])
+    phi = estimate.vb_responsibilities(scores, fitted.select("sample", "tax_id", F.lit(0.0).alias("prior"), "alpha"))
+    reported = phi.join(fitted.where(F.col("abundance") >= LEAST_SHARE).select("sample", "tax_id"), ["sample", "tax_id"]).select("sample", "read", "tax_id", "phi")
+    return rounded(estimate.read_summary(reported), 2, "expected_reads", "shared_reads")
+
+
 @query
 def shared_read_fraction(spark, sf):
     """By table row: species cut to two words share a row."""
@@ -142,12 +186,8 @@ def shared_read_fraction(spark, sf):
 
 @query
 def below_detection(spark, sf):
-    """Scored reads without a candidate among reported species (here those of three in four ids)."""
-    scores = _scores(spark, sf)
-    reported = scores.where("tax_id % 4 <> 1").select("sample", "read").distinct()
-    reads = scores.select("sample", "read").distinct()
-    lost = reads.join(reported, ["sample", "read"], "left_anti").groupBy("sample").agg(F.count("*").alias("below_detection"))
-    return scores.select("sample").distinct().join(lost, "sample", "left").na.fill(0)
+    """Scored reads without a candidate among the species that the estimator reports."""
+    return _pruned(spark, sf, "vb").groupBy("sample").agg(F.max("below_detection").alias("below_detection"))
 
 
 @query
@@ -313,8 +353,9 @@ def taxonomy_sorted(spark, sf):
 
 @query
 def direct_taxonomy(spark, sf):
+    """The listed rows of the species that the estimator reports."""
     listed = proxies.taxonomy(spark, sf).withColumn("ord", F.col("tax_id").cast("long"))
-    used = proxies.estimates(spark, sf).where("tax_id % 2 = 0").select(F.col("tax_id").cast("string").alias("tax_id"))
+    used = _pruned(spark, sf, "vb").select(F.col("tax_id").cast("string").alias("tax_id"))
     return refdb.direct_taxonomy(listed, used).select("tax_id", "species", *HIGHER_RANKS)
 
 
@@ -332,5 +373,75 @@ def sample_id_clashes(spark, sf):
 @query
 def abundance_tables(spark, sf):
     """The whole command: alignments to per-sample tables, with the variational estimator."""
-    got = api.abundance(proxies.alignments(spark, sf), proxies.taxonomy(spark, sf), proxies.identical(spark, sf), credible_intervals=True, binomial_names=True)
+    got = api.abundance(proxies.alignments(spark, sf), proxies.taxonomy(spark, sf), proxies.identical(spark, sf), credible_intervals=True, binomial_names=True, **FITTED["vb"])
     return rounded(got, 5, "abundance", "shared_read_fraction", "ci_lower", "ci_upper")
+
+
+# -- over files that are written from the tables and read again ----------------
+
+
+@query
+def fasta_files(spark, sf):
+    """Sequences as wrapped FASTA and back."""
+    records = proxies.sequences(spark, sf).select(F.col("ord").alias("n"), F.expr("substring(header, 2)").alias("seq_id"), "seq")
+    folder = shared_folder(spark, "fasta")
+    writers.write_fasta(records, folder, wrap=60)
+    got = numbered(readers.read_fasta(spark, folder), [F.col("ord")], "place")
+    return got.select(F.col("place").cast("long").alias("place"), "header", F.length("seq").cast("long").alias("length"), F.md5("seq").alias("md5"))
+
+
+@query
+def fastq_files(spark, sf):
+    """Reads as FASTQ files, a sample each, read and filtered."""
+    reads = proxies.sequences(spark, sf).select(F.col("lang").alias("sample"), "ord", F.concat(F.lit("d"), "ord").alias("read"), "seq", F.col("seq").alias("qual"))
+    folder = shared_folder(spark, "fastq")
+    writers.write_sample_lines(writers.fastq_lines(reads), folder, ".fastq")
+    kept = scoring.filter_reads(readers.read_fastq(spark, folder), 500, 2000, min_quality=70.2)
+    return kept.select("sample", "read", F.length("seq").cast("long").alias("length"), F.round(expr.mean_quality(F.col("qual")), 6).alias("mean_quality"))
+
+
+@query
+def sam_files(spark, sf):
+    """Alignments as SAM files, a sample each, read and scored."""
+    folder = shared_folder(spark, "sam")
+    writers.write_sample_lines(writers.sam_lines(proxies.alignments(spark, sf)), folder, ".sam")
+    scored = scoring.scored_alignments(scoring.with_counts(commands.read_alignments(spark, folder)))
+    return rounded(scoring.read_scores(scored), 6, "log_score")
+
+
+@query
+def table_files(spark, sf):
+    """Per-sample tables as files, read again and consolidated."""
+    folder = shared_folder(spark, "tables")
+    writers.write_sample_tables(_tables(spark, sf), folder)
+    return consolidate.otu_counts(readers.read_sample_tables(spark, folder), ["F", "O", "P"])
+
+
+def _database(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The builder from files: sequences whose header can't be read have no species in the map."""
+    folder = shared_folder(spark, "database")
+    known = proxies.sequences(spark, sf).withColumn("tax_id", F.concat_ws("-", "source", "lang"))
+    writers.write_fasta(known.select(F.col("ord").alias("n"), F.expr("substring(header, 2)").alias("seq_id"), "seq"), f"{folder}/in.fasta")
+    mapped = known.where("header LIKE '% %'").select(F.concat_ws("\t", expr.sequence_id(F.expr("substring(header, 2)")), "tax_id").alias("value"))
+    mapped.write.text(f"{folder}/seq2tax.tsv")
+    taxa = known.groupBy("tax_id").agg(F.concat_ws(" ", F.first("source"), F.first("lang")).alias("species"), F.first("source").alias("genus"), F.first("source").alias("family"), F.lit("").alias("order"), F.lit("").alias("class"), F.first("lang").alias("phylum"), F.lit("Life").alias("superkingdom"))
+    writers.write_tsv(taxa, f"{folder}/list.tsv", [F.col("tax_id")])
+    return commands.build_database(spark, f"{folder}/in.fasta", f"{folder}/seq2tax.tsv", "db", f"{folder}/out", taxonomy_list=f"{folder}/list.tsv")
+
+
+@query
+def database_sequences(spark, sf):
+    return _database(spark, sf)["sequences"].select(F.col("n").cast("long").alias("n"), "seq_id", "tax_id", F.length("seq").cast("long").alias("length"))
+
+
+@query
+def database_reports(spark, sf):
+    """Sequences that more than one genus carries."""
+    got = _database(spark, sf)["cross_genus"]
+    return got.select("md5", "species_count", "species", "genera", F.size(F.split("sequence_ids", ";")).cast("long").alias("n_sequences"))
+
+
+@query
+def database_taxonomy(spark, sf):
+    """Lineages of all ids of the map."""
+    return _database(spark, sf)["taxonomy"].select("tax_id", *RANKS)

@@ -1,95 +1,82 @@
 """Readers of the domain's files as DataFrames.
 
-Text formats that can be split by lines use Spark's own readers. FASTA, FASTQ and
-BAM records span lines or compressed blocks; their files are read one by one in
-tasks (``binaryFile``), many files in parallel, and ``ord`` keeps the order of
-records: the file's place in the sorted list of paths, then the record's place.
+Text formats use Spark's own readers, which split large plain files into ranges and
+decompress packed ones as a stream: lines for SAM, FASTQ and tables, stretches up to
+the next header mark for FASTA. ``ord`` keeps the order of records: the file's place
+in the sorted list of paths, then the range's start, then the place in the range. BAM
+files are read whole (up to 2 GB each), but inflated and parsed a piece at a time.
 """
 
 from __future__ import annotations
 
 import gzip
+import io
 import struct
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mixspark.functions import expr
-from mixspark.schema import RANKS, SAMPLESHEET
+from mixspark.schema import SAMPLESHEET
 
-#: Records that one file can number.
-PER_FILE = 1 << 33
+#: Records that one file can number; records of a BAM file in one batch.
+PER_FILE, BATCH = 1 << 40, 10_000
 FASTQ_NAME = r"\.(fastq|fq)(\.gz)?$"
 SAMPLE_ID = r"^[A-Za-z0-9._-]+$"
 
 
-def _files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """path, place and content of each file; one task row a file."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    found = reader.load(path)
-    if pattern:
-        found = found.where(F.col("path").rlike(pattern))
-    places = found.select("path").withColumn("place", F.row_number().over(Window.orderBy("path")) - 1)
-    return found.select("path", "content").join(F.broadcast(places), "path")  # names only, one a file
+def _places(paths: DataFrame) -> DataFrame:
+    """path and place of each file; names only, one row a file."""
+    return paths.distinct().withColumn("place", F.row_number().over(Window.orderBy("path")) - 1)
 
 
-def _unpacked(content: bytes) -> bytes:
-    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+def in_file_order(found: DataFrame) -> DataFrame:
+    """``found`` (rows of a file source, as read) with file (its name), ord, and n: the row's number in its file.
 
+    A range of a file is read in order by one task; the starts and row counts of the
+    ranges, one small row each, give what comes before. A record has at least one
+    byte, so range start plus place in the range never passes the next range's start.
+    """
+    at = {"_file": "file_name", "_path": "file_path", "_start": "file_block_start"}
+    marked = found.select("*", *[F.col(f"_metadata.{v}").alias(k) for k, v in at.items()], F.monotonically_increasing_id().alias("_id"))
+    ranges = marked.groupBy("_path", "_start").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.join(_places(ranges.select(F.col("_path").alias("path"))), F.col("_path") == F.col("path")).select("_path", "_start", "_first", "place", before.alias("_before"))
+    inside = F.col("_id") - F.col("_first")
+    out = marked.join(F.broadcast(ranges), ["_path", "_start"])  # a row a range of some 100 MB
+    return out.select(*found.columns, F.col("_file").alias("file"), (F.col("place") * PER_FILE + F.col("_start") + inside).alias("ord"), (F.col("_before") + inside).alias("n"))
 
-def fasta_records(text: str) -> Iterator[tuple[str, str]]:
-    """(header without the mark, sequence); text before the first header is dropped."""
-    header, lines = None, []
-    for line in text.splitlines():
-        line = line.rstrip()
-        if line.startswith(">"):
-            if header is not None:
-                yield header, "".join(lines)
-            header, lines = line[1:], []
-        else:
-            lines.append(line)
-    if header is not None:
-        yield header, "".join(lines)
 
+def _text(spark: SparkSession, path: str, pattern: str = "*", **options) -> DataFrame:
+    return in_file_order(spark.read.options(recursiveFileLookup="true", pathGlobFilter=pattern, **options).text(path))
 
-def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """ord, header (without '>'), seq; plain or gzipped files."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for got in batches:
-            for place, content in zip(got.column("place").to_pylist(), got.column("content").to_pylist(), strict=True):
-                rows = [(place * PER_FILE + i, h, s) for i, (h, s) in enumerate(fasta_records(_unpacked(content).decode()))]
-                if rows:
-                    o, h, s = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()), pa.array(h, pa.string()), pa.array(s, pa.string())], names=["ord", "header", "seq"])
 
-    return _files(spark, path).mapInArrow(run, "ord long, header string, seq string")
+def read_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """ord, header (without '>'), seq; plain or gzipped files. Text before the first header is dropped."""
+    chunks = _text(spark, path, lineSep="\n>")
+    # only the first stretch of a file still has its mark, or has none to have
+    record = F.when(F.col("n") > 0, F.col("value")).when(F.startswith("value", F.lit(">")), F.substring("value", 2, 1 << 30))
+    parts = chunks.select("ord", record.alias("record")).where("record IS NOT NULL").select("ord", F.split("record", "\n", 2).alias("f"))
+    seq = F.regexp_replace(F.coalesce(F.get("f", F.lit(1)), F.lit("")), r"\s*\n|\s+$", "")
+    return parts.select("ord", F.regexp_replace(F.get("f", F.lit(0)), r"\s+$", "").alias("header"), seq.alias("seq"))
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """sample, ord, read, seq, qual: four lines a record, whatever they start with."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for got in batches:
-            for path_, place, content in zip(*(got.column(c).to_pylist() for c in ("path", "place", "content")), strict=True):
-                lines = _unpacked(content).decode().splitlines()
-                n = len(lines) // 4
-                sample = path_.rsplit("/", 1)[-1]
-                names = [x[1:].split()[0] if x[1:].split() else "" for x in lines[0 : 4 * n : 4]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([sample] * n, pa.string()), pa.array([place * PER_FILE + i for i in range(n)], pa.int64()), pa.array(names, pa.string()), pa.array(lines[1 : 4 * n : 4], pa.string()), pa.array(lines[3 : 4 * n : 4], pa.string())],
-                    names=["sample", "ord", "read", "seq", "qual"],
-                )
-
-    raw = _files(spark, path, FASTQ_NAME).mapInArrow(run, "sample string, ord long, read string, seq string, qual string")
-    return raw.withColumn("sample", F.regexp_replace("sample", FASTQ_NAME, ""))
+    """sample, ord, read, seq, qual: four lines a record, whatever they start with; an incomplete last one is dropped."""
+    lines = _text(spark, path, "*.{fastq,fq,fastq.gz,fq.gz}")
+    place = F.floor(F.col("ord") / PER_FILE)
+    line = lambda k: F.max(F.when(F.col("n") % 4 == k, F.col("value")))
+    records = lines.groupBy("file", place.alias("place"), F.floor(F.col("n") / 4).alias("record")).agg(line(0).alias("name"), line(1).alias("seq"), line(3).alias("qual"), F.count("*").alias("lines")).where("lines = 4")
+    sample = F.regexp_replace("file", FASTQ_NAME, "")
+    return records.select(sample.alias("sample"), (F.col("place") * PER_FILE + F.col("record")).alias("ord"), F.regexp_extract("name", r"^.\s*(\S*)", 1).alias("read"), "seq", "qual")
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """sample (file name), ord, read, flag, ref, cigar, nm. Header-only files have no rows."""
-    lines = spark.read.text(path).select("value", F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.sam)?$", 1).alias("sample"), F.monotonically_increasing_id().alias("ord"))
+    lines = _text(spark, path, "*.sam").select("value", F.regexp_replace("file", r"\.sam$", "").alias("sample"), "ord")
     parts = lines.where(~F.col("value").startswith("@") & (F.col("value") != "")).withColumn("f", F.split("value", "\t"))
     star = lambda i: F.when(F.col("f")[i] != "*", F.col("f")[i])
     nm = F.regexp_extract("value", r"\tNM:i:(-?\d+)", 1)
@@ -101,21 +88,21 @@ TAG_SIZES = {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
 TAG_INTEGERS = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I"}
 
 
-def bam_records(raw: bytes) -> Iterator[tuple[str, int, str | None, str | None, int | None]]:
+def bam_records(stream: BinaryIO) -> Iterator[tuple[str, int, str | None, str | None, int | None]]:
     """(read, flag, ref, cigar, nm) of each record of an uncompressed BAM stream."""
-    if raw[:4] != b"BAM\1":
+    number = lambda: struct.unpack("<i", stream.read(4))[0]
+    if stream.read(4) != b"BAM\1":
         raise ValueError("not a BAM stream")
-    at = 8 + struct.unpack_from("<i", raw, 4)[0]
-    n_ref, at, refs = struct.unpack_from("<i", raw, at)[0], at + 4, []
-    for _ in range(n_ref):
-        size = struct.unpack_from("<i", raw, at)[0]
-        refs.append(raw[at + 4 : at + 3 + size].decode())
-        at += 8 + size
-    while at < len(raw):
-        size, ref, _, name_size, _, _, n_ops, flag, seq_size = struct.unpack_from("<iiiBBHHHi", raw, at)
-        end, p = at + 4 + size, at + 36
-        name = raw[p : p + name_size - 1].decode()
-        p += name_size
+    stream.read(number())
+    refs = []
+    for _ in range(number()):
+        refs.append(stream.read(number())[:-1].decode())
+        stream.read(4)
+    while size := stream.read(4):
+        raw = stream.read(struct.unpack("<i", size)[0])
+        ref, _, name_size, _, _, n_ops, flag, seq_size = struct.unpack_from("<iiBBHHHi", raw)
+        p, end = 32 + name_size, len(raw)
+        name = raw[32 : p - 1].decode()
         ops = struct.unpack_from(f"<{n_ops}I", raw, p)
         cigar = "".join(f"{x >> 4}{'MIDNSHP=X'[x & 15]}" for x in ops) or None
         p += 4 * n_ops + (seq_size + 1) // 2 + seq_size
@@ -132,28 +119,36 @@ def bam_records(raw: bytes) -> Iterator[tuple[str, int, str | None, str | None,
                     nm = struct.unpack_from(TAG_INTEGERS[kind], raw, p)[0]
                 p += TAG_SIZES[kind]
         yield name, flag, refs[ref] if ref >= 0 else None, cigar, nm
-        at = end
 
 
 def read_bam(spark: SparkSession, path: str) -> DataFrame:
     """The same columns as ``read_sam``; a BAM file is gzip blocks end to end."""
+    found = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.bam").load(path)
+    files = found.select("path", "content").join(F.broadcast(_places(found.select("path"))), "path")
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64()]
+    names = ["sample", "ord", "read", "flag", "ref", "cigar", "nm"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
-            for path_, place, content in zip(*(got.column(c).to_pylist() for c in ("path", "place", "content")), strict=True):
-                rows = list(bam_records(gzip.decompress(content)))
-                sample = path_.rsplit("/", 1)[-1].removesuffix(".bam")
-                columns = list(zip(*rows, strict=True)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([sample] * len(rows), pa.string()), pa.array([place * PER_FILE + i for i in range(len(rows))], pa.int64()), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.string()), pa.array(columns[4], pa.int64())],
-                    names=["sample", "ord", "read", "flag", "ref", "cigar", "nm"],
-                )
+            for path_, place, content in zip(*(got.column(c) for c in ("path", "place", "content")), strict=True):
+                sample, base, rows = path_.as_py().rsplit("/", 1)[-1].removesuffix(".bam"), place.as_py() * PER_FILE, []
+                for i, record in enumerate(bam_records(io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer()))))):
+                    rows.append((sample, base + i, *record))
+                    if len(rows) == BATCH:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                        rows = []
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return _files(spark, path).mapInArrow(run, "sample string, ord long, read string, flag int, ref string, cigar string, nm long")
+    return files.mapInArrow(run, "sample string, ord long, read string, flag int, ref string, cigar string, nm long")
 
 
 def read_samplesheet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=SAMPLESHEET, mode="FAILFAST")
+    """sample and fastq; a sheet without rows is an error. No line is a comment."""
+    sheet = spark.read.csv(path, header=True, schema=SAMPLESHEET, mode="FAILFAST")
+    if not sheet.take(1):
+        raise ValueError(f"the sample sheet {path} has no rows")
+    return sheet
 
 
 def samplesheet_faults(sheet: DataFrame) -> DataFrame:
@@ -200,7 +195,7 @@ def discover(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as strings, with ``ord``; empty fields are null."""
-    return spark.read.csv(path, sep="\t", header=True, inferSchema=False, quote="").withColumn("ord", F.monotonically_increasing_id())
+    return in_file_order(spark.read.csv(path, sep="\t", header=True, inferSchema=False, quote="")).drop("file", "n")
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
@@ -224,7 +219,7 @@ def read_names(spark: SparkSession, path: str) -> DataFrame:
 
 def read_seq2tax(spark: SparkSession, path: str) -> DataFrame:
     """Exactly two tab-separated fields a line."""
-    parts = spark.read.text(path).select(F.split("value", "\t").alias("f"), F.monotonically_increasing_id().alias("ord"))
+    parts = _text(spark, path).select(F.split("value", "\t").alias("f"), "ord")
     wrong = F.raise_error(F.concat(F.lit("not two fields: "), F.array_join("f", "\t"))).cast("string")
     return parts.select(F.when(F.size("f") == 2, F.col("f")[0]).otherwise(wrong).alias("seq_id"), F.col("f")[1].alias("tax_id"), "ord")
 
@@ -241,21 +236,34 @@ def read_identical(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 
 def read_sample_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """All *_rel-abundance.tsv of a folder, told apart by ``sample``; text columns as written."""
-    found = spark.read.option("pathGlobFilter", "*_rel-abundance.tsv").csv(folder, sep="\t", header=True, inferSchema=False, quote="")
-    sample = F.regexp_extract(F.input_file_name(), r"([^/]+)_rel-abundance\.tsv$", 1)
-    rows = found.select(F.url_decode(sample).alias("sample"), F.monotonically_increasing_id().alias("row_ord"), *found.columns)
-    return rows
+    """All *_rel-abundance.tsv of a folder, told apart by ``sample``; text columns as written. None is an error."""
+    if not listed_files(spark, folder).where(F.col("path").rlike(r"_rel-abundance\.tsv$")).take(1):
+        raise ValueError(f"no *_rel-abundance.tsv in {folder}")
+    lines = _text(spark, folder, "*_rel-abundance.tsv").where("value <> ''").select("file", "ord", "n", F.floor(F.col("ord") / PER_FILE).alias("place"), F.split("value", "\t", -1).alias("f"))
+    heads = lines.where("n = 0").select("place", F.col("f").alias("head"))
+    columns = list(dict.fromkeys(c for r in heads.select("head").distinct().collect() for c in r.head))  # a file each has its own
+    named = lines.where("n > 0").join(heads, "place").select("file", "ord", F.map_from_arrays("head", F.slice("f", F.lit(1), F.size("head"))).alias("x"))
+    sample = F.regexp_replace("file", r"_rel-abundance\.tsv$", "")
+    return named.select(F.url_decode(sample).alias("sample"), F.col("ord").alias("row_ord"), *[F.nullif(F.element_at("x", F.lit(c)), F.lit("")).alias(c) for c in columns])
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """assigned and unassigned of one-object JSON files, the sample from the file name."""
     got = spark.read.json(path, schema="assigned_count long, unassigned_count long", multiLine=True)
-    return got.select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(_counts)?\.json$", 1).alias("sample"), F.col("assigned_count").alias("assigned"), F.col("unassigned_count").alias("unassigned"))
+    return got.select(F.regexp_extract("_metadata.file_name", r"^(.+?)(_counts)?\.json$", 1).alias("sample"), F.col("assigned_count").alias("assigned"), F.col("unassigned_count").alias("unassigned"))
+
 
+def read_estimates(spark: SparkSession, path: str) -> DataFrame:
+    """Estimates of one-object JSON files (abundance, below_detection_count and maybe read_summary), the sample from the file name.
 
-def check_ranks(columns: list[str]) -> list[str]:
-    return [r for r in RANKS if r in columns]
+    A sample without a reported species has one row with a null tax_id.
+    """
+    fields = "expected_reads double, shared_reads double, alpha double"
+    got = spark.read.json(path, schema=f"abundance map<string, double>, below_detection_count long, read_summary map<string, struct<{fields}>>", multiLine=True)
+    sample = F.regexp_extract("_metadata.file_name", r"^(.+?)(_abundance)?\.json$", 1).alias("sample")
+    rows = got.select(sample, F.explode_outer("abundance").alias("tax_id", "abundance"), "read_summary", F.col("below_detection_count").alias("below_detection"))
+    own = F.element_at("read_summary", F.col("tax_id"))
+    return rows.select("sample", F.col("tax_id").cast("long").alias("tax_id"), "abundance", *[own[c].alias(c) for c in ("expected_reads", "shared_reads", "alpha")], "below_detection")
 
 
 def taxonomy_order(taxonomy: DataFrame) -> DataFrame:

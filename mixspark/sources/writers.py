@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import warnings
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mixspark.operators.consolidate import check_rank, collapse, combine, species_order
+
 
 def write_fasta(records: DataFrame, path: str, wrap: int | None = None) -> None:
     """``records``: n, seq_id, seq and maybe description; sorted by n, as part files in that order."""
@@ -13,17 +17,91 @@ def write_fasta(records: DataFrame, path: str, wrap: int | None = None) -> None:
     records.orderBy("n").select(F.concat(F.lit(">"), title, F.lit("\n"), body)).write.text(path)
 
 
-def write_tsv(table: DataFrame, path: str) -> None:
-    """One file with a header, also where the table is empty; numbers as Spark prints them."""
-    table.coalesce(1).write.csv(path, sep="\t", header=True, emptyValue="", quote="")
+def _file_system(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path
+
+
+def _only_part(fs, folder) -> object:
+    (part,) = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    return part
+
+
+def write_tsv(table: DataFrame, path: str, order: list | None = None) -> None:
+    """One file at ``path`` with a header, also where the table is empty, rows in ``order``; numbers as Spark prints them."""
+    spark, folder = table.sparkSession, f"{path}.parts"
+    rows = table.orderBy(*order) if order else table
+    rows.coalesce(1).write.csv(folder, sep="\t", header=True, emptyValue="", quote="")
     if not table.take(1):
-        table.sparkSession.createDataFrame([("\t".join(table.columns),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        spark.createDataFrame([("\t".join(table.columns),)], "value string").coalesce(1).write.mode("overwrite").text(folder)
+    fs, at = _file_system(spark, path)
+    fs.rename(_only_part(fs, at(folder)), at(path))
+    fs.delete(at(folder), True)
+
+
+def _named_by_sample(spark: SparkSession, folder: str, ending: str) -> None:
+    """Give the one file of each sample=... folder the sample's name."""
+    fs, at = _file_system(spark, folder)
+    for f in fs.listStatus(at(folder)):
+        name = f.getPath().getName()
+        if name.startswith("sample="):
+            fs.rename(_only_part(fs, f.getPath()), at(f"{folder}/{name.removeprefix('sample=')}{ending}"))
+            fs.delete(f.getPath(), True)
 
 
 def write_sample_tables(tables: DataFrame, path: str) -> None:
-    """One folder a sample, rows in their order."""
+    """One file a sample, named for it, rows in their order."""
     columns = [c for c in tables.columns if c != "row_ord"]
     tables.repartition("sample").sortWithinPartitions("sample", "row_ord").select(*columns).write.partitionBy("sample").csv(path, sep="\t", header=True, emptyValue="", quote="")
+    _named_by_sample(tables.sparkSession, path, "_rel-abundance.tsv")
+
+
+def write_sample_lines(lines: DataFrame, path: str, ending: str) -> None:
+    """``lines``: sample, ord, value. One text file a sample, named for it, in order."""
+    lines.repartition("sample").sortWithinPartitions("sample", "ord").select("sample", "value").write.partitionBy("sample").text(path)
+    _named_by_sample(lines.sparkSession, path, ending)
+
+
+def sam_lines(alignments: DataFrame) -> DataFrame:
+    """sample, ord, value: alignment records as SAM lines (without bases, which scoring does not read)."""
+    field = lambda c, none="*": F.coalesce(F.col(c).cast("string"), F.lit(none))
+    nm = F.when(F.col("nm").isNotNull(), F.concat(F.lit("\tNM:i:"), F.col("nm").cast("string"))).otherwise("")
+    value = F.concat(F.concat_ws("\t", "read", field("flag"), field("ref"), F.lit("1"), F.lit("0"), field("cigar"), F.lit("*"), F.lit("0"), F.lit("0"), F.lit("*"), F.lit("*")), nm)
+    return alignments.select("sample", "ord", value.alias("value"))
+
+
+def fastq_lines(reads: DataFrame) -> DataFrame:
+    """sample, ord, value: reads as FASTQ records."""
+    return reads.select("sample", "ord", F.concat(F.lit("@"), "read", F.lit("\n"), "seq", F.lit("\n+\n"), "qual").alias("value"))
+
+
+def write_consolidated(tables: dict[str, DataFrame | None], folder: str) -> None:
+    """The tables across samples; without counts in any sample their table is left out with a warning."""
+    names = {"otu_abundance": "otu_table_abundance", "otu_counts": "otu_table_counts", "tax_table": "tax_table", "sample_metadata": "sample_metadata"}
+    for key, name in names.items():
+        table = tables[key]
+        if table is None:
+            warnings.warn(f"no sample has counts; {name}.tsv is not written", stacklevel=2)
+        else:
+            write_tsv(table, f"{folder}/{name}.tsv", species_order() if "species" in table.columns else [F.col("sample")])
+
+
+def write_collapsed(table: DataFrame, rank: str, folder: str, base: str) -> str:
+    """The collapsed table under its name; ranks of no name come last."""
+    got, path = collapse(table, rank), f"{folder}/{collapsed_name(base, rank)}"
+    write_tsv(got, path, [F.col(c).asc_nulls_last() for c in got.columns if c not in ("abundance", "estimated_counts")])
+    return path
+
+
+def write_combined(tables: DataFrame, rank: str, samples: list[str], folder: str, counts: bool = False, split: bool = False) -> list[str]:
+    """The combined table under its name or, split, lineages and values in files of their own."""
+    wide = combine(tables, rank, samples, counts)
+    ranks = [c for c in check_rank(rank) if c in wide.columns]
+    parts = {"taxonomy": ranks, "abundance": [rank, *samples]} if split else {None: [*ranks, *samples]}
+    paths = [f"{folder}/{combined_name(rank, counts, part)}" for part in parts]
+    for path, columns in zip(paths, parts.values(), strict=True):
+        write_tsv(wide.orderBy(*ranks).select(*[f"`{c}`" for c in columns]), path)
+    return paths
 
 
 def collapsed_name(base: str, rank: str) -> str:

@@ -151,6 +151,52 @@ def test_summary_by_hand(spark):
     assert all(r.shared_reads == 0 for r in got)
 
 
+def by_hand():
+    """Three reads over species 10, 20 and 30 at frequencies 0.6, 0.3 and 0.1; 30 is not reported."""
+    candidates, freq = [(10, 30), (10,), (10, 20)], {10: 0.6, 20: 0.3, 30: 0.1}
+    phi = [("s", str(r), t, freq[t] / sum(freq[x] for x in own)) for r, own in enumerate(candidates) for t in own]
+    want = {10: (0.6 / 0.7 + 1 + 0.6 / 0.9, 0.6 / 0.9), 20: (0.3 / 0.9, 0.3 / 0.9)}  # the first read is split with 30 alone
+    return phi, want
+
+
+def test_what_goes_to_dropped_species_counts_for_nobody(spark):
+    phi, want = by_hand()
+    mine = [p for p in phi if p[2] != 30]
+    got = estimate.read_summary(spark.createDataFrame(mine, "sample string, read string, tax_id long, phi double")).collect()
+    assert {r.tax_id for r in got} == {10, 20} and all((r.expected_reads, r.shared_reads) == pytest.approx(want[r.tax_id]) for r in got)
+    read, of_ = np.array([int(p[1]) for p in mine]), np.array([{10: 0, 20: 1}[p[2]] for p in mine])
+    expected, shared = estimate.summed_reads(read, of_, np.array([p[3] for p in mine]), np.arange(2))
+    assert list(zip(expected, shared, strict=True)) == [pytest.approx(want[t]) for t in (10, 20)]
+
+
+def test_em_shares_reads_out_among_survivors():
+    """600 reads of shares 0.53, 0.43 and 0.04, the last below the minimum: its part of split reads is lost to the others."""
+    reads = [(0,)] * 306 + [(0, 2)] * 24 + [(1,)] * 258 + [(2,)] * 12
+    read = np.array([r for r, own in enumerate(reads) for _ in own])
+    species = np.array([t for own in reads for t in own])
+    scores = Scores.of(read, species, np.full(len(read), -1.0), 3, len(reads))
+    full, freq = estimate.em_frequencies(scores, 0.05, 1e-9, None)
+    assert (full > 0).tolist() == [True, True, True] and (freq > 0).tolist() == [True, True, False]
+    got = estimate.fit_em(scores, 0.05, 1e-9)
+    expected, shared = estimate.summed_reads(got.read, got.of, got.phi, np.arange(3))
+    assert expected[:2] == pytest.approx([306 + 24 * full[0] / (full[0] + full[2]), 258]) and shared.sum() == 0
+    assert expected[0] < 330 and got.below_detection == 12
+
+
+def test_spread_bound_warns_as_the_other(spark, monkeypatch):
+    """Both routes look at the bound on the same steps."""
+    case, seen = simulated(8, 300), {"one": [], "spread": []}
+    frame = spark.createDataFrame([("s", f"r{r}", int(t), float(x)) for r, t, x in zip(*case[:3], strict=True)], "sample string, read string, tax_id long, log_score double")
+    original = estimate.checked_bound
+    for route in seen:
+        monkeypatch.setattr(estimate, "checked_bound", lambda value, last, route=route: seen[route].append(value) or original(value, last))
+        if route == "one":
+            estimate.fit_vb(of(*case), min_abundance=0.0)
+        else:
+            estimate.estimate_abundances(frame, one_task=0, min_abundance=0.0).collect()
+    assert len(seen["one"]) == len(seen["spread"]) > 1 and np.allclose(seen["one"], seen["spread"], rtol=1e-9)
+
+
 def test_bound_rises():
     scores = of(*simulated(6))
     alpha, values = np.full(8, 1 / 8 + 900 / 8), []

@@ -74,11 +74,48 @@ def test_samplesheet(spark, tmp_path):
     assert got == {("b!", "bad sample id"), ("c", "not a FASTQ name"), ("a", "sample more than once")}
 
 
+def test_empty_samplesheet_is_an_error(spark, tmp_path):
+    (tmp_path / "sheet.csv").write_text("sample,fastq\n")
+    with pytest.raises(ValueError, match="no rows"):
+        readers.read_samplesheet(spark, str(tmp_path / "sheet.csv"))
+
+
+def test_split_files_keep_their_order(spark, tmp_path):
+    """Files read in many small ranges come back whole and in order."""
+    (tmp_path / "b.fa").write_text("".join(f">s{i} x\n{'ACGT' * (i % 9)}\n{'GG' * (i % 5)}\n" for i in range(900)))
+    (tmp_path / "a.fa").write_text(">first\nAC\n")
+    (tmp_path / "r.fastq").write_text("".join(f"@r{i} x\n{'A' * (i % 40)}\n+\n{'@' * (i % 40)}\n" for i in range(700)))
+    (tmp_path / "t.tsv").write_text("tax_id\tname\n" + "".join(f"{i}\tname {i}\n" for i in range(800)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        fasta = readers.read_fasta(spark, str(tmp_path / "*.fa")).orderBy("ord").collect()
+        assert [(r.header, r.seq) for r in fasta] == [("first", "AC")] + [(f"s{i} x", "ACGT" * (i % 9) + "GG" * (i % 5)) for i in range(900)]
+        fastq = readers.read_fastq(spark, str(tmp_path)).orderBy("ord").collect()
+        assert [(r.read, r.seq, r.qual) for r in fastq] == [(f"r{i}", "A" * (i % 40), "@" * (i % 40)) for i in range(700)]
+        assert [r.tax_id for r in readers.read_tsv(spark, str(tmp_path / "t.tsv")).orderBy("ord").collect()] == [str(i) for i in range(800)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_estimates(spark, tmp_path):
+    (tmp_path / "s1_abundance.json").write_text('{"abundance": {"12": 0.75, "3": 0.25}, "below_detection_count": 4, "read_summary": {"12": {"expected_reads": 7.5, "shared_reads": 1, "alpha": 8}, "3": {"expected_reads": 2, "shared_reads": 0}}}')
+    (tmp_path / "s2_abundance.json").write_text('{"abundance": {}, "below_detection_count": 0}')
+    got = sorted((tuple(r) for r in readers.read_estimates(spark, str(tmp_path)).collect()), key=str)
+    assert got == [("s1", 12, 0.75, 7.5, 1.0, 8.0, 4), ("s1", 3, 0.25, 2.0, 0.0, None, 4), ("s2", None, None, None, None, None, 0)]
+
+
 def test_sample_tables_round_trip(spark, tmp_path):
-    for name in ("A", "B"):
-        (tmp_path / f"{name}_rel-abundance.tsv").write_text("species\tabundance\tgenus\nx\t0.5\tG\n")
+    (tmp_path / "A_rel-abundance.tsv").write_text("species\tabundance\tgenus\testimated_counts\nx\t0.5\tG\t7\n")
+    (tmp_path / "B_rel-abundance.tsv").write_text("species\tgenus\tabundance\nx\t\t0.5\n")
     (tmp_path / "A_rel-abundance-genus.tsv").write_text("genus\tabundance\nG\t1\n")
-    assert sorted((r.sample, r.species, r.abundance) for r in readers.read_sample_tables(spark, str(tmp_path)).collect()) == [("A", "x", "0.5"), ("B", "x", "0.5")]
+    got = readers.read_sample_tables(spark, str(tmp_path)).collect()
+    assert sorted((r.sample, r.species, r.abundance, r.genus or "", r.estimated_counts) for r in got) == [("A", "x", "0.5", "G", "7"), ("B", "x", "0.5", "", None)]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError, match="no .*rel-abundance"):
+        readers.read_sample_tables(spark, str(tmp_path / "none"))
 
 
 def test_writers(spark, tmp_path):
@@ -86,6 +123,5 @@ def test_writers(spark, tmp_path):
     writers.write_fasta(rows, str(tmp_path / "f"), wrap=4)
     assert [(r.header, r.seq) for r in readers.read_fasta(spark, str(tmp_path / "f")).orderBy("ord").collect()] == [("a:d:1", "AC"), ("b:d:2", "ACGTAC")]
     writers.write_tsv(rows.limit(0), str(tmp_path / "t"))
-    (part,) = (tmp_path / "t").glob("part-*")
-    assert part.read_text() == "n\tseq_id\tseq\n"
+    assert (tmp_path / "t").read_text() == "n\tseq_id\tseq\n"
     assert writers.combined_name("genus", True) == "vi-combined-genus-counts.tsv" and writers.combined_name("genus", True, "taxonomy") == "vi-combined-taxonomy-genus.tsv"
