@@ -311,7 +311,10 @@ def repeated_spans(source: DataFrame, mode: str = "all", length: int = LENGTH, g
     again = single.join(counted, string)
     if mode != "all":
         again = again.where(place != F.col("earliest"))
-    piled = again.groupBy("file", "content").agg(F.transform(F.array_sort(F.collect_set("at")), lambda x: F.array(x, x + 1)).alias("runs"))
+    sets = again.groupBy("file", "content").agg(F.array_sort(F.collect_set("at")).alias("ats"))  # a segment's strings at most
+    first = F.expr("filter(ats, (x, i) -> i = 0 OR get(ats, i - 1) <> x - 1)")
+    last = F.expr("filter(ats, (x, i) -> i = size(ats) - 1 OR get(ats, i + 1) <> x + 1)")
+    piled = sets.select("file", "content", F.zip_with(first, last, lambda a, b: F.array(a, b + 1)).alias("runs"))
 
     # Back to all members of the classes.
     mine = dealt.unionByName(piled)
