@@ -166,7 +166,7 @@ def cell_links(sets: list[np.ndarray], comp: np.ndarray, block: np.ndarray, outs
 
 
 def links_within(members: DataFrame, candidates: DataFrame, per_cent: int, block: int) -> DataFrame:
-    """(a, b): all links between components within open buckets. ``members``: band, key, n, rep, comp, largest."""
+    """(a, b): all components linked within open buckets. ``members``: band, key, n, rep, comp, largest."""
     blocks = F.ceil(F.col("n") / block)
     own = F.pmod(F.xxhash64("rep"), blocks)
     dealt = members.select("band", "key", "rep", "comp", (F.col("comp") != F.col("largest")).alias("outside"), own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
@@ -179,15 +179,16 @@ def links_within(members: DataFrame, candidates: DataFrame, per_cent: int, block
         now, held = None, []
 
         def links() -> pa.RecordBatch:
-            rep, comp, own, outside, sets = (list(x) for x in zip(*held, strict=True))
+            comp, own, outside, sets = (list(x) for x in zip(*held, strict=True))
             found = cell_links(sets, np.array(comp), np.array(own), np.array(outside), per_cent) if len(set(comp)) > 1 else []
-            return batch(types, {"a": [max(rep[i], rep[j]) for i, j in found], "b": [min(rep[i], rep[j]) for i, j in found]})
+            pairs = {(max(comp[i], comp[j]), min(comp[i], comp[j])) for i, j in found}
+            return batch(types, {"a": [a for a, _ in pairs], "b": [b for _, b in pairs]})
 
         for whole_batch in batches:
             for got in slices(whole_batch):
                 sets = shingle_sets(got.column("text").to_pylist())
                 places = zip(*(got.column(k).to_pylist() for k in keys), strict=True)
-                for place, row in zip(places, zip(*(got.column(k).to_pylist() for k in ("rep", "comp", "own", "outside")), sets, strict=True), strict=True):
+                for place, row in zip(places, zip(*(got.column(k).to_pylist() for k in ("comp", "own", "outside")), sets, strict=True), strict=True):
                     if place != now:
                         if held:
                             yield links()
@@ -197,7 +198,7 @@ def links_within(members: DataFrame, candidates: DataFrame, per_cent: int, block
             yield links()
 
     bounded_batches(members.sparkSession)
-    found = whole.repartition(*keys).sortWithinPartitions(*keys, "rep").select(*keys, "rep", "comp", "own", "outside", "text").mapInArrow(run, "a long, b long")
+    found = whole.repartition(*keys).sortWithinPartitions(*keys, "rep").select(*keys, "comp", "own", "outside", "text").mapInArrow(run, "a long, b long")
     return found.distinct()
 
 
@@ -224,23 +225,25 @@ def near_duplicates(df: DataFrame, per_cent: int = 75, id_col: str = "doc_id", t
     alike = F.lit(100) * F.least("n_shingles", "c_size") >= F.lit(per_cent) * F.greatest("n_shingles", "c_size")
     pairs = bucketed.join(centre, ["band", "key"]).where(F.col("rep") != F.col("c")).where(alike).select(F.greatest("rep", "c").alias("a"), F.least("rep", "c").alias("b")).distinct()
     links = confirm(materialise(pairs, "pairs"), candidates, per_cent).where("linked").select("a", "b")
+    nodes = known.select("rep")
     several = member.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b < most").select("doc_id", "b")
     if several.take(1):  # an id with different texts links their classes
         links = links.unionByName(member.join(several, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct())
-    edges = materialise(links, "star-links")
-    roots = connected_components(edges)
+        nodes = member.select("rep").distinct()
+    roots = connected_components(links).select(F.col("node").alias("rep"), "root")
 
     # Buckets that still hold more than one component.
-    state = known.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("root", "rep").alias("comp"))
+    state = nodes.join(roots, "rep", "left").select("rep", F.coalesce("root", "rep").alias("comp"))
     placed = bucketed.join(state, "rep")
     part = placed.groupBy("band", "key", "comp").agg(F.count("*").alias("of_comp"))
     open_ = part.groupBy("band", "key").agg(F.max_by("comp", F.struct("of_comp", "comp")).alias("largest"), F.count("*").alias("comps")).where("comps > 1").select("band", "key", "largest")
     open_ = materialise(open_, "open-buckets")
     more = materialise(links_within(placed.join(open_, ["band", "key"]).select("band", "key", "n", "rep", "comp", "largest"), candidates, per_cent, block), "more-links")
-    if more.take(1):
-        roots = connected_components(edges.union(more))
+    if more.take(1):  # the components are the nodes now
+        further = connected_components(more).select(F.col("node").alias("comp"), F.col("root").alias("far"))
+        state = state.join(further, "comp", "left").select("rep", F.coalesce("far", "comp").alias("comp"))
     release(bucketed, candidates)
-    classed = member.select("doc_id", "rep").distinct().join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("class_root")).groupBy("doc_id").agg(F.min("class_root").alias("class_root"))
+    classed = member.select("doc_id", "rep").distinct().join(state, "rep", "left").select("doc_id", F.coalesce("comp", "rep").alias("class_root")).groupBy("doc_id").agg(F.min("class_root").alias("class_root"))
     out = signed.select("doc_id", "n_shingles").join(classed, "doc_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("class_root")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
