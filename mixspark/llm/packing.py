@@ -7,14 +7,16 @@ a document that crosses a window's end leaves a boundary record in each window.
 All sequences but the last are full, so padding is less than one sequence.
 
 Defined cases: a null text counts as empty; an empty text is its end id alone;
-a document of any length is cut freely; repeated rows are packed each; an empty
-table gives no pieces; other columns are ignored.
+a document of any length is cut freely; repeated rows and rows of equal ids are packed
+each as a document of its own; an empty table gives no pieces; other columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import string
 import unicodedata
 import zlib
 from array import array
@@ -30,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from mixspark.llm.common import batch, materialise, texts
+from mixspark.llm.common import arrow_map, batch, bounded_batches, materialise, slices, texts
 
 #: Distinct words whose ids a Python worker remembers (a speed matter only).
-WORDS_KEPT = 800_000
+WORDS_KEPT = 300_000
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark spreads the work, not the tokenizer
 
@@ -71,6 +73,7 @@ class RankedWords:
         self.core = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})
         self.parts = regex.compile(pattern)
         self.common = regex.compile("[!-~\u00a1-\u00ac\u00ae-\u024f]+")
+        self.letters_stay = all(self.parts.findall(x) == [x] for x in (string.ascii_lowercase, "a", "s", "re", "ve", "m", "ll", "d"))
 
     @staticmethod
     def _merged(symbols: list[str], pairs: dict) -> list[str]:
@@ -83,6 +86,8 @@ class RankedWords:
 
     def encode(self, word: str) -> bytes | None:
         """None: not a word of this kind."""
+        if self.letters_stay and word.isascii() and word.isalpha():
+            return array("I", map(self.ids.__getitem__, self.core._encode_single_piece(word.lower().encode() + self.END))).tobytes()
         if not self.common.fullmatch(word):
             return None
         if not word.isascii():
@@ -93,41 +98,42 @@ class RankedWords:
         return array("I", map(self.ids.__getitem__, out)).tobytes()
 
 
-class WordCache:
-    """Ids of whole texts by a tokenizer that drops white space between words.
+class WordCache(dict):
+    """Ids of words (little-endian unsigned 32-bit), for tokenizers that drop white space between words.
 
     Such a tokenizer treats each stretch between spaces and line feeds by itself,
     so a stretch is encoded once and its ids are looked up after that. Common words
-    are merged by a rank table, all others by the tokenizer itself.
+    are merged by a rank table, all others by the tokenizer itself. Words of the last
+    generation that come up again stay known.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         spec = json.loads(self.tokenizer.to_str())
         steps = spec["pre_tokenizer"].get("pretokenizers", [{}])
         plain = [n["type"] for n in spec["normalizer"].get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] and spec["model"].get("end_of_word_suffix") and steps[0].get("invert")
         self.ranked = RankedWords(spec["model"], steps[0]["pattern"]["Regex"]) if plain else None
 
+    def __missing__(self, word: str) -> bytes:
+        got = self.before.get(word)
+        if got is None and self.ranked:
+            got = self.ranked.encode(word)
+        if got is None:
+            got = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = got
+        return got
+
     def encode(self, texts_: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts_]
-        known = self.known
-        new = {w for words in split for w in words if w not in known}
-        if len(known) + len(new) > WORDS_KEPT:
-            known.clear()
-            new = {w for words in split for w in words}
-        rest = []
-        for word in new:
-            got = self.ranked.encode(word) if self.ranked else None
-            if got is None:
-                rest.append(word)
-            else:
-                known[word] = got
-        for word, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            known[word] = np.asarray(got.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        """Ids of each text."""
+        out = []
+        for t in texts_:
+            out.append(b"".join(map(self.__getitem__, t.replace("\n", " ").split(" "))))
+            if len(self) > WORDS_KEPT // 2:
+                self.before = dict(self)
+                self.clear()
+        return out
 
 
 @lru_cache(2)
@@ -142,15 +148,15 @@ def token_stream(df: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, total = TaskContext.get().partitionId(), 0
-        for got in batches:
-            all_texts = [t or "" for t in got.column("text").to_pylist()]
-            for i in range(0, len(all_texts), 512):
-                ids = [x + end for x in word_cache(tokenizer_path).encode(all_texts[i : i + 512])]
+        for whole in batches:
+            for got in slices(whole):
+                ids = [x + end for x in word_cache(tokenizer_path).encode([t or "" for t in got.column("text").to_pylist()])]
                 counts = np.asarray([len(x) // 4 for x in ids], np.int64)
                 before = total + np.cumsum(counts) - counts
                 total += int(counts.sum())
-                yield batch(types, {"part": [part] * len(ids), "before": before, "doc_id": got.column("doc_id").slice(i, len(ids)), "doc_tokens": counts, "ids": ids})
+                yield batch(types, {"part": [part] * len(ids), "before": before, "doc_id": got.column("doc_id"), "doc_tokens": counts, "ids": ids})
 
+    bounded_batches(df.sparkSession)
     return texts(df, id_col, text_col).mapInArrow(run, "part int, before long, doc_id long, doc_tokens long, ids binary")
 
 
@@ -169,21 +175,20 @@ def pack(df: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 1
     if keep_ids:
         types["ids"] = pa.list_(pa.int32())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for got in batches:
-            out: dict[str, list] = {k: [] for k in types}
-            for doc, first, total, ids in zip(*(got.column(c).to_pylist() for c in ("doc_id", "at", "doc_tokens", "ids")), strict=True):
-                view, start = memoryview(ids), 0
-                while start < total:
-                    sequence, offset = divmod(first + start, length)
-                    n = min(length - offset, total - start)
-                    piece = view[4 * start : 4 * (start + n)]
-                    for k, v in (("doc_id", doc), ("start", start), ("length", n), ("ids_crc32", zlib.crc32(piece)), ("doc_tokens", total), ("sequence_id", sequence), ("offset", offset)):
-                        out[k].append(v)
-                    if keep_ids:
-                        out["ids"].append(np.frombuffer(piece, "<u4").astype(np.int32))
-                    start += n
-            yield batch(types, out)
+    def rows(got: pa.RecordBatch) -> pa.RecordBatch:
+        out: dict[str, list] = {k: [] for k in types}
+        for doc, first, total, ids in zip(*(got.column(c).to_pylist() for c in ("doc_id", "at", "doc_tokens", "ids")), strict=True):
+            view, start = memoryview(ids), 0
+            while start < total:
+                sequence, offset = divmod(first + start, length)
+                n = min(length - offset, total - start)
+                piece = view[4 * start : 4 * (start + n)]
+                for k, v in (("doc_id", doc), ("start", start), ("length", n), ("ids_crc32", zlib.crc32(piece)), ("doc_tokens", total), ("sequence_id", sequence), ("offset", offset)):
+                    out[k].append(v)
+                if keep_ids:
+                    out["ids"].append(np.frombuffer(piece, "<u4").astype(np.int32))
+                start += n
+        return batch(types, out)
 
     placed = stream.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("before")).alias("at"), "doc_tokens", "ids")
-    return placed.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * keep_ids)
+    return arrow_map(placed, rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * keep_ids)
