@@ -90,18 +90,47 @@ RULES: dict[str, tuple[Column, list[float]]] = {
 }
 
 
-def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
-    """ln P(X <= k) for X ~ Bin(n, p), summed term by term in logarithms."""
-    odds = math.log(p) - math.log1p(-p)
-    first = n * math.log1p(-p)
-    start = F.struct(first.cast("double").alias("term"), first.cast("double").alias("total"))
+#: ln Gamma's remainder after Stirling's formula, for small whole numbers; its series serves the others.
+SMALL = 16
+REMAINDERS = [0.0, *(math.lgamma(n + 1) - (n + 0.5) * math.log(n) + n - 0.5 * math.log(2 * math.pi) for n in range(1, SMALL))]
+
+
+def _remainder(n: Column) -> Column:
+    x = n.cast("double")
+    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    return F.when(n < SMALL, F.get(F.array(*map(F.lit, REMAINDERS)), n.cast("int"))).otherwise(series)
+
 
-    def add(s: Column, j: Column) -> Column:
-        term = s["term"] + F.log((n - j + 1) / j) + odds
-        high, low = F.greatest(term, s["total"]), F.least(term, s["total"])
-        return F.struct(term.alias("term"), (high + F.log1p(F.exp(low - high))).alias("total"))
+def _deviance(x: Column, mean: Column) -> Column:
+    """x ln(x / mean) + mean - x, 0 for x = 0 up to the mean."""
+    return F.when(x > 0, x * F.log(x / mean)).otherwise(0.0) + mean - x
 
-    return F.aggregate(F.when(k > 0, F.sequence(F.lit(1).cast("long"), k.cast("long"))).otherwise(F.array().cast("array<bigint>")), start, add, lambda s: s["total"])
+
+def log_binomial_mass(k: Column, n: Column, p: float) -> Column:
+    """ln P(X = k) for X ~ Bin(n, p) in saddle-point form, exact to rounding for any n."""
+    inner = _remainder(n) - _remainder(k) - _remainder(n - k) - _deviance(k, n * p) - _deviance(n - k, n * (1 - p)) + 0.5 * F.log(n / (2 * math.pi * k * (n - k)))
+    return F.when(k == 0, n * math.log1p(-p)).when(k == n, n * math.log(p)).otherwise(inner)
+
+
+def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
+    """ln P(X <= k) for X ~ Bin(n, p) with k below the mean; from the mean on, where no test passes, 0.
+
+    Terms are summed downwards from k until they no longer count: each is less than
+    the one before by at least the first ratio, and far below k they fall as a normal
+    curve does, so their number is bounded by some ten standard deviations.
+    """
+    odds = (1 - p) / p
+    ratio = F.greatest(k * odds / (n - k + 1), F.lit(1e-300))
+    enough = F.least(k, F.ceil(40 / -F.log(F.least(ratio, F.lit(1 - 1e-12)))), F.ceil(10 * F.sqrt(n * (p * (1 - p))) + 40)).cast("long")
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+    def add(s: Column, j: Column) -> Column:  # from P(k - j) to P(k - j - 1)
+        term = s["term"] * (k - j) * odds / (n - k + j + 1)
+        return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
+
+    steps = F.when(enough > 0, F.sequence(F.lit(0).cast("long"), enough - 1)).otherwise(F.array().cast("array<bigint>"))
+    tail = log_binomial_mass(k, n, p) + F.log(F.aggregate(steps, start, add, lambda s: s["total"]))
+    return F.when(k >= n * p, F.lit(0.0)).otherwise(tail)
 
 
 def thresholds(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
