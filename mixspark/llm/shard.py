@@ -1,8 +1,8 @@
 """Sharding along a Hilbert curve, with DataFrame functions only.
 
 Several metadata dimensions are quantised to the same number of levels by the
-corpus' own quantiles (strings by the order of their first bytes), so that each
-row falls into a cell of a grid whose size is a parameter. Cells are ordered by
+corpus' own quantiles (strings in the order of whole strings, by exact counts of their
+values), so that each row falls into a cell of a grid whose size is a parameter. Cells are ordered by
 their index on the Hilbert curve and runs of that order are cut into shards of
 equal row counts (law ``rows``). A shard's files thus cover few values of every
 dimension and a reader can skip files by min/max statistics.
@@ -13,8 +13,10 @@ the id, and only the counts of those pieces are summed up in order. Their number
 is bounded by parameters, which is why they may be broadcast.
 
 Defined cases: a null dimension falls into the lowest level; a null text has no
-bytes and checksum 0; an empty text likewise; ties of all sort columns are equal
-rows and take neighbouring slots; an empty table gives an empty table.
+bytes and checksum 0; an empty text likewise; long texts only count by their size;
+rows of equal ids are ordered by checksum, then size, and equal rows take neighbouring
+slots; an empty table gives an empty table; other columns, whatever their names, come
+back unchanged from ``hilbert_shards`` and are ignored by ``document_shards``.
 """
 
 from __future__ import annotations
@@ -24,16 +26,29 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mixspark.llm.common import materialise
+from mixspark.llm.common import materialise, payload
 
 BITS = 4
 #: Pieces that the fullest cells are split into, over all cells; least rows of a piece.
 PIECES, PIECE_ROWS = 4096, 1000
 
 
-def string_code(c: Column) -> Column:
-    """A number in the order of the first six bytes."""
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+def string_cuts(values: DataFrame, levels: int) -> Column:
+    """Quantile cuts of the strings in column ``value``: one row, at most ``levels`` - 1 strings.
+
+    Distinct values are counted, sorted by ranges side by side, and their counts summed
+    up in order; a cut is the value at which a further share of all rows is reached.
+    """
+    counts = values.where("value IS NOT NULL").groupBy("value").agg(F.count("*").alias("n"))
+    ranged = materialise(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "string-ranges")
+    sums = ranged.groupBy("part").agg(F.sum("n").alias("n"))
+    unbounded = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("part", F.coalesce(F.sum("n").over(unbounded), F.lit(0)).alias("before"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    run = F.sum("n").over(Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.col("before")
+    summed = ranged.join(F.broadcast(before), "part").select("value", run.alias("upto"), "n", "total")  # one row a range
+    reached = lambda c: F.floor(c * levels / F.col("total"))
+    cuts = summed.where((reached(F.col("upto")) > reached(F.col("upto") - F.col("n"))) & (F.col("upto") < F.col("total")))
+    return cuts.agg(F.array_sort(F.collect_list("value")).alias("cuts"))
 
 
 def hilbert_index(axes: list[Column], bits: int = BITS) -> Column:
@@ -70,43 +85,48 @@ def _xor_all(columns: list[Column]) -> Column:
 
 
 def quantised(df: DataFrame, dims: Mapping[str, Column], bits: int = BITS) -> DataFrame:
-    """``df`` with a level 0 to 2**bits - 1 for each dimension, in columns q_<name>."""
+    """``df`` with a level 0 to 2**bits - 1 for each dimension, in columns level_0, level_1, ..."""
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
     # Approximate quantiles depend on the order of merging, so they are written once:
     # both readings of the levels, and retried tasks, then see the same cuts.
-    cuts = materialise(df.select(*[F.percentile_approx(c, shares, 10_000).alias(f"cuts_{k}") for k, c in dims.items()]), "level-cuts")
-    joined = df.crossJoin(F.broadcast(cuts))  # one row, 15 numbers a dimension
-    level = lambda k, c: F.coalesce(F.size(F.filter(F.col(f"cuts_{k}"), lambda cut: cut < c)), F.lit(0))
-    return joined.select(*df.columns, *[F.when(c.isNull() | F.col(f"cuts_{k}").isNull(), F.lit(0)).otherwise(level(k, c)).alias(f"q_{k}") for k, c in dims.items()])
+    typed = df.select(*[c.alias(f"d{i}") for i, c in enumerate(dims.values())])
+    cuts = typed.select(*[F.percentile_approx(f"d{i}", shares, 10_000).alias(f"cuts_{i}") for i, t in enumerate(typed.dtypes) if t[1] != "string"] or [F.count("*").alias("rows")])
+    for i, (name, kind) in enumerate(typed.dtypes):
+        if kind == "string":
+            cuts = cuts.crossJoin(string_cuts(typed.select(F.col(name).alias("value")), 1 << bits).select(F.col("cuts").alias(f"cuts_{i}")))  # one row each
+    joined = df.crossJoin(F.broadcast(materialise(cuts, "level-cuts")))  # one row, 15 values a dimension
+    level = lambda i, c: F.coalesce(F.size(F.filter(F.col(f"cuts_{i}"), lambda cut: cut < c)), F.lit(0))
+    return joined.select(*df.columns, *[F.when(c.isNull() | F.col(f"cuts_{i}").isNull(), F.lit(0)).otherwise(level(i, c)).alias(f"level_{i}") for i, c in enumerate(dims.values())])
 
 
 def hilbert_shards(df: DataFrame, dims: Mapping[str, Column], n_shards: int, tie: list[str], bits: int = BITS) -> DataFrame:
     """``df`` with columns shard and slot; ``tie`` orders rows within a cell, its first column splits full cells."""
-    levels = [f"q_{k}" for k in dims]
-    placed = quantised(df, dims, bits).withColumn("_part", F.xxhash64(tie[0]))
-    keys = placed.select(*levels, "_part")
+    ties = [f"tie_{i}" for i in range(len(tie))]
+    rows = df.select(payload(df), *[df[c].alias(k) for c, k in zip(tie, ties, strict=True)], *[c.alias(f"dim_{i}") for i, c in enumerate(dims.values())])
+    levels = [f"level_{i}" for i in range(len(dims))]
+    placed = quantised(rows, {k: F.col(f"dim_{i}") for i, k in enumerate(dims)}, bits).withColumn("part", F.xxhash64(ties[0]))
+    keys = placed.select(*levels, "part")
     cells = keys.groupBy(*levels).agg(F.count("*").alias("n")).withColumn("h", hilbert_index([F.col(c) for c in levels], bits))
     every = Window.partitionBy()
     size = F.greatest(F.ceil(F.sum("n").over(every) / PIECES), F.lit(PIECE_ROWS))
     cells = cells.withColumn("pieces", F.ceil(F.col("n") / size)).select(*levels, "h", "pieces")
-    piece = F.pmod("_part", F.col("pieces"))
+    piece = F.pmod("part", F.col("pieces"))
     counts = keys.join(F.broadcast(cells), levels).groupBy(*levels, "h", "pieces", piece.alias("piece")).agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("h", "piece").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*levels, "piece", "pieces", F.coalesce(before, F.lit(0)).alias("before"), F.sum("n").over(every).alias("total"))
     # At most PIECES + 2 ** (bits * dimensions) rows of numbers.
-    ranked = placed.join(F.broadcast(offsets.withColumnRenamed("piece", "_piece")), [*[placed[c].eqNullSafe(offsets[c]) for c in levels], F.pmod("_part", F.col("pieces")) == F.col("_piece")]).drop(*[offsets[c] for c in levels])
-    row = F.row_number().over(Window.partitionBy(*levels, "_piece").orderBy(*tie))
-    rank = (F.col("before") + row - 1).cast("long")
-    shard = F.expr(f"CAST((_rank * {n_shards}) DIV total AS INT)")
+    ranked = placed.join(F.broadcast(offsets), [*[placed[c].eqNullSafe(offsets[c]) for c in levels], F.pmod("part", F.col("pieces")) == F.col("piece")]).drop(*[offsets[c] for c in levels])
+    row = F.row_number().over(Window.partitionBy(*levels, "piece").orderBy(*ties))
+    out = ranked.withColumn("rank", (F.col("before") + row - 1).cast("long")).withColumn("shard", F.expr(f"CAST((rank * {n_shards}) DIV total AS INT)"))
     first = F.expr(f"(shard * total + {n_shards} - 1) DIV {n_shards}")
-    return ranked.withColumn("_rank", rank).withColumn("shard", shard).withColumn("slot", F.col("_rank") - first).select(*df.columns, "shard", "slot")
+    return out.select(*[F.col("payload").getField(c).alias(c) for c in df.columns], "shard", (F.col("rank") - first).alias("slot"))
 
 
 def document_shards(df: DataFrame, n_shards: int = 24) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard: language, source and length on the curve."""
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     rows = df.select("doc_id", "lang", "source", "n_chars", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    dims = {"lang": string_code(F.col("lang")), "source": string_code(F.col("source")), "n_chars": F.col("n_chars").cast("double")}
+    dims = {"lang": F.col("lang").cast("string"), "source": F.col("source").cast("string"), "n_chars": F.col("n_chars").cast("double")}
     out = hilbert_shards(rows, dims, n_shards, ["doc_id", "text_crc32", "size"])
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
