@@ -8,10 +8,12 @@ in order; a character that is no piece by itself is unknown at the lowest score
 less ten; unknown characters in a row fuse, and count one token for each byte
 (byte fallback).
 
-A text becomes one sequence: a mark before it, spaces turned into marks. No piece
-has a mark after another character, so every segmentation is cut before each mark
-that follows something else. Scores are whole numbers, so sums are exact and the
-stretches between such cuts can be solved apart, each distinct one once a worker.
+A text becomes one sequence: a mark before it, spaces turned into marks. Where no
+piece has a mark after another character, every segmentation is cut before each mark
+that follows something else. With whole-number scores sums are exact in any order, so
+the stretches between such cuts are solved apart, each distinct one once a worker.
+With other scores a tie depends on how the sum up to there was rounded, so a text is
+solved whole and added up from its start, in the library's order.
 
 Defined cases: a null text counts as empty; an empty text has no tokens; whole
 texts of any length are counted; repeated rows repeat; an empty table gives an
@@ -43,15 +45,14 @@ def read_pieces(path: str) -> list[tuple[str, float]]:
 
 class CountViterbi:
     def __init__(self, pieces: list[tuple[str, float]]):
-        if any(score != int(score) for _, score in pieces):
-            raise ValueError("scores must be whole numbers: only then are sums exact in any order")
-        self.pieces = {p: int(s) for p, s in reversed(pieces) if p}
+        whole = all(score == int(score) for _, score in pieces)
+        self.pieces = {p: int(s) if whole else float(s) for p, s in reversed(pieces) if p}
         self.unknown = min(self.pieces.values()) - 10
         self.automaton = ahocorasick.Automaton()
         for piece, score in self.pieces.items():
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        crossing = any(regex.search(f"[^{MARK}]{MARK}", p) for p in self.pieces)
+        crossing = not whole or any(regex.search(f"[^{MARK}]{MARK}", p) for p in self.pieces)
         self.bytes_known = all(f"<0x{b:02X}>" in self.pieces for b in range(256))
         if crossing:
             cuts = ".+"
@@ -60,16 +61,18 @@ class CountViterbi:
         else:
             cuts = f"{MARK}*[^{MARK}]+|{MARK}+"
         self.stretch = regex.compile(cuts, regex.DOTALL)
-        self.known: dict[str, tuple[int, int]] = {}
+        self.repeats = not crossing  # stretches that come up again are worth keeping
+        self.known: dict[str, tuple[int, float]] = {}
 
-    def solve(self, text: str) -> tuple[int, int]:
+    def solve(self, text: str) -> tuple[int, float]:
         """Tokens and score of the best segmentation of one stretch.
 
         The automaton lists the pieces by their ends, those of one end longest
         first, so a later start wins only with a strictly higher score.
         """
         n = len(text)
-        best, count = [0] * (n + 1), [0] * (n + 1)
+        best: list[float] = [0] * (n + 1)
+        count = [0] * (n + 1)
         last, singles = -1, 0
         for end, (size, score) in self.automaton.iter(text):
             start = end + 1 - size
@@ -80,7 +83,7 @@ class CountViterbi:
                 singles += 1
         return (count[n], best[n]) if singles == n else self._solve_unknown(text)
 
-    def _solve_unknown(self, text: str) -> tuple[int, int]:
+    def _solve_unknown(self, text: str) -> tuple[int, float]:
         """The same where some character is no piece by itself."""
         n = len(text)
         ends: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
@@ -101,7 +104,7 @@ class CountViterbi:
             best[end] = won
         return count[n], best[n]
 
-    def count(self, text: str) -> tuple[int, int]:
+    def count(self, text: str) -> tuple[int, float]:
         tokens = total = 0
         known = self.known
         if not text:
@@ -109,9 +112,11 @@ class CountViterbi:
         for stretch in self.stretch.findall(MARK + text.replace(" ", MARK)):
             got = known.get(stretch)
             if got is None:
-                if len(known) >= STRETCHES_KEPT:
-                    known.clear()
-                got = known[stretch] = self.solve(stretch)
+                got = self.solve(stretch)
+                if self.repeats:
+                    if len(known) >= STRETCHES_KEPT:
+                        known.clear()
+                    known[stretch] = got
             tokens += got[0]
             total += got[1]
         return tokens, total

@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import zlib
@@ -47,6 +48,59 @@ def test_shards(spark):
         assert r.size == len(raw) + 8 and r.text_crc32 == zlib.crc32(raw)
 
 
+def hilbert(axes, bits):
+    """Index on the curve by turning the cube level by level, from the coarsest bit down."""
+    x, n = list(axes), len(axes)
+    for q in range(bits - 1, 0, -1):
+        for i in range(n):
+            low = (1 << q) - 1
+            if x[i] >> q & 1:
+                x[0] ^= low
+            else:
+                t = (x[0] ^ x[i]) & low
+                x[0] ^= t
+                x[i] ^= t
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t = 0
+    for q in range(bits - 1, 0, -1):
+        if x[-1] >> q & 1:
+            t ^= (1 << q) - 1
+    x = [v ^ t for v in x]
+    return int("".join(str(v >> q & 1) for q in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def test_the_plain_curve_has_no_jumps():
+    for n, bits in ((2, 3), (3, 2)):
+        order = sorted(itertools.product(range(1 << bits), repeat=n), key=lambda a: hilbert(a, bits))
+        assert all(sum(abs(a - b) for a, b in zip(p, q, strict=True)) == 1 for p, q in itertools.pairwise(order))
+
+
+def test_rows_stand_in_curve_order(spark):
+    """Slots against a plain sort by the curve; levels against exact quantiles of whole strings that begin alike."""
+    rng = random.Random(11)
+    rows = [(i, "x", rng.choice(["en", "de", "fr", None]), f"https://common.example/{rng.choice('abcdefgh')}", rng.randrange(5000)) for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    dims = {"lang": F.col("lang"), "source": F.col("source"), "n_chars": F.col("n_chars").cast("double")}
+    levelled = {r.doc_id: (r.level_0, r.level_1, r.level_2) for r in shard.quantised(frame, dims).collect()}
+    for k in (2, 3):  # source: whole strings; lang: nulls lowest
+        values = sorted(r[k] for r in rows if r[k] is not None)
+        total, cuts = len(values), set()
+        for v in sorted(set(values)):
+            below, upto = sum(x < v for x in values), sum(x <= v for x in values)
+            if upto * 16 // total > below * 16 // total and upto < total:
+                cuts.add(v)
+        for r in rows:
+            assert levelled[r[0]][k - 2] == (0 if r[k] is None else sum(c < r[k] for c in cuts))
+    assert len({levelled[r[0]][1] for r in rows}) == 8
+    got = sorted((r.shard, r.slot, r.doc_id) for r in shard.document_shards(frame, 24).collect())
+    curve = [hilbert(levelled[i], shard.BITS) for *_, i in got]
+    assert curve == sorted(curve)
+    for _, same in itertools.groupby(zip(curve, got, strict=True), key=lambda x: x[0]):
+        ids = [i for _, (*_, i) in same]
+        assert ids == sorted(ids)
+
+
 def test_full_cells_are_split(spark, monkeypatch):
     monkeypatch.setattr(shard, "PIECE_ROWS", 7)
     got = shard.document_shards(table(spark, {i: "same" for i in range(500)}), 24).toPandas()
@@ -69,6 +123,17 @@ def test_binomial_tail(spark):
         assert abs(got - want) < 1e-8 * max(1, abs(want))
 
 
+def test_binomial_tail_of_many_labels(spark):
+    """Ten million rejections and more need no array of that length."""
+    cases = [(10**7, 4 * 10**9, 0.003), (3 * 10**7 - 60_000, 10**10, 0.003), (10**7, 10**9, 0.003)]
+    frame = spark.createDataFrame(cases, "k long, n long, p double")
+    got = {(r.k, r.n): r.c for r in frame.select("k", "n", quality.log_binomial_cdf(F.col("k"), F.col("n"), 0.003).alias("c")).collect()}
+    for k, n, p in cases:
+        z = (k + 0.5 - n * p) / math.sqrt(n * p * (1 - p))
+        want = 0.0 if k >= n * p else math.log(math.erfc(-z / math.sqrt(2)) / 2) if z > -30 else None
+        assert got[k, n] < -1000 if want is None else abs(got[k, n] - want) < 0.02 * max(1, abs(want))
+
+
 def test_thresholds_hold_the_risk(spark):
     rng = random.Random(7)
     good = {i: prose(rng, 80) for i in range(3000)}
