@@ -6,22 +6,28 @@ characters left out or put in between stays close to itself. Punctuation within
 word is dropped and letters spelled out one by one are joined first.
 
 Training, on the driver, on a bounded sample of labelled rows (``SAMPLE`` toxic and
-twice as many clean ones, those with the smallest hash of the id): the words most
-associated with toxic sentences and common clean words are the landmarks; Nyström
-features over them feed a linear machine with squared hinge loss. Sentences inherit
-their document's label, so the machine is trained on the word that speaks most for
-it: in each round the best word of every toxic sentence that has one against clean
-words, the hardest among them. A logistic curve over the best words and their share,
-fitted on sample documents that did not train the machine, gives the score.
+twice as many clean ones, those with the smallest hash of the id). Landmarks are words
+that separate the two kinds of sentences best and common clean ones; Nyström features
+over them feed linear machines with squared hinge loss. The machine starts from
+labelled sentences, compared by the mean of their words' kernels (``SENTENCES`` of each
+kind). A sentence inherits its document's label, which is true of at least one sentence
+of a toxic document; so rounds of multiple-instance training follow: of each toxic
+document the sentences that the machine finds most toxic stand for it by their best
+words, against the best words of clean sentences and a spread of all clean words. A
+logistic curve over the best words and their share, fitted on sample documents that did
+not train the machine, gives the score.
 
 The machine is linear in the explicit subsequences, so scoring needs one weight
 table of fixed size, looked up once for each distinct word of a task.
 
 Defined cases: a null or empty text has no words and gets the score of no evidence;
 whole texts of any length count; words of any length count in overlapping parts;
-label rows that are null or match no document are left out; without labels of both
-kinds, or without a word that tells them apart, every score is 0; repeated rows repeat; an empty table gives an empty table;
-labels, language, source and id never enter a score; other columns are ignored.
+label rows that are null or match no document are left out, and texts of more than
+``LONGEST`` characters train nothing; of an id with several texts the smallest trains;
+without labels of both kinds, or without a word that tells them apart, every score is
+0 and ``reject_toxic`` keeps all; repeated rows repeat; an empty table gives an empty
+table; labels, language, source and id never enter a score; other columns, whatever
+their names, are ignored by ``toxicity`` and come back from ``reject_toxic``.
 """
 
 from __future__ import annotations
@@ -39,13 +45,16 @@ from pyspark.sql import functions as F
 from mixspark.llm.common import SLICE, arrow_map, batch, bounded_batches, texts
 from mixspark.llm.neardup import mix
 
-#: Toxic rows that train at most; clean ones are twice as many.
-SAMPLE = 1500
+#: Toxic rows that train at most (clean ones are twice as many), and their longest text in characters.
+SAMPLE, LONGEST = 1500, 30_000
 SPAN, DECAY, TABLE = 6, 0.7, 1 << 16
 LANDMARKS, PART, WORDS_KEPT = 96, 32, 400_000
+#: Of training: sentences of each kind that start the machine; rounds; sentences that stand for a toxic document; clean words, hardest and spread, in a round.
+SENTENCES, ROUNDS, WITNESSES, HARD, SPREAD = 3000, 3, 2, 2000, 6000
 #: Word values that are counted in a document.
 STEPS = (-0.5, 0.0, 0.4, 0.8)
 
+_SENTENCE_END = re.compile(r"[.!?]+\s+|\n+")
 _SPELLED = re.compile(r"(?<!\w)(?:\w[\s.*_-]{1,2}){2,}\w(?!\w)")
 _OFFSETS = [(a, b) for a, b in combinations(range(1, SPAN), 2)]
 
@@ -169,19 +178,57 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
     return w
 
 
-def fit(all_texts: list[str], toxic: np.ndarray) -> Machine | None:
-    """All of training; deterministic. None without documents of both kinds or a word that tells them apart."""
-    if not toxic.any() or toxic.all():
-        return None
-    one: dict[str, str] = {}  # a word that many documents hold is kept once
-    words = [sorted({one.setdefault(v, v) for v in map(normal, (*t.split(), *spelled(t)))} - {""}) for t in all_texts]
-    del one
-    fits = np.arange(len(all_texts)) % 5 < 3  # the others fit the curve
-    bad, good = Counter(), Counter()
-    for w, y, use in zip(words, toxic, fits, strict=True):
-        if use:
-            (bad if y else good).update(w)
-    n_bad, n_good = max(1, int((toxic & fits).sum())), max(1, int((~toxic & fits).sum()))
+def sentences(text: str) -> list[list[str]]:
+    """Distinct normal words of each sentence; words spelled out letter by letter make one of their own."""
+    found = [sorted({normal(v) for v in x.split()} - {""}) for x in _SENTENCE_END.split(text)]
+    found.append(sorted({normal(v) for v in spelled(text)} - {""}))
+    return [x for x in found if x]
+
+
+def bent(words: list[str]) -> list[str]:
+    """Each word with a letter put in, and with one left out or doubled, at a place that the word decides."""
+    out = []
+    for v in words:
+        if len(v) > 4:
+            for k in (1, 2):
+                at = 1 + (len(v) * 7 + k * 3) % (len(v) - 2)
+                out.append(v[:at] + "xqzwkvjb"[(ord(v[0]) + k + len(v)) % 8] + v[at:])
+            at = 1 + (len(v) * 5) % (len(v) - 2)
+            out.append(v[:at] + v[at] + v[at:])
+            out.append(v[:at] + v[at + 1 :])
+    return out
+
+
+class Nystrom:
+    """Features of words over landmarks: inner products are kernel values, as far as landmarks span them."""
+
+    def __init__(self, landmarks: list[str]):
+        places, weights = subsequences(landmarks)
+        self.base = np.zeros((len(landmarks), TABLE))
+        for j, scale in enumerate(norms(places, weights)):
+            np.add.at(self.base[j], places[j], weights[j] / scale)
+        values, vectors = np.linalg.eigh(self.base @ self.base.T)
+        keep = values > 1e-6 * values.max()
+        self.half = vectors[:, keep] / np.sqrt(values[keep])
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        kernel = np.zeros((len(words), len(self.base)))
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        for lo in range(0, len(order), 2048):
+            part = order[lo : lo + 2048]
+            places, weights = subsequences([words[i] for i in part])
+            scale = norms(places, weights)
+            for j in range(len(self.base)):
+                kernel[part, j] = (self.base[j][places] * weights).sum(axis=1) / scale
+        return kernel @ self.half
+
+    def machine(self, w: np.ndarray) -> Machine:
+        """A linear machine on features as one on subsequences."""
+        return Machine((self.half @ w[:-1]) @ self.base, float(w[-1]), np.zeros(5 + len(STEPS)))
+
+
+def landmarks_of(bad: Counter, good: Counter, n_bad: int, n_good: int) -> list[str]:
+    """Words whose shares of toxic and clean documents differ most surely, then common clean ones; none without the former."""
 
     def surprise(w: str) -> float:
         a, b = bad[w], good[w]
@@ -192,68 +239,66 @@ def fit(all_texts: list[str], toxic: np.ndarray) -> Machine | None:
         return 2 * (term(a, n_bad) + term(b, n_good) + term(n_bad - a, n_bad * (1 - rate) / rate) + term(n_good - b, n_good * (1 - rate) / rate))
 
     ranked = sorted(((surprise(w), w) for w in bad if bad[w] > 2), reverse=True)
-    marked = [w for s, w in ranked[: LANDMARKS * 2 // 3] if s > 12]
-    if not marked:
-        return None
-    clean = [w for w, _ in sorted(good.items(), key=lambda x: (-x[1], x[0])) if w not in marked and len(w) > 1]
-    landmarks = marked + clean[: LANDMARKS - len(marked)]
+    apart = [w for s, w in ranked[: LANDMARKS * 2 // 3] if s > 12]
+    common = [w for w, _ in sorted(good.items(), key=lambda x: (-x[1], x[0])) if w not in apart and len(w) > 1]
+    return [p for w in apart + common[: LANDMARKS - len(apart)] for p in parts_of(w)][:LANDMARKS] if apart else []
 
-    def rows(some: list[str]) -> np.ndarray:
-        out = np.zeros((len(some), len(landmarks)))
-        order = sorted(range(len(some)), key=lambda i: len(some[i]))
-        for lo in range(0, len(order), 2048):
-            part = order[lo : lo + 2048]
-            places, weights = subsequences([some[i][:PART] for i in part])
-            scale = norms(places, weights)
-            for j in range(len(landmarks)):
-                out[part, j] = (base[j][places] * weights).sum(axis=1) / scale
-        return out
 
-    places, weights = subsequences(landmarks)
-    base = np.zeros((len(landmarks), TABLE))
-    for j, scale in enumerate(norms(places, weights)):
-        np.add.at(base[j], places[j], weights[j] / scale)
-    values, vectors = np.linalg.eigh(base @ base.T)
-    keep = values > 1e-6 * values.max()
-    half = vectors[:, keep] / np.sqrt(values[keep])
-
-    def bent(some: list[str]) -> list[str]:
-        """Each word with a letter put in, and with one left out, at a place that the word decides."""
-        out = []
-        for v in some:
-            if len(v) > 4:
-                for k in (1, 2):
-                    at = 1 + (len(v) * 7 + k * 3) % (len(v) - 2)
-                    out.append(v[:at] + "xqzwkvjb"[(ord(v[0]) + k + len(v)) % 8] + v[at:])
-                at = 1 + (len(v) * 5) % (len(v) - 2)
-                out.append(v[:at] + v[at] + v[at:])
-                out.append(v[:at] + v[at + 1 :])
-        return [v for v in out if not good[v]]
-
-    # Positive: marked words, then the best word of each toxic sentence. Negative: clean words, the hardest first.
-    positive = [*marked, *bent(marked)]
-    stride = max(1, len(clean) // 6000)
-    negative = clean[::stride][:6000] + clean[:500]
-    machine = None
-    for _ in range(3):
-        x = np.vstack([rows(positive), rows(negative)]) @ half
-        y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-        weight = np.where(y > 0, len(negative) / len(positive) / 4, 1.0)
-        w = squared_hinge(x, y, weight, 0.3)
-        machine = Machine(((half @ w[:-1]) @ base).astype(np.float64), float(w[-1]), np.zeros(5 + len(STEPS)))
-        vocabulary = sorted({v for ws, use in zip(words, fits, strict=True) if use for v in ws})
+def fit(all_texts: list[str], toxic: np.ndarray) -> Machine | None:
+    """All of training; deterministic. None without documents of both kinds or a word that tells them apart."""
+    if not toxic.any() or toxic.all():
+        return None
+    one: dict[str, str] = {}  # a word that many documents hold is kept once
+    fits = np.arange(len(all_texts)) % 5 < 3  # the others fit the curve
+    bags = [[[one.setdefault(v, v) for v in x] for x in sentences(t)] if use else [] for t, use in zip(all_texts, fits, strict=True)]
+    del one
+    bad, good = Counter(), Counter()
+    for bag, y in zip(bags, toxic, strict=True):
+        (bad if y else good).update({v for x in bag for v in x})
+    n_bad, n_good = max(1, int((toxic & fits).sum())), max(1, int((~toxic & fits).sum()))
+    landmarks = landmarks_of(bad, good, n_bad, n_good)
+    if not landmarks:
+        return None
+    features = Nystrom(landmarks)
+
+    # Labelled sentences, by the mean of their words' features: the shortest say most of a word.
+    start = []
+    for kind in (True, False):
+        own = sorted((x for bag, y in zip(bags, toxic, strict=True) if y == kind for x in bag), key=lambda x: (len(x), x))
+        start += [(x, kind) for x in own[:: max(1, len(own) // SENTENCES)][:SENTENCES]]
+    listed = sorted({v for x, _ in start for v in x})
+    split = [(i, p) for i, v in enumerate(listed) for p in parts_of(v)]
+    rows = features([p for _, p in split]).astype(np.float32)
+    owner, row_of = np.array([i for i, _ in split]), {v: i for i, v in enumerate(listed)}
+    word_rows = np.zeros((len(listed), rows.shape[1]), np.float32)
+    np.add.at(word_rows, owner, rows / np.bincount(owner)[owner][:, None])
+    x = np.array([word_rows[[row_of[v] for v in words]].mean(axis=0) for words, _ in start], float)
+    y = np.array([1.0 if kind else -1.0 for _, kind in start])
+    machine = features.machine(squared_hinge(x, y, np.where(y > 0, (y < 0).sum() / max(1, (y > 0).sum()), 1.0), 0.03))
+    del start, listed, split, rows, word_rows, x
+
+    # Multiple instances: the best words of the most toxic sentences against clean words.
+    clean = [w for w, _ in sorted(good.items(), key=lambda x: (-x[1], x[0])) if len(w) > 1]
+    vocabulary = sorted({*bad, *good})
+    for _ in range(ROUNDS):
         value = dict(zip(vocabulary, machine.judge(vocabulary).tolist(), strict=True))
-        firm = []
-        for t, y_, use in zip(all_texts, toxic, fits, strict=True):
-            if use and y_:
-                for sentence in re.split(r"[.!?\n]+", t):
-                    best = max((normal(v) for v in sentence.split()), key=lambda v: value.get(v, -1.0), default="")
-                    if value.get(best, -1.0) > 0 and bad[best] / n_bad > 3 * good[best] / n_good:
-                        firm.append(best)
-        positive = sorted({*marked, *firm, *bent(sorted({*marked, *firm}))})
-        hard = sorted(good, key=lambda v: (-value.get(v, -1.0), v))
-        negative = sorted({*negative, *[v for v in hard[:2000] if bad[v] / n_bad <= 3 * good[v] / n_good]})
-    del words, vocabulary, value, hard, bad, good, base
+        seen = Counter()
+        for bag, toxic_ in zip(bags, toxic, strict=True):
+            if toxic_:
+                best = sorted(((value[v], v) for v in {max(x, key=lambda v: (value[v], v)) for x in bag}), reverse=True)
+                seen.update(v for _, v in best[:WITNESSES] if bad[v] / n_bad > 3 * good[v] / n_good)
+        witnesses = sorted(seen)
+        if not witnesses:
+            return None
+        hard = sorted(good, key=lambda v: (-value[v], v))[:HARD]
+        negative = sorted({v for v in hard if bad[v] / n_bad <= 3 * good[v] / n_good} | set(clean[:: max(1, len(clean) // SPREAD)][:SPREAD]))
+        more = [v for v in bent(witnesses) if not good[v]]
+        some = [(p, 1.0, n) for v, n in [*((v, math.sqrt(seen[v])) for v in witnesses), *((v, 1.0) for v in more)] for p in parts_of(v)]
+        some += [(p, -1.0, 1.0) for v in negative for p in parts_of(v)]
+        y, n = np.array([k for _, k, _ in some]), np.array([n for *_, n in some])
+        weight = n * np.where(y > 0, (y < 0).sum() / n[y > 0].sum() / 4, 1.0)
+        machine = features.machine(squared_hinge(features([p for p, *_ in some]), y, weight, 0.3))
+    del bags, vocabulary, value, hard, clean, bad, good, features, some
     evidence = np.vstack([machine.evidence(all_texts[i : i + 200]) for i in range(0, len(all_texts), 200)])
     held = ~fits if (toxic & ~fits).any() and (~toxic & ~fits).any() else np.ones(len(all_texts), bool)
     machine.curve = logistic(evidence[held], toxic[held].astype(float))
@@ -266,13 +311,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine | None:
-    """Fit on at most ``sample`` toxic and twice as many clean labelled documents, none held out."""
+    """Fit on at most ``sample`` toxic and twice as many clean labelled documents, none held out; one text an id."""
     usable = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     by = [F.xxhash64("doc_id"), F.col("doc_id")]
     whole = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = usable.where("toxic = 1").orderBy(*by).limit(sample).union(usable.where("toxic = 0").orderBy(*by).limit(2 * sample))
-    got = texts(docs).where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").collect()  # at most 3 * sample ids
-    got = sorted(got, key=lambda r: (r.doc_id, r.text))
+    whole_texts = texts(docs).where(F.length("text") <= LONGEST).join(F.broadcast(chosen), "doc_id")
+    got = sorted(whole_texts.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min("text").alias("text")).collect())  # at most 3 * sample rows
     toxic = np.array([r.toxic == 1 for r in got], bool)
     machine = fit([r.text for r in got], toxic)
     if machine:  # the sample has more toxic rows than the labels do
