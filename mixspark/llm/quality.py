@@ -112,8 +112,8 @@ def log_binomial_mass(k: Column, n: Column, p: float) -> Column:
     return F.when(k == 0, n * math.log1p(-p)).when(k == n, n * math.log(p)).otherwise(inner)
 
 
-def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
-    """ln P(X <= k) for X ~ Bin(n, p) with k below the mean; from the mean on, where no test passes, 0.
+def _log_tail(k: Column, n: Column, p: float, needed: Column) -> Column:
+    """ln P(X <= k) for X ~ Bin(n, p) with k below the mean; no steps where it is not needed.
 
     Terms are summed downwards from k until they no longer count: each is less than
     the one before by at least the first ratio, and far below k they fall as a normal
@@ -128,9 +128,16 @@ def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
         term = s["term"] * (k - j) * odds / (n - k + j + 1)
         return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
 
-    steps = F.when(enough > 0, F.sequence(F.lit(0).cast("long"), enough - 1)).otherwise(F.array().cast("array<bigint>"))
-    tail = log_binomial_mass(k, n, p) + F.log(F.aggregate(steps, start, add, lambda s: s["total"]))
-    return F.when(k >= n * p, F.lit(0.0)).otherwise(tail)
+    steps = F.when(needed & (enough > 0), F.sequence(F.lit(0).cast("long"), enough - 1)).otherwise(F.array().cast("array<bigint>"))
+    return log_binomial_mass(k, n, p) + F.log(F.aggregate(steps, start, add, lambda s: s["total"]))
+
+
+def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
+    """ln P(X <= k) for X ~ Bin(n, p), by the tail on k's side of the mean."""
+    k, n = k.cast("long"), n.cast("long")
+    below = k < n * p
+    above = F.greatest(n - k - 1, F.lit(0))  # P(X > k) is P(Y <= n - k - 1) for Y ~ Bin(n, 1 - p)
+    return F.when(k >= n, F.lit(0.0)).when(below, _log_tail(k, n, p, below)).otherwise(F.log1p(-F.exp(_log_tail(above, n, 1 - p, ~below))))
 
 
 def thresholds(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
