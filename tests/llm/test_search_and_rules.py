@@ -176,3 +176,46 @@ def test_kernel_tolerates_gaps():
         np.add.at(phi[k], places[k], weights[k] / scale[k])
     same = phi @ phi.T
     assert np.allclose(np.diag(same), 1) and same[0, 1] > 0.4 > 0.1 > same[0, 2]
+
+
+def plain_kernel(u, v):
+    """Sum over common subsequences of three characters, each weighed by its span in either word, normalised."""
+
+    def weights(w):
+        w, out = f"\x02{w}\x03", {}
+        for i, j, k in itertools.combinations(range(len(w)), 3):
+            if k - i < toxicity.SPAN:
+                out[w[i] + w[j] + w[k]] = out.get(w[i] + w[j] + w[k], 0) + toxicity.DECAY ** (k - i + 1)
+        return out
+
+    a, b = weights(u), weights(v)
+    dot = lambda x, y: sum(n * y.get(s, 0) for s, n in x.items())
+    return dot(a, b) / math.sqrt(dot(a, a) * dot(b, b))
+
+
+def test_kernel_against_enumeration():
+    words = ["idiot", "idxiot", "i", "ab", "carpet", "carpets", "blockhead", "blokhead", "aaaa", "numskull"]
+    places, weights = toxicity.subsequences(words)
+    scale = toxicity.norms(places, weights)
+    phi = np.zeros((len(words), toxicity.TABLE))
+    for k in range(len(words)):
+        np.add.at(phi[k], places[k], weights[k] / scale[k])
+    got = phi @ phi.T
+    want = np.array([[plain_kernel(u, v) for v in words] for u in words])
+    assert np.abs(got - want).max() < 0.02  # places are hashed: a few may clash
+    assert np.median(np.abs(got - want)) < 1e-12
+    features = toxicity.Nystrom(words)(words)  # over themselves as landmarks nothing is lost
+    assert np.abs(features @ features.T - got).max() < 1e-3
+
+
+def test_a_machine_is_its_features():
+    words = ["idiot", "idxiot", "carpet", "blockhead"]
+    nystrom = toxicity.Nystrom(words)
+    w = np.arange(nystrom.half.shape[1] + 1) / 7
+    machine = nystrom.machine(w)
+    more = ["idiots", "car", "blockheads", "xylophone"]
+    assert np.allclose(machine.judge(more), np.maximum(nystrom(more) @ w[:-1] + w[-1], -1))
+
+
+def test_sentences():
+    assert toxicity.sentences("One two. Three-3 one!\n n.i.t done") == [["one", "two"], ["one", "three"], ["done", "nit"], ["nit"]]
