@@ -9,9 +9,13 @@ first k scores. It then meets the other annuli, nearest first; by the triangle
 inequality an annulus whose distances to the pivot differ from the query's own by
 b holds no row nearer than b, and it is skipped once that can't beat the k-th score.
 
-Rows are dealt by range of (pivot, distance, id), so a vector that a third of all
-rows share is cut into many blocks. Queries meet blocks in cells of bounded size: a
-part of the blocks and a part of the queries each; only a cell's best k pass on.
+The bounds act before vectors move: queries of neighbouring blocks make a side, and
+for each side and pivot the distances that any of its queries could still need make
+an interval. Only blocks whose annulus meets the interval are sent to the side, in
+cells of ``CELL_BLOCKS`` neighbouring blocks and the queries of ``SIDE_BLOCKS``; within
+a cell each query has its own bound. Only a cell's best k pass on. Rows are dealt by
+range of (pivot, distance, id), so a vector that a third of all rows share is cut into
+many blocks.
 
 Pivots come from a bounded sample (``SAMPLE`` rows with the smallest hash of the
 id); they steer speed alone, since every row is indexed and bounds are exact.
@@ -35,8 +39,8 @@ from pyspark.sql import functions as F
 from mixspark.llm.common import batch, materialise
 
 SAMPLE, PIVOTS, BLOCK = 2048, 32, 1024
-#: Blocks and queries of a cell.
-CELL_BLOCKS, CELL_QUERIES = 16, 4096
+#: Neighbouring blocks that a cell holds, and whose queries make a side.
+CELL_BLOCKS, SIDE_BLOCKS = 16, 80
 
 
 def whole_vectors(df: DataFrame, scale: int, id_col: str, vec_col: str) -> DataFrame:
@@ -130,7 +134,14 @@ def _search(vectors: DataFrame, d: int, k: int, every: int) -> DataFrame:
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
     pivots = choose_pivots(lift(np.array([r.v for r in sample], float), top), PIVOTS)
     index = materialise(build_index(vectors, d, top, pivots), "annuli")
-    query_types = {"query_part": pa.int64(), "qids": pa.binary(), "qvecs": pa.binary(), "floors": pa.binary()}
+    query_types = {"home": pa.int64(), "qids": pa.binary(), "qvecs": pa.binary(), "floors": pa.binary(), "near": pa.list_(pa.float64()), "far": pa.list_(pa.float64())}
+
+    def reach(q: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distances to the pivots, squared norms, and how far from a query a row can be and still reach its floor."""
+        norms = (q * q).sum(axis=1)
+        to_pivots = np.sqrt(np.maximum(norms[:, None] + top - 2 * q @ pivots[:, :d].T, 0))
+        slack = 1e-9 * (norms + top) + 1e-6
+        return to_pivots, norms, np.sqrt(np.maximum(norms + top + 2 * slack - 2 * floor, 0))
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The queries of each block with the k-th score that their own block gives."""
@@ -141,11 +152,19 @@ def _search(vectors: DataFrame, d: int, k: int, every: int) -> DataFrame:
                 if len(mine):
                     best = Best(len(mine), k)
                     best.add(np.arange(len(mine)), ids[mine], products(x[mine], x), ids)
-                    yield batch(query_types, {"query_part": [block], "qids": [ids[mine].tobytes()], "qvecs": [x[mine].tobytes()], "floors": [best.floor.tobytes()]})
-
-    queries = materialise(index.mapInArrow(home, "query_part long, qids binary, qvecs binary, floors binary"), "queries")
-    n_blocks, n_queries = index.count(), queries.agg(F.sum(F.octet_length("qids"))).first()[0] or 0
-    parts, sides = max(1, -(-n_blocks // CELL_BLOCKS)), max(1, -(-n_queries // (8 * CELL_QUERIES)))
+                    to_pivots, _, radius = reach(x[mine], best.floor)
+                    near, far = (to_pivots - radius[:, None]).min(axis=0), (to_pivots + radius[:, None]).max(axis=0)
+                    yield batch(query_types, {"home": [block], "qids": [ids[mine].tobytes()], "qvecs": [x[mine].tobytes()], "floors": [best.floor.tobytes()], "near": [near], "far": [far]})
+
+    def together(block: str, n: int) -> Column:
+        """Neighbouring blocks of one range get one number."""
+        return (F.shiftleft(F.shiftright(block, 32), 32) + F.floor(F.col(block).bitwiseAND((1 << 32) - 1) / n)).cast("long")
+
+    found_home = index.mapInArrow(home, "home long, qids binary, qvecs binary, floors binary, near array<double>, far array<double>")
+    queries = materialise(found_home.withColumn("h", together("home", SIDE_BLOCKS)), "queries")
+    spans = queries.select("h", F.posexplode(F.arrays_zip("near", "far")).alias("pivot", "x")).groupBy("h", "pivot").agg(F.min("x.near").alias("near"), F.max("x.far").alias("far"))
+    placed = index.select("block", "pivot", "lo", "hi", together("block", CELL_BLOCKS).alias("g"))
+    needed = materialise(placed.join(spans, "pivot").where("lo <= far AND hi >= near").select("block", "g", "h"), "needed-blocks")
     result_types = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
 
     def cell(blocks: pa.Table, asked: pa.Table) -> pa.Table:
@@ -156,13 +175,12 @@ def _search(vectors: DataFrame, d: int, k: int, every: int) -> DataFrame:
         q = np.vstack([_matrix(x, d) for x in asked.column("qvecs").to_pylist()])
         best = Best(len(qids), k)
         best.floor = np.concatenate([np.frombuffer(x, "<f8") for x in asked.column("floors").to_pylist()])
-        norms = (q * q).sum(axis=1)
-        far = np.sqrt(np.maximum(norms[:, None] + top - 2 * q @ pivots[:, :d].T, 0))
+        far, norms, radius = reach(q, best.floor)
         slack = 1e-9 * (norms + top) + 1e-6
         pivot, lo, hi = (blocks.column(c).to_numpy() for c in ("pivot", "lo", "hi"))
         apart = np.maximum(np.maximum(far[:, pivot] - hi, lo - far[:, pivot]), 0)
         order = np.argsort(apart.min(axis=0), kind="stable")  # annuli nearest to a query first
-        for b in order.tolist():
+        for b in order[(apart <= radius[:, None]).any(axis=0)[order]].tolist():
             bound = (norms + top - apart[:, b] ** 2) / 2
             live = np.nonzero(bound + slack >= best.floor)[0]
             if len(live):
@@ -170,15 +188,10 @@ def _search(vectors: DataFrame, d: int, k: int, every: int) -> DataFrame:
                 best.add(live, qids[live], products(q[live], x), ids)
         return pa.table({"query_id": pa.array(qids[best.rows], pa.int64()), "vec_id": pa.array(best.ids, pa.int64()), "score": pa.array(best.scores, pa.int64())})
 
-    def spread(c: Column, n: int) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-
-    def each(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = index.withColumn("g", spread(F.col("block"), parts)).withColumn("h", each(sides))
-    right = queries.withColumn("h", spread(F.col("query_part"), sides)).withColumn("g", each(parts))
-    found = left.groupBy("g", "h").cogroup(right.groupBy("g", "h")).applyInArrow(cell, "query_id long, vec_id long, score long")
+    left = index.join(needed, "block")
+    cells = needed.select(F.col("g").alias("part"), F.col("h").alias("side")).distinct()
+    right = queries.drop("near", "far").join(cells, F.col("h") == F.col("side")).drop("h")
+    found = left.groupBy("g", "h").cogroup(right.groupBy("part", "side")).applyInArrow(cell, "query_id long, vec_id long, score long")
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")
 
