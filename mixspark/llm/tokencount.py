@@ -44,15 +44,17 @@ def read_pieces(path: str) -> list[tuple[str, float]]:
 
 
 class CountViterbi:
-    def __init__(self, pieces: list[tuple[str, float]]):
+    """Token counts of one vocabulary; ``unknown``: the place of the piece for what is not in it."""
+
+    def __init__(self, pieces: list[tuple[str, float]], unknown: int = 0):
         whole = all(score == int(score) for _, score in pieces)
         self.pieces = {p: int(s) if whole else float(s) for p, s in reversed(pieces) if p}
-        self.unknown = min(self.pieces.values()) - 10
+        self.unknown_piece, self.unknown = pieces[unknown][0], min(self.pieces.values()) - 10
         self.automaton = ahocorasick.Automaton()
         for piece, score in self.pieces.items():
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        crossing = not whole or any(regex.search(f"[^{MARK}]{MARK}", p) for p in self.pieces)
+        crossing = not whole or MARK not in self.pieces or any(regex.search(f"[^{MARK}]{MARK}", p) for p in self.pieces)
         self.bytes_known = all(f"<0x{b:02X}>" in self.pieces for b in range(256))
         if crossing:
             cuts = ".+"
@@ -84,32 +86,50 @@ class CountViterbi:
         return (count[n], best[n]) if singles == n else self._solve_unknown(text)
 
     def _solve_unknown(self, text: str) -> tuple[int, float]:
-        """The same where some character is no piece by itself."""
+        """The same where some character is no piece by itself, or the unknown piece stands in the text.
+
+        What is unknown in a row fuses: one token if it is that piece once or bytes are
+        not known, else one for each byte.
+        """
         n = len(text)
-        ends: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
+        ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
         for end, found in self.automaton.iter(text):
             ends[end + 1].append(found)
-        best, count, open_run = [0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
+        best: list[float] = [0] * (n + 1)
+        closed, run = [0] * (n + 1), [0] * (n + 1)  # tokens before the run of unknown characters that ends here, and its start + 1
         for end in range(1, n + 1):
-            won = None
+            won, start, unknown = None, end - 1, False
             for size, score in ends[end]:
                 total = best[end - size] + score
                 if won is None or total > won:
-                    won, count[end] = total, count[end - size] + 1
+                    won, start, unknown = total, end - size, text[end - size : end] == self.unknown_piece
             if not (ends[end] and ends[end][-1][0] == 1):
                 total = best[end - 1] + self.unknown
                 if won is None or total > won:
-                    tokens = len(text[end - 1].encode()) if self.bytes_known else int(not open_run[end - 1])
-                    won, count[end], open_run[end] = total, count[end - 1] + tokens, True
+                    won, start, unknown = total, end - 1, True
             best[end] = won
-        return count[n], best[n]
+            if unknown:
+                run[end] = run[start] or start + 1
+                closed[end] = closed[start]
+            else:
+                closed[end] = closed[start] + self._run_tokens(text, run[start], start) + 1
+        return closed[n] + self._run_tokens(text, run[n], n), best[n]
+
+    def _run_tokens(self, text: str, begin: int, end: int) -> int:
+        if not begin:
+            return 0
+        stretch = text[begin - 1 : end]
+        return len(stretch.encode()) if self.bytes_known and stretch != self.unknown_piece else 1
 
     def count(self, text: str) -> tuple[int, float]:
         tokens = total = 0
         known = self.known
         if not text:
             return 0, 0
-        for stretch in self.stretch.findall(MARK + text.replace(" ", MARK)):
+        text = MARK + text.replace(" ", MARK)
+        if self.unknown_piece in text:  # it can fuse with what stands on either side of a cut
+            return self._solve_unknown(text)
+        for stretch in self.stretch.findall(text):
             got = known.get(stretch)
             if got is None:
                 got = self.solve(stretch)
