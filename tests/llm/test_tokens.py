@@ -41,7 +41,7 @@ def test_word_cache_equals_library(text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(some_text.filter(lambda t: "<unk>" not in t))
+@given(some_text | some_text.map(lambda t: t.replace("the", "<unk>")))
 def test_counts_equal_library(text):
     assert VITERBI.count(text)[0] == len(UNIGRAM.encode(text).ids)
 
