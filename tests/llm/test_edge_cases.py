@@ -2,12 +2,13 @@
 
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from mixspark.llm import bpe, linededup, neardup, packing, quality, shard, suffix, tokencount, topk, toxicity
 
 LONG = " ".join(f"w{i % 977} x{i}" for i in range(20000))
-CLASHES = "row long, rep string, removed string, band int, _row long, spans string, stratum string"
+CLASHES = "row long, rep string, removed string, band int, _row long, spans string, stratum string, payload string, raw long, comp long, shard int, n_removed string, `a.b` int"
 SCHEMA = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHES}"
 ROWS = [
     (1, "a b c d e f g h", "en", "s", 10),
@@ -24,7 +25,7 @@ ROWS = [
 
 
 def docs(spark, empty):
-    return spark.createDataFrame([] if empty else [(*r, 1, "z", "q", 3, 4, "k", "st") for r in ROWS], SCHEMA)
+    return spark.createDataFrame([] if empty else [(*r, k, "z", "q", 3, 111 * k, "k", "st", f"p{k}", 7, 8, 9, "n", k) for k, r in enumerate(ROWS)], SCHEMA)
 
 
 def labels(spark):
@@ -72,3 +73,47 @@ def test_defined_results(spark):
 
 def test_query_column_names(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "suffix_dedup", "packing"]
+
+
+#: Functions that return the rows of their input, all columns; the texts that they leave, by row (None: the row goes).
+KEEPERS = {
+    "toxicity": (lambda d, y: toxicity.reject_toxic(d, toxicity.train(d, y)), {}),
+    "line_dedup": (lambda d, _: linededup.drop_common_lines(d), {3: None}),  # an equal row loses all its words
+    "near_dedup": (lambda d, _: corpus_pipeline.drop_near_copies(d.sparkSession, d, ""), {6: None}),
+    "suffix_dedup": (lambda d, _: suffix.dedup_repeats(d), {6: " tail"}),
+    "sharding": (lambda d, _: shard.hilbert_shards(d, {"lang": F.col("lang")}, 3, ["doc_id", "row"]).drop("slot"), {}),
+}
+
+
+@pytest.mark.parametrize("name", KEEPERS)
+def test_rows_keep_their_columns(spark, name):
+    keep, changed = KEEPERS[name]
+    frame = docs(spark, False)
+    got = {r["row"]: r for r in keep(frame, labels(spark)).select(*[f"`{c}`" for c in frame.columns]).collect()}
+    assert set(got) == {k for k in range(len(ROWS)) if changed.get(k, "") is not None}
+    for k, r in got.items():
+        want = {c: v for c, v in frame.where(F.col("row") == k).first().asDict().items() if c not in ("shard", "text", "n_chars")}
+        assert {c: r[c] for c in want} == want
+        text = ROWS[k][1]
+        if name == "suffix_dedup" and k in changed:
+            assert len(r.text) < 500 and (not changed[k] or r.text.endswith(changed[k]))
+        elif name != "suffix_dedup" or len((text or "").encode()) < 400:
+            assert r.text == text
+    assert keep(docs(spark, True), labels(spark)).count() == 0
+
+
+def test_equal_ids_in_suffix_dedup(spark):
+    """Rows of one id are told apart: a copy within them is a copy, and both stay rows."""
+    passage = " ".join(f"w{i}" for i in range(120))
+    rows = [(1, passage), (1, "own words " + passage), (None, passage + " end"), (None, None)]
+    got = sorted((r.doc_id or 0, r.text or "", r.k) for r in suffix.dedup_repeats(spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, k int")).collect())
+    assert [k for *_, k in sorted(got, key=lambda r: r[2])] == [0, 1, 2, 3]
+    assert sum(len(t) >= len(passage) for _, t, _ in got) == 1  # the null id comes first
+    assert {k: t for _, t, k in got}[2] == passage + " end" and {k: t for _, t, k in got}[1].startswith("own words")
+
+
+def test_near_copies_through_an_id_with_two_texts(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, one + " tail"), (2, one), (2, two), (5, two + " tail")]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 5: 1}
