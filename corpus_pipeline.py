@@ -12,8 +12,13 @@ now is. Between stages the rows are written as Parquet and read again.
 4. suffix dedup: strings of 200 bytes and more that came earlier go.
 5. packing: the texts as pieces of sequences of 2048 tokens.
 
-Documents without text or words pass all stages; rows without an id pass those that
-need one to name them; an empty table gives an empty result.
+Documents without text or words pass all stages. Rows of equal ids are told apart by
+line and suffix dedup and are one document to near-dedup, so all of them stay or go;
+rows without an id pass near-dedup, which needs one to name them. Equal rows with ids
+of their own are copies: one stays. Texts of any length are treated whole. Ties go to
+the smallest id, then to the place in the input. Columns beyond those of ``documents``,
+whatever their names, come through all stages but the last, which returns pieces. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,8 +42,8 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     verdict = neardup.near_duplicates(docs)
-    dropped = materialise(verdict.where("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct(), "near-copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    dropped = materialise(verdict.where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("near_copy")).distinct(), "near-copies")
+    return docs.join(dropped, docs["doc_id"] == dropped["near_copy"], "left_anti")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
