@@ -171,13 +171,13 @@ def em(least: float, scores: str, rounds: int = 600) -> str:
     GROUP BY k, sample, tax_id)"""
 
     def refit(name: str, source: str, cut: str) -> str:
-        return f"""{name}_it AS (SELECT 0 AS k, f.sample, tax_id, freq / sum(freq) OVER (PARTITION BY f.sample) AS freq, 1.0 AS moved FROM {source} f JOIN sp ON f.sample = sp.sample WHERE freq >= {cut}
+        return f"""{name}_it AS (SELECT 0 AS k, f.sample, tax_id, freq / sum(freq) OVER (PARTITION BY f.sample) AS freq, CAST(1 AS DOUBLE) AS moved FROM {source} f JOIN sp ON f.sample = sp.sample WHERE freq >= {cut}
   UNION ALL {step(f"{name}_it", "r.k < 20 AND r.moved >= 5e-4")}),
 {name} AS (SELECT sample, tax_id, freq FROM {name}_it QUALIFY k = max(k) OVER (PARTITION BY sample))"""
 
     floor = "CASE WHEN n > 1000 THEN 10 ELSE 1 END * 1.0 / n"
     return f"""WITH RECURSIVE {scores}, {SIZES},
-free_it AS (SELECT 0 AS k, sample, tax_id, 1.0 / s AS freq, 1.0 AS moved FROM (SELECT DISTINCT sample, tax_id FROM rs) JOIN sp USING (sample)
+free_it AS (SELECT 0 AS k, sample, tax_id, 1.0 / s AS freq, CAST(1 AS DOUBLE) AS moved FROM (SELECT DISTINCT sample, tax_id FROM rs) JOIN sp USING (sample)
   UNION ALL {step("free_it", f"r.k < {rounds} AND r.moved > 1e-9")}),
 free AS (SELECT sample, tax_id, freq FROM free_it QUALIFY k = max(k) OVER (PARTITION BY sample)),
 {refit("full_", "free", floor)}, {refit("rep_", "full_", f"greatest({floor}, {least})")},
