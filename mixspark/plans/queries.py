@@ -19,7 +19,7 @@ from mixspark.sources import readers, writers
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 #: Least share of a species where the skewed ones are estimated; options that carry the estimators to their fixed points.
-LEAST_SHARE, FITTED = 0.05, {"vb": {"tolerance": 1e-13}, "em": {"gain": 1e-13}}
+LEAST_SHARE, FITTED = 0.05, {"vb": {"tolerance": 1e-13}, "em": {"gain": 1e-9}}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
