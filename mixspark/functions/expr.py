@@ -144,7 +144,3 @@ def joined_set(names: Column, own: Column | None = None) -> Column:
 
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
-
-
-def all_ranks() -> list[Column]:
-    return [F.col(r) for r in RANKS]

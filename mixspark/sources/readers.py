@@ -19,7 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mixspark.functions import expr
 from mixspark.schema import SAMPLESHEET
 
 #: Records that one file can number; records of a BAM file in one batch.
@@ -264,7 +263,3 @@ def read_estimates(spark: SparkSession, path: str) -> DataFrame:
     rows = got.select(sample, F.explode_outer("abundance").alias("tax_id", "abundance"), "read_summary", F.col("below_detection_count").alias("below_detection"))
     own = F.element_at("read_summary", F.col("tax_id"))
     return rows.select("sample", F.col("tax_id").cast("long").alias("tax_id"), "abundance", *[own[c].alias(c) for c in ("expected_reads", "shared_reads", "alpha")], "below_detection")
-
-
-def taxonomy_order(taxonomy: DataFrame) -> DataFrame:
-    return taxonomy.orderBy(*expr.tax_id_order(F.col("tax_id")))
