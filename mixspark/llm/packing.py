@@ -35,7 +35,7 @@ from tokenizers import Tokenizer
 from mixspark.llm.common import arrow_map, batch, bounded_batches, materialise, slices, texts
 
 #: Distinct words whose ids a Python worker remembers (a speed matter only).
-WORDS_KEPT = 300_000
+WORDS_KEPT = 500_000
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark spreads the work, not the tokenizer
 
@@ -73,7 +73,12 @@ class RankedWords:
         self.core = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})
         self.parts = regex.compile(pattern)
         self.common = regex.compile("[!-~\u00a1-\u00ac\u00ae-\u024f]+")
-        self.letters_stay = all(self.parts.findall(x) == [x] for x in (string.ascii_lowercase, "a", "s", "re", "ve", "m", "ll", "d"))
+        words = [string.ascii_lowercase, "naïve", *("a s re ve m ll d".split())]
+        self.letters_stay = all(self.parts.findall(x + c) == [x, c][: 1 + len(c)] for x in words for c in ("", *string.punctuation))
+        self.ends = {c: self._ids(c) for c in string.punctuation}
+
+    def _ids(self, part: str) -> list[int]:
+        return list(map(self.ids.__getitem__, self.core._encode_single_piece(part.encode() + self.END)))
 
     @staticmethod
     def _merged(symbols: list[str], pairs: dict) -> list[str]:
@@ -86,16 +91,19 @@ class RankedWords:
 
     def encode(self, word: str) -> bytes | None:
         """None: not a word of this kind."""
-        if self.letters_stay and word.isascii() and word.isalpha():
-            return array("I", map(self.ids.__getitem__, self.core._encode_single_piece(word.lower().encode() + self.END))).tobytes()
+        if self.letters_stay and word:  # letters, or letters and one mark: no need to search for parts
+            low, end = word.lower(), self.ends.get(word[-1])
+            body = low if end is None else low[:-1]
+            if body.isalpha() and (body.isascii() or max(body) <= "\u024f"):
+                return array("I", self._ids(body) + (end or [])).tobytes()
         if not self.common.fullmatch(word):
             return None
         if not word.isascii():
             word = "".join(c.lower() for c in unicodedata.normalize("NFC", word))
         out: list[int] = []
         for part in self.parts.findall(word.lower() if word.isascii() else word):
-            out += self.core._encode_single_piece(part.encode() + self.END)
-        return array("I", map(self.ids.__getitem__, out)).tobytes()
+            out += self._ids(part)
+        return array("I", out).tobytes()
 
 
 class WordCache(dict):
