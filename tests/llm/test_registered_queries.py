@@ -14,7 +14,7 @@ from mixspark.llm import tokencount
 from mixspark.llm.bpe import read_ranks
 from mixspark.llm.queries import QUERIES
 from tests.llm import brute
-from tests.llm.data import corpus, prose
+from tests.llm.data import corpus
 
 RNG = random.Random(21)
 DOCS = corpus(21, 50) | {500: None, 501: "", 502: "it was said: 'naïve'\n\n  twice  ", 503: "one two three\none two three"}
@@ -125,4 +125,3 @@ def test_fractional_scores_equal_the_library():
     for _ in range(600):
         text = "".join(rng.choice(["a", "b", "c", "d", "e", "f", " ", "z", "é", "\n", "<unk>"]) for _ in range(rng.randint(1, 40)))
         assert counter.count(text)[0] == len(library.encode(text).ids), text
-    assert prose(rng, 3)
