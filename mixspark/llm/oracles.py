@@ -65,4 +65,47 @@ bad AS (SELECT DISTINCT doc_id FROM b JOIN chosen USING (stratum) WHERE {_VALUE}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals, n_points, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM b"""
 
-ORACLES: dict[str, str] = {"op2_minhash": NEAR_DUPLICATES, "op6_top_k": TOP_K, "op7_quality": QUALITY}
+#: CRC-32 of a decimal number: the table by its rule, then one step a digit.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc"
+
+
+def _crc32(number: str) -> str:
+    digits = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))"
+    return f"xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {digits}), lambda c, d: xor(c >> 8, crc[1 + (xor(c, d) & 255)])))"
+
+
+PREFIX_TRIE = f"""
+WITH crc AS ({_CRC_TABLE}),
+turns AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS i, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, n, {_crc32("c")} % 9 AS h, c - c % 5 AS opening FROM (SELECT c, count(*) AS n FROM turns GROUP BY c), crc),
+again AS (
+  SELECT v.c, t.i AS pos, role, t FROM convs v JOIN turns t ON t.c = v.opening AND t.i < v.h
+  UNION ALL
+  SELECT v.c, t.i - v.h + least(v.h, coalesce(o.n, 0)), role, t FROM convs v JOIN turns t ON t.c = v.c AND t.i >= v.h LEFT JOIN convs o ON o.c = v.opening),
+paths AS (SELECT c, pos + 1 AS d, string_agg(md5(role || chr(1) || t), '') OVER (PARTITION BY c ORDER BY pos) AS k, strlen(t) AS bytes FROM again
+          UNION ALL SELECT c, 0, '', 0 FROM convs),
+nodes AS (SELECT k, d, min(c) AS c, count(*) AS n, any_value(bytes) AS bytes FROM paths GROUP BY k, d),
+kids AS (SELECT left(k, -32) AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+sums AS (SELECT p.k, sum(CASE WHEN kids.k IS NULL THEN 1 ELSE 0 END) AS leaves, sum((n.n - 1) * n.bytes) AS saved
+         FROM nodes n JOIN paths p ON p.c = n.c AND p.d <= n.d LEFT JOIN kids ON kids.k = n.k GROUP BY p.k),
+ends AS (SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM paths WHERE (c, d) IN (SELECT c, max(d) FROM paths GROUP BY c) GROUP BY k)
+SELECT n.c AS conv_id, n.d AS depth, p.c AS parent_conv_id, n.n AS n_convs, coalesce(n_children, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON n.d > 0 AND p.k = left(n.k, -32) LEFT JOIN kids ON kids.k = n.k JOIN sums ON sums.k = n.k LEFT JOIN ends ON ends.k = n.k"""
+
+PERIODIC_RUNS = rf"""
+WITH crc AS ({_CRC_TABLE}),
+d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{GAP}'), lambda x: x <> '') AS w, {_crc32("doc_id")} AS h FROM documents, crc),
+a AS (SELECT *, len(w) AS n, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS m FROM d),
+w AS (SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(w, lambda x, i: CASE WHEN i > a THEN w[1 + a + (i - 1 - a) % (1 + (n - a) // m)] ELSE x END) ELSE w END AS w FROM a),
+x AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM w),
+pairs AS (SELECT l.doc_id, l.i, r.i - l.i AS q FROM x l JOIN x r ON l.doc_id = r.doc_id AND l.x = r.x AND r.i > l.i),
+islands AS (SELECT doc_id, q, min(i) AS s, max(i) + 1 + q AS e FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM pairs) GROUP BY doc_id, q, g),
+runs AS (SELECT doc_id, s, e, min(q) AS q FROM islands WHERE e - s >= greatest(12, 2 * q) GROUP BY doc_id, s, e),
+told AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS runs FROM runs GROUP BY doc_id),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY e - s DESC, s, q) = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, e)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM x ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.e - b.s AS length, b.q AS period, 1000 * (b.e - b.s) // b.q AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM d LEFT JOIN told ON told.doc_id = d.doc_id LEFT JOIN best b ON b.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
+ORACLES: dict[str, str] = {"op2_minhash": NEAR_DUPLICATES, "op6_top_k": TOP_K, "op7_quality": QUALITY, "op11_prefix_trie": PREFIX_TRIE, "op13_periodic_runs": PERIODIC_RUNS}

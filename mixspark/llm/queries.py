@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixspark.llm import bpe, linededup, neardup, packing, quality, shard, suffix, tokencount, topk, toxicity
+from mixspark.llm import bpe, bytenet, linededup, neardup, packing, periodic, quality, shard, suffix, tokencount, topk, toxicity, trie
 from mixspark.llm.common import documents
 from mixspark.llm.oracles import ORACLES
 
@@ -56,8 +56,37 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(documents(spark, sf_dir), "all", columns=("kept_sha256",))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_byte_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scorer = bytenet.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return bytenet.quality_scores(docs, scorer).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(periodic.looped(documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op2_minhash, op3_hilbert_shards, op4_line_dedup, op5_token_counts, op6_top_k, op7_quality, op8_packing, op9_toxicity, op10_suffix_dedup)
+    f.__name__: f
+    for f in (
+        op1_byte_bpe,
+        op2_minhash,
+        op3_hilbert_shards,
+        op4_line_dedup,
+        op5_token_counts,
+        op6_top_k,
+        op7_quality,
+        op8_packing,
+        op9_toxicity,
+        op10_suffix_dedup,
+        op11_prefix_trie,
+        op12_byte_quality,
+        op13_periodic_runs,
+    )
 }
 
 __all__ = ["ORACLES", "QUERIES"]

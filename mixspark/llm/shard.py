@@ -15,8 +15,10 @@ is bounded by parameters, which is why they may be broadcast.
 Defined cases: a null dimension falls into the lowest level; a null text has no
 bytes and checksum 0; an empty text likewise; long texts only count by their size;
 rows of equal ids are ordered by checksum, then size, and equal rows take neighbouring
-slots; an empty table gives an empty table; other columns, whatever their names, come
-back unchanged from ``hilbert_shards`` and are ignored by ``document_shards``.
+slots; an empty table gives an empty table; other columns come back unchanged from
+``hilbert_shards``, whatever their names: a column named like a result (``names``) is an
+error, as the two could not be told apart, and other names can be given to the results.
+``document_shards`` ignores them.
 """
 
 from __future__ import annotations
@@ -99,8 +101,10 @@ def quantised(df: DataFrame, dims: Mapping[str, Column], bits: int = BITS) -> Da
     return joined.select(*df.columns, *[F.when(c.isNull() | F.col(f"cuts_{i}").isNull(), F.lit(0)).otherwise(level(i, c)).alias(f"level_{i}") for i, c in enumerate(dims.values())])
 
 
-def hilbert_shards(df: DataFrame, dims: Mapping[str, Column], n_shards: int, tie: list[str], bits: int = BITS) -> DataFrame:
-    """``df`` with columns shard and slot; ``tie`` orders rows within a cell, its first column splits full cells."""
+def hilbert_shards(df: DataFrame, dims: Mapping[str, Column], n_shards: int, tie: list[str], bits: int = BITS, names: tuple[str, str] = ("shard", "slot")) -> DataFrame:
+    """``df`` with two more columns, shard and slot or ``names``; ``tie`` orders rows within a cell, its first column splits full cells."""
+    if taken := {c.lower() for c in names} & {c.lower() for c in df.columns}:
+        raise ValueError(f"the input has columns named {sorted(taken)}; give other names to the results")
     ties = [f"tie_{i}" for i in range(len(tie))]
     rows = df.select(payload(df), *[df[c].alias(k) for c, k in zip(tie, ties, strict=True)], *[c.alias(f"dim_{i}") for i, c in enumerate(dims.values())])
     levels = [f"level_{i}" for i in range(len(dims))]
@@ -119,7 +123,7 @@ def hilbert_shards(df: DataFrame, dims: Mapping[str, Column], n_shards: int, tie
     row = F.row_number().over(Window.partitionBy(*levels, "piece").orderBy(*ties))
     out = ranked.withColumn("rank", (F.col("before") + row - 1).cast("long")).withColumn("shard", F.expr(f"CAST((rank * {n_shards}) DIV total AS INT)"))
     first = F.expr(f"(shard * total + {n_shards} - 1) DIV {n_shards}")
-    return out.select(*[F.col("payload").getField(c).alias(c) for c in df.columns], "shard", (F.col("rank") - first).alias("slot"))
+    return out.select(*[F.col("payload").getField(c).alias(c) for c in df.columns], F.col("shard").alias(names[0]), (F.col("rank") - first).alias(names[1]))
 
 
 def document_shards(df: DataFrame, n_shards: int = 24) -> DataFrame:
@@ -131,7 +135,8 @@ def document_shards(df: DataFrame, n_shards: int = 24) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-def write_shards(df: DataFrame, sharded: DataFrame, path: str, key: str = "doc_id") -> None:
-    """The rows of ``df`` as one folder a shard, in slot order, for file pruning."""
-    placed = df.join(sharded.select(key, "shard", "slot"), key)
-    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(df: DataFrame, dims: Mapping[str, Column], n_shards: int, tie: list[str], path: str, names: tuple[str, str] = ("shard", "slot")) -> None:
+    """All rows of ``df`` as one folder a shard, files in slot order, for file pruning; rows of equal or null ids stay rows."""
+    shard, slot = names
+    placed = hilbert_shards(df, dims, n_shards, tie, names=names)
+    placed.repartitionByRange(shard, slot).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)

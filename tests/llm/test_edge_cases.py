@@ -81,7 +81,7 @@ KEEPERS = {
     "line_dedup": (lambda d, _: linededup.drop_common_lines(d), {3: None}),  # an equal row loses all its words
     "near_dedup": (lambda d, _: corpus_pipeline.drop_near_copies(d.sparkSession, d, ""), {6: None}),
     "suffix_dedup": (lambda d, _: suffix.dedup_repeats(d), {6: " tail"}),
-    "sharding": (lambda d, _: shard.hilbert_shards(d, {"lang": F.col("lang")}, 3, ["doc_id", "row"]).drop("slot"), {}),
+    "sharding": (lambda d, _: shard.hilbert_shards(d, {"lang": F.col("lang")}, 3, ["doc_id", "row"], names=("to_shard", "to_slot")), {}),
 }
 
 
@@ -117,3 +117,21 @@ def test_near_copies_through_an_id_with_two_texts(spark):
     rows = [(1, one + " tail"), (2, one), (2, two), (5, two + " tail")]
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 1, 2: 1, 5: 1}
+
+
+@pytest.mark.parametrize("name", ["shard", "slot", "SLOT"])
+def test_sharding_refuses_columns_named_like_its_results(spark, name):
+    frame = spark.createDataFrame([(1, "x")], f"doc_id long, `{name}` string")
+    with pytest.raises(ValueError, match="other names"):
+        shard.hilbert_shards(frame, {"id": F.col("doc_id")}, 2, ["doc_id"])
+    assert set(shard.hilbert_shards(frame, {"id": F.col("doc_id")}, 2, ["doc_id"], names=("a", "b")).columns) == {"doc_id", name, "a", "b"}
+
+
+def test_written_shards_keep_equal_and_null_ids(spark, tmp_path):
+    rows = [(1, "en", "a"), (1, "en", "b"), (None, "de", "c"), (None, "de", "c"), (2, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, slot string")
+    shard.write_shards(frame, {"lang": F.col("lang")}, 2, ["doc_id", "slot"], str(tmp_path / "out"), names=("to", "place"))
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(((r.doc_id, r.lang, r.slot) for r in got), key=str) == sorted(rows, key=str)
+    for k in {r.to for r in got}:
+        assert sorted(r.place for r in got if r.to == k) == list(range(sum(r.to == k for r in got)))
