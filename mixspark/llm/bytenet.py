@@ -40,7 +40,8 @@ SAMPLE, SPREAD = 1500, 24
 CHUNK, WIDTH, EMBEDDED, FILTERS, HIDDEN = 256, 7, 8, 24, 16
 #: Windows of a chunk; chunks that are convolved at once.
 WINDOWS, GROUP = CHUNK - WIDTH + 1, 32
-EPOCHS, DOCUMENTS, RATE = 6, 32, 0.01
+#: Rounds over the sample and least number of steps, of so many documents each; largest rate of a step.
+EPOCHS, STEPS, DOCUMENTS, RATE = 6, 800, 32, 0.01
 
 
 def chunk_starts(size: int) -> np.ndarray:
@@ -159,7 +160,7 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(odds.astype(np.float64), -30, 30)))
 
 
-def fit(documents: list[list[bytes]], good: np.ndarray, share: float, epochs: int = EPOCHS) -> Scorer:
+def fit(documents: list[list[bytes]], good: np.ndarray, share: float) -> Scorer:
     """Train on the chunks of labelled documents; ``share`` of good ones among all labels. Deterministic."""
     if not good.any() or good.all():
         return Scorer(None, share)
@@ -168,8 +169,10 @@ def fit(documents: list[list[bytes]], good: np.ndarray, share: float, epochs: in
     counts = np.array([len(d) for d in documents])
     starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.weights.items()}
-    step, steps = 0, epochs * -(-len(documents) // DOCUMENTS)
-    for _ in range(epochs):
+    a_round = -(-len(documents) // DOCUMENTS)
+    rounds = max(EPOCHS, -(-STEPS // a_round))
+    step, steps = 0, rounds * a_round
+    for _ in range(rounds):
         order = rng.permutation(len(documents))
         for lo in range(0, len(order), DOCUMENTS):
             some = order[lo : lo + DOCUMENTS]
