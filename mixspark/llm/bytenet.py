@@ -156,8 +156,9 @@ class Scorer:
                     waiting = []
         if waiting:
             pooled.append(self.network.pooled(*chunk_table(waiting), self.tables)[0])
-        odds, _ = self.network.combined(np.concatenate(pooled), np.concatenate(([0], np.cumsum(counts)[:-1])))
-        return 1 / (1 + np.exp(-np.clip(odds.astype(np.float64), -30, 30)))
+        # In double precision and rounded, a score does not depend on the rows beside it.
+        odds, _ = self.network.combined(np.concatenate(pooled).astype(np.float64), np.concatenate(([0], np.cumsum(counts)[:-1])))
+        return np.round(1 / (1 + np.exp(-np.clip(odds, -30, 30))), 9)
 
 
 def fit(documents: list[list[bytes]], good: np.ndarray, share: float) -> Scorer:
