@@ -347,6 +347,7 @@ ORACLES: dict[str, str] = {
       q AS (SELECT lang, doc_id, seq, length(seq) AS length, list_sum(list_transform(string_split(seq, ''), lambda ch: ascii(ch) - 33)) * 1.0 / length(seq) AS mean_quality FROM d WHERE length(seq) BETWEEN 500 AND 2000)
       SELECT lang AS sample, 'd' || doc_id AS read, length, round(CAST(mean_quality AS DOUBLE), 6) AS mean_quality FROM q WHERE mean_quality >= 70.2 AND length - length(replace(seq, 'N', '')) <= 5""",
     "sam_files": f"WITH {SCORES} SELECT sample, CAST(read AS VARCHAR) AS read, tax_id, round(score, 6) + 0.0 AS log_score FROM rs",
+    "bam_files": f"WITH {SCORES} SELECT sample, CAST(read AS VARCHAR) AS read, tax_id, round(score, 6) + 0.0 AS log_score FROM rs",
     "table_files": matrix("estimated_counts").replace("coalesce(sum(estimated_counts)", "CAST(coalesce(sum(estimated_counts)").replace(", 0) AS", ", 0) AS BIGINT) AS"),
     "database_sequences": f"WITH {DATABASE} SELECT n, tax_id || ':db:' || n AS seq_id, tax_id, length(seq) AS length FROM nn",
     "database_reports": f"""WITH {DATABASE} SELECT md5, count(DISTINCT tax_id) AS species_count, string_agg(DISTINCT source || ' ' || lang, ';' ORDER BY source || ' ' || lang) AS species, string_agg(DISTINCT source, ';' ORDER BY source) AS genera, count(*) AS n_sequences

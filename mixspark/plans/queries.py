@@ -409,6 +409,15 @@ def sam_files(spark, sf):
     return rounded(scoring.read_scores(scored), 6, "log_score")
 
 
+@query
+def bam_files(spark, sf):
+    """Alignments as BAM files, a sample each, read by ranges of blocks and scored."""
+    folder = shared_folder(spark, "bam")
+    writers.write_sample_bams(proxies.alignments(spark, sf), folder)
+    scored = scoring.scored_alignments(scoring.with_counts(commands.read_alignments(spark, folder)))
+    return rounded(scoring.read_scores(scored), 6, "log_score")
+
+
 @query
 def table_files(spark, sf):
     """Per-sample tables as files, read again and consolidated."""

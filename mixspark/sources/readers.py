@@ -1,29 +1,25 @@
 """Readers of the domain's files as DataFrames.
 
 Text formats use Spark's own readers, which split large plain files into ranges and
-decompress packed ones as a stream: lines for SAM, FASTQ and tables, stretches up to
-the next header mark for FASTA. ``ord`` keeps the order of records: the file's place
+decompress packed ones as a stream: lines for SAM and tables, stretches up to the next
+header mark for FASTA. ``ord`` keeps the order of records: the file's place
 in the sorted list of paths, then the range's start, then the place in the range. BAM
-files are read whole (up to 2 GB each), but inflated and parsed a piece at a time.
+and FASTQ files, whose records take more than a line, have modules of their own.
 """
 
 from __future__ import annotations
 
-import gzip
-import io
-import struct
-from collections.abc import Iterator
-from typing import BinaryIO
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mixspark.operators.graph import written
 from mixspark.schema import SAMPLESHEET
+from mixspark.sources.bam import read_bam  # noqa: F401
+from mixspark.sources.fastq import FASTQ_NAME, read_fastq  # noqa: F401
+from mixspark.sources.ranges import decoded
 
-#: Records that one file can number; records of a BAM file in one batch.
-PER_FILE, BATCH = 1 << 40, 10_000
-FASTQ_NAME = r"\.(fastq|fq)(\.gz)?$"
+#: Records that one file can number; ranges (of some 100 MB) of which what comes before is broadcast.
+PER_FILE, FEW_RANGES = 1 << 40, 100_000
 SAMPLE_ID = r"^[A-Za-z0-9._-]+$"
 
 
@@ -36,16 +32,18 @@ def in_file_order(found: DataFrame) -> DataFrame:
     """``found`` (rows of a file source, as read) with file (its name), ord, and n: the row's number in its file.
 
     A range of a file is read in order by one task; the starts and row counts of the
-    ranges, one small row each, give what comes before. A record has at least one
-    byte, so range start plus place in the range never passes the next range's start.
+    ranges, one small row each, give what comes before; they are counted when this is
+    called. A record has at least one byte, so range start plus place in the range
+    never passes the next range's start.
     """
     at = {"_file": "file_name", "_path": "file_path", "_start": "file_block_start"}
     marked = found.select("*", *[F.col(f"_metadata.{v}").alias(k) for k, v in at.items()], F.monotonically_increasing_id().alias("_id"))
     ranges = marked.groupBy("_path", "_start").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranges = ranges.join(_places(ranges.select(F.col("_path").alias("path"))), F.col("_path") == F.col("path")).select("_path", "_start", "_first", "place", before.alias("_before"))
+    ranges = written(ranges.join(_places(ranges.select(F.col("_path").alias("path"))), F.col("_path") == F.col("path")).select("_path", "_start", "_first", "place", before.alias("_before")), "file-ranges")
     inside = F.col("_id") - F.col("_first")
-    out = marked.join(F.broadcast(ranges), ["_path", "_start"])  # a row a range of some 100 MB
+    few = ranges.limit(FEW_RANGES + 1).count() <= FEW_RANGES  # else the join shuffles
+    out = marked.join(F.broadcast(ranges) if few else ranges, ["_path", "_start"])
     return out.select(*found.columns, F.col("_file").alias("file"), (F.col("place") * PER_FILE + F.col("_start") + inside).alias("ord"), (F.col("_before") + inside).alias("n"))
 
 
@@ -63,85 +61,15 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return parts.select("ord", F.regexp_replace(F.get("f", F.lit(0)), r"\s+$", "").alias("header"), seq.alias("seq"))
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """sample, ord, read, seq, qual: four lines a record, whatever they start with; an incomplete last one is dropped."""
-    lines = _text(spark, path, "*.{fastq,fq,fastq.gz,fq.gz}")
-    place = F.floor(F.col("ord") / PER_FILE)
-    line = lambda k: F.max(F.when(F.col("n") % 4 == k, F.col("value")))
-    records = lines.groupBy("file", place.alias("place"), F.floor(F.col("n") / 4).alias("record")).agg(line(0).alias("name"), line(1).alias("seq"), line(3).alias("qual"), F.count("*").alias("lines")).where("lines = 4")
-    sample = F.regexp_replace("file", FASTQ_NAME, "")
-    return records.select(sample.alias("sample"), (F.col("place") * PER_FILE + F.col("record")).alias("ord"), F.regexp_extract("name", r"^.\s*(\S*)", 1).alias("read"), "seq", "qual")
-
-
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """sample (file name), ord, read, flag, ref, cigar, nm. Header-only files have no rows."""
-    lines = _text(spark, path, "*.sam").select("value", F.regexp_replace("file", r"\.sam$", "").alias("sample"), "ord")
+    lines = _text(spark, path, "*.sam").select("value", F.regexp_replace(decoded(F.col("file")), r"\.sam$", "").alias("sample"), "ord")
     parts = lines.where(~F.col("value").startswith("@") & (F.col("value") != "")).withColumn("f", F.split("value", "\t"))
     star = lambda i: F.when(F.col("f")[i] != "*", F.col("f")[i])
     nm = F.regexp_extract("value", r"\tNM:i:(-?\d+)", 1)
     return parts.select("sample", "ord", F.col("f")[0].alias("read"), F.col("f")[1].cast("int").alias("flag"), star(2).alias("ref"), star(5).alias("cigar"), F.when(nm != "", nm.cast("long")).alias("nm"))
 
 
-#: Value sizes of BAM tags by type letter.
-TAG_SIZES = {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
-TAG_INTEGERS = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I"}
-
-
-def bam_records(stream: BinaryIO) -> Iterator[tuple[str, int, str | None, str | None, int | None]]:
-    """(read, flag, ref, cigar, nm) of each record of an uncompressed BAM stream."""
-    number = lambda: struct.unpack("<i", stream.read(4))[0]
-    if stream.read(4) != b"BAM\1":
-        raise ValueError("not a BAM stream")
-    stream.read(number())
-    refs = []
-    for _ in range(number()):
-        refs.append(stream.read(number())[:-1].decode())
-        stream.read(4)
-    while size := stream.read(4):
-        raw = stream.read(struct.unpack("<i", size)[0])
-        ref, _, name_size, _, _, n_ops, flag, seq_size = struct.unpack_from("<iiBBHHHi", raw)
-        p, end = 32 + name_size, len(raw)
-        name = raw[32 : p - 1].decode()
-        ops = struct.unpack_from(f"<{n_ops}I", raw, p)
-        cigar = "".join(f"{x >> 4}{'MIDNSHP=X'[x & 15]}" for x in ops) or None
-        p += 4 * n_ops + (seq_size + 1) // 2 + seq_size
-        nm = None
-        while p < end:
-            tag, kind = raw[p : p + 2], chr(raw[p + 2])
-            p += 3
-            if kind in "ZH":
-                p = raw.index(b"\0", p) + 1
-            elif kind == "B":
-                p += 5 + TAG_SIZES[chr(raw[p])] * struct.unpack_from("<i", raw, p + 1)[0]
-            else:
-                if tag == b"NM":
-                    nm = struct.unpack_from(TAG_INTEGERS[kind], raw, p)[0]
-                p += TAG_SIZES[kind]
-        yield name, flag, refs[ref] if ref >= 0 else None, cigar, nm
-
-
-def read_bam(spark: SparkSession, path: str) -> DataFrame:
-    """The same columns as ``read_sam``; a BAM file is gzip blocks end to end."""
-    found = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.bam").load(path)
-    files = found.select("path", "content").join(F.broadcast(_places(found.select("path"))), "path")
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64()]
-    names = ["sample", "ord", "read", "flag", "ref", "cigar", "nm"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for got in batches:
-            for path_, place, content in zip(*(got.column(c) for c in ("path", "place", "content")), strict=True):
-                sample, base, rows = path_.as_py().rsplit("/", 1)[-1].removesuffix(".bam"), place.as_py() * PER_FILE, []
-                for i, record in enumerate(bam_records(io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer()))))):
-                    rows.append((sample, base + i, *record))
-                    if len(rows) == BATCH:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-                        rows = []
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-
-    return files.mapInArrow(run, "sample string, ord long, read string, flag int, ref string, cigar string, nm long")
-
-
 def read_samplesheet(spark: SparkSession, path: str) -> DataFrame:
     """sample and fastq; a sheet without rows is an error. No line is a comment."""
     sheet = spark.read.csv(path, header=True, schema=SAMPLESHEET, mode="FAILFAST")
@@ -243,7 +171,7 @@ def read_sample_tables(spark: SparkSession, folder: str) -> DataFrame:
     columns = list(dict.fromkeys(c for r in heads.select("head").distinct().collect() for c in r.head))  # a file each has its own
     named = lines.where("n > 0").join(heads, "place").select("file", "ord", F.map_from_arrays("head", F.slice("f", F.lit(1), F.size("head"))).alias("x"))
     sample = F.regexp_replace("file", r"_rel-abundance\.tsv$", "")
-    return named.select(F.url_decode(sample).alias("sample"), F.col("ord").alias("row_ord"), *[F.nullif(F.element_at("x", F.lit(c)), F.lit("")).alias(c) for c in columns])
+    return named.select(decoded(sample).alias("sample"), F.col("ord").alias("row_ord"), *[F.nullif(F.element_at("x", F.lit(c)), F.lit("")).alias(c) for c in columns])
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import struct
 import warnings
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixspark.operators.consolidate import check_rank, collapse, combine, species_order
+from mixspark.operators.graph import numbered, written
+from mixspark.sources import bam
+from mixspark.sources.joining import join_by_sample, join_parts
 
 
 def write_fasta(records: DataFrame, path: str, wrap: int | None = None) -> None:
@@ -17,49 +23,76 @@ def write_fasta(records: DataFrame, path: str, wrap: int | None = None) -> None:
     records.orderBy("n").select(F.concat(F.lit(">"), title, F.lit("\n"), body)).write.text(path)
 
 
-def _file_system(spark: SparkSession, path: str):
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path
-
-
-def _only_part(fs, folder) -> object:
-    (part,) = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
-    return part
-
-
 def write_tsv(table: DataFrame, path: str, order: list | None = None) -> None:
-    """One file at ``path`` with a header, also where the table is empty, rows in ``order``; numbers as Spark prints them."""
-    spark, folder = table.sparkSession, f"{path}.parts"
+    """One file at ``path`` with a header, also where the table is empty, rows in ``order``; numbers as Spark prints them.
+
+    Ranges of the order are sorted and written side by side, then joined.
+    """
     rows = table.orderBy(*order) if order else table
-    rows.coalesce(1).write.csv(folder, sep="\t", header=True, emptyValue="", quote="")
-    if not table.take(1):
-        spark.createDataFrame([("\t".join(table.columns),)], "value string").coalesce(1).write.mode("overwrite").text(folder)
-    fs, at = _file_system(spark, path)
-    fs.rename(_only_part(fs, at(folder)), at(path))
-    fs.delete(at(folder), True)
+    rows.write.mode("overwrite").csv(f"{path}.parts", sep="\t", header=False, emptyValue="", quote="")
+    join_parts(table.sparkSession, f"{path}.parts", path, head=("\t".join(table.columns) + "\n").encode())
 
 
-def _named_by_sample(spark: SparkSession, folder: str, ending: str) -> None:
-    """Give the one file of each sample=... folder the sample's name."""
-    fs, at = _file_system(spark, folder)
-    for f in fs.listStatus(at(folder)):
-        name = f.getPath().getName()
-        if name.startswith("sample="):
-            fs.rename(_only_part(fs, f.getPath()), at(f"{folder}/{name.removeprefix('sample=')}{ending}"))
-            fs.delete(f.getPath(), True)
+def _by_sample(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows in ranges of (sample, order); a sample of many rows is written by several tasks."""
+    return rows.repartitionByRange("sample", *order).sortWithinPartitions("sample", *order)
 
 
 def write_sample_tables(tables: DataFrame, path: str) -> None:
     """One file a sample, named for it, rows in their order."""
     columns = [c for c in tables.columns if c != "row_ord"]
-    tables.repartition("sample").sortWithinPartitions("sample", "row_ord").select(*columns).write.partitionBy("sample").csv(path, sep="\t", header=True, emptyValue="", quote="")
-    _named_by_sample(tables.sparkSession, path, "_rel-abundance.tsv")
+    _by_sample(tables, "row_ord").select(*columns).write.partitionBy("sample").csv(path, sep="\t", header=False, emptyValue="", quote="")
+    join_by_sample(tables.sparkSession, path, "_rel-abundance.tsv", head=("\t".join(c for c in columns if c != "sample") + "\n").encode())
 
 
 def write_sample_lines(lines: DataFrame, path: str, ending: str) -> None:
     """``lines``: sample, ord, value. One text file a sample, named for it, in order."""
-    lines.repartition("sample").sortWithinPartitions("sample", "ord").select("sample", "value").write.partitionBy("sample").text(path)
-    _named_by_sample(lines.sparkSession, path, ending)
+    _by_sample(lines, "ord").select("sample", "value").write.partitionBy("sample").text(path)
+    join_by_sample(lines.sparkSession, path, ending)
+
+
+def write_sample_bams(alignments: DataFrame, path: str) -> None:
+    """``alignments`` (sample, ord, read, flag, ref, cigar, nm) as one BAM file a sample, without bases, in order.
+
+    All files have the same references, in alphabetical order. Tasks write whole blocks
+    as rows of text parted by the bytes that begin a block; joined, the parts of a
+    sample are a BAM file.
+    """
+    refs = written(numbered(alignments.where("ref IS NOT NULL").select("ref").distinct(), [F.col("ref")], "n").select("ref", (F.col("n") - 1).alias("ref_id")), "references")
+    count = refs.agg(F.count("*").alias("n_refs"))
+    samples = alignments.select("sample").distinct()
+    none = {c: F.lit(None).cast(t) for c, t in (("read", "string"), ("flag", "int"), ("cigar", "string"), ("nm", "long"))}
+    heads = samples.crossJoin(F.broadcast(count)).select("sample", F.lit(0).alias("step"), F.col("n_refs").alias("ord"), F.lit(-1).cast("long").alias("ref_id"), *[v.alias(c) for c, v in none.items()])  # one count
+    named = samples.crossJoin(refs).select("sample", F.lit(1).alias("step"), F.col("ref_id").alias("ord"), F.lit(-1).cast("long").alias("ref_id"), F.col("ref").alias("read"), *[v.alias(c) for c, v in none.items() if c != "read"])  # each file lists all references
+    records = alignments.join(refs, "ref", "left").select("sample", F.lit(2).alias("step"), "ord", F.coalesce("ref_id", F.lit(-1).cast("long")).alias("ref_id"), "read", F.col("flag").cast("int").alias("flag"), "cigar", F.col("nm").cast("long").alias("nm"))
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample, held = None, bytearray()
+        give = lambda values: pa.RecordBatch.from_arrays([pa.array([sample] * len(values), pa.string()), pa.array(values, pa.binary())], names=["sample", "value"])
+        for got in batches:
+            for r in got.to_pylist():
+                if r["sample"] != sample:
+                    if held:
+                        yield give([bam.packed(bytes(held))])
+                    sample, held = r["sample"], bytearray()
+                    yield give([b""])  # a part begins with what parts the rows
+                if r["step"] == 0:
+                    held += b"BAM\1" + struct.pack("<ii", 0, r["ord"])
+                elif r["step"] == 1:
+                    name = r["read"].encode() + b"\0"
+                    held += struct.pack("<i", len(name)) + name + struct.pack("<i", 0)
+                else:
+                    held += bam.encoded_record(r["read"], r["flag"], r["ref_id"], r["cigar"], r["nm"])
+                while len(held) >= bam.BLOCK:
+                    yield give([bam.packed(bytes(held[: bam.BLOCK]))])
+                    del held[: bam.BLOCK]
+        if held:
+            yield give([bam.packed(bytes(held))])
+
+    rows = _by_sample(heads.unionByName(named).unionByName(records), "step", "ord").mapInArrow(blocks, "sample string, value binary")
+    mark = bam.MARK.decode("latin-1")
+    rows.select("sample", F.col("value").cast("string").alias("value")).write.partitionBy("sample").option("encoding", "ISO-8859-1").option("lineSep", mark).text(path)
+    join_by_sample(alignments.sparkSession, path, ".bam", tail=bam.END, trim=len(bam.MARK))
 
 
 def sam_lines(alignments: DataFrame) -> DataFrame:
@@ -95,12 +128,12 @@ def write_collapsed(table: DataFrame, rank: str, folder: str, base: str) -> str:
 
 def write_combined(tables: DataFrame, rank: str, samples: list[str], folder: str, counts: bool = False, split: bool = False) -> list[str]:
     """The combined table under its name or, split, lineages and values in files of their own."""
-    wide = combine(tables, rank, samples, counts)
+    wide = written(combine(tables, rank, samples, counts), "combined")  # each part reads it
     ranks = [c for c in check_rank(rank) if c in wide.columns]
     parts = {"taxonomy": ranks, "abundance": [rank, *samples]} if split else {None: [*ranks, *samples]}
     paths = [f"{folder}/{combined_name(rank, counts, part)}" for part in parts]
     for path, columns in zip(paths, parts.values(), strict=True):
-        write_tsv(wide.orderBy(*ranks).select(*[f"`{c}`" for c in columns]), path)
+        write_tsv(wide.orderBy(*ranks).select(*[F.col("`" + c.replace("`", "``") + "`") for c in columns]), path)
     return paths
 
 
