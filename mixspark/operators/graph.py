@@ -9,10 +9,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Deepest walk up a taxonomy tree; beyond it the tree has a loop.
-MAX_DEPTH = 60
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; only in a local session that names none, one of our own."""
     if spark.sparkContext.getCheckpointDir() is None:
@@ -72,19 +68,37 @@ def linked_groups(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("g", "group")
 
 
-def ancestors(ids: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(tax_id, depth, at, rank): every node from an id up to the root, which is its own parent."""
-    return ids.sparkSession.sql(
-        f"""
-        WITH RECURSIVE walk(tax_id, depth, at, rank, parent) AS (
-            SELECT i.tax_id, 0, n.tax_id, n.rank, n.parent FROM {{ids}} i JOIN {{nodes}} n ON i.tax_id = n.tax_id
-            UNION ALL
-            SELECT w.tax_id, w.depth + 1, n.tax_id, n.rank, n.parent
-            FROM walk w JOIN {{nodes}} n ON w.parent = n.tax_id
-            WHERE w.at <> w.parent AND w.depth < {MAX_DEPTH}
-        )
-        SELECT tax_id, depth, at, rank FROM walk
-        """,
-        ids=ids.select("tax_id").distinct(),
-        nodes=nodes.select("tax_id", "parent", "rank"),
-    )
+def walked(ids: DataFrame, nodes: DataFrame, ranks: list[str]) -> DataFrame:
+    """For each id of ``ids`` that is a node, what a walk to the root finds: (tax_id, tops, near).
+
+    ``nodes``: tax_id, parent, rank; a root is its own parent and an id counts once. tops:
+    rank to node, of several nodes of a rank the one nearest to the root, the root left
+    out; near: the first node at or above with one of ``ranks``.
+
+    By pointer doubling: a node knows what lies within 2^k steps and the node that many
+    steps up, and takes on what that one knows, so the rounds grow with the logarithm of
+    the depth. They run when this is called. A parent outside the tree and a loop are
+    errors that name an id, if an id of ``ids`` leads there.
+    """
+    at_root = F.col("tax_id") == F.col("parent")
+    ranked = F.col("rank").isin(ranks)
+    none = F.create_map().cast("map<string, string>")
+    own = F.when(ranked & ~at_root, F.create_map("rank", "tax_id")).otherwise(none)
+    state = nodes.select("tax_id", "parent", "rank").dropDuplicates(["tax_id"]).select("tax_id", F.when(~at_root, F.col("parent")).alias("up"), own.alias("tops"), F.when(ranked, F.col("tax_id")).alias("near"), F.lit(None).cast("string").alias("lost"))
+    state = written(state, "walk-0")
+    wanted, steps, total = ids.select("tax_id").distinct(), 1, state.count()
+    while True:
+        above = state.select(F.col("tax_id").alias("up"), F.col("up").alias("up_2"), F.col("tops").alias("tops_2"), F.col("near").alias("near_2"), F.col("lost").alias("lost_2"), F.lit(True).alias("there"))
+        met = state.where("up IS NOT NULL").join(above, "up", "left")
+        higher = F.map_concat(F.map_filter("tops", lambda k, _: ~F.map_contains_key("tops_2", k)), "tops_2")
+        lost = F.when(F.col("there").isNull(), F.col("up")).otherwise(F.col("lost_2"))
+        moved = met.select("tax_id", F.col("up_2").alias("up"), F.when(F.col("there"), higher).otherwise(F.col("tops")).alias("tops"), F.coalesce("near", "near_2").alias("near"), lost.alias("lost"))
+        state = written(state.where("up IS NULL").unionByName(moved), "walk")
+        steps *= 2
+        waiting = state.where("up IS NOT NULL")
+        if steps > total or not waiting.take(1):
+            break
+    state = wanted.join(state, "tax_id")
+    if (bad := state.where("up IS NOT NULL OR lost IS NOT NULL").select("tax_id", "lost").take(1)):
+        raise ValueError(f"the walk up from {bad[0].tax_id} " + (f"leaves the tree at {bad[0].lost}" if bad[0].lost else "does not end: its ancestors form a loop"))
+    return state.select("tax_id", "tops", "near")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixspark.functions import expr
-from mixspark.operators.graph import MAX_DEPTH, ancestors, linked_groups, numbered, written
+from mixspark.operators.graph import linked_groups, numbered, walked, written
 from mixspark.schema import HIGHER_RANKS, RANKS
 
 
@@ -79,20 +79,21 @@ def reduced_fasta(unique: DataFrame, db_name: str) -> DataFrame:
 
 
 def lineages(ids: DataFrame, nodes: DataFrame, names: DataFrame) -> DataFrame:
-    """tax_id and its seven ranks ('' where the tree has none); an id outside the tree is an error."""
-    steps = ancestors(ids, nodes)
-    named = steps.join(names.withColumnRenamed("tax_id", "at"), "at", "left")
-    wide = named.groupBy("tax_id").agg(*[F.coalesce(F.min(F.when(F.col("rank") == r, F.col("name"))), F.lit("")).alias(r) for r in RANKS])
+    """tax_id and its seven ranks ('' where the tree has none, the root's own left out); an id outside the tree is an error."""
+    found = walked(ids, nodes, RANKS)
+    steps = found.select("tax_id", F.explode("tops").alias("rank", "at"))
+    named = steps.join(names.select(F.col("tax_id").alias("at"), "name"), "at")
+    wide = named.groupBy("tax_id").agg(*[F.min(F.when(F.col("rank") == r, F.col("name"))).alias(r) for r in RANKS])
     missing = F.raise_error(F.concat(F.lit("tax_id not in the tree: "), F.col("tax_id").cast("string")))
-    out = ids.select("tax_id").distinct().join(wide.withColumn("_there", F.lit(True)), "tax_id", "left")
-    return out.select("tax_id", *[F.when(F.col("_there"), F.col(r)).otherwise(missing.cast("string")).alias(r) for r in RANKS])
+    there = found.select("tax_id", F.lit(True).alias("_there"))
+    out = ids.select("tax_id").distinct().join(there, "tax_id", "left").join(wide, "tax_id", "left")
+    return out.select("tax_id", *[F.when(F.col("_there"), F.coalesce(F.col(r), F.lit(""))).otherwise(missing.cast("string")).alias(r) for r in RANKS])
 
 
 def ranked_ancestor(ids: DataFrame, nodes: DataFrame) -> DataFrame:
     """(tax_id, ranked_id): the nearest node at or above with one of the seven ranks; none is an error."""
-    steps = ancestors(ids, nodes)
-    near = steps.where(F.col("rank").isin(RANKS)).groupBy("tax_id").agg(F.min_by("at", "depth").alias("ranked_id"))
-    missing = F.raise_error(F.concat(F.lit(f"no ranked ancestor within {MAX_DEPTH} steps: "), F.col("tax_id").cast("string")))
+    near = walked(ids, nodes, RANKS).select("tax_id", F.col("near").alias("ranked_id"))
+    missing = F.raise_error(F.concat(F.lit("no ranked ancestor: "), F.col("tax_id").cast("string")))
     return ids.select("tax_id").distinct().join(near, "tax_id", "left").select("tax_id", F.coalesce("ranked_id", missing.cast("string")).alias("ranked_id"))
 
 

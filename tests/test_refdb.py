@@ -52,6 +52,27 @@ def test_tree(spark):
         refdb.lineages(spark.createDataFrame([("404",)], "tax_id string"), nodes, names).collect()
 
 
+def test_deep_walks(spark):
+    """A chain of 200 nodes, the topmost of a rank counts, the root's own rank does not."""
+    rank = lambda i: {3: "superkingdom", 5: "phylum", 9: "phylum", 150: "genus"}.get(i, "no rank")
+    nodes = spark.createDataFrame([("1", "1", "species"), *((str(i), str(i - 1), rank(i)) for i in range(2, 201))], "tax_id string, parent string, rank string")
+    names = nodes.selectExpr("tax_id", "concat('n', tax_id) AS name")
+    ids = spark.createDataFrame([("200",), ("149",), ("2",), ("1",)], "tax_id string")
+    got = {r.tax_id: (r.species, r.genus, r.phylum, r.superkingdom) for r in refdb.lineages(ids, nodes, names).collect()}
+    assert got == {"200": ("", "n150", "n5", "n3"), "149": ("", "", "n5", "n3"), "2": ("", "", "", ""), "1": ("", "", "", "")}
+    assert {r.tax_id: r.ranked_id for r in refdb.ranked_ancestor(ids, nodes).collect()} == {"200": "150", "149": "9", "2": "1", "1": "1"}
+
+
+def test_loops_and_lost_parents_are_errors(spark):
+    nodes = spark.createDataFrame([("1", "1", "no rank"), ("2", "1", "genus"), ("5", "6", "x"), ("6", "7", "x"), ("7", "5", "x"), ("8", "404", "species"), ("9", "8", "x")], "tax_id string, parent string, rank string")
+    one = lambda i: spark.createDataFrame([(i,)], "tax_id string")
+    assert refdb.ranked_ancestor(one("2"), nodes).first().ranked_id == "2"  # others' faults do not matter
+    with pytest.raises(ValueError, match="up from 6 .*loop"):
+        refdb.ranked_ancestor(one("6"), nodes)
+    with pytest.raises(ValueError, match="up from 9 leaves the tree at 404"):
+        refdb.ranked_ancestor(one("9"), nodes)
+
+
 def test_linked_groups(spark):
     links = [(f"n{i:03}", f"n{i + 1:03}") for i in range(40)] + [("x", "y"), ("z", "y"), ("q", None)]
     got = {r.node: r.group for r in linked_groups(spark.createDataFrame(links, "a string, b string")).collect()}
