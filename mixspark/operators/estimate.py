@@ -3,27 +3,29 @@
 Three paths give the same numbers:
 
 * samples of at most ``ONE_TASK`` scores: one sample a task, as arrays;
-* larger ones: reads stay spread over the cluster in blocks, each iteration sums the
-  responsibilities of a species in tasks and moves one number a species and task, and
-  several such samples run side by side;
+* larger ones: reads stay spread over the cluster in blocks. An iteration of all such
+  samples is one job, which sums the responsibilities of a species in tasks and moves
+  one number a sample, species and task; a sample that is done is left out;
 * the steps as DataFrame operations, one iteration each, for plans and checks.
 
 So no task ever holds more than ``ONE_TASK`` scores or one block, however large a
-sample is; the driver holds a few numbers a species of ``SIDE_BY_SIDE`` samples at a time.
+sample is; the driver holds a few numbers a species of ``TOGETHER`` samples at a time.
+
+The estimators that both of the first paths share are written as generators: they ask
+for a sum over a sample's reads and go on when it is there, be it at once (``alone``) or
+with those of other samples (``together``).
 """
 
 from __future__ import annotations
 
 import math
 import warnings
-from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Generator, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,8 +37,8 @@ from mixspark.operators.graph import shared_folder, written
 MAX_PRUNES, BOUND_EVERY, SLACK = 10, 100, 1e-9
 #: Inner iterations of EM and the change in frequencies that ends them.
 EM_INNER, EM_CHANGE = 20, 5e-4
-#: Most scores of a sample that one task estimates (some 100 MB as arrays); larger samples estimated at once.
-ONE_TASK, SIDE_BY_SIDE = 2_000_000, 8
+#: Most scores of a sample that one task estimates (some 100 MB as arrays); larger samples estimated together.
+ONE_TASK, TOGETHER = 2_000_000, 1000
 
 
 @dataclass
@@ -100,6 +102,27 @@ class Scores:
         return column, float((top[live] + np.log(total[live])).sum())
 
 
+@dataclass
+class Ask:
+    """A vector to be summed over all reads of a sample."""
+
+    of: Callable[[Scores], np.ndarray]
+    size: int
+
+
+Steps = Generator[Ask, np.ndarray]
+
+
+def alone(steps: Steps, scores: Scores):
+    """The result of an estimator whose sample is in memory."""
+    answer = None
+    while True:
+        try:
+            answer = steps.send(answer).of(scores)
+        except StopIteration as end:
+            return end.value
+
+
 def responsibilities(scores: Scores, weight: np.ndarray) -> np.ndarray:
     """Softmax over each read's species of score plus the species' log weight."""
     x = scores.score + weight[scores.species]
@@ -225,22 +248,23 @@ def fit_vb(scores: Scores, min_abundance: float = 0.001, alpha_prior: float = 1.
     return estimate
 
 
-def em_round(scores: Scores | Spread, freq: np.ndarray) -> tuple[np.ndarray, float]:
+def em_round(scores: Scores | Spread, freq: np.ndarray) -> Steps:
     """Updated frequencies and the log likelihood of the old ones."""
-    column, value = scores.em_sums(freq)
-    return column / max(column.sum(), 1e-300), value
+    got = yield Ask(lambda x: np.append(*x.em_sums(freq)), scores.n_species + 1)
+    column = got[:-1]
+    return column / max(column.sum(), 1e-300), float(got[-1])
 
 
-def em_inner(scores: Scores | Spread, freq: np.ndarray, iterations: int = EM_INNER, change: float = EM_CHANGE) -> np.ndarray:
+def em_inner(scores: Scores | Spread, freq: np.ndarray, iterations: int = EM_INNER, change: float = EM_CHANGE) -> Steps:
     for _ in range(iterations):
-        new, _ = em_round(scores, freq)
+        new, _ = yield from em_round(scores, freq)
         moved, freq = np.abs(new - freq).sum(), new
         if moved < change:
             break
     return freq
 
 
-def em_frequencies(scores: Scores | Spread, min_abundance: float, gain: float, n_start: int | None) -> tuple[np.ndarray, np.ndarray]:
+def em_course(scores: Scores | Spread, min_abundance: float, gain: float, n_start: int | None) -> Steps:
     """Frequencies of the species that survive the floor, and of those that are reported.
 
     Inner loops are repeated until the likelihood gains less than ``gain``; then the
@@ -250,24 +274,29 @@ def em_frequencies(scores: Scores | Spread, min_abundance: float, gain: float, n
         raise ValueError("no reads to estimate from")
     freq, last = np.full(scores.n_species, 1 / (n_start or max(scores.n_species, 1))), -np.inf
     while scores.n_scored:
-        freq = em_inner(scores, freq)
-        _, value = em_round(scores, freq)
+        freq = yield from em_inner(scores, freq)
+        _, value = yield from em_round(scores, freq)
         if value < last - SLACK * abs(last):
             raise ValueError("the log likelihood fell")
         if value - last < gain:
             break
         last = value
 
-    def cut(least: float) -> np.ndarray:
+    def cut(least: float) -> Steps:
         kept = np.where(freq >= least, freq, 0.0)
-        return em_inner(scores, kept / kept.sum()) if kept.any() else kept
+        return (yield from em_inner(scores, kept / kept.sum())) if kept.any() else kept
 
     least = (10 if scores.n_reads > 1000 else 1) / scores.n_reads
-    freq = cut(least)
-    tighter = cut(min_abundance) if min_abundance > least and freq.any() else freq
+    freq = yield from cut(least)
+    tighter = (yield from cut(min_abundance)) if min_abundance > least and freq.any() else freq
     return freq, tighter if tighter.any() else freq
 
 
+def em_frequencies(scores: Scores, min_abundance: float, gain: float, n_start: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """``em_course`` of one sample in memory."""
+    return alone(em_course(scores, min_abundance, gain, n_start), scores)
+
+
 def fit_em(scores: Scores, min_abundance: float = 0.001, gain: float = 1e-4, n_start: int | None = None) -> Estimate:
     """Expectation-maximisation of one sample in memory; reads are shared out among all survivors of the floor."""
     full, freq = em_frequencies(scores, min_abundance, gain, n_start)
@@ -318,8 +347,9 @@ def estimate_abundances(read_scores: DataFrame, estimator: str = "vb", row_keys:
 
     ``row_keys`` (tax_id, row_key) says which species share a row of the output
     table; reads split only within a row do not count as shared. Samples of more
-    than ``one_task`` scores stay spread over the cluster. ``stored``: the scores are
-    a written table already, else they are written once.
+    than ``one_task`` scores stay spread over the cluster; they are estimated when this
+    is called and their reported species, a row each, are then held by the driver.
+    ``stored``: the scores are a written table already, else they are written once.
     """
     if estimator not in ("vb", "em"):
         raise ValueError("estimator must be 'vb' or 'em'")
@@ -346,7 +376,8 @@ def estimate_abundances(read_scores: DataFrame, estimator: str = "vb", row_keys:
     out = small.groupBy("sample").applyInPandas(kernel, ESTIMATE_SCHEMA)
     if large:
         blocks = read_blocks(scores.where(F.col("sample").isin(large)))
-        found = side_by_side(blocks, large, lambda spread: spread_rows(spread, estimator, keys, options))
+        known = None if keys is None else {r.tax_id: r.row_key for r in keys.join(blocks.select(F.explode("tax_ids").alias("tax_id")).distinct(), "tax_id", "left_semi").where("row_key IS NOT NULL").collect()}
+        found = together(blocks, large, lambda spread: spread_rows(spread, estimator, known, options))
         out = out.unionByName(read_scores.sparkSession.createDataFrame(found, ESTIMATE_SCHEMA))
     return out
 
@@ -378,45 +409,27 @@ def read_blocks(scores: DataFrame) -> DataFrame:
     return scores.sparkSession.read.schema(BLOCKS).parquet(path)
 
 
+@dataclass
 class Spread:
-    """A sample whose reads stay in blocks: the sums of ``Scores``, each by one job over the blocks."""
-
-    def __init__(self, blocks: DataFrame, sample: str):
-        self.sample, self.blocks = sample, blocks.where(F.col("sample") == sample).persist()
-        self.tax_ids = np.array(sorted(r.t for r in self.blocks.select(F.explode("tax_ids").alias("t")).distinct().collect()), np.int64)
-        self.n_species = len(self.tax_ids)
-        got = self.sums(lambda x: np.array([x.n_reads, x.n_scored], float), 2)
-        self.n_reads, self.n_scored = int(got[0]), int(got[1])
-
-    def sums(self, of: Callable[[Scores], np.ndarray], size: int) -> np.ndarray:
-        """The sum over all blocks of a vector; a task sends one number a slot."""
-        tax_ids = self.tax_ids
-
-        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(size)
-            for got in batches:
-                for i in range(got.num_rows):
-                    start, species, score = (got.column(c)[i].values.to_numpy() for c in ("start", "tax_ids", "score"))
-                    total += of(Scores(start, np.searchsorted(tax_ids, species), score, len(tax_ids)))
-            slots = np.nonzero(total)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(total[slots])], names=["slot", "x"])
+    """A sample whose reads stay in blocks; sums over them are asked for."""
 
-        out = np.zeros(size)
-        for r in self.blocks.select("start", "tax_ids", "score").mapInArrow(part, "slot long, x double").groupBy("slot").agg(F.sum("x").alias("x")).collect():
-            out[r.slot] = r.x
-        return out
+    sample: str
+    tax_ids: np.ndarray
+    n_reads: int = 0
+    n_scored: int = 0
 
-    def phi_sums(self, weight: np.ndarray) -> np.ndarray:
-        return self.sums(lambda x: np.bincount(x.species, responsibilities(x, weight), x.n_species), self.n_species)
+    @property
+    def n_species(self) -> int:
+        return len(self.tax_ids)
 
-    def bound_of_reads(self, weight: np.ndarray, e: np.ndarray) -> float:
-        return float(self.sums(lambda x: np.array([bound_of_reads(x, responsibilities(x, weight), e)]), 1)[0])
+    def phi_sums(self, weight: np.ndarray) -> Steps:
+        return (yield Ask(lambda x: np.bincount(x.species, responsibilities(x, weight), x.n_species), self.n_species))
 
-    def em_sums(self, freq: np.ndarray) -> tuple[np.ndarray, float]:
-        got = self.sums(lambda x: np.append(*x.em_sums(freq)), self.n_species + 1)
-        return got[:-1], float(got[-1])
+    def bound_of_reads(self, weight: np.ndarray, e: np.ndarray) -> Steps:
+        got = yield Ask(lambda x: np.array([bound_of_reads(x, responsibilities(x, weight), e)]), 1)
+        return float(got[0])
 
-    def summary(self, weight: np.ndarray, reported: np.ndarray, row: np.ndarray, by_candidate: bool) -> tuple[np.ndarray, np.ndarray, int]:
+    def summary(self, weight: np.ndarray, reported: np.ndarray, row: np.ndarray, by_candidate: bool) -> Steps:
         """Expected and shared reads of each species and the number of scored reads without a reported one.
 
         ``by_candidate``: a reported candidate is enough; else the read must give it a share.
@@ -430,11 +443,70 @@ class Spread:
             below = np.count_nonzero((np.diff(x.start) > 0) & (held == 0))
             return np.concatenate((*summed_reads(read[live], x.species[live], phi[live], row), [below]))
 
-        got, n = self.sums(of, 2 * self.n_species + 1), self.n_species
+        n = self.n_species
+        got = yield Ask(of, 2 * n + 1)
         return got[:n], got[n : 2 * n], round(got[-1])
 
 
-def vb_spread(scores: Spread, min_abundance: float = 0.001, alpha_prior: float = 1.0, tolerance: float = 1e-7, max_iterations: int = 1000) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def sums_of(blocks: DataFrame, asks: dict[str, tuple[Spread, Ask]]) -> dict[str, np.ndarray]:
+    """What is asked for, of all samples in one job; a task sends one number a sample and slot."""
+    wanted = {k: (spread.tax_ids, ask.of, ask.size) for k, (spread, ask) in asks.items()}
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[str, np.ndarray] = {}
+        for got in batches:
+            for i, sample in enumerate(got.column("sample").to_pylist()):
+                if sample in wanted:
+                    tax_ids, of, size = wanted[sample]
+                    start, species, score = (got.column(c)[i].values.to_numpy() for c in ("start", "tax_ids", "score"))
+                    value = of(Scores(start, np.searchsorted(tax_ids, species), score, len(tax_ids)))
+                    totals[sample] = totals.get(sample, np.zeros(size)) + value
+        for sample, total in totals.items():
+            slots = np.nonzero(total)[0]
+            yield pa.RecordBatch.from_arrays([pa.array([sample] * len(slots), pa.string()), pa.array(slots, pa.int64()), pa.array(total[slots])], names=["sample", "slot", "x"])
+
+    out = {k: np.zeros(ask.size) for k, (_, ask) in asks.items()}
+    summed = blocks.mapInArrow(part, "sample string, slot long, x double").groupBy("sample", "slot").agg(F.sum("x").alias("x"))
+    for r in summed.collect():
+        out[r.sample][r.slot] = r.x
+    return out
+
+
+def together(blocks: DataFrame, samples: list[str], of: Callable[[Spread], Steps]) -> list[tuple]:
+    """The rows that ``of`` gives for each sample; all samples of a wave take each step in the same job.
+
+    The number of jobs is that of the sample with most steps. When half of the samples
+    are done, the blocks of the others are picked out.
+    """
+    rows: list[tuple] = []
+    for lo in range(0, len(samples), TOGETHER):
+        wave = sorted(samples)[lo : lo + TOGETHER]
+        now = blocks.where(F.col("sample").isin(wave)).persist()
+        species: dict[str, list[int]] = {k: [] for k in wave}
+        for r in now.select("sample", F.explode("tax_ids").alias("t")).distinct().collect():
+            species[r.sample].append(r.t)
+        spreads = {k: Spread(k, np.array(sorted(v), np.int64)) for k, v in species.items()}
+        count = Ask(lambda x: np.array([x.n_reads, x.n_scored], float), 2)
+        for k, got in sums_of(now, {k: (x, count) for k, x in spreads.items()}).items():
+            spreads[k].n_reads, spreads[k].n_scored = int(got[0]), int(got[1])
+        steps, answers, held = {k: of(x) for k, x in spreads.items()}, dict.fromkeys(wave), len(wave)
+        while steps:
+            asks = {}
+            for k in list(steps):
+                try:
+                    asks[k] = (spreads[k], steps[k].send(answers[k]))
+                except StopIteration as end:
+                    rows += end.value
+                    del steps[k]
+            if steps and 2 * len(steps) <= held:
+                now.unpersist()
+                now, held = blocks.where(F.col("sample").isin(sorted(steps))).persist(), len(steps)
+            answers = sums_of(now, asks) if asks else {}
+        now.unpersist()
+    return rows
+
+
+def vb_spread(scores: Spread, min_abundance: float = 0.001, alpha_prior: float = 1.0, tolerance: float = 1e-7, max_iterations: int = 1000) -> Steps:
     """As ``fit_vb``: live species, their means, alpha, and all log weights of the last step."""
     tau = floor_of(scores.n_reads, min_abundance)
     names, prior, alpha, mean, weight = np.arange(scores.n_species), 0.0, None, np.empty(0), np.empty(0)
@@ -445,13 +517,13 @@ def vb_spread(scores: Spread, min_abundance: float = 0.001, alpha_prior: float =
         for step in range(1, max_iterations + 1):
             weight = np.full(scores.n_species, -np.inf)
             weight[names] = expected_log(alpha)
-            alpha = prior + scores.phi_sums(weight)[names]
+            alpha = prior + (yield from scores.phi_sums(weight))[names]
             last, mean = mean, alpha / alpha.sum()
             done = np.abs(mean - last).max() < tolerance
             if bound_is_due(step, done, max_iterations):
                 e = np.zeros(scores.n_species)
                 e[names] = expected_log(alpha)
-                value = checked_bound(scores.bound_of_reads(weight, e) + bound_of_weights(alpha, prior), value)
+                value = checked_bound((yield from scores.bound_of_reads(weight, e)) + bound_of_weights(alpha, prior), value)
             if done:
                 break
         keep = np.nonzero(mean >= tau)[0]
@@ -465,42 +537,27 @@ def vb_spread(scores: Spread, min_abundance: float = 0.001, alpha_prior: float =
     return names, mean, alpha, weight
 
 
-def spread_rows(scores: Spread, estimator: str, keys: DataFrame | None, options: dict) -> list[tuple]:
+def spread_rows(scores: Spread, estimator: str, known: dict[int, int] | None, options: dict) -> Steps:
     """The rows of ``ESTIMATE_SCHEMA`` of one spread sample."""
     if estimator == "vb":
-        names, full, alpha, weight = vb_spread(scores, **options)
+        names, full, alpha, weight = yield from vb_spread(scores, **options)
         least = options.get("min_abundance", 0.001)
         keep = np.nonzero(full >= least)[0]
         keep = keep if len(keep) else np.arange(len(full))
     else:
-        survivors, freq = em_frequencies(scores, options.get("min_abundance", 0.001), options.get("gain", 1e-4), options.get("n_start"))
+        survivors, freq = yield from em_course(scores, options.get("min_abundance", 0.001), options.get("gain", 1e-4), options.get("n_start"))
         names, alpha = np.nonzero(freq > 0)[0], None
         full, keep = freq[names], np.arange(len(names))
         with np.errstate(divide="ignore"):
             weight = np.log(survivors)
     if not len(keep):
         return [(scores.sample, None, None, None, None, None, scores.n_scored)]
-    known = None if keys is None else {r.tax_id: r.row_key for r in keys.join(F.broadcast(keys.sparkSession.createDataFrame([(int(t),) for t in scores.tax_ids], "tax_id long")), "tax_id", "left_semi").where("row_key IS NOT NULL").collect()}
     reported = names[keep]
-    expected, shared, below = scores.summary(weight, reported, table_rows(scores.tax_ids, known), estimator == "em")
+    expected, shared, below = yield from scores.summary(weight, reported, table_rows(scores.tax_ids, known), estimator == "em")
     abundance = full[keep] / full[keep].sum()
     return [(scores.sample, int(scores.tax_ids[s]), float(a), float(expected[s]), float(shared[s]), None if alpha is None else float(alpha[k]), below) for s, a, k in zip(reported, abundance, keep, strict=True)]
 
 
-def side_by_side(blocks: DataFrame, samples: list[str], of: Callable[[Spread], list[tuple]]) -> list[tuple]:
-    """Rows of all spread samples: a thread of the driver each, so that their jobs share the cluster."""
-
-    def one(sample: str) -> list[tuple]:
-        scores = Spread(blocks, sample)
-        try:
-            return of(scores)
-        finally:
-            scores.blocks.unpersist()
-
-    with ThreadPoolExecutor(SIDE_BY_SIDE) as threads:
-        return [row for rows in threads.map(inheritable_thread_target(blocks.sparkSession)(one), sorted(samples)) for row in rows]
-
-
 def fit_vb_distributed(read_scores: DataFrame, **options) -> DataFrame:
     """The variational estimator with every sample spread over tasks: sample, tax_id, abundance, alpha."""
     return estimate_abundances(read_scores, one_task=0, **options).where("tax_id IS NOT NULL").select("sample", "tax_id", "abundance", "alpha")
@@ -510,11 +567,11 @@ def em_rounds(read_scores: DataFrame, rounds: int) -> DataFrame:
     """Frequencies after a fixed number of rounds from even ones, every sample spread over tasks."""
     blocks = read_blocks(read_scores)
 
-    def frequencies(scores: Spread) -> list[tuple]:
-        freq = em_inner(scores, np.full(scores.n_species, 1 / scores.n_species), rounds, 0.0)
+    def frequencies(scores: Spread) -> Steps:
+        freq = yield from em_inner(scores, np.full(scores.n_species, 1 / scores.n_species), rounds, 0.0)
         return [(scores.sample, int(t), float(f)) for t, f in zip(scores.tax_ids, freq, strict=True)]
 
-    out = side_by_side(blocks, [r.sample for r in blocks.select("sample").distinct().collect()], frequencies)
+    out = together(blocks, [r.sample for r in blocks.select("sample").distinct().collect()], frequencies)
     return read_scores.sparkSession.createDataFrame(out, "sample string, tax_id long, freq double")
 
 

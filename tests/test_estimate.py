@@ -205,3 +205,40 @@ def test_bound_rises():
         alpha = estimate.updated_alpha(scores, phi, 1 / 8)
         values.append(estimate.bound(scores, phi, alpha, 1 / 8))
     assert all(b >= a - 1e-9 * abs(a) for a, b in zip(values, values[1:], strict=False)) and math.isfinite(values[-1])
+
+
+def test_jobs_do_not_grow_with_the_number_of_large_samples(spark):
+    """The same sample once and seven times takes the same number of jobs and gives the same numbers."""
+    rng = np.random.default_rng(8)
+    one = [(f"r{i}", int(t), float(-rng.random() * 9)) for i in range(300) for t in rng.choice(12, 3, replace=False)]
+
+    def run(samples, group, **options):
+        frame = spark.createDataFrame([(s, *r) for s in samples for r in one], "sample string, read string, tax_id long, log_score double")
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            out = estimate.estimate_abundances(frame, one_task=0, **options).collect()
+            return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    for k, options in enumerate(({"estimator": "em"}, {"tolerance": 1e-4})):
+        alone, jobs = run(["a"], f"one-{k}", **options)
+        seven, more = run([f"s{i}" for i in range(7)], f"seven-{k}", **options)
+        assert jobs == more > 5
+        for i in range(7):
+            got = {r.tax_id: r for r in seven if r.sample == f"s{i}"}
+            assert got.keys() == {r.tax_id for r in alone}
+            assert all(abs(got[r.tax_id].abundance - r.abundance) < 1e-12 and got[r.tax_id].below_detection == r.below_detection for r in alone)
+
+
+def test_samples_that_end_early_are_left_out(spark):
+    """Samples of different length of the course: the blocks of those that go on are picked out."""
+    rng = np.random.default_rng(9)
+    rows = [("short", f"r{i}", 1, -1.0) for i in range(40)] + [("lone", "r", 5, -2.0)]
+    rows += [("long", f"r{i}", int(t), float(-rng.random())) for i in range(200) for t in rng.choice(9, 4, replace=False)]
+    frame = spark.createDataFrame(rows, "sample string, read string, tax_id long, log_score double")
+    for name in ("vb", "em"):
+        spread = {(r.sample, r.tax_id): r for r in estimate.estimate_abundances(frame, name, one_task=0).collect()}
+        small = {(r.sample, r.tax_id): r for r in estimate.estimate_abundances(frame, name).collect()}
+        assert spread.keys() == small.keys()
+        assert all(abs(spread[k].abundance - small[k].abundance) < 1e-6 and spread[k].below_detection == small[k].below_detection for k in small)
