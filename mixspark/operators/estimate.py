@@ -28,9 +28,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from mixspark.functions.special import digamma, digamma_column, log_gamma
+from mixspark.functions.special import digamma, digamma_column, log_gamma, log_gamma_column
 from mixspark.operators.graph import shared_folder, written
 
 #: Outer rounds of pruning; iterations between two looks at the bound; slack of a falling bound.
@@ -629,18 +628,13 @@ def read_summary(phi: DataFrame, row_keys: DataFrame | None = None, most: float
     return even.withColumn("share", share).groupBy("sample", "tax_id").agg(F.sum("phi").alias("expected_reads"), F.sum(F.when(F.col("share") <= most, F.col("phi")).otherwise(0.0)).alias("shared_reads"))
 
 
-@F.pandas_udf(T.DoubleType())
-def _log_gamma(x: pd.Series) -> pd.Series:
-    return x.map(math.lgamma)
-
-
 def evidence_bound(read_scores: DataFrame, state: DataFrame) -> DataFrame:
     """(sample, elbo) after one step from ``state``: old responsibilities with the new alpha."""
     phi = vb_responsibilities(read_scores, state).select("sample", "read", "tax_id", "phi", "log_score")
     new = phi.groupBy("sample", "tax_id").agg(F.sum("phi").alias("phi")).join(state, ["sample", "tax_id"]).select("sample", "tax_id", "prior", (F.col("prior") + F.col("phi")).alias("alpha"))
-    whole = new.groupBy("sample").agg(F.sum("alpha").alias("total"), F.count("*").alias("s"), F.min("prior").alias("p"), F.sum(_log_gamma("alpha")).alias("lg"))
+    whole = new.groupBy("sample").agg(F.sum("alpha").alias("total"), F.count("*").alias("s"), F.min("prior").alias("p"), F.sum(log_gamma_column(F.col("alpha"))).alias("lg"))
     e = new.join(whole, "sample").withColumn("e", digamma_column(F.col("alpha")) - digamma_column(F.col("total")))
     reads = phi.where("phi > 0").join(e.select("sample", "tax_id", "e"), ["sample", "tax_id"]).groupBy("sample").agg(F.sum(F.col("phi") * (F.col("log_score") + F.col("e") - F.log("phi"))).alias("reads"))
     pull = e.groupBy("sample").agg(F.sum((F.col("prior") - F.col("alpha")) * F.col("e")).alias("pull"))
-    gamma = _log_gamma(F.col("p") * F.col("s")) - F.col("s") * _log_gamma("p") - _log_gamma("total") + F.col("lg")
+    gamma = log_gamma_column(F.col("p") * F.col("s")) - F.col("s") * log_gamma_column(F.col("p")) - log_gamma_column(F.col("total")) + F.col("lg")
     return whole.join(reads, "sample").join(pull, "sample").select("sample", (F.col("reads") + gamma + F.col("pull")).alias("elbo"))
