@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,46 @@ def _matrix(rows: DataFrame, samples: list[str], metric: str, zero) -> DataFrame
     return own.unionByName(blank).groupBy("species").pivot("sample", samples).agg(F.sum(metric)).na.fill(zero)
 
 
+def matrix_arrays(rows: DataFrame, keys: list[str], metric: str, samples: list[str], kind: str = "double") -> DataFrame:
+    """``keys`` and values: for each of ``samples``, in that order, the sum of ``metric`` or 0.
+
+    A row is gathered from the samples that have it and filled up as one array, so the
+    number of samples is not that of columns or aggregates of a plan.
+    """
+    places = rows.sparkSession.createDataFrame([(s, i) for i, s in enumerate(samples)], "sample string, place int")
+    sums = rows.groupBy(*keys, "sample").agg(F.sum(metric).alias("value")).join(places, "sample")
+    width = len(samples)
+
+    @F.pandas_udf(f"array<{kind}>")
+    def filled(places: pd.Series, values: pd.Series) -> pd.Series:
+        def one(at: np.ndarray, value: np.ndarray) -> np.ndarray:
+            out = np.zeros(width, np.int64 if kind == "bigint" else float)
+            out[at] = np.nan_to_num(np.asarray(value, float))
+            return out
+
+        return pd.Series([one(at, value) for at, value in zip(places, values, strict=True)], dtype=object)
+
+    pairs = sums.groupBy(*keys).agg(F.collect_list(F.struct("place", F.coalesce("value", F.lit(0)).alias("value"))).alias("x"))
+    return pairs.select(*keys, filled(F.col("x.place"), F.col("x.value")).alias("values"))
+
+
+def otu_arrays(tables: DataFrame, samples: list[str], metric: str) -> DataFrame | None:
+    """``otu_abundance`` or ``otu_counts`` with an array in place of columns; None where no sample has the metric."""
+    if metric not in tables.columns:
+        return None
+    own = normal_rows(tables).select("species", "sample", metric)
+    blank = own.sparkSession.createDataFrame([(UNASSIGNED, samples[0], 0)] if samples else [], "species string, sample string, value int")
+    rows = own.unionByName(blank.select("species", "sample", F.col("value").cast(dict(own.dtypes)[metric]).alias(metric)))
+    return matrix_arrays(rows, ["species"], metric, samples, "double" if metric == "abundance" else "bigint")
+
+
+def combined_arrays(tables: DataFrame, rank: str, samples: list[str], counts: bool = False) -> DataFrame:
+    """``combine`` with an array in place of columns."""
+    rows, there, metric = _combined_rows(tables, rank, samples, counts)
+    out = matrix_arrays(rows, there, metric, samples)
+    return out.withColumn("values", F.transform("values", lambda v: F.bround(v, 0).cast("long"))) if counts else out
+
+
 def otu_abundance(tables: DataFrame, samples: list[str]) -> DataFrame:
     return _matrix(normal_rows(tables), samples, "abundance", 0.0)
 
@@ -83,6 +125,15 @@ def collapse(table: DataFrame, rank: str) -> DataFrame:
 
 def combine(tables: DataFrame, rank: str, samples: list[str], counts: bool = False, split: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
     """One column a sample: a union and a pivot stand for the chain of full outer joins."""
+    rows, there, metric = _combined_rows(tables, rank, samples, counts)
+    wide = rows.groupBy(*there).pivot("sample", samples).agg(F.sum(metric)).na.fill(0.0)
+    if counts:
+        wide = wide.select(*there, *[F.bround(f"`{s}`", 0).cast("long").alias(s) for s in samples])
+    return (wide.select(*there), wide.select(rank, *[f"`{s}`" for s in samples])) if split else wide
+
+
+def _combined_rows(tables: DataFrame, rank: str, samples: list[str], counts: bool) -> tuple[DataFrame, list[str], str]:
+    """Rows with the ranks that the tables have, those ranks, and the metric's name."""
     ranks, metric = check_rank(rank), "estimated_counts" if counts else "abundance"
     if not samples:
         raise ValueError("no per-sample tables")
@@ -90,13 +141,9 @@ def combine(tables: DataFrame, rank: str, samples: list[str], counts: bool = Fal
         if c not in tables.columns:
             raise ValueError(f"column {c} not found" + " (were counts kept?)" * (c == "estimated_counts"))
     there = [r for r in ranks if r in tables.columns]
-    rows = tables.select("sample", *[F.coalesce(r, F.lit("")).alias(r) for r in there], expr.number_or_zero(F.col(metric)).alias(metric))
-    wide = rows.groupBy(*there).pivot("sample", samples).agg(F.sum(metric)).na.fill(0.0)
-    if counts:
-        wide = wide.select(*there, *[F.bround(f"`{s}`", 0).cast("long").alias(s) for s in samples])
-    return (wide.select(*there), wide.select(rank, *[f"`{s}`" for s in samples])) if split else wide
+    return tables.select("sample", *[F.coalesce(r, F.lit("")).alias(r) for r in there], expr.number_or_zero(F.col(metric)).alias(metric)), there, metric
 
 
 def sample_names(tables: DataFrame) -> list[str]:
-    """A column each in the matrices, so their number is bounded by what a table can hold."""
+    """In order; a name each in the head of a matrix, which the driver writes."""
     return [r.sample for r in tables.select("sample").distinct().orderBy("sample").collect()]

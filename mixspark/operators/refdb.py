@@ -11,11 +11,11 @@ from mixspark.schema import HIGHER_RANKS, RANKS
 
 
 def parsed_headers(sequences: DataFrame, merge_suffixes: bool = False) -> DataFrame:
-    """ord, seq, genome, the seven ranks and the species as named in the source; unreadable headers go."""
+    """ord, seq, genome, the seven ranks and species and genus as named in the source; unreadable headers go."""
     parts = expr.lineage_of_header(F.col("header"))
     rows = sequences.select("ord", "seq", parts["genome"].alias("genome"), parts["lineage"].alias("lineage")).where("lineage IS NOT NULL")
     ranks = {r: expr.lineage_rank(F.col("lineage"), r) for r in RANKS}
-    named = rows.select("ord", "seq", "genome", ranks["species"].alias("source_species"), *[(expr.strip_suffix(c) if merge_suffixes else c).alias(r) for r, c in ranks.items()])
+    named = rows.select("ord", "seq", "genome", ranks["species"].alias("source_species"), ranks["genus"].alias("source_genus"), *[(expr.strip_suffix(c) if merge_suffixes else c).alias(r) for r, c in ranks.items()])
     return named.where("species <> ''")
 
 
@@ -47,16 +47,16 @@ def build_from_lineages(sequences: DataFrame, db_name: str, min_length: int = 90
 
 
 def merged_species(parsed: DataFrame, min_length: int = 900) -> DataFrame:
-    """Names that unite two or more source species with a sequence: sources, conflict ranks, whose lineage counts.
+    """Names that unite two or more source species with a sequence: sources and their genera, conflict ranks, whose lineage counts.
 
     The lineage is that of the first source in the input, with or without a sequence.
     """
     conflicts = [F.when(F.count_distinct(expr.strip_suffix(F.col(r))) > 1, F.lit(r)) for r in HIGHER_RANKS]
     held = parsed.where(F.length("seq") >= min_length)
-    groups = held.groupBy("species").agg(F.array_sort(F.collect_set("source_species")).alias("sources"), F.array_compact(F.array(*conflicts)).alias("ranks"))
+    groups = held.groupBy("species").agg(F.array_sort(F.collect_set("source_species")).alias("sources"), F.array_sort(F.collect_set("source_genus")).alias("genera"), F.array_compact(F.array(*conflicts)).alias("ranks"))
     first = parsed.groupBy("species").agg(F.min(F.struct("ord", "source_species")).alias("x")).select("species", F.col("x.source_species").alias("lineage_from"))
     many = groups.where(F.size("sources") > 1).join(first, "species")
-    return many.select("species", F.array_join("sources", ";").alias("source_species"), F.array_join("ranks", ",").alias("conflict_ranks"), "lineage_from")
+    return many.select("species", F.size("sources").alias("n_sources"), F.array_join("sources", ";").alias("source_species"), F.array_join("genera", ";").alias("source_genera"), F.array_join("ranks", ",").alias("conflict_ranks"), "lineage_from")
 
 
 def unique_sequences(rows: DataFrame) -> DataFrame:
@@ -136,8 +136,8 @@ def identical_groups(carried: DataFrame) -> DataFrame:
 
 
 def cross_genus(carried: DataFrame) -> DataFrame:
-    """Sequences that species of more than one genus carry."""
+    """Sequences that species of more than one genus carry; ord: where one was seen first."""
     ids = F.array_sort(F.collect_list(F.struct("ord", "seq_id", "tax_id")))
     sets = [F.array_join(F.array_sort(F.collect_set(r)), ";").alias(n) for n, r in (("species", "species"), ("genera", "genus"), ("families", "family"), ("phyla", "phylum"))]
     found = carried.groupBy("md5").agg(F.count_distinct("genus_key").alias("n_genera"), F.count_distinct("tax_id").alias("species_count"), ids.alias("ids"), *sets).where("n_genera > 1")
-    return found.select("md5", "species_count", F.array_join(F.transform("ids", lambda x: x["seq_id"]), ";").alias("sequence_ids"), F.array_join(F.array_distinct(F.transform("ids", lambda x: x["tax_id"])), ";").alias("tax_ids"), "species", "genera", "families", "phyla")
+    return found.select(F.col("ids")[0]["ord"].alias("ord"), "md5", "species_count", F.array_join(F.transform("ids", lambda x: x["seq_id"]), ";").alias("sequence_ids"), F.array_join(F.array_distinct(F.transform("ids", lambda x: x["tax_id"])), ";").alias("tax_ids"), "species", "genera", "families", "phyla")

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mixspark.functions import expr
-from mixspark.operators import assemble, consolidate
+from mixspark.operators import assemble, consolidate, refdb
 from mixspark.operators.graph import written
 from mixspark.plans import api
+from mixspark.schema import RANKS
 from mixspark.sources import readers, writers
 
 
@@ -34,19 +36,15 @@ def read_alignments(spark: SparkSession, folder: str) -> DataFrame:
     return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
-def warn_of_empty_samples(tables: DataFrame) -> None:
-    """Name samples that no read of which was assigned: their table has the two placeholder rows alone."""
-    assigned = tables.groupBy("sample").agg(F.count_if(~expr.is_placeholder(F.col("species"))).alias("n")).where("n = 0")
-    for r in assigned.select("sample").limit(100).collect():
-        warnings.warn(f"sample {r.sample}: no read was assigned; all are reported as unassigned", stacklevel=3)
+def _observed(tables: DataFrame, counted: Column, name: str) -> tuple[DataFrame, Callable[[], list[str]]]:
+    """``tables``, and the samples without a row of ``counted``, known once a job has gone through the tables; at most 100 names.
 
-
-def warn_of_missing_counts(tables: DataFrame) -> None:
-    """Name samples whose rows have no counts where others have them; they count as 0."""
-    if "estimated_counts" in tables.columns:
-        bare = tables.groupBy("sample").agg(F.count("estimated_counts").alias("n")).where("n = 0")
-        for r in bare.select("sample").limit(100).collect():
-            warnings.warn(f"sample {r.sample} has no counts; they are taken as 0", stacklevel=3)
+    The names of all samples and of those with such a row come with that job's metrics.
+    """
+    seen = Observation(name)
+    sample = F.col("sample")
+    watched = tables.observe(seen, F.collect_set(sample).alias("every"), F.collect_set(F.when(counted, sample)).alias("some"))
+    return watched, lambda: sorted(set(seen.get["every"]) - set(seen.get["some"]))[:100]
 
 
 def abundance(spark: SparkSession, alignments: str, taxonomy: str, out: str, samples: str | None = None, identical: str | None = None, **options) -> DataFrame:
@@ -74,18 +72,25 @@ def tables_of_estimates(spark: SparkSession, estimates: str, counts: str, taxono
 
 
 def _write_tables(got: DataFrame, out: str) -> DataFrame:
-    tables = written(got, "tables")
-    warn_of_empty_samples(tables)
+    """All files of the tables; names samples no read of which was assigned (their table has the two placeholder rows alone)."""
+    watched, empty = _observed(got, ~expr.is_placeholder(F.col("species")), "assigned")
+    tables = written(watched, "tables")
+    for sample in empty():
+        warnings.warn(f"sample {sample}: no read was assigned; all are reported as unassigned", stacklevel=3)
     writers.write_sample_tables(tables, f"{out}/samples")
-    writers.write_consolidated(api.consolidated(tables), out)
+    writers.write_consolidated(tables, out)
     return tables
 
 
 def consolidated(spark: SparkSession, folder: str, out: str) -> None:
-    """Per-sample tables of a folder to the tables across samples."""
+    """Per-sample tables of a folder to the tables across samples; names samples without counts where others have them, as they count as 0."""
     tables = readers.read_sample_tables(spark, folder)
-    warn_of_missing_counts(tables)
-    writers.write_consolidated(api.consolidated(tables), out)
+    if "estimated_counts" in tables.columns:
+        watched, bare = _observed(tables, F.col("estimated_counts").isNotNull(), "counted")
+        tables = written(watched, "read-tables")
+        for sample in bare():
+            warnings.warn(f"sample {sample} has no counts; they are taken as 0", stacklevel=2)
+    writers.write_consolidated(tables, out)
 
 
 def collapsed(spark: SparkSession, table: str, rank: str, out: str) -> str:
@@ -109,6 +114,44 @@ def build_database(spark: SparkSession, sequences: str, seq2tax: str, db_name: s
     order = [F.col("ord")] if listed is not None else expr.tax_id_order(F.col("tax_id"))
     ordered = got["taxonomy"].orderBy(*order)
     writers.write_tsv(ordered.drop("ord"), f"{out}/taxonomy.tsv")
-    writers.write_tsv(got["identical"], f"{out}/identical_16s.tsv", [F.length("group"), F.col("group"), F.col("species")])
-    writers.write_tsv(got["cross_genus"], f"{out}/cross_genus_identical.tsv", [F.col("md5")])
+    _write_reports(got["identical"], got["cross_genus"], f"{out}/identical_16s.tsv", f"{out}/cross_genus_identical.tsv")
     return got
+
+
+def _write_reports(identical: DataFrame, cross_genus: DataFrame | None, groups_path: str, cross_path: str | None) -> None:
+    """Groups by number, their species by name, then id; sequences across genera as first seen."""
+    number = F.coalesce(F.expr("try_cast(tax_id AS DECIMAL(38, 0))"), F.lit(0))
+    writers.write_tsv(identical, groups_path, [F.length("group"), F.col("group"), F.col("species"), number, F.col("tax_id")])
+    if cross_path:
+        writers.write_tsv(written(cross_genus.orderBy("ord").drop("ord"), "cross-genus"), cross_path)
+
+
+def identical_reports(spark: SparkSession, fasta: str, taxonomy: str, groups_path: str, cross_path: str | None = None) -> dict[str, DataFrame]:
+    """The reports of identical sequences for an existing database: its FASTA (ids 'taxid:db:n') and taxonomy.tsv."""
+    sequences = readers.read_fasta(spark, fasta).select("ord", expr.sequence_id(F.col("header")).alias("seq_id"), "seq")
+    blank = [F.coalesce(F.col(r), F.lit("")).alias(r) for r in RANKS]
+    carried = refdb.carriers(sequences, readers.read_taxonomy(spark, taxonomy).select("tax_id", *blank))
+    got = {"identical": refdb.identical_groups(carried), "cross_genus": refdb.cross_genus(carried)}
+    _write_reports(got["identical"], got["cross_genus"], groups_path, cross_path)
+    return got
+
+
+#: The columns of the report of merged names.
+MERGED_COLUMNS = {"tax_id": "tax_id", "species": "species", "n_sources": "gtdb_species_merged", "source_species": "gtdb_species", "source_genera": "gtdb_genera", "conflict_ranks": "ranks_in_conflict", "lineage_from": "lineage_from"}
+
+
+def build_lineage_database(spark: SparkSession, sequences: str, db_name: str, out: str, min_length: int = 900, merge_suffixes: bool = False) -> None:
+    """A FASTA file whose headers carry lineages (plain or packed) to the files of a database, in the folder ``out``.
+
+    species_taxid.fasta, taxonomy.tsv, the two reports of identical sequences and, if
+    clade suffixes are merged, merged_species.tsv.
+    """
+    parsed = written(refdb.parsed_headers(readers.read_fasta(spark, sequences), merge_suffixes), "parsed")
+    ids = written(refdb.species_ids(parsed).select("tax_id", *RANKS), "species")
+    kept = refdb.dedup_within_species(parsed.join(ids.select("species", "tax_id"), "species"), min_length)
+    writers.write_fasta(refdb.number_sequences(kept, db_name).select("n", "seq_id", "seq"), f"{out}/species_taxid.fasta")
+    writers.write_tsv(ids, f"{out}/taxonomy.tsv", expr.tax_id_order(F.col("tax_id")))
+    identical_reports(spark, f"{out}/species_taxid.fasta", f"{out}/taxonomy.tsv", f"{out}/identical_16s.tsv", f"{out}/cross_genus_identical.tsv")
+    if merge_suffixes:
+        merged = refdb.merged_species(parsed, min_length).join(ids.select("species", "tax_id"), "species")
+        writers.write_tsv(merged.select(*[F.col(c).alias(k) for c, k in MERGED_COLUMNS.items()]), f"{out}/merged_species.tsv", [F.col("species")])

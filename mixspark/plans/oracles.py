@@ -354,3 +354,15 @@ ORACLES: dict[str, str] = {
       FROM (SELECT md5(upper(seq)) AS md5, * FROM nn) GROUP BY md5 HAVING count(DISTINCT source) > 1""",
     "database_taxonomy": """SELECT DISTINCT source || '-' || lang AS tax_id, source || ' ' || lang AS species, source AS genus, source AS family, CAST(NULL AS VARCHAR) AS "order", CAST(NULL AS VARCHAR) AS "class", lang AS phylum, 'Life' AS superkingdom FROM documents WHERE doc_id % 17 <> 3""",
 }
+
+#: Species in a matrix: names, then what is below detection, then what is unassigned.
+_CLASS = "CASE species WHEN 'Below detection' THEN 1 WHEN 'Unassigned' THEN 2 ELSE 0 END"
+_BY_RANKS = ", ".join(f'"{r}"' for r in SIX)
+ORACLES |= {
+    "lineage_database": ORACLES["number_sequences"],
+    "merged_report": f"SELECT row_number() OVER (ORDER BY species) AS place, * FROM ({ORACLES['merged_species']})",
+    "tree_files": ORACLES["tree_lineages"],
+    "consolidated_files": f"SELECT row_number() OVER (ORDER BY {_CLASS}, species) AS place, * FROM ({ORACLES['table_files']})",
+    "combined_files": f"SELECT row_number() OVER (ORDER BY {_BY_RANKS}) AS place, * REPLACE ({', '.join(f'coalesce({chr(34)}{r}{chr(34)}, {chr(39) * 2}) AS {chr(34)}{r}{chr(34)}' for r in SIX)}) FROM ({ORACLES['combine_outputs']})",
+    "estimate_files": ORACLES["per_sample_table"],
+}

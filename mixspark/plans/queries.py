@@ -14,7 +14,7 @@ from mixspark.operators import assemble, consolidate, estimate, refdb, scoring
 from mixspark.operators.graph import numbered, shared_folder, written
 from mixspark.plans import api, commands, proxies
 from mixspark.schema import HIGHER_RANKS, RANKS
-from mixspark.sources import readers, writers
+from mixspark.sources import joining, readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -305,7 +305,8 @@ def species_numbers(spark, sf):
 
 @query
 def merged_species(spark, sf):
-    return refdb.merged_species(refdb.parsed_headers(proxies.sequences(spark, sf), True), 300)
+    got = refdb.merged_species(refdb.parsed_headers(proxies.sequences(spark, sf), True), 300)
+    return got.select("species", "source_species", "conflict_ranks", "lineage_from")
 
 
 @query
@@ -438,6 +439,88 @@ def _database(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return commands.build_database(spark, f"{folder}/in.fasta", f"{folder}/seq2tax.tsv", "db", f"{folder}/out", taxonomy_list=f"{folder}/list.tsv")
 
 
+def _lineage_database(spark: SparkSession, sf: str, merge: bool) -> str:
+    folder = shared_folder(spark, "lineages")
+    records = proxies.sequences(spark, sf).select(F.col("ord").alias("n"), F.expr("substring(header, 2)").alias("seq_id"), "seq")
+    writers.write_fasta(records, f"{folder}/in.fasta")
+    commands.build_lineage_database(spark, f"{folder}/in.fasta", "db", f"{folder}/out", 300, merge)
+    return f"{folder}/out"
+
+
+@query
+def lineage_database(spark, sf):
+    """A database built from a FASTA file with lineages, its FASTA file read again."""
+    got = readers.read_fasta(spark, f"{_lineage_database(spark, sf, False)}/species_taxid.fasta")
+    parts = F.split("header", ":")
+    return got.select(parts[2].cast("long").alias("n"), F.col("header").alias("seq_id"), parts[0].alias("tax_id"), F.length("seq").cast("long").alias("length"))
+
+
+@query
+def merged_report(spark, sf):
+    """The report of merged names, as a file in its order."""
+    got = readers.read_tsv(spark, f"{_lineage_database(spark, sf, True)}/merged_species.tsv")
+    placed = numbered(got, [F.col("ord")], "place")
+    return placed.select(F.col("place").cast("long").alias("place"), "species", F.col("gtdb_species").alias("source_species"), F.coalesce("ranks_in_conflict", F.lit("")).alias("conflict_ranks"), "lineage_from")
+
+
+@query
+def tree_files(spark, sf):
+    """Nodes and names as dump files, read and walked."""
+    ids, nodes, names = proxies.tree(spark, sf)
+    folder = shared_folder(spark, "dump")
+    line = lambda *c: F.concat(F.array_join(F.array(*c), "\t|\t"), F.lit("\t|")).alias("value")
+    nodes.select(line("tax_id", "parent", "rank")).write.text(f"{folder}/nodes.dmp")
+    synonyms = names.select(line("tax_id", F.lit("another"), F.lit(""), F.lit("synonym")))
+    names.select(line("tax_id", "name", F.lit(""), F.lit("scientific name"))).unionByName(synonyms).write.text(f"{folder}/names.dmp")
+    return refdb.lineages(ids, readers.read_nodes(spark, f"{folder}/nodes.dmp"), readers.read_names(spark, f"{folder}/names.dmp"))
+
+
+def _written_tables(spark: SparkSession, sf: str) -> str:
+    folder = shared_folder(spark, "tables")
+    writers.write_sample_tables(_tables(spark, sf), f"{folder}/samples")
+    return folder
+
+
+def _placed(spark: SparkSession, path: str) -> DataFrame:
+    """A table's rows with their place in the file."""
+    return numbered(readers.read_tsv(spark, path), [F.col("ord")], "place").withColumn("place", F.col("place").cast("long")).drop("ord")
+
+
+@query
+def consolidated_files(spark, sf):
+    """The table of counts across samples, written from files, in its order."""
+    folder = _written_tables(spark, sf)
+    commands.consolidated(spark, f"{folder}/samples", f"{folder}/out")
+    return _placed(spark, f"{folder}/out/otu_table_counts.tsv").select("place", "species", *[F.col(s).cast("long").alias(s) for s in "FOP"])
+
+
+@query
+def combined_files(spark, sf):
+    """Abundances by genus side by side, written from files, in their order."""
+    folder = _written_tables(spark, sf)
+    (path,) = commands.combined(spark, f"{folder}/samples", "genus", f"{folder}/out")
+    return _placed(spark, path).select("place", *[F.coalesce(r, F.lit("")).alias(r) for r in RANKS[1:]], *[F.col(s).cast("double").alias(s) for s in "FOP"])
+
+
+@query
+def estimate_files(spark, sf):
+    """Estimates and counts as JSON files, one of each a sample, made into per-sample tables."""
+    folder = shared_folder(spark, "estimates")
+    found, counts = proxies.estimates(spark, sf), proxies.counts(spark, sf)
+    key = F.col("tax_id").cast("string")
+    one = found.groupBy("sample").agg(
+        F.map_from_entries(F.collect_list(F.struct(key, F.col("abundance")))).alias("abundance"),
+        F.min("below_detection").alias("below_detection_count"),
+        F.map_from_entries(F.collect_list(F.struct(key, F.struct("expected_reads", "shared_reads", "alpha")))).alias("read_summary"),
+    )
+    one.write.partitionBy("sample").json(f"{folder}/e")
+    joining.join_by_sample(spark, f"{folder}/e", "_abundance.json")
+    counts.select("sample", F.col("assigned").alias("assigned_count"), F.col("unassigned").alias("unassigned_count")).write.partitionBy("sample").json(f"{folder}/c")
+    joining.join_by_sample(spark, f"{folder}/c", "_counts.json")
+    got = assemble.sample_tables(readers.read_estimates(spark, f"{folder}/e"), readers.read_counts(spark, f"{folder}/c"), proxies.taxonomy(spark, sf), proxies.identical(spark, sf), binomial=True)
+    return rounded(got, 6, "shared_read_fraction").withColumn("row_ord", F.col("row_ord").cast("long"))
+
+
 @query
 def database_sequences(spark, sf):
     return _database(spark, sf)["sequences"].select(F.col("n").cast("long").alias("n"), "seq_id", "tax_id", F.length("seq").cast("long").alias("length"))

@@ -10,17 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixspark.operators.consolidate import check_rank, collapse, combine, species_order
+from mixspark.operators.consolidate import check_rank, collapse, combined_arrays, modal_lineages, otu_arrays, sample_metadata, sample_names, species_order
 from mixspark.operators.graph import numbered, written
 from mixspark.sources import bam
 from mixspark.sources.joining import join_by_sample, join_parts
 
 
 def write_fasta(records: DataFrame, path: str, wrap: int | None = None) -> None:
-    """``records``: n, seq_id, seq and maybe description; sorted by n, as part files in that order."""
+    """``records``: n, seq_id, seq and maybe description; one file, sorted by n."""
     title = F.concat_ws(" ", "seq_id", "description") if "description" in records.columns else F.col("seq_id")
     body = F.regexp_replace("seq", f"(.{{{wrap}}})(?=.)", "$1\n") if wrap else F.col("seq")
-    records.orderBy("n").select(F.concat(F.lit(">"), title, F.lit("\n"), body)).write.text(path)
+    records.orderBy("n").select(F.concat(F.lit(">"), title, F.lit("\n"), body)).write.mode("overwrite").text(f"{path}.parts")
+    join_parts(records.sparkSession, f"{path}.parts", path)
 
 
 def write_tsv(table: DataFrame, path: str, order: list | None = None) -> None:
@@ -108,15 +109,26 @@ def fastq_lines(reads: DataFrame) -> DataFrame:
     return reads.select("sample", "ord", F.concat(F.lit("@"), "read", F.lit("\n"), "seq", F.lit("\n+\n"), "qual").alias("value"))
 
 
-def write_consolidated(tables: dict[str, DataFrame | None], folder: str) -> None:
-    """The tables across samples; without counts in any sample their table is left out with a warning."""
-    names = {"otu_abundance": "otu_table_abundance", "otu_counts": "otu_table_counts", "tax_table": "tax_table", "sample_metadata": "sample_metadata"}
-    for key, name in names.items():
-        table = tables[key]
-        if table is None:
+def write_matrix(rows: DataFrame, samples: list[str], path: str, order: list, keys: list[str] | None = None) -> None:
+    """``rows`` (keys and values, an array with one value a sample) as one file with a column a sample, in ``order``; ``keys``: those written."""
+    keys = keys or [c for c in rows.columns if c != "values"]
+    number = F.transform("values", lambda v: v.cast("string"))
+    line = F.concat_ws("\t", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], number)
+    rows.orderBy(*order).select(line.alias("value")).write.mode("overwrite").text(f"{path}.parts")
+    join_parts(rows.sparkSession, f"{path}.parts", path, head=("\t".join([*keys, *samples]) + "\n").encode())
+
+
+def write_consolidated(tables: DataFrame, folder: str) -> None:
+    """The four tables across samples, from a written table; without counts in any sample their table is left out with a warning."""
+    samples = sample_names(tables)
+    for metric, name in (("abundance", "otu_table_abundance"), ("estimated_counts", "otu_table_counts")):
+        matrix = otu_arrays(tables, samples, metric)
+        if matrix is None:
             warnings.warn(f"no sample has counts; {name}.tsv is not written", stacklevel=2)
         else:
-            write_tsv(table, f"{folder}/{name}.tsv", species_order() if "species" in table.columns else [F.col("sample")])
+            write_matrix(matrix, samples, f"{folder}/{name}.tsv", species_order())
+    write_tsv(modal_lineages(tables), f"{folder}/tax_table.tsv", species_order())
+    write_tsv(sample_metadata(tables), f"{folder}/sample_metadata.tsv", [F.col("sample")])
 
 
 def write_collapsed(table: DataFrame, rank: str, folder: str, base: str) -> str:
@@ -128,12 +140,15 @@ def write_collapsed(table: DataFrame, rank: str, folder: str, base: str) -> str:
 
 def write_combined(tables: DataFrame, rank: str, samples: list[str], folder: str, counts: bool = False, split: bool = False) -> list[str]:
     """The combined table under its name or, split, lineages and values in files of their own."""
-    wide = written(combine(tables, rank, samples, counts), "combined")  # each part reads it
+    wide = written(combined_arrays(tables, rank, samples, counts), "combined")  # each part reads it
     ranks = [c for c in check_rank(rank) if c in wide.columns]
-    parts = {"taxonomy": ranks, "abundance": [rank, *samples]} if split else {None: [*ranks, *samples]}
+    parts = {"taxonomy": ranks, "abundance": [rank]} if split else {None: ranks}
     paths = [f"{folder}/{combined_name(rank, counts, part)}" for part in parts]
-    for path, columns in zip(paths, parts.values(), strict=True):
-        write_tsv(wide.orderBy(*ranks).select(*[F.col("`" + c.replace("`", "``") + "`") for c in columns]), path)
+    for (part, columns), path in zip(parts.items(), paths, strict=True):
+        if part == "taxonomy":
+            write_tsv(wide.select(*columns), path, ranks)
+        else:  # both parts have the rows in the order of all ranks
+            write_matrix(wide.select(*ranks, "values"), samples, path, ranks, columns)
     return paths
 
 

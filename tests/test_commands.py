@@ -90,3 +90,28 @@ def test_build_database(spark, tmp_path):
     assert [r[0] for r in tsv(tmp_path / "out" / "taxonomy.tsv")] == ["tax_id", "30", "20", "10"]  # file order; an id of the map without a sequence stays
     assert [r[0] for r in tsv(tmp_path / "out" / "identical_16s.tsv")[1:]] == ["10", "20"]
     assert len(tsv(tmp_path / "out" / "cross_genus_identical.tsv")) == 1
+
+
+def test_build_lineage_database(spark, tmp_path):
+    line = "d__K;p__P;c__C;o__O;f__F;g__{g};s__{s}"
+    rows = [("a", line.format(g="Z_A", s="Z_A one"), "ACGTACGT"), ("b", line.format(g="Z", s="Z one"), "TTTTCCCC"), ("c", line.format(g="Z", s="Z two"), "acgtacgt"), ("d", line.format(g="Y", s="Y ten"), "TTTTCCCC"), ("e", line.format(g="Y", s="Y ten"), "AC")]
+    with gzip.open(tmp_path / "in.fna.gz", "wt") as f:
+        f.writelines(f">{i}~c {lin} [n=1]\n{seq}\n" for i, lin, seq in rows)
+    out = tmp_path / "merged"
+    commands.build_lineage_database(spark, str(tmp_path / "in.fna.gz"), "db", str(out), min_length=4, merge_suffixes=True)
+    assert (out / "species_taxid.fasta").read_text() == ">2:db:1\nACGTACGT\n>2:db:2\nTTTTCCCC\n>3:db:3\nacgtacgt\n>1:db:4\nTTTTCCCC\n"
+    assert [r[:3] for r in tsv(out / "taxonomy.tsv")] == [["tax_id", "species", "genus"], ["1", "Y ten", "Y"], ["2", "Z one", "Z"], ["3", "Z two", "Z"]]
+    assert tsv(out / "merged_species.tsv") == [["tax_id", "species", "gtdb_species_merged", "gtdb_species", "gtdb_genera", "ranks_in_conflict", "lineage_from"], ["2", "Z one", "2", "Z one;Z_A one", "Z;Z_A", "", "Z_A one"]]
+    assert [r[0] for r in tsv(out / "identical_16s.tsv")[1:]] == ["2", "3"]
+    assert [r[2] for r in tsv(out / "cross_genus_identical.tsv")[1:]] == ["2:db:2;1:db:4"]
+    assert sorted(p.name for p in out.iterdir() if not p.name.startswith(".")) == ["cross_genus_identical.tsv", "identical_16s.tsv", "merged_species.tsv", "species_taxid.fasta", "taxonomy.tsv"]
+
+
+def test_reports_are_in_order(spark, tmp_path):
+    """Equal names by the number of the id; sequences across genera as first seen."""
+    (tmp_path / "db.fasta").write_text("".join(f">{t}:db:{i}\n{s}\n" for i, (t, s) in enumerate([("10", "GG"), ("9", "GG"), ("x", "GG"), ("3", "TT"), ("4", "TT"), ("3", "AA"), ("4", "AA")], 1)))
+    genera = {"10": "A", "9": "A", "x": "A", "3": "B", "4": "C"}
+    (tmp_path / "taxonomy.tsv").write_text("\t".join(["tax_id", *RANKS]) + "\n" + "".join(f"{t}\tsame\t{g}\t\t\t\t\t\n" for t, g in genera.items()))
+    commands.identical_reports(spark, str(tmp_path / "db.fasta"), str(tmp_path / "taxonomy.tsv"), str(tmp_path / "i.tsv"), str(tmp_path / "c.tsv"))
+    assert [r[0] for r in tsv(tmp_path / "i.tsv")] == ["tax_id", "x", "9", "10"]
+    assert [r[2] for r in tsv(tmp_path / "c.tsv")[1:]] == ["3:db:4;4:db:5", "3:db:6;4:db:7"]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from mixspark.operators import assemble, consolidate
 from mixspark.schema import RANKS
+from mixspark.sources import joining, writers
 
 COLUMNS = "tax_id string, " + ", ".join(f"`{r}` string" for r in RANKS)
 ESTIMATES = "sample string, tax_id long, abundance double, expected_reads double, shared_reads double, alpha double, below_detection long"
@@ -115,3 +116,39 @@ def test_collapse_and_combine(spark):
     for wrong in (lambda: consolidate.collapse(t, "kingdom"), lambda: consolidate.combine(t.drop("estimated_counts"), "genus", ["A"], counts=True), lambda: consolidate.combine(t, "genus", [])):
         with pytest.raises(ValueError):
             wrong()
+
+
+def test_matrices_as_arrays(spark, tmp_path):
+    """Arrays hold what the pivot's columns hold, and are written as the same file."""
+    t = tables(spark)
+    for metric, wide in (("abundance", consolidate.otu_abundance(t, ["A", "B"])), ("estimated_counts", consolidate.otu_counts(t, ["A", "B"]))):
+        got = {r.species: r["values"] for r in consolidate.otu_arrays(t, ["A", "B"], metric).collect()}
+        assert got == {r.species: [r.A, r.B] for r in wide.collect()}
+        writers.write_tsv(wide, str(tmp_path / "wide.tsv"), consolidate.species_order())
+        writers.write_matrix(consolidate.otu_arrays(t, ["A", "B"], metric), ["A", "B"], str(tmp_path / "arrays.tsv"), consolidate.species_order())
+        assert (tmp_path / "wide.tsv").read_text() == (tmp_path / "arrays.tsv").read_text()
+    assert consolidate.otu_arrays(t.drop("estimated_counts"), ["A"], "estimated_counts") is None
+    for counts in (False, True):
+        wide = {tuple(r)[:-2]: list(r)[-2:] for r in consolidate.combine(t, "genus", ["A", "B"], counts).collect()}
+        assert {tuple(r)[:-1]: r["values"] for r in consolidate.combined_arrays(t, "genus", ["A", "B"], counts).collect()} == wide
+
+
+def test_many_samples(spark, tmp_path):
+    """20,000 samples are no 20,000 aggregates."""
+    names = [f"s{i:05}" for i in range(20_000)]
+    ranks = ", ".join(f"'{r}' AS `{r}`" for r in RANKS[1:])
+    rows = spark.range(20_000).selectExpr("concat('s', lpad(id, 5, '0')) AS sample", "1 AS row_ord", "concat('x', id % 3) AS species", "CAST(id AS string) AS abundance", "CAST(id AS string) AS estimated_counts", *ranks.split(", "))
+    writers.write_matrix(consolidate.otu_arrays(rows, names, "estimated_counts"), names, str(tmp_path / "m.tsv"), consolidate.species_order())
+    lines = [x.split("\t") for x in (tmp_path / "m.tsv").read_text().splitlines()]
+    assert [x[0] for x in lines] == ["species", "x0", "x1", "x2", "Unassigned"] and lines[0][1:] == names
+    assert all(int(lines[1 + k][1 + i]) == (i if i % 3 == k else 0) for k in range(3) for i in range(0, 20_000, 371)) and set(lines[4][1:]) == {"0"}
+
+
+def test_joined_files_are_whole_or_absent(spark, tmp_path, monkeypatch):
+    table = spark.range(5000).selectExpr("id", "concat('v', id) AS v").repartition(6)
+    writers.write_tsv(table, str(tmp_path / "t.tsv"), [table["id"]])
+    assert (tmp_path / "t.tsv").read_text().splitlines() == ["id\tv", *(f"{i}\tv{i}" for i in range(5000))]
+    monkeypatch.setattr(joining, "parts_of", lambda *_: [(None, 5)])
+    with pytest.raises(Exception):
+        writers.write_tsv(table, str(tmp_path / "u.tsv"))
+    assert not (tmp_path / "u.tsv").exists() and not (tmp_path / "u.tsv.joining").exists()
