@@ -359,6 +359,7 @@ ORACLES: dict[str, str] = {
 _CLASS = "CASE species WHEN 'Below detection' THEN 1 WHEN 'Unassigned' THEN 2 ELSE 0 END"
 _BY_RANKS = ", ".join(f'"{r}"' for r in SIX)
 ORACLES |= {
+    "stored_em_step": ORACLES["em_step"],
     "lineage_database": ORACLES["number_sequences"],
     "merged_report": f"SELECT row_number() OVER (ORDER BY species) AS place, * FROM ({ORACLES['merged_species']})",
     "tree_files": ORACLES["tree_lineages"],

@@ -14,7 +14,7 @@ from mixspark.operators import assemble, consolidate, estimate, refdb, scoring
 from mixspark.operators.graph import numbered, shared_folder, written
 from mixspark.plans import api, commands, proxies
 from mixspark.schema import HIGHER_RANKS, RANKS
-from mixspark.sources import joining, readers, writers
+from mixspark.sources import joining, readers, stored, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -419,6 +419,15 @@ def bam_files(spark, sf):
     return rounded(scoring.read_scores(scored), 6, "log_score")
 
 
+@query
+def stored_em_step(spark, sf):
+    """A round over scores that are stored in buckets of reads."""
+    path = shared_folder(spark, "scores")
+    stored.store_scores(_scores(spark, sf), path, 16)
+    scores = stored.stored_scores(spark, path)
+    return rounded(estimate.em_step(scores, written(estimate.em_start(scores), "start")), 6, "freq")
+
+
 @query
 def table_files(spark, sf):
     """Per-sample tables as files, read again and consolidated."""
