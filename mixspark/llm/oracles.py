@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mixspark.llm.quality import ERROR, RISK, RULES
+from mixspark.llm.quality import ERROR, LEVELS, RISK, setting
 
 GAP = r"[\x20\x09-\x0D]+"
 NEAR_DUPLICATES = rf"""
@@ -34,9 +34,8 @@ VALUES = {
     "long_words": "CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END",
     "short_words": "CASE WHEN n_words > 0 THEN -(word_chars / n_words) ELSE 0 END",
 }
-_GRID = ", ".join(f"('{rule}', CAST({cut} AS DOUBLE))" for rule, (_, cuts) in RULES.items() for cut in cuts)
+_GRID = ", ".join(f"({level}, '{rule}', CAST({cut} AS DOUBLE))" for level in range(LEVELS) for rule, cut in setting(level).items())
 _VALUE = "CASE rule " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in VALUES.items()) + " END"
-_P = RISK / len(RULES)
 
 
 def _without(text: str, chars: str) -> str:
@@ -55,13 +54,13 @@ m AS (SELECT doc_id, stratum, len(w) AS n_words, coalesce(CAST(list_sum(list_tra
         len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r, 0) AS n_repeat_words, len(l) AS n_lines, {_without("t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")} AS n_capitals, {_without("t", "!?.,;:")} AS n_points
       FROM d JOIN w USING (doc_id) JOIN ln USING (doc_id) LEFT JOIN rep USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
-grid(rule, cutoff) AS (VALUES {_GRID}),
+grid(level, rule, cutoff) AS (VALUES {_GRID}),
+beyond AS (SELECT doc_id, level, bool_or({_VALUE} > cutoff) AS out FROM b, grid GROUP BY ALL),
 held AS (SELECT * FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
-cnt AS (SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER ({_VALUE} > cutoff) AS k FROM held, grid GROUP BY ALL),
-tests AS (SELECT count(DISTINCT stratum) * (SELECT count(*) FROM grid) AS tests FROM held),
-tail AS (SELECT *, (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({_P}) + (n - j) * ln(1 - {_P}))) FROM range(0, k + 1) r(j)) AS cdf FROM cnt),
-chosen AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM tail, tests WHERE cdf <= {ERROR} / tests GROUP BY ALL),
-bad AS (SELECT DISTINCT doc_id FROM b JOIN chosen USING (stratum) WHERE {_VALUE} > cutoff)
+cnt AS (SELECT stratum, level, count(*) AS n, count(*) FILTER (out) AS k FROM held JOIN beyond USING (doc_id) GROUP BY ALL),
+tail AS (SELECT *, (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK}) + (n - j) * ln(1 - {RISK}))) FROM range(0, k + 1) r(j)) AS cdf FROM cnt),
+chosen AS (SELECT stratum, max(level) AS level FROM tail WHERE cdf <= {ERROR} / (SELECT count(DISTINCT stratum) FROM held) GROUP BY stratum),
+bad AS (SELECT doc_id FROM b JOIN chosen USING (stratum) JOIN beyond USING (doc_id, level) WHERE out)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals, n_points, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM b"""
 

@@ -1,14 +1,16 @@
 """Quality rules with risk-controlled thresholds, with DataFrame functions only.
 
-Each rule is a ratio of plain counts and a fixed list of cutoffs. Documents that
-labels call good and that the base rules let through are the holdout. In each
-stratum (language), for each rule and cutoff, the number of good documents beyond
-the cutoff is tested: the exact binomial chance of so few, were the true share at
-the rule's risk, must stay under the error level divided by the number of all
-tests (Bonferroni). Of the cutoffs that pass, the strictest is used; without one
-the rule stays off in that stratum. The risk of a stratum is shared out among the
-rules, so their union rejects at most ``risk`` of the good documents, in all
-strata at once, with chance 1 - ``error``.
+Each rule is a ratio of plain counts and a fixed list of cutoffs. The rules' cutoffs go
+together from lax to strict in ``LEVELS`` joint settings, each of which rejects what the
+one before it does and more. Documents that labels call good and that the base rules let
+through are the holdout. In each stratum (language) the settings are tested one after
+the other, lax ones first: the exact binomial chance of so few good documents beyond any
+cutoff of a setting, were their true share at the risk, must stay under the error level;
+the first setting that fails ends the walk, and the last that passed is used. Tests in a
+fixed order that end at the first failure need no correction among themselves; the error
+level is divided by the number of strata (Bonferroni). So at most ``risk`` of the good
+documents of a stratum go, in all strata at once, with chance 1 - ``error``. Without a
+setting that passes (fewer than some 220 good documents prove none) no rule acts.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null
 stratum is a stratum of its own; labels that are null or match no document do not
@@ -90,6 +92,15 @@ RULES: dict[str, tuple[Column, list[float]]] = {
 }
 
 
+#: Joint settings of all rules, lax ones first.
+LEVELS = 8
+
+
+def setting(level: int) -> dict[str, float]:
+    """The rules' cutoffs of a joint setting, 0 the laxest."""
+    return {rule: cuts[len(cuts) - 1 - level * (len(cuts) - 1) // (LEVELS - 1)] for rule, (_, cuts) in RULES.items()}
+
+
 #: ln Gamma's remainder after Stirling's formula, for small whole numbers; its series serves the others.
 SMALL = 16
 REMAINDERS = [0.0, *(math.lgamma(n + 1) - (n + 0.5) * math.log(n) + n - 0.5 * math.log(2 * math.pi) for n in range(1, SMALL))]
@@ -141,26 +152,35 @@ def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
 
 
 def thresholds(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """(stratum, rule, cutoff, n_good, n_rejected): the strictest cutoff with a proven risk."""
+    """(stratum, level, n_good, n_rejected): the strictest joint setting with a proven risk.
+
+    A stricter setting rejects at least as many, so those that pass are the first ones.
+    """
     good = labels.where("quality = 1").select("doc_id").distinct()
     held = measured.where("NOT base_failed").join(good, "doc_id", "left_semi")
-    beyond = [F.count_if(value() > cut).alias(f"{rule}|{k}") for rule, (value, cuts) in RULES.items() for k, cut in enumerate(cuts)]
+    beyond = [F.count_if(rejects(level)).alias(f"beyond_{level}") for level in range(LEVELS)]
     counted = held.groupBy("stratum").agg(F.count("*").alias("n_good"), *beyond)
-    long = counted.select("stratum", "n_good", F.inline(F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(cut).alias("cutoff"), F.col(f"{rule}|{k}").alias("n_rejected")) for rule, (_, cuts) in RULES.items() for k, cut in enumerate(cuts)])))
-    tests = F.count_distinct("stratum")
-    level = long.agg((tests * sum(len(c) for _, c in RULES.values())).alias("tests"))
-    proven = long.crossJoin(F.broadcast(level)).where(log_binomial_cdf(F.col("n_rejected"), F.col("n_good"), risk / len(RULES)) <= math.log(error) - F.log("tests"))
-    return proven.groupBy("stratum", "rule").agg(F.min(F.struct("cutoff", "n_good", "n_rejected")).alias("x")).select("stratum", "rule", "x.*")
+    long = counted.select("stratum", "n_good", F.inline(F.array(*[F.struct(F.lit(level).alias("level"), F.col(f"beyond_{level}").alias("n_rejected")) for level in range(LEVELS)])))
+    strata = counted.agg(F.count("*").alias("strata"))
+    proven = long.crossJoin(F.broadcast(strata)).where(log_binomial_cdf(F.col("n_rejected"), F.col("n_good"), risk) <= math.log(error) - F.log("strata"))  # one row
+    return proven.groupBy("stratum").agg(F.max(F.struct("level", "n_good", "n_rejected")).alias("x")).select("stratum", "x.*")
+
+
+def rejects(level: int) -> Column:
+    """Whether a document lies beyond any cutoff of a joint setting."""
+    out = F.lit(False)
+    for rule, cut in setting(level).items():
+        out = out | (RULES[rule][0]() > cut)
+    return out
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """Every document's measures, base_failed and kept."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = materialise(document_measures(docs).withColumn("base_failed", failed), "measures")
-    chosen = thresholds(measured, labels, risk, error).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
-    beyond = [F.coalesce(value() > F.element_at("cutoffs", F.lit(rule)), F.lit(False)) for rule, (value, _) in RULES.items()]
-    rejected = beyond[0]
-    for b in beyond[1:]:
-        rejected = rejected | b
+    chosen = thresholds(measured, labels, risk, error).select("stratum", "level")
+    rejected = F.lit(False)
+    for level in range(LEVELS):
+        rejected = F.when(F.col("level") == level, rejects(level)).otherwise(rejected)
     # One row a stratum that has labels; AQE broadcasts it as long as it is small.
-    return measured.join(chosen, "stratum", "left").withColumn("kept", ~F.col("base_failed") & ~rejected).drop("cutoffs", "stratum")
+    return measured.join(chosen, "stratum", "left").withColumn("kept", ~F.col("base_failed") & ~rejected).drop("level", "stratum")

@@ -146,6 +146,42 @@ def test_thresholds_hold_the_risk(spark):
     assert all(r.kept for r in quality.quality_verdicts(table(spark, good), few).collect())  # too few labels prove nothing
 
 
+def test_settings_are_nested():
+    for level in range(1, quality.LEVELS):
+        assert all(quality.setting(level)[rule] <= cut for rule, cut in quality.setting(level - 1).items())
+    assert all(quality.setting(0)[rule] == max(cuts) and quality.setting(quality.LEVELS - 1)[rule] == min(cuts) for rule, (_, cuts) in quality.RULES.items())
+
+
+def test_rules_act_at_the_default_risk(spark):
+    """300 good documents of a language prove a setting, 100 none; the walk stops where good ones would go."""
+    rng = random.Random(17)
+    clean = {i: prose(rng, 60) for i in range(300)}
+    noisy = {i: prose(rng, 60) + " !!!" * (4 if i % 10 == 0 else 0) for i in range(300, 600)}  # a tenth holds many points
+    rare = {i: prose(rng, 60) for i in range(600, 700)}
+    junk = {i: prose(rng, 60) + " ###" * 60 for i in range(700, 730)}
+    lang = lambda i: ("xx" if i < 300 else "yy" if i < 600 else "zz") if i < 700 else ("xx", "yy", "zz")[i % 3]
+    docs = clean | noisy | rare | junk
+    frame = spark.createDataFrame([(k, v, lang(k), "s", len(v)) for k, v in docs.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i < 700)) for i in docs], "doc_id long, quality int")
+    measured = quality.document_measures(frame).withColumn("base_failed", F.lit(False))
+    got = {r.stratum: r for r in quality.thresholds(measured, labels).collect()}
+    assert set(got) == {"xx", "yy"} and got["xx"].n_good == got["yy"].n_good == 300
+    plain = {r.doc_id: {rule: r[f"v_{rule}"] for rule in quality.RULES} for r in measured.select("doc_id", *[value().alias(f"v_{rule}") for rule, (value, _) in quality.RULES.items()]).collect()}
+    out = lambda i, level: any(plain[i][rule] > cut for rule, cut in quality.setting(level).items())
+    for stratum, held in (("xx", clean), ("yy", noisy)):
+        best = None
+        for level in range(quality.LEVELS):
+            k = sum(out(i, level) for i in held)
+            if math.fsum(math.comb(300, j) * 0.02**j * 0.98 ** (300 - j) for j in range(k + 1)) > 0.05 / 3:
+                break
+            best = (level, k)
+        assert (got[stratum].level, got[stratum].n_rejected) == best
+    assert got["yy"].level < quality.LEVELS - 1
+    kept = {r.doc_id: r.kept for r in quality.quality_verdicts(frame, labels).collect()}
+    assert {i: kept[i] for i in junk} == {i: i % 3 == 2 for i in junk}
+    assert all(kept[i] == (not out(i, got[lang(i)].level)) for i in [*clean, *noisy]) and all(kept[i] for i in rare)
+
+
 def test_toxicity_on_held_out_words(spark):
     rng = random.Random(8)
     insults = ["blockhead", "numskull", "dimwit"]
