@@ -10,12 +10,14 @@ n members gives n - 1 candidate edges; each is confirmed on the two full sets.
 
 A star can miss links between two members that are both unlike the centre. So each
 bucket that then still holds more than one component is searched to the end: members
-outside its largest component meet all members of other components, in cells of at
-most two times ``BLOCK`` members. A cell counts common shingles for many members at
-once over its own inverted index and gives only links, no pairs. Every link inside a
-bucket is found; a link is missed only if its two documents share no band (5e-6 at a
-similarity of 0.75). The counting (not the rows moved within a cell) grows with the
-square of the unlinked members of a bucket. Sets whose sizes alone rule a link out
+outside its largest component meet each other and those inside, in cells of two
+blocks of some ``BLOCK`` members or ``BLOCK_SHINGLES`` shingles (a larger text is a
+block of its own). Those inside never meet: one outsider among n members moves about n
+rows. A cell counts common shingles for many members at once over its own inverted
+index and gives only links, no pairs. Every link inside a bucket is found; a link is
+missed only if its two documents share no band (5e-6 at a similarity of 0.75). Where
+most members are outsiders (a bucket of unlinked texts), the counting and the blocks
+that a text is sent to grow with their square. Sets whose sizes alone rule a link out
 are not compared.
 
 Defined cases: a null or empty text, or one without words, has no shingles and is
@@ -42,8 +44,8 @@ from mixspark.llm.components import connected_components
 SHINGLE, BANDS, ROWS = 5, 32, 4
 BINS = BANDS * ROWS
 
-#: Members of a bucket in one block; a cell holds two.
-BLOCK = 1024
+#: Members of a bucket, and shingles of theirs, in one block; a cell holds two.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -165,12 +167,20 @@ def cell_links(sets: list[np.ndarray], comp: np.ndarray, block: np.ndarray, outs
     return out
 
 
+def dealt_cells(members: DataFrame, block: int, shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """band, key, x, y, own, rep, comp, outside: each member in all its cells. ``members``: band, key, rep, comp, largest and of the two sides of the bucket n_in, n_out, s_in, s_out (members, shingles)."""
+    of = lambda n, s: F.greatest(F.ceil(F.col(n) / block), F.ceil(F.col(s) / shingles))
+    outside, h = F.col("comp") != F.col("largest"), F.xxhash64("rep")
+    sized = members.withColumns({"outside": outside, "b_out": of("n_out", "s_out"), "b_in": of("n_in", "s_in")})
+    own = F.when(F.col("outside"), F.pmod(h, F.col("b_out"))).otherwise(F.col("b_out") + F.pmod(h, F.col("b_in")))
+    met = F.when(F.col("outside"), F.col("b_out") + F.col("b_in")).otherwise(F.col("b_out"))
+    dealt = sized.select("band", "key", "rep", "comp", "outside", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), met - 1)).alias("other"))
+    return dealt.select("band", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "rep", "comp", "outside")
+
+
 def links_within(members: DataFrame, candidates: DataFrame, per_cent: int, block: int) -> DataFrame:
-    """(a, b): all components linked within open buckets. ``members``: band, key, n, rep, comp, largest."""
-    blocks = F.ceil(F.col("n") / block)
-    own = F.pmod(F.xxhash64("rep"), blocks)
-    dealt = members.select("band", "key", "rep", "comp", (F.col("comp") != F.col("largest")).alias("outside"), own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-    cells = dealt.select("band", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "rep", "comp", "outside")
+    """(a, b): all components linked within open buckets. ``members`` as in ``dealt_cells``."""
+    cells = dealt_cells(members, block)
     whole = cells.join(candidates.select(F.col("doc_id").alias("rep"), "text"), "rep")
     keys = ["band", "key", "x", "y"]
     types = {"a": pa.int64(), "b": pa.int64()}
@@ -235,10 +245,11 @@ def near_duplicates(df: DataFrame, per_cent: int = 75, id_col: str = "doc_id", t
     # Buckets that still hold more than one component.
     state = nodes.join(roots, "rep", "left").select("rep", F.coalesce("root", "rep").alias("comp"))
     placed = bucketed.join(state, "rep")
-    part = placed.groupBy("band", "key", "comp").agg(F.count("*").alias("of_comp"))
-    open_ = part.groupBy("band", "key").agg(F.max_by("comp", F.struct("of_comp", "comp")).alias("largest"), F.count("*").alias("comps")).where("comps > 1").select("band", "key", "largest")
+    part = placed.groupBy("band", "key", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    sides = part.groupBy("band", "key").agg(F.max(F.struct("n", "comp", "s")).alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("comps")).where("comps > 1")
+    open_ = sides.selectExpr("band", "key", "top.comp AS largest", "top.n AS n_in", "n - top.n AS n_out", "top.s AS s_in", "s - top.s AS s_out")
     open_ = materialise(open_, "open-buckets")
-    more = materialise(links_within(placed.join(open_, ["band", "key"]).select("band", "key", "n", "rep", "comp", "largest"), candidates, per_cent, block), "more-links")
+    more = materialise(links_within(placed.drop("n").join(open_, ["band", "key"]), candidates, per_cent, block), "more-links")
     if more.take(1):  # the components are the nodes now
         further = connected_components(more).select(F.col("node").alias("comp"), F.col("root").alias("far"))
         state = state.join(further, "comp", "left").select("rep", F.coalesce("far", "comp").alias("comp"))
