@@ -2,14 +2,18 @@
 
 Documents overlap where they share a line, by the hash of the whole line, that says
 enough to be rare: at least ``RARE_WORDS`` words. What a line says decides, never how
-many documents hold it. Each such line leads from the first document (smallest id)
-that holds it, in a star, to every later one: a line that n documents hold gives
-n - 1 pairs, so no cap is needed. Each distinct pair is aligned with patience diff on
-the hashes of all its lines. A shared rare line of the later document that this
-leaves over (repeated on a side, or in another order) is laid beside the first
-holder's line with the same neighbour, and grows to a run with the equal lines around
-it. Runs of aligned lines that hold a shared rare line are common blocks; they are
-deleted from the later document. The first holder of a rare line always keeps it.
+many documents hold it, nor which document held the line first. Every stretch that
+begins or ends with a rare line and holds no other (the line, and the shorter lines
+after or before it one by one) is filed under its hash; the longest stretches of a
+document that an earlier one has too lead, in stars, to their first holders (smallest
+id). So each rare line gives two pairs at most, however many documents hold it, and
+any run of lines that two documents share, with a rare line in it, lies in stretches
+that lead to a document with the same lines. Each distinct pair is aligned with
+patience diff on the hashes of all its lines. A shared rare line of the later document
+that this leaves over (repeated on a side, or in another order) is laid beside a line
+of the earlier one with the same neighbour, and grows to a run with the equal lines
+around it. Runs of aligned lines that hold a shared rare line are common blocks; they
+are deleted from the later document. The first holder of a rare line always keeps it.
 
 Only hashes of lines move to the alignment, at most once for each pair; the texts
 move once, for the deletion.
@@ -32,10 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixspark.llm.common import arrow_map, batch, materialise, named, restored
+from mixspark.llm.neardup import mix
 
 #: Least words of a rare line.
 RARE_WORDS = 5
 
+#: Of the hashes of stretches: any odd number.
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
 
 def patience_blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     """Aligned runs (start in a, start in b, length), in order and disjoint.
@@ -134,32 +142,78 @@ def line_table(source: DataFrame) -> DataFrame:
     return table.where(F.exists("rare", lambda x: x))
 
 
+def stretches(lines: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, spot and length of each stretch: a rare line and the lines after it up to the next rare one (spot: its number + 1), or before it down to the last (minus that)."""
+    n, at = len(lines), np.nonzero(rare)[0]
+    power = np.cumprod(np.full(n + 1, ODD), dtype=np.uint64)
+    inverse = np.cumprod(np.full(n + 1, pow(int(ODD), -1, 1 << 64), np.uint64), dtype=np.uint64)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(lines.view(np.uint64)) * power[:n], dtype=np.uint64)])
+    place = np.arange(n)
+    before = np.searchsorted(at, place, "right") - 1  # the rare line that a line follows, or is
+    ahead = np.where(before >= 0, at[before], -1)
+    next_ = np.searchsorted(at, place, "left")
+    behind = np.where(next_ < len(at), at[np.minimum(next_, len(at) - 1)], -1)
+    on, back = ahead >= 0, (behind >= 0) & (behind != place)
+    start = np.concatenate([ahead[on], place[back]])
+    stop = np.concatenate([place[on], behind[back]]) + 1
+    spot = np.concatenate([ahead[on] + 1, -behind[back] - 1])
+    return mix((total[stop] - total[start]) * inverse[start] + (stop - start).astype(np.uint64)).view(np.int64), spot.astype(np.int32), (stop - start).astype(np.int32)
+
+
+def overlaps(table: DataFrame) -> DataFrame:
+    """(row, first): each row with the first holders of its longest shared stretches."""
+    types = {"row": pa.int64(), "doc_id": pa.int64(), "h": pa.int64(), "spot": pa.int32(), "length": pa.int32()}
+
+    def rows(got: pa.RecordBatch) -> pa.RecordBatch:
+        parts, sizes = [], []
+        for lines, rare in zip(got.column("lines"), got.column("rare"), strict=True):
+            parts.append(stretches(lines.values.to_numpy(), rare.values.to_numpy(zero_copy_only=False)))
+            sizes.append(len(parts[-1][0]))
+        owner = pa.array(np.repeat(np.arange(got.num_rows), sizes))
+        h, spot, length = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return batch(types, {"row": got.column("row").take(owner), "doc_id": got.column("doc_id").take(owner), "h": h, "spot": spot, "length": length})
+
+    filed = arrow_map(table.select("row", "doc_id", "lines", "rare"), rows, "row long, doc_id long, h long, spot int, length int")
+    first = filed.groupBy("h").agg(F.min(F.struct("doc_id", "row")).alias("at"), F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo < hi").select("h", F.col("at.row").alias("first"))
+    first = materialise(first, "first-holders")  # written first, so that the join can split a hot stretch
+    later = filed.drop("doc_id").join(first, "h").where("row <> first")
+    longest = later.groupBy("row", "spot").agg(F.max_by("first", F.struct("length", "first")).alias("first"))
+    return longest.select("row", "first").distinct()
+
+
 def common_blocks(source: DataFrame) -> DataFrame:
-    """(row, removed): numbers of the lines that go, for rows that lose any. ``source``: row, doc_id, text; rows are distinct."""
+    """(row, gone, n_removed): for rows that lose lines, whether each line goes, up to the last that does. ``source``: row, doc_id, text; rows are distinct."""
     table = materialise(line_table(source), "lines")
-    spots = F.array_distinct(F.expr("filter(transform(lines, (h, i) -> IF(rare[i], h, NULL)), h -> h IS NOT NULL)"))
-    held = table.select("row", "doc_id", F.explode(spots).alias("h"))
-    first = held.groupBy("h").agg(F.min(F.struct("doc_id", "row")).alias("at"), F.count("*").alias("n")).where("n > 1").select("h", F.col("at.row").alias("first"))
-    first = materialise(first, "first-holders")  # written first, so that the join can split a hot line
-    pairs = held.join(first, "h").where("row <> first").groupBy("row", "first").agg(F.collect_set("h").alias("shared"))
     earlier = table.select(F.col("row").alias("first"), F.col("lines").alias("first_lines"))
-    types = {"row": pa.int64(), "removed": pa.list_(pa.int32())}
+    types = {"row": pa.int64(), "start": pa.int32(), "stop": pa.int32()}
 
-    def rows(got: pa.RecordBatch) -> pa.RecordBatch | None:
-        out: dict[str, list] = {"row": [], "removed": []}
-        for row, lines, other, shared in zip(*(got.column(c).to_pylist() for c in ("row", "lines", "first_lines", "shared")), strict=True):
-            proof = set(shared)
+    def rows(got: pa.RecordBatch) -> pa.RecordBatch:
+        out: dict[str, list] = {k: [] for k in types}
+        for row, lines, rare, other in zip(*(got.column(c).to_pylist() for c in ("row", "lines", "rare", "first_lines")), strict=True):
+            proof = {h for h, r in zip(lines, rare, strict=True) if r}.intersection(other)
             blocks = patience_blocks(other, lines)
             blocks += blocks_left_over(other, lines, blocks, proof)
-            gone = [k for _, j, n in blocks if not proof.isdisjoint(lines[j : j + n]) for k in range(j, j + n)]
-            if gone:
-                out["row"].append(row)
-                out["removed"].append(np.asarray(gone, np.int32))
+            for _, j, n in blocks:
+                if not proof.isdisjoint(lines[j : j + n]):
+                    out["row"].append(row)
+                    out["start"].append(j)
+                    out["stop"].append(j + n)
         return batch(types, out)
 
-    both = materialise(pairs, "overlaps").join(earlier, "first").join(table, "row").select("row", "lines", "first_lines", "shared")
-    aligned = arrow_map(both, rows, "row long, removed array<int>")
-    return aligned.select("row", F.explode("removed").alias("k")).groupBy("row").agg(F.array_sort(F.collect_set("k")).alias("removed"))
+    both = materialise(overlaps(table), "overlaps").join(earlier, "first").join(table, "row").select("row", "lines", "rare", "first_lines")
+    aligned = arrow_map(both, rows, "row long, start int, stop int")
+    runs = aligned.groupBy("row").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
+    mask_types = {"row": pa.int64(), "gone": pa.list_(pa.bool_()), "n_removed": pa.int64()}
+
+    def masks(got: pa.RecordBatch) -> pa.RecordBatch:
+        gone = []
+        for spans in got.column("runs").to_pylist():
+            gone.append(np.zeros(max(r["stop"] for r in spans), bool))
+            for r in spans:
+                gone[-1][r["start"] : r["stop"]] = True
+        return batch(mask_types, {"row": got.column("row"), "gone": gone, "n_removed": [int(x.sum()) for x in gone]})
+
+    return arrow_map(runs, masks, "row long, gone array<boolean>, n_removed long")
 
 
 def _cut(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -167,9 +221,9 @@ def _cut(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     source = named(df, id_col).withColumn("text", F.col("payload").getField(text_col).cast("string"))
     gone = materialise(common_blocks(source), "common-blocks").hint("shuffle_hash")  # as large inputs join anyway: documents that lose lines grow with the input
     lines = F.split("text", "\n", -1)
-    left = F.filter(lines, lambda x, i: ~F.array_contains("removed", i))
-    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    counts = [F.coalesce(F.size(c), F.lit(0)).cast("long").alias(k) for k, c in (("n_lines", lines), ("n_removed", F.col("removed")))]
+    left = F.filter(lines, lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
+    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    counts = [F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed")]
     return source.join(gone, "row", "left").select("payload", kept.alias("text"), *counts)
 
 

@@ -77,16 +77,14 @@ def common_subsequence(a, b):
 
 
 def line_dedup(docs, least=5):
-    """Of {id: text} the texts without runs of aligned lines that hold a line of ``least`` words of the first holder."""
+    """Of {id: text} the texts without runs of aligned lines that hold a line of ``least`` words, over all pairs of a document and an earlier one."""
     lines = {k: v.split("\n") for k, v in docs.items()}
-    first, gone = {}, {k: set() for k in docs}
-    for k in sorted(lines):
-        for x in lines[k]:
-            if len(words(x)) >= least:
-                first.setdefault(x, k)
+    gone = {k: set() for k in docs}
     for k, mine in lines.items():
-        for other in {first[x] for x in mine if first.get(x, k) != k}:
-            shared = {x for x in mine if first.get(x) == other}
+        for other in sorted(x for x in lines if x < k):
+            shared = {x for x in mine if len(words(x)) >= least}.intersection(lines[other])
+            if not shared:
+                continue
             run, last = [], (-2, -2)
             for i, j in [*common_subsequence(lines[other], mine), (-9, -9)]:
                 if (i, j) != (last[0] + 1, last[1] + 1):

@@ -36,6 +36,20 @@ def test_near_duplicates(spark, seed):
     assert all(r.n_shingles == len(brute.shingles(docs[r.doc_id])) and r.kept == (r.doc_id == want[r.doc_id]) for r in got)
 
 
+def test_cells_of_an_open_bucket(spark):
+    """Outsiders meet all, those inside only outsiders; one outsider moves about as many rows as there are members."""
+    side = ["0 band", "0L key", "id rep", "IF(id >= n_in, id, -1L) comp", "-1L largest"]
+    for n_in, n_out, s in ((20_000, 1, 10), (300, 50, 10), (10, 40, 1000)):
+        members = spark.range(n_in + n_out).selectExpr("id", f"{n_in}L n_in").selectExpr(*side, "n_in", f"{n_out}L n_out", f"n_in * {s} s_in", f"{n_out}L * {s} s_out")
+        got = neardup.dealt_cells(members, 1024 if n_in > 1000 else 16, 10**6 if s == 10 else 5000).collect()
+        assert len(got) < 20_100 or n_in < 1000
+        cells = {}
+        for r in got:
+            cells.setdefault((r.x, r.y), []).append(r)
+        met = {(a.rep, b.rep) for held in cells.values() if n_in < 1000 for a in held if a.outside for b in held if a.rep != b.rep and (a.own != b.own or a.x == a.y)}
+        assert n_in > 1000 or met == {(a, b) for a in range(n_in, n_in + n_out) for b in range(n_in + n_out) if a != b}
+
+
 def test_near_duplicates_in_a_chain(spark):
     """Each version differs a little from the one before; the ends share nothing."""
     rng = random.Random(5)
@@ -170,6 +184,53 @@ def test_alignment_against_a_longest_common_subsequence(spark):
     assert got == brute.line_dedup(docs)
 
 
+def test_overlap_of_two_later_documents(spark):
+    """A stranger that held the rare line first does not keep the copy of a whole block."""
+    line = "one rare line of quite enough words"
+    docs = {1: f"stranger\n{line}\nits end", 2: f"two\nalpha\nbeta\n{line}\ngamma\ndelta\ntwo", 3: f"three\nalpha\nbeta\n{line}\ngamma\ndelta\nthree", 4: f"four\nbeta\n{line}\ngamma\nfour"}
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(table(spark, docs)).collect()}
+    assert got == {1: docs[1], 2: "two\nalpha\nbeta\ngamma\ndelta\ntwo", 3: "three\nthree", 4: "four\nfour"}
+    assert got == brute.line_dedup(docs)
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_line_dedup_against_all_pairs(spark, seed):
+    """Blocks of short and rare lines, held by many: as if every pair had been aligned."""
+    rng = random.Random(seed)
+    pool = [f"{k} {prose(rng, rng.choice([1, 1, 2, 7]))}" for k in range(60)]
+    docs = {}
+    for i in range(40):
+        lines, at = [], 0
+        while at < 60:
+            on = at + rng.randrange(1, 9)
+            lines += pool[at:on] if rng.random() < 0.5 else [f"own {i} {at}"]
+            at = on
+        docs[i] = "\n".join(lines)
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(table(spark, docs)).collect()}
+    assert got == brute.line_dedup(docs)
+
+
+def test_stretches():
+    rng = random.Random(3)
+    for _ in range(200):
+        n = rng.randrange(1, 15)
+        lines, rare = np.array([rng.randrange(5) for _ in range(n)]), np.array([rng.random() < 0.3 for _ in range(n)])
+        if not rare.any():
+            continue
+        want = {(i + 1, j - i): tuple(lines[i:j]) for i in range(n) for j in range(i + 1, n + 1) if rare[i] and not rare[i + 1 : j].any()}
+        want |= {(-j - 1, j + 1 - i): tuple(lines[i : j + 1]) for j in range(n) for i in range(j) if rare[j] and not rare[i:j].any()}
+        h, spot, length = linededup.stretches(lines, rare)
+        got = dict(zip(zip(spot.tolist(), length.tolist(), strict=True), h.tolist(), strict=True))
+        assert len(h) == len(got) and got.keys() == want.keys()
+        assert len(set(zip(got.values(), (want[k] for k in got), strict=True))) == len(set(got.values())) == len(set(want.values()))
+
+
+def test_very_many_lines(spark):
+    body = "\n".join(f"line {k} of a text that goes on and on" if k % 2 else str(k) for k in range(200_000))
+    got = {r.doc_id: (r.n_lines, r.n_removed, len(r.text)) for r in linededup.dedup_lines(table(spark, {1: body, 2: f"own\n{body}\nend"})).collect()}
+    assert got == {1: (200_000, 0, len(body)), 2: (200_002, 200_000, 7)}
+
+
 def test_repeated_and_moved_lines(spark):
     """Shared lines go however often either side has them and in whatever order."""
     x, y, z = (f"{name} line of a passage that is long enough to count" for name in ("first", "second", "third"))
@@ -178,12 +239,12 @@ def test_repeated_and_moved_lines(spark):
         2: f"two\n{x}\nleft two",  # twice in the first holder only
         3: f"three\n{y}\nthen\n{y}\nleft three",  # twice in the later document only
         4: f"four\n{x}\nthen\n{x}\nleft\n{x}\nfour",  # on both sides
-        5: f"five\n{z}\nmoved\n{y}\nleft\n{x}\nfive",  # in another order
+        5: f"five\n{z}\nmoved\n{y}\nleft\n{x}\nfive",  # in another order; "left" and the line after it are a run of the fourth document
         6: f"six\n{y}\n\n{z}\nleft\n{y}\n\n{z}\nsix",  # a whole run twice
     }
     got = {r.doc_id: r.text for r in linededup.dedup_lines(table(spark, docs)).collect()}
     assert got[1] == docs[1]
-    assert [got[i] for i in range(2, 7)] == ["two\nleft two", "three\nthen\nleft three", "four\nthen\nleft\nfour", "five\nmoved\nleft\nfive", "six\nleft\nsix"]
+    assert [got[i] for i in range(2, 7)] == ["two\nleft two", "three\nthen\nleft three", "four\nthen\nleft\nfour", "five\nmoved\nfive", "six\nleft\nsix"]
 
 
 def test_blocks_left_over():
