@@ -32,6 +32,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -142,22 +143,21 @@ def line_table(source: DataFrame) -> DataFrame:
     return table.where(F.exists("rare", lambda x: x))
 
 
-def stretches(lines: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, spot and length of each stretch: a rare line and the lines after it up to the next rare one (spot: its number + 1), or before it down to the last (minus that)."""
-    n, at = len(lines), np.nonzero(rare)[0]
+def stretches(lines: np.ndarray, rare: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, hash, spot and length of each stretch: a rare line and the lines after it up to the next rare one (spot: its place + 1), or before it down to the last (minus that). ``doc``: of each line, rising."""
+    n, at, place = len(lines), np.nonzero(rare)[0], np.arange(len(lines))
     power = np.cumprod(np.full(n + 1, ODD), dtype=np.uint64)
     inverse = np.cumprod(np.full(n + 1, pow(int(ODD), -1, 1 << 64), np.uint64), dtype=np.uint64)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(lines.view(np.uint64)) * power[:n], dtype=np.uint64)])
-    place = np.arange(n)
-    before = np.searchsorted(at, place, "right") - 1  # the rare line that a line follows, or is
-    ahead = np.where(before >= 0, at[before], -1)
-    next_ = np.searchsorted(at, place, "left")
-    behind = np.where(next_ < len(at), at[np.minimum(next_, len(at) - 1)], -1)
-    on, back = ahead >= 0, (behind >= 0) & (behind != place)
-    start = np.concatenate([ahead[on], place[back]])
-    stop = np.concatenate([place[on], behind[back]]) + 1
-    spot = np.concatenate([ahead[on] + 1, -behind[back] - 1])
-    return mix((total[stop] - total[start]) * inverse[start] + (stop - start).astype(np.uint64)).view(np.int64), spot.astype(np.int32), (stop - start).astype(np.int32)
+    edge = np.concatenate([[-1], at, [n]])  # the rare line that a line follows or is; the next one, or itself
+    ahead, behind = edge[np.searchsorted(at, place, "right")], edge[np.searchsorted(at, place, "left") + 1]
+    on = (ahead >= 0) & (doc[ahead] == doc)
+    back = (behind < n) & (behind != place) & (doc[np.minimum(behind, n - 1)] == doc)
+    start, stop = np.concatenate([ahead[on], place[back]]), np.concatenate([place[on], behind[back]]) + 1
+    first = np.searchsorted(doc, doc)
+    spot = np.concatenate([(ahead - first + 1)[on], (first - behind - 1)[back]])
+    h = mix((total[stop] - total[start]) * inverse[start] + (stop - start).astype(np.uint64)).view(np.int64)
+    return np.concatenate([doc[on], doc[back]]), h, spot.astype(np.int32), (stop - start).astype(np.int32)
 
 
 def overlaps(table: DataFrame) -> DataFrame:
@@ -165,12 +165,10 @@ def overlaps(table: DataFrame) -> DataFrame:
     types = {"row": pa.int64(), "doc_id": pa.int64(), "h": pa.int64(), "spot": pa.int32(), "length": pa.int32()}
 
     def rows(got: pa.RecordBatch) -> pa.RecordBatch:
-        parts, sizes = [], []
-        for lines, rare in zip(got.column("lines"), got.column("rare"), strict=True):
-            parts.append(stretches(lines.values.to_numpy(), rare.values.to_numpy(zero_copy_only=False)))
-            sizes.append(len(parts[-1][0]))
-        owner = pa.array(np.repeat(np.arange(got.num_rows), sizes))
-        h, spot, length = (np.concatenate(x) for x in zip(*parts, strict=True))
+        lines, rare = got.column("lines"), got.column("rare")
+        doc = np.repeat(np.arange(got.num_rows), pc.list_value_length(lines).to_numpy(zero_copy_only=False))
+        owner, h, spot, length = stretches(lines.flatten().to_numpy(), rare.flatten().to_numpy(zero_copy_only=False), doc)
+        owner = pa.array(owner)
         return batch(types, {"row": got.column("row").take(owner), "doc_id": got.column("doc_id").take(owner), "h": h, "spot": spot, "length": length})
 
     filed = arrow_map(table.select("row", "doc_id", "lines", "rare"), rows, "row long, doc_id long, h long, spot int, length int")

@@ -212,17 +212,17 @@ def test_line_dedup_against_all_pairs(spark, seed):
 
 def test_stretches():
     rng = random.Random(3)
-    for _ in range(200):
-        n = rng.randrange(1, 15)
-        lines, rare = np.array([rng.randrange(5) for _ in range(n)]), np.array([rng.random() < 0.3 for _ in range(n)])
-        if not rare.any():
-            continue
-        want = {(i + 1, j - i): tuple(lines[i:j]) for i in range(n) for j in range(i + 1, n + 1) if rare[i] and not rare[i + 1 : j].any()}
-        want |= {(-j - 1, j + 1 - i): tuple(lines[i : j + 1]) for j in range(n) for i in range(j) if rare[j] and not rare[i:j].any()}
-        h, spot, length = linededup.stretches(lines, rare)
-        got = dict(zip(zip(spot.tolist(), length.tolist(), strict=True), h.tolist(), strict=True))
-        assert len(h) == len(got) and got.keys() == want.keys()
-        assert len(set(zip(got.values(), (want[k] for k in got), strict=True))) == len(set(got.values())) == len(set(want.values()))
+    docs = [([rng.randrange(5) for _ in range(n)], [rng.random() < 0.3 for _ in range(n)]) for n in (rng.randrange(1, 15) for _ in range(300))]
+    want = {}
+    for d, (lines, rare) in enumerate(docs):
+        n = len(lines)
+        want |= {(d, i + 1, j - i): tuple(lines[i:j]) for i in range(n) for j in range(i + 1, n + 1) if rare[i] and not any(rare[i + 1 : j])}
+        want |= {(d, -j - 1, j + 1 - i): tuple(lines[i : j + 1]) for j in range(n) for i in range(j) if rare[j] and not any(rare[i:j])}
+    flat = [np.array([x for doc in docs for x in doc[k]]) for k in (0, 1)]
+    owner, h, spot, length = (x.tolist() for x in linededup.stretches(*flat, np.repeat(np.arange(300), [len(x) for x, _ in docs])))
+    got = dict(zip(zip(owner, spot, length, strict=True), h, strict=True))
+    assert len(h) == len(got) and got.keys() == want.keys()
+    assert len({(got[k], want[k]) for k in got}) == len(set(got.values())) == len(set(want.values()))
 
 
 def test_very_many_lines(spark):
