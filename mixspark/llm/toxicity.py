@@ -6,7 +6,10 @@ characters left out or put in between stays close to itself. Punctuation within
 word is dropped and letters spelled out one by one are joined first.
 
 Training, on the driver, on a bounded sample of labelled rows (``SAMPLE`` toxic and
-twice as many clean ones, those with the smallest hash of the id). Landmarks are words
+twice as many clean ones, those with the smallest hash of the id). Of a text of more
+than ``LONGEST`` characters stretches spread evenly over it, of that many together,
+train (the labels say which documents, not which stretches, are toxic, so an insult
+between them teaches nothing); scoring reads whole texts. Landmarks are words
 that separate the two kinds of sentences best and common clean ones; Nyström features
 over them feed linear machines with squared hinge loss. The machine starts from
 labelled sentences, compared by the mean of their words' kernels (``SENTENCES`` of each
@@ -22,8 +25,8 @@ table of fixed size, looked up once for each distinct word of a task.
 
 Defined cases: a null or empty text has no words and gets the score of no evidence;
 whole texts of any length count; words of any length count in overlapping parts;
-label rows that are null or match no document are left out, and texts of more than
-``LONGEST`` characters train nothing; of an id with several texts the smallest trains;
+label rows that are null or match no document are left out; of an id with several
+texts the smallest trains;
 without labels of both kinds, or without a word that tells them apart, every score is
 0 and ``reject_toxic`` keeps all; repeated rows repeat; an empty table gives an empty
 table; labels, language, source and id never enter a score; other columns, whatever
@@ -45,7 +48,7 @@ from pyspark.sql import functions as F
 from mixspark.llm.common import SLICE, arrow_map, batch, bounded_batches, texts
 from mixspark.llm.neardup import mix
 
-#: Toxic rows that train at most (clean ones are twice as many), and their longest text in characters.
+#: Toxic rows that train at most (clean ones are twice as many), and characters of each that do at most.
 SAMPLE, LONGEST = 1500, 30_000
 SPAN, DECAY, TABLE = 6, 0.7, 1 << 16
 LANDMARKS, PART, WORDS_KEPT = 96, 32, 400_000
@@ -310,14 +313,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine | None:
-    """Fit on at most ``sample`` toxic and twice as many clean labelled documents, none held out; one text an id."""
+def spread(text: Column, longest: int) -> Column:
+    """A text of at most ``longest`` characters as it is; of a longer one stretches of some 450, evenly spread, without the cut words and sentences at their ends where they hold others."""
+    pieces = max(2, longest // 450)
+    part = longest // pieces - 1
+    at = lambda k: F.floor(k * (F.length(text) - part) / (pieces - 1)).cast("int") + 1
+    edges = rf"^(?:[^\n.!?]{{0,{part // 2}}}[\n.!?]\s+|\S*\s)|\s\S*$"
+    piece = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda k: F.regexp_replace(F.substring(text, at(k), F.lit(part)), edges, ""))
+    return F.when(text.isNull() | (F.length(text) <= longest), text).otherwise(F.array_join(piece, "\n"))
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Machine | None:
+    """Fit on at most ``sample`` toxic and twice as many clean labelled documents, none held out; one text an id, ``longest`` characters of it."""
     usable = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     by = [F.xxhash64("doc_id"), F.col("doc_id")]
     whole = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = usable.where("toxic = 1").orderBy(*by).limit(sample).union(usable.where("toxic = 0").orderBy(*by).limit(2 * sample))
-    whole_texts = texts(docs).where(F.length("text") <= LONGEST).join(F.broadcast(chosen), "doc_id")
-    got = sorted(whole_texts.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min("text").alias("text")).collect())  # at most 3 * sample rows
+    whole_texts = texts(docs).where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    got = sorted(whole_texts.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min("text").alias("text")).select("doc_id", "toxic", spread(F.col("text"), longest).alias("text")).collect())  # at most 3 * sample rows
     toxic = np.array([r.toxic == 1 for r in got], bool)
     machine = fit([r.text for r in got], toxic)
     if machine:  # the sample has more toxic rows than the labels do

@@ -203,6 +203,33 @@ def test_toxicity_on_held_out_words(spark):
     assert plain < 0.3 < min(bent, dotted, apart)
 
 
+def test_toxicity_trains_on_long_texts(spark):
+    """Texts beyond the characters that train give stretches; where no text fits the machine still learns."""
+    rng = random.Random(9)
+    docs = {}
+    for i in range(1000):
+        w = prose(rng, 200).split()
+        for _ in range(0 if i % 4 else 8):
+            w.insert(rng.randrange(len(w)), rng.choice(["blockhead", "numskull", "dimwit"]))
+        docs[i] = " ".join(w)
+    assert min(map(len, docs.values())) > 900
+    frame = table(spark, docs)
+    machine = toxicity.train(frame, spark.createDataFrame([(i, int(i % 4 == 0)) for i in docs], "doc_id long, toxic int"), longest=900)
+    held = {i for i in docs if zlib.crc32(str(i).encode()) % 4 == 2}
+    right = [r.predicted == int(r.doc_id % 4 == 0) for r in toxicity.toxicity(frame, machine).collect() if r.doc_id in held]
+    assert sum(right) > 0.97 * len(held)
+
+
+def test_spread(spark):
+    words = [f"w{k}" for k in range(5000)]
+    rows = [("short text.",), (" ".join(words),), ("x" * 9000,), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(toxicity.spread(F.col("t"), 6400)).collect()]
+    assert got[0] == rows[0][0] and got[3] is None and set(got[2]) == {"x", "\n"}
+    pieces = got[1].split("\n")
+    assert len(pieces) == 14 and len(got[1]) <= 6400 and {w for p in pieces for w in p.split()} <= set(words)
+    assert int(pieces[0].split()[0][1:]) < 20 and int(pieces[-1].split()[-1][1:]) > 4980
+
+
 def test_kernel_tolerates_gaps():
     words = ["idiot", "idxiot", "carpet"]
     places, weights = toxicity.subsequences(words)
