@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixspark.functions import expr
@@ -59,16 +59,24 @@ def merged_species(parsed: DataFrame, min_length: int = 900) -> DataFrame:
     return many.select("species", F.size("sources").alias("n_sources"), F.array_join("sources", ";").alias("source_species"), F.array_join("genera", ";").alias("source_genera"), F.array_join("ranks", ",").alias("conflict_ranks"), "lineage_from")
 
 
-def unique_sequences(rows: DataFrame) -> DataFrame:
+def sequence_key(seq: Column) -> Column:
+    """The same for a sequence and its reverse complement; case counts."""
+    return F.md5(F.least(seq, expr.reverse_complement(seq)))
+
+
+def unique_sequences(rows: DataFrame, sequences: DataFrame | None = None) -> DataFrame:
     """One row per (sequence, tax_id): a sequence and its reverse complement are one, case counts.
 
-    ``rows``: ord, tax_id, description, seq. The first orientation is kept; seq_ord
-    and tax_ord are the places where the sequence and, in it, the tax_id came first.
+    ``rows``: ord (a record's own number), tax_id, description, and seq or its key. The
+    first orientation is kept; seq_ord and tax_ord are the places where the sequence and,
+    in it, the tax_id came first. Keys alone are grouped; the first of equal sequences
+    is taken by its number from ``sequences`` (ord, seq; else from ``rows``).
     """
-    keyed = rows.withColumn("key", F.md5(F.least("seq", expr.reverse_complement(F.col("seq")))))
-    first = keyed.groupBy("key").agg(F.min(F.struct("ord", "seq")).alias("x")).select("key", F.col("x.ord").alias("seq_ord"), F.col("x.seq").alias("seq"))
+    keyed = rows if "key" in rows.columns else rows.withColumn("key", sequence_key(F.col("seq")))
+    first = keyed.groupBy("key").agg(F.min("ord").alias("seq_ord"))
     per_tax = keyed.groupBy("key", "tax_id").agg(F.min("ord").alias("tax_ord"), F.array_sort(F.collect_list(F.struct("ord", "description"))).alias("x"))
-    return per_tax.join(first, "key").select("seq_ord", "tax_ord", "tax_id", "seq", F.transform("x", lambda x: x["description"]).alias("descriptions"))
+    texts = (rows if sequences is None else sequences).select(F.col("ord").alias("seq_ord"), "seq")
+    return per_tax.join(first, "key").join(texts, "seq_ord").select("seq_ord", "tax_ord", "tax_id", "seq", F.transform("x", lambda x: x["description"]).alias("descriptions"))
 
 
 def reduced_fasta(unique: DataFrame, db_name: str) -> DataFrame:

@@ -108,3 +108,14 @@ def test_build_database(spark):
     assert {r.species for r in got["identical"].collect()} == {"Sp x", "Sp y"}
     with pytest.raises(ValueError):
         api.build_database(seqs, seq2tax, "db")
+
+
+def test_outputs_of_a_database_come_from_written_sequences(spark):
+    sequences = spark.createDataFrame([(1, "a", "ACGT"), (2, "b", "ACGT"), (3, "c", "GGGG")], "ord long, header string, seq string")
+    mapped = spark.createDataFrame([("a", "1", 1), ("b", "2", 2), ("c", "2", 3)], "seq_id string, tax_id string, ord long")
+    taxa = spark.createDataFrame([(1, "1", "s1", "g1", "f", "", "", "p", "k"), (2, "2", "s2", "g2", "f", "", "", "p", "k")], ["ord", "tax_id", "species", "genus", "family", "order", "class", "phylum", "superkingdom"])
+    got = api.build_database(sequences, mapped, "db", taxonomy_list=taxa)
+    plans = {k: v._jdf.queryExecution().executedPlan().toString() for k, v in got.items()}
+    assert sorted((r.n, r.tax_id, r.seq) for r in got["sequences"].collect()) == [(1, "1", "ACGT"), (2, "2", "ACGT"), (3, "2", "GGGG")]
+    assert [(r.species_count, r.genera) for r in got["cross_genus"].collect()] == [(2, "g1;g2")]
+    assert "Exchange" not in plans["sequences"] and plans["cross_genus"].count("FileScan") == 1
