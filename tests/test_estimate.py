@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from mixspark.functions.special import digamma
-from mixspark.operators import estimate
+from mixspark.operators import estimate, graph
 from mixspark.operators.estimate import Scores
 
 
@@ -242,3 +242,15 @@ def test_samples_that_end_early_are_left_out(spark):
         small = {(r.sample, r.tax_id): r for r in estimate.estimate_abundances(frame, name).collect()}
         assert spread.keys() == small.keys()
         assert all(abs(spread[k].abundance - small[k].abundance) < 1e-6 and spread[k].below_detection == small[k].below_detection for k in small)
+
+
+def test_partitions_of_blocks_grow_with_the_scores(spark, monkeypatch):
+    """Blocks are written by as many tasks as the scores need; estimates stay the same."""
+    rows = [(s, f"r{i}", t, -float((i * t) % 5)) for s in ("a", "b") for i in range(200) for t in (1, 2, 3)]
+    scores = spark.createDataFrame(rows, "sample string, read string, tax_id long, log_score double").cache()
+    files = lambda df: len(df.inputFiles())
+    want = {(r.sample, r.tax_id): r.abundance for r in estimate.fit_vb_distributed(scores).collect()}
+    few = files(estimate.read_blocks(scores))
+    monkeypatch.setattr(graph, "ROWS", 100)
+    assert files(estimate.read_blocks(scores)) > max(few, 8)
+    assert {(r.sample, r.tax_id): r.abundance for r in estimate.fit_vb_distributed(scores).collect()} == pytest.approx(want, abs=1e-9)
