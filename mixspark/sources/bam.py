@@ -18,12 +18,14 @@ import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mixspark.operators.graph import written
-from mixspark.sources.ranges import HEAD, TAIL, THROUGH, by_range, decoded, joined_ends, with_places
+from mixspark.sources.ranges import HEAD, TAIL, THROUGH, bare, by_range, decoded, file_places, joined_ends
 
 #: Fixed values of the format: how each block begins, up to its size; the empty block at the end; codes of CIGAR operations.
 MARK = bytes.fromhex("1f8b08040000000000ff0600") + b"BC\x02\x00"
@@ -33,12 +35,15 @@ OPS = "MIDNSHP=X"
 TAG_SIZES = {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
 TAG_INTEGERS = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I"}
 
-#: Inflated bytes of a written block; records of a batch; inflated bytes in which a range looks for its first border, and records that must follow from there.
-BLOCK, BATCH, SEEK, CHAIN = 65_280, 10_000, 4 << 20, 16
+#: Inflated bytes of a written block; records of a batch; inflated bytes that are parsed at once; inflated bytes in which a range looks for its first border, and records that must follow from there.
+BLOCK, BATCH, PIECE, SEEK, CHAIN = 65_280, 10_000, 1 << 20, 4 << 20, 16
 #: Records of a range are numbered from 32 times its start: a block inflates 1032-fold at most and a record has 36 bytes at least.
 PER_BYTE, PER_FILE = 32, 1 << 45
 
 _FIELDS = struct.Struct("<iiBBHHHi")
+#: A record's size and fixed fields.
+_FIXED = np.dtype([("size", "<i4"), ("ref", "<i4"), ("pos", "<i4"), ("name", "u1"), ("quality", "u1"), ("bin", "<u2"), ("ops", "<u2"), ("flag", "<u2"), ("seq", "<i4"), ("next_ref", "<i4"), ("next_pos", "<i4"), ("length", "<i4")])
+_SIZE = struct.Struct("<i")
 RECORD, REFERENCE, PLAIN = 10, 11, 12  # kinds of rows beside the ends of ranges
 _TYPES = {"path": pa.string(), "start": pa.int64(), "kind": pa.int32(), "idx": pa.int64(), "read": pa.string(), "flag": pa.int32(), "ref_id": pa.int32(), "cigar": pa.string(), "nm": pa.int64(), "bytes": pa.binary()}
 _SCHEMA = "path string, start long, kind int, idx long, read string, flag int, ref_id int, cigar string, nm long, bytes binary"
@@ -47,10 +52,14 @@ _SCHEMA = "path string, start long, kind int, idx long, read string, flag int, r
 def record_fields(raw: bytes) -> tuple[str, int, int, str | None, int | None]:
     """(read, flag, number of the reference or -1, cigar, nm) of a record without its size."""
     ref, _, name_size, _, _, n_ops, flag, seq_size = _FIELDS.unpack_from(raw)
-    p, end = 32 + name_size, len(raw)
+    p = 32 + name_size
     name = raw[32 : p - 1].decode()
     cigar = "".join(f"{x >> 4}{OPS[x & 15]}" for x in struct.unpack_from(f"<{n_ops}I", raw, p)) or None
-    p += 4 * n_ops + (seq_size + 1) // 2 + seq_size
+    return name, flag, ref, cigar, nm_of(raw, p + 4 * n_ops + (seq_size + 1) // 2 + seq_size, len(raw))
+
+
+def nm_of(raw: bytes, p: int, end: int) -> int | None:
+    """The NM tag among the tags from ``p`` to ``end``."""
     nm = None
     while p < end:
         tag, kind = raw[p : p + 2], chr(raw[p + 2])
@@ -63,7 +72,44 @@ def record_fields(raw: bytes) -> tuple[str, int, int, str | None, int | None]:
             if tag == b"NM":
                 nm = struct.unpack_from(TAG_INTEGERS[kind], raw, p)[0]
             p += TAG_SIZES[kind]
-    return name, flag, ref, cigar, nm
+    return nm
+
+
+def places(lo: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """lo[0], lo[0] + 1, ... as many as sizes[0], then those from lo[1], and so on."""
+    return np.repeat(lo - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def offsets_of(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes)))
+
+
+def records_at(data: bytes, at: list[int]) -> dict[str, pa.Array]:
+    """The columns of ``record_fields`` for the whole records that begin (with their sizes) at the places ``at``."""
+    raw, lo = np.frombuffer(data, np.uint8), np.array(at, np.int64)
+    f = raw[lo[:, None] + np.arange(36)].view(_FIXED)[:, 0]
+    size, name, n_ops, seq = (f[c].astype(np.int64) for c in ("size", "name", "ops", "seq"))
+    tags, end = lo + 36 + name + 4 * n_ops + (seq + 1) // 2 + seq, lo + 4 + size
+    if (tags > end).any() or (name < 1).any() or (seq < 0).any():
+        raise ValueError("a record is longer than its size")
+    read = pa.StringArray.from_buffers(len(lo), pa.py_buffer(offsets_of(name - 1).astype(np.int32)), pa.py_buffer(raw[places(lo + 36, name - 1)]))
+    read.validate(full=True)
+    ops = raw[places(lo + 36 + name, 4 * n_ops)].view("<u4")
+    each = pc.binary_join_element_wise(pa.array(ops >> 4).cast(pa.string()), pa.array(list(OPS)).take(pa.array(ops & 15)), "")
+    cigar = pc.if_else(pa.array(n_ops > 0), pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets_of(n_ops), pa.int32()), each), ""), None)
+    # most records have that tag alone or none; the tags of the others are walked through
+    nm, known = np.zeros(len(lo), np.int64), tags == end
+    null = known.copy()
+    for kind, form in TAG_INTEGERS.items():
+        mine = np.nonzero(end - tags == 3 + TAG_SIZES[kind])[0]
+        mine = mine[(raw[tags[mine][:, None] + np.arange(3)] == np.frombuffer(b"NM" + kind.encode(), np.uint8)).all(axis=1)]
+        nm[mine] = raw[tags[mine][:, None] + 3 + np.arange(TAG_SIZES[kind])].view(form)[:, 0]
+        known[mine] = True
+    for i in np.nonzero(~known)[0].tolist():
+        got = nm_of(data, int(tags[i]), int(end[i]))
+        null[i] = got is None
+        nm[i] = got or 0
+    return {"read": read, "flag": pa.array(f["flag"].astype(np.int32)), "ref_id": pa.array(np.ascontiguousarray(f["ref"])), "cigar": cigar, "nm": pa.array(nm, mask=null)}
 
 
 def header(data: bytes | bytearray) -> tuple[int, list[str]] | None:
@@ -112,16 +158,22 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES.values(), strict=True)], names=list(_TYPES))
 
 
+def _columns(path: str, start: int, kind: int, first: int, n: int, **known: pa.Array) -> pa.RecordBatch:
+    """``n`` rows of a kind, numbered from ``first``."""
+    known |= {"path": pa.repeat(path, n), "start": pa.array(np.full(n, start, np.int64)), "kind": pa.array(np.full(n, kind, np.int32)), "idx": pa.array(np.arange(first, first + n, dtype=np.int64))}
+    return pa.RecordBatch.from_arrays([known[c] if c in known else pa.nulls(n, t) for c, t in _TYPES.items()], names=list(_TYPES))
+
+
 class BlockRange:
     """The blocks of one range, inflated and parsed as they come."""
 
     def __init__(self, path: str, start: int):
         self.path, self.start, self.held, self.waiting = path, start, bytearray(), b""
         self.border, self.plain, self.n, self.next_try, self.fed = False, False, 0, 0, False
-        self.rows: list[tuple] = []
+        self.rows: list[pa.RecordBatch] = []
 
-    def row(self, kind: int, idx: int, read=None, flag=None, ref_id=None, cigar=None, nm=None, data=None) -> None:
-        self.rows.append((self.path, self.start, kind, idx, read, flag, ref_id, cigar, nm, data))
+    def row(self, kind: int, idx: int, data: bytes | None = None) -> None:
+        self.rows.append(_columns(self.path, self.start, kind, idx, 1, bytes=pa.array([data], pa.binary())))
 
     def feed(self, values: pa.Array) -> Iterator[pa.RecordBatch]:
         for value in values:
@@ -140,9 +192,8 @@ class BlockRange:
             self.waiting = b""
             self.held += zlib.decompress(whole[2 : size - 8], -15)
             self.parse(False)
-            if len(self.rows) >= BATCH:
-                yield _batch(self.rows)
-                self.rows = []
+            yield from self.rows
+            self.rows = []
 
     def find(self, last: bool) -> None:
         """The header's end or, further on in the file, the first border."""
@@ -151,27 +202,34 @@ class BlockRange:
         self.next_try = 2 * len(self.held)
         if self.start == 0:
             if got := header(self.held):
-                for i, name in enumerate(got[1]):
-                    self.row(REFERENCE, i, name)
+                for i in range(0, len(got[1]), BATCH):
+                    names = pa.array(got[1][i : i + BATCH], pa.string())
+                    self.rows.append(_columns(self.path, self.start, REFERENCE, i, len(names), read=names))
                 del self.held[: got[0]]
-                self.border = True
+                self.border, self.next_try = True, 0
         elif last or len(self.held) >= SEEK:
             at = first_border(bytes(self.held))
             if at is not None:
-                self.row(HEAD, 0, data=bytes(self.held[:at]))
+                self.row(HEAD, 0, bytes(self.held[:at]))
                 del self.held[:at]
-                self.border = True
+                self.border, self.next_try = True, 0
 
     def parse(self, last: bool) -> None:
         if not self.border:
             self.find(last)
-        if not self.border:
+        if not self.border or not last and len(self.held) < max(PIECE, self.next_try):
             return
-        data, p = bytes(self.held), 0
-        while p + 4 <= len(data) and p + 4 + (size := struct.unpack_from("<i", data, p)[0]) <= len(data):
-            self.row(RECORD, self.n, *record_fields(data[p + 4 : p + 4 + size]))
-            self.n, p = self.n + 1, p + 4 + size
+        data, p, at = bytes(self.held), 0, []
+        while p + 4 <= len(data) and p + 4 + (size := _SIZE.unpack_from(data, p)[0]) <= len(data):
+            if size < 32:
+                raise ValueError(f"{self.path}: no record where one should begin in the range at {self.start}")
+            at.append(p)
+            p += 4 + size
+        if at:
+            self.rows.append(_columns(self.path, self.start, RECORD, self.n, len(at), **records_at(data, at)))
+            self.n += len(at)
         del self.held[:p]
+        self.next_try = 2 * len(self.held)  # a record of many pieces is waited for
 
     def finish(self) -> Iterator[pa.RecordBatch]:
         if self.plain:
@@ -181,11 +239,10 @@ class BlockRange:
         else:
             self.parse(True)
             if self.border:
-                self.row(TAIL, self.n, data=bytes(self.held))
+                self.row(TAIL, self.n, bytes(self.held))
             elif self.held:
-                self.row(THROUGH, 0, data=bytes(self.held))
-        if self.rows:
-            yield _batch(self.rows)
+                self.row(THROUGH, 0, bytes(self.held))
+        yield from self.rows
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +314,7 @@ def _plain_files(spark: SparkSession, path: str, paths: DataFrame) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    at = F.col("_metadata.file_path").alias("path")
+    at = bare(F.col("_metadata.file_path")).alias("path")
     return found.select(at, "content").join(paths, "path", "left_semi").mapInArrow(run, _SCHEMA)
 
 
@@ -269,7 +326,7 @@ def read_bam(spark: SparkSession, path: str) -> DataFrame:
     gaps. A file may have 1 TB; one cut off within a record or block is an error.
     """
     found = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.bam", encoding="ISO-8859-1", lineSep=MARK.decode("latin-1")).text(path)
-    blocks = found.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("value"))
+    blocks = found.select(bare(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("value"))
     parsed = written(blocks.mapInArrow(lambda batches: by_range(batches, BlockRange), _SCHEMA), "alignments")
     ends = parsed.where(F.col("kind") <= TAIL).select("path", "start", "kind", "idx", "bytes")
     every = parsed.where(F.col("kind").isin(RECORD, REFERENCE)).unionByName(joined_ends(ends, _joined, _SCHEMA))
@@ -278,9 +335,11 @@ def read_bam(spark: SparkSession, path: str) -> DataFrame:
         every = every.unionByName(_plain_files(spark, path, plain))
     refs = every.where(F.col("kind") == REFERENCE).select("path", F.col("idx").cast("int").alias("ref_id"), F.col("read").alias("ref"))
     records = every.where(F.col("kind") == RECORD).select("path", (F.col("start") * PER_BYTE + F.col("idx")).alias("at"), "read", "flag", "ref_id", "cigar", "nm")
-    named = with_places(records.join(refs, ["path", "ref_id"], "left"), found.inputFiles())
+    # names are taken from paths once a file, and written, or they would be worked out for each record
     sample = F.regexp_replace(decoded(F.regexp_extract("path", r"([^/]+)$", 1)), r"\.bam$", "")
-    return named.select(sample.alias("sample"), (F.col("place") * PER_FILE + F.col("at")).alias("ord"), "read", "flag", "ref", "cigar", "nm")
+    files = written(file_places(spark, found.inputFiles()).withColumn("sample", sample), "files")
+    named = records.join(refs, ["path", "ref_id"], "left").join(files, "path")
+    return named.select("sample", (F.col("place") * PER_FILE + F.col("at")).alias("ord"), "read", "flag", "ref", "cigar", "nm")
 
 
 def encoded_record(read: str, flag: int, ref_id: int, cigar: str | None, nm: int | None) -> bytes:
@@ -299,6 +358,49 @@ def encoded_record(read: str, flag: int, ref_id: int, cigar: str | None, nm: int
     return struct.pack("<i", len(body)) + body
 
 
+def encoded_records(got: pa.RecordBatch) -> bytes:
+    """``encoded_record`` of all rows (read, flag, ref_id, cigar, nm), one after the other."""
+    n, flat = got.num_rows, {}
+    for c in ("read", "cigar"):
+        text = got.column(c).cast(pa.string())
+        text = pc.fill_null(text, "") if c == "cigar" else text
+        offsets = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + n + 1].astype(np.int64)
+        chars = np.frombuffer(text.buffers()[2] or b"", np.uint8)
+        flat[c] = (chars[offsets[0] : offsets[-1]], offsets - offsets[0])
+    if got.column("read").null_count or got.column("flag").null_count or got.column("ref_id").null_count:
+        raise ValueError("a record has no read, flag or reference")
+    names, name_at = flat["read"]
+    chars, at = flat["cigar"]
+    digit = (chars >= 48) & (chars <= 57)
+    letter = np.nonzero(~digit)[0]
+    code = np.full(256, -1)
+    code[np.frombuffer(OPS.encode(), np.uint8)] = np.arange(len(OPS))
+    record = np.searchsorted(at, letter, "right") - 1
+    width = letter - np.maximum(np.concatenate(([-1], letter[:-1]))[: len(letter)] + 1, at[record])
+    number, op = np.zeros(len(letter), np.int64), code[chars[letter]]
+    for k in range(min(int(width.max(initial=0)), 18)):
+        far = width > k
+        number[far] += (chars[letter[far] - 1 - k].astype(np.int64) - 48) * 10**k
+    n_ops, has = np.bincount(record, minlength=n), got.column("nm").is_valid().to_numpy(zero_copy_only=False)
+    name, nm = np.diff(name_at) + 1, pc.fill_null(got.column("nm"), 0).to_numpy()
+    if (op < 0).any() or (width < 1).any() or (width > 18).any() or (number >= 1 << 28).any() or (n_ops >= 1 << 16).any() or (name > 255).any() or (np.abs(nm) >= 1 << 31).any():
+        raise ValueError("a record can't be written as BAM: its CIGAR, name or NM has no place there")
+    f = np.zeros(n, _FIXED)
+    f["ref"], f["flag"], f["name"], f["ops"], f["next_ref"], f["next_pos"] = got.column("ref_id").to_numpy(), got.column("flag").to_numpy(), name, n_ops, -1, -1
+    f["pos"] = np.where(f["ref"] >= 0, 0, -1)
+    size = 36 + name + 4 * n_ops + 7 * has
+    f["size"] = size - 4
+    end = np.cumsum(size)
+    lo, out = end - size, np.zeros(int(size.sum()), np.uint8)
+    out[lo[:, None] + np.arange(36)] = f.view(np.uint8).reshape(n, 36)
+    out[places(lo + 36, name - 1)] = names
+    out[places(lo + 36 + name, 4 * n_ops)] = (number << 4 | op).astype("<u4").view(np.uint8)
+    tag = np.zeros(int(has.sum()), np.dtype([("tag", "S3"), ("nm", "<i4")]))
+    tag["tag"], tag["nm"] = b"NMi", nm[has]
+    out[(end[has] - 7)[:, None] + np.arange(7)] = tag.view(np.uint8).reshape(len(tag), 7)
+    return out.tobytes()
+
+
 def packed(data: bytes) -> bytes:
     """A block of at most ``BLOCK`` bytes, without the bytes that all blocks begin with."""
     deflate = zlib.compressobj(6, zlib.DEFLATED, -15)

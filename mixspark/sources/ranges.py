@@ -16,7 +16,7 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Kinds of rows, in the order of a range's ends: before its first border, a range without one, after its last border.
@@ -60,8 +60,20 @@ def decoded(name: Column) -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
+#: The start of a path with an empty authority, which not all of Spark writes.
+EMPTY = r"^([^:/]+):///"
+
+
+def bare(path: Column) -> Column:
+    return F.regexp_replace(path, EMPTY, "$1:/")
+
+
+def file_places(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(path, place): the bare paths of ``files`` and their places in their order; one row a file, which the driver lists anyway."""
+    return spark.createDataFrame([(re.sub(EMPTY, r"\1:/", p), i) for i, p in enumerate(sorted(files))], "path string, place long")
+
+
 def with_places(df: DataFrame, files: list[str]) -> DataFrame:
-    """``df`` (path and more) with place, the file's place among the sorted ``files`` of a source: one row a file, which the driver lists anyway."""
-    bare = r"^([^:/]+):///"  # the same path with an empty authority, which not all of Spark writes
-    places = df.sparkSession.createDataFrame([(re.sub(bare, r"\1:/", p), i) for i, p in enumerate(sorted(files))], "_at string, place long")
-    return df.join(places, F.regexp_replace("path", bare, "$1:/") == F.col("_at")).drop("_at")
+    """``df`` (path and more) with place, the file's place among the sorted ``files`` of a source."""
+    places = file_places(df.sparkSession, files).withColumnRenamed("path", "_at")
+    return df.join(places, bare(F.col("path")) == F.col("_at")).drop("_at")

@@ -6,6 +6,7 @@ import struct
 import warnings
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,8 +58,10 @@ def write_sample_bams(alignments: DataFrame, path: str) -> None:
 
     All files have the same references, in alphabetical order. Tasks write whole blocks
     as rows of text parted by the bytes that begin a block; joined, the parts of a
-    sample are a BAM file.
+    sample are a BAM file. The records are written once before, as names, samples and
+    the ranges of the order are all found in them.
     """
+    alignments = written(alignments.select("sample", "ord", "read", "flag", "ref", "cigar", "nm"), "records")
     refs = written(numbered(alignments.where("ref IS NOT NULL").select("ref").distinct(), [F.col("ref")], "n").select("ref", (F.col("n") - 1).alias("ref_id")), "references")
     count = refs.agg(F.count("*").alias("n_refs"))
     samples = alignments.select("sample").distinct()
@@ -71,22 +74,29 @@ def write_sample_bams(alignments: DataFrame, path: str) -> None:
         sample, held = None, bytearray()
         give = lambda values: pa.RecordBatch.from_arrays([pa.array([sample] * len(values), pa.string()), pa.array(values, pa.binary())], names=["sample", "value"])
         for got in batches:
-            for r in got.to_pylist():
-                if r["sample"] != sample:
+            key, step = got.column("sample").dictionary_encode(), got.column("step").to_numpy()
+            changes = np.flatnonzero((np.diff(key.indices.to_numpy()) != 0) | (np.diff(step) != 0)) + 1
+            for lo, hi in zip([0, *changes.tolist()], [*changes.tolist(), got.num_rows], strict=True):
+                if lo == hi:
+                    continue
+                if (name := got.column("sample")[lo].as_py()) != sample:
                     if held:
                         yield give([bam.packed(bytes(held))])
-                    sample, held = r["sample"], bytearray()
+                    sample, held = name, bytearray()
                     yield give([b""])  # a part begins with what parts the rows
-                if r["step"] == 0:
-                    held += b"BAM\1" + struct.pack("<ii", 0, r["ord"])
-                elif r["step"] == 1:
-                    name = r["read"].encode() + b"\0"
-                    held += struct.pack("<i", len(name)) + name + struct.pack("<i", 0)
+                rows = got.slice(lo, hi - lo)
+                if step[lo] == 0:
+                    held += b"BAM\1" + struct.pack("<ii", 0, rows.column("ord")[0].as_py())
+                elif step[lo] == 1:
+                    for name in rows.column("read").to_pylist():
+                        name = name.encode() + b"\0"
+                        held += struct.pack("<i", len(name)) + name + struct.pack("<i", 0)
                 else:
-                    held += bam.encoded_record(r["read"], r["flag"], r["ref_id"], r["cigar"], r["nm"])
-                while len(held) >= bam.BLOCK:
-                    yield give([bam.packed(bytes(held[: bam.BLOCK]))])
-                    del held[: bam.BLOCK]
+                    held += bam.encoded_records(rows)
+                whole = len(held) // bam.BLOCK * bam.BLOCK
+                if whole:
+                    yield give([bam.packed(bytes(held[i : i + bam.BLOCK])) for i in range(0, whole, bam.BLOCK)])
+                    del held[:whole]
         if held:
             yield give([bam.packed(bytes(held))])
 

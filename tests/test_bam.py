@@ -94,3 +94,24 @@ def test_separator_inside_a_block_belongs_to_it():
     out = list(parser.feed(pa.array([b"", *parts], pa.binary()))) + list(parser.finish())
     reads = [r["read"] for b in out for r in b.to_pylist() if r["kind"] == bam.RECORD]
     assert reads == ["r", "q", "s"]
+
+
+def test_many_records_at_once_are_as_one_by_one():
+    """Columns of a batch, sliced or not, and of records with other tags, against the plain functions."""
+    rows = [(read, flag, -1 if ref is None else int(ref[0]), cigar, nm) for _, _, read, flag, ref, cigar, nm in made(500)]
+    rows += [("", 4, -1, "", -5), ("é", 65_535, 7, f"{(1 << 28) - 1}=1X", 2**31 - 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64()))], names=["read", "flag", "ref_id", "cigar", "nm"])
+    plain = [bam.encoded_record(*r) for r in rows]
+    assert bam.encoded_records(batch) == b"".join(plain)
+    assert bam.encoded_records(batch.slice(3, 40)) == b"".join(plain[3:43])
+    other = [b"XAAz", b"NMC\7", b"NMs\xff\xff", b"XZZNMC\7\0NMc\xfb", b"XBBC\3\0\0\0NMC", b""]
+    for i, tags in enumerate(other):
+        raw = bam.encoded_record(f"t{i}", 0, 1, "5M1I", None)[4:] + tags
+        plain.append(struct.pack("<i", len(raw)) + raw)
+    data, at = b"".join(plain), [sum(map(len, plain[:i])) for i in range(len(plain))]
+    got = bam.records_at(data, at)
+    want = [bam.record_fields(p[4:]) for p in plain]
+    assert list(zip(*[got[c].to_pylist() for c in ("read", "flag", "ref_id", "cigar", "nm")])) == want
+    for bad in ("M", "3Q", f"{1 << 28}M"):
+        with pytest.raises(ValueError):
+            bam.encoded_records(pa.RecordBatch.from_pylist([{"read": "r", "flag": 0, "ref_id": 0, "cigar": bad, "nm": 1}]))
