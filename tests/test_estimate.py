@@ -254,3 +254,14 @@ def test_partitions_of_blocks_grow_with_the_scores(spark, monkeypatch):
     monkeypatch.setattr(graph, "ROWS", 100)
     assert files(estimate.read_blocks(scores)) > max(few, 8)
     assert {(r.sample, r.tax_id): r.abundance for r in estimate.fit_vb_distributed(scores).collect()} == pytest.approx(want, abs=1e-9)
+
+
+def test_sums_come_as_columns(spark, monkeypatch):
+    """What is summed is not made into rows on the driver, and each sample gets its own."""
+    rows = [(s, f"r{i}", t, 0.0) for s, n in (("b", 30), ("a", 20)) for i in range(n) for t in (3, 5 + i % 2)]
+    blocks = estimate.read_blocks(spark.createDataFrame(rows, "sample string, read string, tax_id long, log_score double"))
+    spreads = {"a": estimate.Spread("a", np.array([3, 5, 6])), "b": estimate.Spread("b", np.array([3, 5, 6])), "none": estimate.Spread("none", np.array([3]))}
+    ask = estimate.Ask(lambda x: np.bincount(x.species, minlength=3).astype(float), 3)
+    monkeypatch.setattr(type(blocks), "collect", lambda self: pytest.fail("rows were collected"))
+    got = estimate.sums_of(blocks, {k: (v, ask) for k, v in spreads.items()})
+    assert {k: v.tolist() for k, v in got.items()} == {"a": [20, 10, 10], "b": [30, 15, 15], "none": [0, 0, 0]}
