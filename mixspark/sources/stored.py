@@ -12,6 +12,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mixspark.operators.graph import parts_of, written
 from mixspark.sources.joining import file_system
 
 COLUMNS = {"sample": "string", "read": "string", "tax_id": "bigint", "log_score": "double"}
@@ -22,16 +23,23 @@ def _beside(path: str) -> str:
     return f"{path.rstrip('/')}.buckets"
 
 
-def store_scores(scores: DataFrame, path: str, buckets: int = 200) -> DataFrame:
-    """Write ``scores`` (sample, read, tax_id, log_score) to ``path`` in ``buckets`` sorted buckets and return the table.
+def store_scores(scores: DataFrame, path: str, buckets: int = 200, rows: int | None = None) -> DataFrame:
+    """Write ``scores`` (sample, read, tax_id, log_score) to ``path`` in at least ``buckets`` sorted buckets and return the table.
 
     A bucket is one file: rows are dealt to its task first. A read's scores share a
-    bucket; a sample of any size is spread over all of them.
+    bucket; a sample of any size is spread over all of them. A bucket is sorted by one
+    task here and by one of each step over it, so there are more of them for many rows,
+    about a million in each. ``rows``: how many there are, or at most, if known; else the
+    scores are written once before and counted.
     """
     spark = scores.sparkSession
-    rows = scores.select(*[F.col(c).cast(t).alias(c) for c, t in COLUMNS.items()]).repartition(buckets, *BY)
+    if rows is None:
+        scores = written(scores, "read-scores")
+        rows = scores.count()
+    buckets = max(buckets, parts_of(rows))
+    placed = scores.select(*[F.col(c).cast(t).alias(c) for c, t in COLUMNS.items()]).repartition(buckets, *BY)
     spark.sql(f"DROP TABLE IF EXISTS {_name(path)}")
-    rows.write.bucketBy(buckets, *BY).sortBy(*BY).format("parquet").option("path", path).mode("overwrite").saveAsTable(_name(path))
+    placed.write.bucketBy(buckets, *BY).sortBy(*BY).format("parquet").option("path", path).mode("overwrite").saveAsTable(_name(path))
     fs, at = file_system(spark, path)
     out = fs.create(at(_beside(path)), True)
     out.write(bytearray(str(buckets).encode()))
