@@ -47,15 +47,15 @@ def test_written_again(spark, scores, tmp_path):
     assert again.count() == stored.stored_scores(spark, path).count() == scores.where("sample = 'a'").count()
 
 
-@pytest.mark.parametrize("rows", [None, 5000])
-def test_buckets_grow_with_the_scores(spark, scores, tmp_path, monkeypatch, rows):
+@pytest.mark.parametrize("known", [{}, {"rows": 5000}])
+def test_buckets_grow_with_the_scores(spark, scores, tmp_path, monkeypatch, known):
     """No task sorts more than some part of them, counted or named."""
     monkeypatch.setattr(graph, "ROWS", 100)
     path = str(tmp_path / "scores")
-    stored.store_scores(scores, path, 2, rows)
+    stored.store_scores(scores, path, 2, **known)
     spark.sql(f"DROP TABLE {stored._name(path)}")  # as in a later session
     table = stored.stored_scores(spark, path)
     described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {stored._name(path)}").collect()}
-    assert int(described["Num Buckets"]) == (rows or scores.count()) // 100
+    assert int(described["Num Buckets"]) == known.get("rows", scores.count()) // 100
     assert sorted(table.collect()) == sorted(scores.collect())
     assert max(r["count"] for r in table.groupBy(F.input_file_name()).count().collect()) < scores.count() / 4
